@@ -30,6 +30,6 @@ RULES = (
     ("medication", "CM", "ADCM", "medium"),
     ("dose", "EX", "ADEX", "medium"),
     ("disease", "MH", "ADMH", "medium"),
-    ("age", "DM", "ADSL", "medium"),
+    ("age >=", "DM", "ADSL", "medium"),
     ("informed consent", "DM", "ADSL", "medium"),
 )

@@ -30,8 +30,7 @@ def _choose(key: Column, values: list, first: int = 0) -> Column:
 
 
 def _day_text(column: Column | str, plus: int | Column = 0) -> Column:
-    day = F.to_date(column)
-    return F.date_format(F.date_add(day, plus) if plus is not None else day, "yyyy-MM-dd")
+    return F.date_format(F.date_add(F.to_date(column), plus), "yyyy-MM-dd")
 
 
 def _first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,3 +236,58 @@ def lab_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_suppkey",
         *[F.when((shift + k) % 7 != 0, F.col(c)).alias(c) for k, c in enumerate(PANEL)],
     )
+
+
+def protocol_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One protocol JSON document per order, with item lists that vary by order."""
+    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
+
+    def texts(*values) -> Column:
+        return F.array(*[v if isinstance(v, Column) else F.lit(v) for v in values])
+
+    primary = (
+        F.when(priority == "1-URGENT", texts("Overall survival (OS) until death from any cause"))
+        .when(
+            priority == "2-HIGH",
+            texts("Progression-free survival (PFS) by review", "Objective response rate (ORR)"),
+        )
+        .when(priority == "3-MEDIUM", texts("Change in laboratory values at week 12"))
+        .when(priority == "4-NOT SPECIFIED", texts("xyzzy frobnicate entanglement score"))
+    )
+    secondary = (
+        F.when(status == "F", texts("Safety and tolerability per CTCAE", "Duration of response"))
+        .when(status == "O", texts("Systolic blood pressure at week 12"))
+        .otherwise(F.array().cast("array<string>"))
+    )
+    customer = F.col("o_custkey").cast("string")
+    arm = F.struct(
+        F.lit("Drug X").alias("arm_name"),
+        F.concat((F.col("o_custkey") % 5 * 100).cast("string"), F.lit("mg")).alias("dose"),
+        F.lit("IV").alias("route"),
+        F.lit("Q3W").alias("frequency"),
+    )
+    visit = F.struct(
+        F.lit("Screening").alias("visit_name"),
+        F.lit("Day -28 to Day -1").alias("visit_day"),
+        texts("Demographics", "Laboratory tests", "ECG").alias("assessments"),
+    )
+    document = F.struct(
+        F.concat(F.lit("Study of compound "), customer).alias("study_title"),
+        F.concat(F.lit("P-"), F.col("o_orderkey").cast("string")).alias("protocol_number"),
+        F.concat(F.lit("Phase "), (F.col("o_orderkey") % 3 + 1).cast("string")).alias("phase"),
+        F.lit("NSCLC").alias("indication"),
+        F.lit("Synthetic sponsor").alias("sponsor"),
+        primary.alias("primary_endpoints"),
+        secondary.alias("secondary_endpoints"),
+        texts(
+            F.concat(F.lit("Age >= "), (18 + F.col("o_custkey") % 50).cast("string")),
+            "Adequate hematology values",
+        ).alias("inclusion_criteria"),
+        texts(F.concat(F.lit("Prior treatment with compound "), customer)).alias(
+            "exclusion_criteria"
+        ),
+        F.array(arm).alias("treatment_arms"),
+        F.array(visit).alias("visit_schedule"),
+        F.floor("o_totalprice").cast("bigint").alias("raw_text_length"),
+    )
+    return table(spark, sf_dir, "orders").select(F.to_json(document).alias("document"))
