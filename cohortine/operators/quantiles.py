@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A bracket with at most this many rows is sorted in one small array.
-SMALL_BRACKET = 50_000
+SMALL_BRACKET = 10_000
 _ACCURACY = 10_000
 
 
@@ -23,62 +23,80 @@ _ACCURACY = 10_000
 class _Target:
     column: str
     rank: int  # zero-based position among the sorted non-null values
+    inside: int  # values within the bracket
+    below: int = 0  # values under the bracket
     low: float = -math.inf
     high: float = math.inf
-    inside: int = 0
     answer: float | None = None
 
+    def value(self):
+        return F.col(self.column).cast("double")
 
-def _narrow(df: DataFrame, targets: list[_Target]) -> None:
-    """One aggregation that counts and narrows every open bracket."""
+    def within(self):
+        x = self.value()
+        return F.when((x >= self.low) & (x <= self.high), x)
+
+
+def _propose(df: DataFrame, targets: list[_Target]) -> list[tuple[float, float]]:
+    """A narrower bracket for every target, from approximate quantiles.
+
+    An approximate quantile is off by at most 1/_ACCURACY of the rows, so going
+    twice that far to either side encloses the target.
+    """
+    margin = 2 / _ACCURACY
     aggregates = []
     for i, t in enumerate(targets):
-        x = F.col(t.column).cast("double")
-        inside = (x >= t.low) & (x <= t.high)
-        within = F.when(inside, x)
+        share = (t.rank - t.below + 0.5) / t.inside
+        ends = [max(share - margin, 0.0), min(share + margin, 1.0)]
+        aggregates.append(F.percentile_approx(t.within(), ends, _ACCURACY).alias(f"q{i}"))
+    row = df.agg(*aggregates).first()
+    return [tuple(row[f"q{i}"]) for i in range(len(targets))]
+
+
+def _narrow(df: DataFrame, targets: list[_Target]) -> None:
+    """Replace every bracket by a narrower one that is checked by counting."""
+    brackets = _propose(df, targets)
+    aggregates = []
+    for i, (t, (low, high)) in enumerate(zip(targets, brackets)):
+        x = t.value()
         aggregates += [
-            F.count_if(x < t.low).alias(f"below{i}"),
-            F.count_if(inside).alias(f"inside{i}"),
-            F.count_if(x == t.low).alias(f"low_n{i}"),
-            F.count_if(x == t.high).alias(f"high_n{i}"),
-            F.min(F.when(inside & (x > t.low), x)).alias(f"above_low{i}"),
-            F.max(F.when(inside & (x < t.high), x)).alias(f"under_high{i}"),
-            F.percentile_approx(
-                within, [j / 1000 for j in range(1, 1000)], _ACCURACY
-            ).alias(f"grid{i}"),
+            F.count_if(x < low).alias(f"below{i}"),
+            F.count_if((x >= low) & (x <= high)).alias(f"inside{i}"),
+            F.count_if(x == low).alias(f"low_n{i}"),
+            F.count_if(x == high).alias(f"high_n{i}"),
+            F.max(F.when(x < low, x)).alias(f"under{i}"),
+            F.min(F.when(x > low, x)).alias(f"above_low{i}"),
+            F.max(F.when(x < high, x)).alias(f"under_high{i}"),
+            F.min(F.when(x > high, x)).alias(f"over{i}"),
         ]
     row = df.agg(*aggregates).first()
-    for i, t in enumerate(targets):
+    for i, (t, (low, high)) in enumerate(zip(targets, brackets)):
         below, inside = row[f"below{i}"], row[f"inside{i}"]
-        offset = t.rank - below
-        t.inside = inside
-        if offset < row[f"low_n{i}"]:
-            t.answer = t.low
-        elif offset >= inside - row[f"high_n{i}"]:
-            t.answer = t.high
-        elif inside > SMALL_BRACKET:
-            # Grid values are within 1/_ACCURACY of their rank, so two grid
-            # steps to either side safely enclose the target.
-            step = int(1000 * offset / inside)
-            grid = row[f"grid{i}"]
-            low = grid[step - 3] if step >= 3 else t.low
-            high = grid[step + 2] if step + 2 < len(grid) else t.high
-            t.low = max(low, row[f"above_low{i}"])
-            t.high = min(high, row[f"under_high{i}"])
+        at_low, at_high = row[f"low_n{i}"], row[f"high_n{i}"]
+        if t.rank < below:  # the bracket was too high: go on underneath it
+            t.high, t.inside = row[f"under{i}"], below - t.below
+        elif t.rank >= below + inside:  # too low: go on above it
+            t.low, t.inside = row[f"over{i}"], t.below + t.inside - below - inside
+            t.below = below + inside
+        elif t.rank < below + at_low:
+            t.answer = low
+        elif t.rank >= below + inside - at_high:
+            t.answer = high
+        else:
+            t.low, t.high = row[f"above_low{i}"], row[f"under_high{i}"]
+            t.below, t.inside = below + at_low, inside - at_low - at_high
 
 
 def _read_small(df: DataFrame, targets: list[_Target]) -> None:
     """Pick the answers out of brackets known to hold few rows."""
-    aggregates = []
-    for i, t in enumerate(targets):
-        x = F.col(t.column).cast("double")
-        aggregates += [
-            F.count_if(x < t.low).alias(f"below{i}"),
-            F.sort_array(F.collect_list(F.when((x >= t.low) & (x <= t.high), x))).alias(f"v{i}"),
+    row = df.agg(
+        *[
+            F.sort_array(F.collect_list(t.within())).alias(f"v{i}")
+            for i, t in enumerate(targets)
         ]
-    row = df.agg(*aggregates).first()
+    ).first()
     for i, t in enumerate(targets):
-        t.answer = row[f"v{i}"][t.rank - row[f"below{i}"]]
+        t.answer = row[f"v{i}"][t.rank - t.below]
 
 
 def exact_quantiles(
