@@ -67,7 +67,7 @@ def date_or_null(df: DataFrame, name: str, formats: Sequence[str] = DATE_FORMATS
 
 def iso_date(df: DataFrame, name: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Date normalised to ``yyyy-MM-dd`` text."""
-    return F.date_format(date_or_null(df, name, formats), "yyyy-MM-dd")
+    return date_or_null(df, name, formats).cast("string")
 
 
 def upper(df: DataFrame, name: str, default: str | None = None) -> Column:

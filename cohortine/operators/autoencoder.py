@@ -86,7 +86,7 @@ def normal(key: Sequence[Column], salt: str, seed: int) -> Column:
     return radius * F.cos(2.0 * np.pi * uniform(key, salt + ":angle", seed))
 
 
-def _epoch(df: DataFrame, inputs, targets, hold: str, network: Network):
+def _epoch(df: DataFrame, inputs, targets, hold: str, network: Network, parts: int):
     """Gradient sum and losses over all rows, as one small driver-side result."""
     shared = df.sparkSession.sparkContext.broadcast(network)
     n_weights = len(network.weights)
@@ -122,7 +122,6 @@ def _epoch(df: DataFrame, inputs, targets, hold: str, network: Network):
         yield _pack(total, loss, rows)
 
     partials = df.select(*inputs, *targets, hold).mapInPandas(partial, _PARTIAL)
-    parts = df.rdd.getNumPartitions()
     while parts > _FAN_IN:
         parts = -(-parts // _FAN_IN)
         partials = partials.repartition(parts).mapInPandas(combine, _PARTIAL)
@@ -167,9 +166,10 @@ def train(
     second = np.zeros_like(network.weights)
     best, best_loss, waited = network, np.inf, 0
     history: list[float] = []
+    parts = df.rdd.getNumPartitions()
     for epoch in range(1, epochs + 2):
         gradient, train_loss, train_n, hold_loss, hold_n = _epoch(
-            df, inputs, targets, hold, network
+            df, inputs, targets, hold, network, parts
         )
         if train_n == 0:
             raise ValueError("there are no rows to train on")

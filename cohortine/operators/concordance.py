@@ -12,7 +12,7 @@ That takes one row per subject and digit, and running totals over time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -22,17 +22,18 @@ from .scans import BLOCK, running_totals, with_blocks
 _WIDE = "decimal(38,0)"
 
 
-def _pairs(rows: DataFrame, group: list[str], event: str, later: str, censored: str) -> Column:
+def _pairs(
+    kind: str, rows: DataFrame, group: list[str], event: str, later: str, censored: str
+) -> DataFrame:
     """Sum over events of the rows that leave after them, within each group."""
     totals = running_totals(
         rows, group, "time", {"after": later}, inclusive=False, descending=True
     )
     partners = F.col("after") + F.col(censored)
-    return totals.agg(
-        F.coalesce(F.sum(F.col(event).cast(_WIDE) * partners.cast(_WIDE)), F.lit(0))
-        .cast("bigint")
-        .alias("pairs")
-    ).first()["pairs"]
+    pairs = F.sum(F.col(event).cast(_WIDE) * partners.cast(_WIDE))
+    return totals.agg(F.coalesce(pairs, F.lit(0)).cast("bigint").alias("pairs")).select(
+        F.lit(kind).alias("kind"), "pairs"
+    )
 
 
 def concordance(
@@ -60,16 +61,15 @@ def concordance(
         .join(ranks, "score")
         .drop("score")
     )
-    rows = materialise(rows)
-    top = rows.agg(F.max("rank")).first()[0] or 0
+    top = ranks.agg(F.max("rank")).first()[0] or 0
 
     by_time = rows.groupBy(BLOCK, "time").agg(
         F.sum("n_event").alias("n_event"),
         F.sum("n_censored").alias("n_censored"),
         F.sum("n_all").alias("n_all"),
     )
-    comparable = _pairs(by_time, [], "n_event", "n_all", "n_censored")
-    tied = _pairs(rows, ["rank"], "n_event", "n_all", "n_censored")
+    comparable = _pairs("comparable", by_time, [], "n_event", "n_all", "n_censored")
+    tied = _pairs("tied", rows, ["rank"], "n_event", "n_all", "n_censored")
 
     digit = F.explode(F.sequence(F.lit(0), F.lit(max(int(top).bit_length() - 1, 0))))
     split = rows.withColumn("digit", digit)
@@ -83,12 +83,12 @@ def concordance(
             F.sum(F.when(one, 0).otherwise(F.col("n_censored"))).alias("low_censored"),
         )
     )
-    concordant = _pairs(split, ["digit", "prefix"], "high_events", "low_all", "low_censored")
-
-    total = df.sparkSession.range(1).select(
-        F.lit(comparable).cast("bigint").alias("comparable"),
-        F.lit(concordant).cast("bigint").alias("concordant"),
-        F.lit(tied).cast("bigint").alias("tied"),
+    concordant = _pairs(
+        "concordant", split, ["digit", "prefix"], "high_events", "low_all", "low_censored"
+    )
+    kinds = ("comparable", "concordant", "tied")
+    total = comparable.unionByName(concordant).unionByName(tied).agg(
+        *[F.sum(F.when(F.col("kind") == k, F.col("pairs"))).alias(k) for k in kinds]
     )
     return total.withColumn(
         "concordance",

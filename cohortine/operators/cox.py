@@ -233,7 +233,7 @@ def fit_cox(
     centred = complete.withColumns(
         {f"z{a}": (F.col(f"z{a}") - float(means[a])) / float(spreads[a]) for a in range(p)}
     )
-    base = materialise(with_blocks(centred, "time"))
+    base = with_blocks(centred, "time")
 
     beta = np.zeros(p)
     value, gradient, hessian = _evaluate(base, beta)

@@ -11,99 +11,123 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A bracket with at most this many rows is sorted in one small array.
 SMALL_BRACKET = 10_000
-_ACCURACY = 10_000
+_ACCURACY = 1_000
 
 
 @dataclass
 class _Target:
+    """Search for the value at one rank, inside the open interval (low, high)."""
+
     column: str
     rank: int  # zero-based position among the sorted non-null values
-    inside: int  # values within the bracket
-    below: int = 0  # values under the bracket
-    low: float = -math.inf
-    high: float = math.inf
+    inside: int  # values within the interval
+    below: int = 0  # values up to and including ``low``
+    low: float | None = None
+    high: float | None = None
     answer: float | None = None
 
-    def value(self):
-        return F.col(self.column).cast("double")
+    @property
+    def interval(self) -> tuple:
+        return self.column, self.low, self.high
 
-    def within(self):
-        x = self.value()
-        return F.when((x >= self.low) & (x <= self.high), x)
+    def within(self) -> Column:
+        x = F.col(self.column).cast("double")
+        inside = x.isNotNull()
+        if self.low is not None:
+            inside = inside & (x > self.low)
+        if self.high is not None:
+            inside = inside & (x < self.high)
+        return F.when(inside, x)
 
 
-def _propose(df: DataFrame, targets: list[_Target]) -> list[tuple[float, float]]:
-    """A narrower bracket for every target, from approximate quantiles.
+def _propose(df: DataFrame, targets: list[_Target]) -> dict[tuple, tuple[float, float]]:
+    """Per interval, a narrower closed bracket from approximate quantiles.
 
     An approximate quantile is off by at most 1/_ACCURACY of the rows, so going
-    twice that far to either side encloses the target.
+    twice that far to either side encloses every target of the interval.
     """
     margin = 2 / _ACCURACY
+    members: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        members.setdefault(t.interval, []).append(t)
     aggregates = []
-    for i, t in enumerate(targets):
-        share = (t.rank - t.below + 0.5) / t.inside
-        ends = [max(share - margin, 0.0), min(share + margin, 1.0)]
-        aggregates.append(F.percentile_approx(t.within(), ends, _ACCURACY).alias(f"q{i}"))
+    for k, group in enumerate(members.values()):
+        shares = [(t.rank - t.below + 0.5) / t.inside for t in group]
+        ends = [max(min(shares) - margin, 0.0), min(max(shares) + margin, 1.0)]
+        aggregates.append(
+            F.percentile_approx(group[0].within(), ends, _ACCURACY).alias(f"q{k}")
+        )
     row = df.agg(*aggregates).first()
-    return [tuple(row[f"q{i}"]) for i in range(len(targets))]
+    return {key: tuple(row[f"q{k}"]) for k, key in enumerate(members)}
 
 
-def _narrow(df: DataFrame, targets: list[_Target]) -> None:
-    """Replace every bracket by a narrower one that is checked by counting."""
-    brackets = _propose(df, targets)
+def _narrow(df: DataFrame, targets: list[_Target], brackets: dict[tuple, tuple]) -> None:
+    """Count around the proposed brackets, then answer or narrow every target."""
     aggregates = []
-    for i, (t, (low, high)) in enumerate(zip(targets, brackets)):
-        x = t.value()
+    wanted = {t.interval for t in targets}
+    brackets = {key: ends for key, ends in brackets.items() if key in wanted}
+    for k, ((column, _, _), (low, high)) in enumerate(brackets.items()):
+        x = F.col(column).cast("double")
         aggregates += [
-            F.count_if(x < low).alias(f"below{i}"),
-            F.count_if((x >= low) & (x <= high)).alias(f"inside{i}"),
-            F.count_if(x == low).alias(f"low_n{i}"),
-            F.count_if(x == high).alias(f"high_n{i}"),
-            F.max(F.when(x < low, x)).alias(f"under{i}"),
-            F.min(F.when(x > low, x)).alias(f"above_low{i}"),
-            F.max(F.when(x < high, x)).alias(f"under_high{i}"),
-            F.min(F.when(x > high, x)).alias(f"over{i}"),
+            F.count_if(x < low).alias(f"below{k}"),
+            F.count_if(x == low).alias(f"low{k}"),
+            F.count_if((x > low) & (x < high)).alias(f"inside{k}"),
+            F.count_if(x == high).alias(f"high{k}"),
         ]
     row = df.agg(*aggregates).first()
-    for i, (t, (low, high)) in enumerate(zip(targets, brackets)):
-        below, inside = row[f"below{i}"], row[f"inside{i}"]
-        at_low, at_high = row[f"low_n{i}"], row[f"high_n{i}"]
-        if t.rank < below:  # the bracket was too high: go on underneath it
-            t.high, t.inside = row[f"under{i}"], below - t.below
-        elif t.rank >= below + inside:  # too low: go on above it
-            t.low, t.inside = row[f"over{i}"], t.below + t.inside - below - inside
-            t.below = below + inside
-        elif t.rank < below + at_low:
+    places = {key: k for k, key in enumerate(brackets)}
+    for t in targets:
+        k = places[t.interval]
+        low, high = brackets[t.interval]
+        below = row[f"below{k}"]
+        above_low = below + row[f"low{k}"]
+        at_high = above_low + row[f"inside{k}"]
+        if t.rank < below:
+            t.high, t.inside = low, below - t.below
+        elif t.rank < above_low:
             t.answer = low
-        elif t.rank >= below + inside - at_high:
+        elif t.rank < at_high:
+            t.low, t.high, t.below, t.inside = low, high, above_low, row[f"inside{k}"]
+        elif low == high or t.rank < at_high + row[f"high{k}"]:
             t.answer = high
         else:
-            t.low, t.high = row[f"above_low{i}"], row[f"under_high{i}"]
-            t.below, t.inside = below + at_low, inside - at_low - at_high
+            past = at_high + row[f"high{k}"]
+            t.low, t.inside, t.below = high, t.below + t.inside - past, past
 
 
 def _read_small(df: DataFrame, targets: list[_Target]) -> None:
     """Pick the answers out of brackets known to hold few rows."""
-    row = df.agg(
-        *[
-            F.sort_array(F.collect_list(t.within())).alias(f"v{i}")
-            for i, t in enumerate(targets)
-        ]
-    ).first()
-    for i, t in enumerate(targets):
-        t.answer = row[f"v{i}"][t.rank - t.below]
+    places: dict[tuple, int] = {}
+    aggregates = []
+    for t in targets:
+        if t.interval not in places:
+            places[t.interval] = len(places)
+            values = F.sort_array(F.collect_list(t.within()))
+            aggregates.append(values.alias(f"v{places[t.interval]}"))
+    row = df.agg(*aggregates).first()
+    for t in targets:
+        t.answer = row[f"v{places[t.interval]}"][t.rank - t.below]
 
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probability: float
 ) -> dict[str, float | None]:
     """Linearly interpolated quantile of each column, NULLs left out."""
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in columns]).first()
+    margin = 2 / _ACCURACY
+    ends = [max(probability - margin, 0.0), min(probability + margin, 1.0)]
+    first = df.agg(
+        *[F.count(F.col(c)).alias(f"n_{c}") for c in columns],
+        *[
+            F.percentile_approx(F.col(c).cast("double"), ends, _ACCURACY).alias(f"q_{c}")
+            for c in columns
+        ],
+    ).first()
+    counts = {c: first[f"n_{c}"] for c in columns}
     result: dict[str, float | None] = {}
     targets: dict[tuple[str, int], _Target] = {}
     for column in columns:
@@ -121,8 +145,11 @@ def exact_quantiles(
             if t.answer is None and (t.inside <= SMALL_BRACKET) == small
         ]
 
+    brackets = {(c, None, None): tuple(first[f"q_{c}"]) for c in columns if counts[c]}
     while large := pending(small=False):
-        _narrow(df, large)
+        _narrow(df, large, brackets)
+        large = pending(small=False)
+        brackets = _propose(df, large) if large else {}
     if small := pending(small=True):
         _read_small(df, small)
 

@@ -70,3 +70,13 @@ def materialise(df: DataFrame) -> DataFrame:
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread the rows of an input that has fewer splits than there are cores.
+
+    Only inputs of a few files are moved; a large input already has more splits
+    than cores and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

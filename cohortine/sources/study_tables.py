@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 STUDY_ID = "STUDY-01"
 LINE_KEYS = (
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
@@ -30,7 +32,7 @@ def _choose(key: Column, values: list, first: int = 0) -> Column:
 
 
 def _day_text(column: Column | str, plus: int | Column = 0) -> Column:
-    return F.date_format(F.date_add(F.to_date(column), plus), "yyyy-MM-dd")
+    return F.date_add(F.to_date(column), plus).cast("string")
 
 
 def _first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +71,7 @@ def _line_events(spark: SparkSession, sf_dir: str, returned: bool) -> DataFrame:
     parts = table(spark, sf_dir, "part")
     sites = _sites(spark, sf_dir)
     return (
-        lines.where(is_returned if returned else ~is_returned)
+        spread(lines.where(is_returned if returned else ~is_returned))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(sites, F.col("o_custkey") == F.col("c_custkey"))
@@ -201,9 +203,9 @@ def follow_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return per_subject.join(sites, per_subject.o_custkey == sites.c_custkey).select(
         usubjid.alias("USUBJID"),
-        F.date_format("progression", "yyyy-MM-dd").alias("progression_date"),
-        F.date_format(death, "yyyy-MM-dd").alias("death_date"),
-        F.date_format("last", "yyyy-MM-dd").alias("last_date"),
+        F.col("progression").cast("string").alias("progression_date"),
+        death.cast("string").alias("death_date"),
+        F.col("last").cast("string").alias("last_date"),
     )
 
 
@@ -229,7 +231,7 @@ def lab_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-item measurements with about a seventh of each column missing."""
     lines = table(spark, sf_dir, "lineitem")
     shift = F.col("l_orderkey") * 7 + F.col("l_partkey") * 3 + F.col("l_linenumber")
-    return lines.select(
+    return spread(lines).select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
@@ -290,4 +292,4 @@ def protocol_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(visit).alias("visit_schedule"),
         F.floor("o_totalprice").cast("bigint").alias("raw_text_length"),
     )
-    return table(spark, sf_dir, "orders").select(F.to_json(document).alias("document"))
+    return spread(table(spark, sf_dir, "orders")).select(F.to_json(document).alias("document"))
