@@ -115,8 +115,9 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def fixed_text(value: Column, places: int) -> Column:
-    """Fixed-point text of a value rounded half up."""
-    return F.format_string(f"%.{places}f", F.round(value.cast("double"), places))
+    """Fixed-point text of a value rounded half up; NULL stays NULL."""
+    text = F.format_string(f"%.{places}f", F.round(value.cast("double"), places))
+    return F.when(value.isNotNull(), text)
 
 
 def count_percent_text(count: Column, whole: Column) -> Column:
