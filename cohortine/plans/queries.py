@@ -23,6 +23,7 @@ from ..operators import (
 )
 from ..operators.mice import ChainedImputer
 from ..operators.neural import NeuralImputer
+from ..session import materialise, spread
 from ..sources import protocols
 from ..sources import study_tables as study
 
@@ -249,15 +250,21 @@ def impute_regression(spark, d):
     return filled.withColumn("l_extendedprice", F.round("l_extendedprice", 4))
 
 
+def _spread_panel(spark, d):
+    # The imputers below run Python per row.
+    keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return spread(study.lab_panel(spark, d), *keys)
+
+
 @query
 def impute_mice(spark, d):
-    return ChainedImputer(columns=study.PANEL).fit_transform(study.lab_panel(spark, d))
+    return ChainedImputer(columns=study.PANEL).fit_transform(_spread_panel(spark, d))
 
 
 @query
 def impute_neural(spark, d):
     imputer = NeuralImputer(encoding_dim=8, epochs=20, columns=study.PANEL)
-    return imputer.fit_transform(study.lab_panel(spark, d))
+    return imputer.fit_transform(_spread_panel(spark, d))
 
 
 @query
@@ -397,7 +404,7 @@ def ae_signal_scores(spark, d):
 
 def _distances(spark, d):
     features = signals.subject_features(_adae(spark, d), _adsl(spark, d))
-    return signals.materialise(signals.profile_distance(features))
+    return materialise(signals.profile_distance(features))
 
 
 @query

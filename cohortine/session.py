@@ -72,11 +72,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Spread the rows of an input that has fewer splits than there are cores.
 
-    Only inputs of a few files are moved; a large input already has more splits
-    than cores and stays as it is.
+    Worth it before heavy work per row on an input of a few files. A large input
+    already has more splits than cores and stays as it is. ``keys`` should
+    identify a row, so that the parts come out even.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

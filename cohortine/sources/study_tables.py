@@ -71,7 +71,7 @@ def _line_events(spark: SparkSession, sf_dir: str, returned: bool) -> DataFrame:
     parts = table(spark, sf_dir, "part")
     sites = _sites(spark, sf_dir)
     return (
-        spread(lines.where(is_returned if returned else ~is_returned))
+        spread(lines.where(is_returned if returned else ~is_returned), *LINE_KEYS)
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(sites, F.col("o_custkey") == F.col("c_custkey"))
@@ -177,22 +177,25 @@ def follow_up(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     One aggregation by subject: a death is the subject's first urgent finished
     order, kept only from randomization on; a progression is the first pending
-    high-priority order from randomization on.
+    high-priority order from randomization on. The candidate days are a set of
+    calendar days, small even for a subject with very many orders.
     """
     orders = table(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     high = F.when((status == "P") & (priority == "2-HIGH"), F.col("day"))
     urgent = F.when((status == "F") & (priority == "1-URGENT"), F.col("day"))
-    firsts = _first_orders(spark, sf_dir).select(
-        "o_custkey", F.date_add(F.to_date("first_order"), 180).alias("start")
-    )
+    start = F.date_add("first", 180)
     per_subject = (
-        orders.join(firsts, "o_custkey")
-        .groupBy("o_custkey", "start")
+        orders.groupBy("o_custkey")
         .agg(
+            F.min("day").alias("first"),
             F.max("day").alias("last"),
             F.min(urgent).alias("urgent"),
-            F.min(F.when(high >= F.col("start"), high)).alias("progression"),
+            F.collect_set(high).alias("high"),
+        )
+        .withColumn("start", start)
+        .withColumn(
+            "progression", F.array_min(F.filter("high", lambda day: day >= F.col("start")))
         )
     )
     sites = _sites(spark, sf_dir)
@@ -231,7 +234,7 @@ def lab_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-item measurements with about a seventh of each column missing."""
     lines = table(spark, sf_dir, "lineitem")
     shift = F.col("l_orderkey") * 7 + F.col("l_partkey") * 3 + F.col("l_linenumber")
-    return spread(lines).select(
+    return lines.select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
@@ -292,4 +295,4 @@ def protocol_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(visit).alias("visit_schedule"),
         F.floor("o_totalprice").cast("bigint").alias("raw_text_length"),
     )
-    return spread(table(spark, sf_dir, "orders")).select(F.to_json(document).alias("document"))
+    return spread(table(spark, sf_dir, "orders"), "o_orderkey").select(F.to_json(document).alias("document"))
