@@ -61,8 +61,9 @@ def date_or_null(df: DataFrame, name: str, formats: Sequence[str] = DATE_FORMATS
     dtype = _type(df, name)
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.col(name).cast("date")
-    text = F.trim(F.col(name).cast("string"))
-    return F.coalesce(F.try_to_date(text), *[F.try_to_date(text, f) for f in formats])
+    text = f"trim(string(`{name}`))"
+    attempts = [f"try_to_date({text}, '{f}')" for f in formats]
+    return F.expr(f"coalesce({', '.join([f'try_to_date({text})', *attempts])})")
 
 
 def iso_date(df: DataFrame, name: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
@@ -79,7 +80,8 @@ def upper(df: DataFrame, name: str, default: str | None = None) -> Column:
 
 def lookup(key: Column, mapping: Mapping[str, str], default: Column | str) -> Column:
     """Code list lookup; a key that is NULL or not listed takes ``default``."""
-    entries = F.create_map(*[F.lit(v) for pair in mapping.items() for v in pair])
+    keys, values = (F.lit(list(part)) for part in (mapping.keys(), mapping.values()))
+    entries = F.map_from_arrays(keys, values)
     fallback = F.lit(default) if isinstance(default, str) else default
     return F.coalesce(F.try_element_at(entries, key), fallback)
 

@@ -72,8 +72,10 @@ def _adsl(spark, d):
     return adam.subject_level(_dm(spark, d))
 
 
-def _adae(spark, d):
-    return adam.adverse_event_analysis(_ae(spark, d), _adsl(spark, d))
+def _safety(spark, d):
+    """Adverse-event analysis and subject-level datasets."""
+    adsl = _adsl(spark, d)
+    return adam.adverse_event_analysis(_ae(spark, d), adsl), adsl
 
 
 def _os(spark, d):
@@ -284,7 +286,7 @@ def tlf_demographics(spark, d):
 
 @query
 def tlf_adverse_events(spark, d):
-    return tables.adverse_events(_adae(spark, d), _adsl(spark, d), arms=ARMS).body
+    return tables.adverse_events(*_safety(spark, d), arms=ARMS).body
 
 
 @query
@@ -309,12 +311,12 @@ def summary_demographics(spark, d):
 
 @query
 def summary_safety(spark, d):
-    return summaries.safety_summary(_adae(spark, d), _adsl(spark, d))
+    return summaries.safety_summary(*_safety(spark, d))
 
 
 @query
 def summary_top_terms(spark, d):
-    return summaries.top_terms(_adae(spark, d))
+    return summaries.top_terms(_safety(spark, d)[0])
 
 
 @query
@@ -324,7 +326,9 @@ def summary_tte(spark, d):
 
 @query
 def summary_payload(spark, d):
-    return summaries.section_payload(_adsl(spark, d), _adae(spark, d), _os(spark, d), "OS")
+    adae, adsl = _safety(spark, d)
+    times = adam.overall_survival(adsl, study.os_events(spark, d))
+    return summaries.section_payload(adsl, adae, times, "OS")
 
 
 # --- survival -----------------------------------------------------------------------
@@ -347,10 +351,12 @@ def logrank(spark, d):
 
 
 def _cox_input(spark, d):
-    subjects = _adsl(spark, d).select(
+    adsl = _adsl(spark, d)
+    subjects = adsl.select(
         "USUBJID", "AGE", F.when(F.col("SEX") == "M", 1).otherwise(0).alias("SEX_NUM")
     )
-    times = _os(spark, d).select("USUBJID", "TRT01AN", "AVAL", "CNSR")
+    times = adam.overall_survival(adsl, study.os_events(spark, d))
+    times = times.select("USUBJID", "TRT01AN", "AVAL", "CNSR")
     return times.join(subjects, "USUBJID")
 
 
@@ -386,12 +392,12 @@ def cox_survival(spark, d):
 
 @query
 def ae_features(spark, d):
-    return signals.subject_features(_adae(spark, d), _adsl(spark, d))
+    return signals.subject_features(*_safety(spark, d))
 
 
 @query
 def ae_features_scaled(spark, d):
-    features = signals.subject_features(_adae(spark, d), _adsl(spark, d))
+    features = signals.subject_features(*_safety(spark, d))
     scale = signals.scaling(features)
     return _rounded(signals.scaled(features, scale), *scale)
 
@@ -399,11 +405,11 @@ def ae_features_scaled(spark, d):
 @query
 def ae_signal_scores(spark, d):
     detector = signals.SignalDetector(epochs=30)
-    return detector.fit_detect(_adae(spark, d), _adsl(spark, d))
+    return detector.fit_detect(*_safety(spark, d))
 
 
 def _distances(spark, d):
-    features = signals.subject_features(_adae(spark, d), _adsl(spark, d))
+    features = signals.subject_features(*_safety(spark, d))
     return materialise(signals.profile_distance(features))
 
 

@@ -16,6 +16,8 @@ RECOMMENDED = {
     # Split a hot subject's join partition even when that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the Python line of every column expression is slow for wide plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

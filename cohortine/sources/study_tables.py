@@ -19,20 +19,21 @@ LINE_KEYS = (
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+# Declared, so that opening a table starts no job to read file footers.
+SCHEMAS = {
+    "customer": "c_custkey long, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
+}
 
-def _choose(key: Column, values: list, first: int = 0) -> Column:
-    """``values[key - first]``; NULL outside the list."""
-    chosen = F.lit(None).cast("string")
-    for i, value in enumerate(values, start=first):
-        chosen = F.when(key == i, F.lit(value)).otherwise(chosen)
-    return chosen
 
-
-def _day_text(column: Column | str, plus: int | Column = 0) -> Column:
-    return F.date_add(F.to_date(column), plus).cast("string")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,16 +47,16 @@ def _first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     first = _first_orders(spark, sf_dir)
-    key = F.col("c_custkey")
-    return customer.join(first, customer.c_custkey == first.o_custkey, "left").select(
-        key.alias("subject_id"),
-        F.col("c_nationkey").alias("site_id"),
-        (18 + key % 73).alias("age"),
-        _choose(key % 5, ["Male", "F", "female", "M", "unknown"]).alias("sex"),
-        F.col("c_mktsegment").alias("race"),
-        F.when(key % 2 == 0, "Drug X").otherwise("Placebo").alias("arm"),
-        _day_text("first_order", 173).alias("informed_consent_date"),
-        _day_text("first_order", 180).alias("randomization_date"),
+    return customer.join(first, customer.c_custkey == first.o_custkey, "left").selectExpr(
+        "c_custkey AS subject_id",
+        "c_nationkey AS site_id",
+        "18 + c_custkey % 73 AS age",
+        "CASE c_custkey % 5 WHEN 0 THEN 'Male' WHEN 1 THEN 'F' WHEN 2 THEN 'female'"
+        " WHEN 3 THEN 'M' WHEN 4 THEN 'unknown' END AS sex",
+        "c_mktsegment AS race",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'Drug X' ELSE 'Placebo' END AS arm",
+        "string(date(first_order) + 173) AS informed_consent_date",
+        "string(date(first_order) + 180) AS randomization_date",
     )
 
 
@@ -79,52 +80,38 @@ def _line_events(spark: SparkSession, sf_dir: str, returned: bool) -> DataFrame:
 
 
 def raw_adverse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _line_events(spark, sf_dir, returned=True)
-    severity = ["1", "Grade 2", "Severe", "4", "fatal", "Grade 4"]
-    outcomes = {
-        "1-URGENT": "Recovered",
-        "2-HIGH": "Resolved",
-        "3-MEDIUM": "Not Recovered",
-        "4-NOT SPECIFIED": "Fatal",
-        "5-LOW": "lost",
-    }
-    outcome = F.lit(None).cast("string")
-    for priority, text in outcomes.items():
-        outcome = F.when(F.col("o_orderpriority") == priority, text).otherwise(outcome)
-    status = F.col("o_orderstatus")
-    return rows.select(
-        F.col("o_custkey").alias("subject_id"),
-        F.col("c_nationkey").alias("site_id"),
-        F.col("p_name").alias("ae_term"),
-        F.col("p_brand").alias("ae_decoded_term"),
-        F.col("p_type").alias("ae_body_system"),
-        _day_text("l_shipdate").alias("ae_start_date"),
-        _day_text("l_shipdate", F.col("l_quantity").cast("int")).alias("ae_end_date"),
-        _choose(F.col("l_linenumber"), severity, first=1).alias("ae_severity"),
-        F.when(F.col("l_linestatus") == "F", "Yes").otherwise("No").alias("ae_serious"),
-        F.when(status == "P", "Related")
-        .when(status == "F", "Not Related")
-        .when(status == "O", "Y")
-        .alias("ae_related"),
-        outcome.alias("ae_outcome"),
+    return _line_events(spark, sf_dir, returned=True).selectExpr(
+        "o_custkey AS subject_id",
+        "c_nationkey AS site_id",
+        "p_name AS ae_term",
+        "p_brand AS ae_decoded_term",
+        "p_type AS ae_body_system",
+        "string(date(l_shipdate)) AS ae_start_date",
+        "string(date_add(date(l_shipdate), int(l_quantity))) AS ae_end_date",
+        "CASE l_linenumber WHEN 1 THEN '1' WHEN 2 THEN 'Grade 2' WHEN 3 THEN 'Severe'"
+        " WHEN 4 THEN '4' WHEN 5 THEN 'fatal' WHEN 6 THEN 'Grade 4' END AS ae_severity",
+        "CASE WHEN l_linestatus = 'F' THEN 'Yes' ELSE 'No' END AS ae_serious",
+        "CASE o_orderstatus WHEN 'P' THEN 'Related' WHEN 'F' THEN 'Not Related'"
+        " WHEN 'O' THEN 'Y' END AS ae_related",
+        "CASE o_orderpriority WHEN '1-URGENT' THEN 'Recovered' WHEN '2-HIGH' THEN 'Resolved'"
+        " WHEN '3-MEDIUM' THEN 'Not Recovered' WHEN '4-NOT SPECIFIED' THEN 'Fatal'"
+        " WHEN '5-LOW' THEN 'lost' END AS ae_outcome",
         *LINE_KEYS,
     )
 
 
 def raw_laboratory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.col("l_linenumber")
-    return _line_events(spark, sf_dir, returned=False).select(
-        F.col("o_custkey").alias("subject_id"),
-        F.col("c_nationkey").alias("site_id"),
-        F.col("p_type").alias("lab_test"),
-        F.col("l_quantity").alias("lab_result"),
-        F.lit("mg/dL").alias("lab_unit"),
-        F.lit(10).alias("lab_ref_low"),
-        F.lit(40).alias("lab_ref_high"),
-        _day_text("l_shipdate").alias("lab_date"),
-        F.when(line == 1, "Baseline")
-        .otherwise(F.concat(F.lit("Week "), line.cast("string")))
-        .alias("visit_name"),
+    return _line_events(spark, sf_dir, returned=False).selectExpr(
+        "o_custkey AS subject_id",
+        "c_nationkey AS site_id",
+        "p_type AS lab_test",
+        "l_quantity AS lab_result",
+        "'mg/dL' AS lab_unit",
+        "10 AS lab_ref_low",
+        "40 AS lab_ref_high",
+        "string(date(l_shipdate)) AS lab_date",
+        "CASE WHEN l_linenumber = 1 THEN 'Baseline' ELSE 'Week ' || l_linenumber END"
+        " AS visit_name",
         *LINE_KEYS,
     )
 
@@ -132,24 +119,16 @@ def raw_laboratory(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_vital_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     sites = _sites(spark, sf_dir)
-    tests = {
-        "click": "Heart Rate",
-        "error": "Systolic Blood Pressure",
-        "purchase": "Weight",
-        "signup": "Grip Strength Left",
-        "view": "BMI",
-    }
-    test = F.lit(None).cast("string")
-    for kind, name in tests.items():
-        test = F.when(F.col("event_type") == kind, name).otherwise(test)
-    return events.join(sites, events.user_id == sites.c_custkey, "left").select(
-        F.col("user_id").alias("subject_id"),
-        F.col("c_nationkey").alias("site_id"),
-        test.alias("vs_test"),
-        F.col("value").alias("vs_result"),
-        F.lit("unit").alias("vs_unit"),
-        _day_text("ts").alias("vs_date"),
-        F.lit("Day 1").alias("visit_name"),
+    return events.join(sites, events.user_id == sites.c_custkey, "left").selectExpr(
+        "user_id AS subject_id",
+        "c_nationkey AS site_id",
+        "CASE event_type WHEN 'click' THEN 'Heart Rate'"
+        " WHEN 'error' THEN 'Systolic Blood Pressure' WHEN 'purchase' THEN 'Weight'"
+        " WHEN 'signup' THEN 'Grip Strength Left' WHEN 'view' THEN 'BMI' END AS vs_test",
+        "value AS vs_result",
+        "'unit' AS vs_unit",
+        "string(date(ts)) AS vs_date",
+        "'Day 1' AS visit_name",
         "event_id",
     )
 
@@ -157,17 +136,17 @@ def raw_vital_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     sites = _sites(spark, sf_dir)
-    return orders.join(sites, orders.o_custkey == sites.c_custkey, "left").select(
-        F.col("o_custkey").alias("subject_id"),
-        F.col("c_nationkey").alias("site_id"),
-        F.when(F.col("o_custkey") % 2 == 0, "Drug X").otherwise("Placebo").alias("drug_name"),
-        F.col("o_totalprice").alias("dose_amount"),
-        F.lit("mg").alias("dose_unit"),
-        F.col("o_orderstatus").alias("dose_route"),
-        F.col("o_orderpriority").alias("dose_frequency"),
-        _day_text("o_orderdate").alias("start_date"),
-        _day_text("o_orderdate", 21).alias("end_date"),
-        F.lit("Cycle 1 Day 1").alias("visit_name"),
+    return orders.join(sites, orders.o_custkey == sites.c_custkey, "left").selectExpr(
+        "o_custkey AS subject_id",
+        "c_nationkey AS site_id",
+        "CASE WHEN o_custkey % 2 = 0 THEN 'Drug X' ELSE 'Placebo' END AS drug_name",
+        "o_totalprice AS dose_amount",
+        "'mg' AS dose_unit",
+        "o_orderstatus AS dose_route",
+        "o_orderpriority AS dose_frequency",
+        "string(date(o_orderdate)) AS start_date",
+        "string(date(o_orderdate) + 21) AS end_date",
+        "'Cycle 1 Day 1' AS visit_name",
         "o_orderkey",
     )
 
