@@ -51,13 +51,17 @@ def subject_level(dm: DataFrame) -> DataFrame:
 
 
 def adverse_event_analysis(
-    ae: DataFrame, adsl: DataFrame, order_by: Sequence[str] | None = None
+    ae: DataFrame,
+    adsl: DataFrame,
+    order_by: Sequence[str] | None = None,
+    reuse_sequence: bool = False,
 ) -> DataFrame:
     """Adverse events with treatment, study day, emergence flag and grade.
 
     Every event stays, also one whose subject is unknown. ``order_by`` names the
     columns that order the records uniquely (normally AESEQ); with it the
-    dataset-wide ASEQ is added.
+    dataset-wide ASEQ is added. For a whole numbered domain and one ADSL row per
+    subject, ASEQ equals AESEQ: ``reuse_sequence`` copies it and saves a shuffle.
     """
     require_columns(ae, ("USUBJID", "AESTDTC", "AEENDTC", "AESEV", "AESER", "AEREL"), "ADAE")
     require_columns(adsl, (*_SUBJECT_KEYS, "SAFFL"), "ADAE")
@@ -80,6 +84,8 @@ def adverse_event_analysis(
         F.when(F.col("AEREL") == "Y", "RELATED").otherwise("NOT RELATED").alias("AREL"),
         F.when(F.col("AESER") == "Y", "Y").otherwise("N").alias("ASER"),
     )
+    if reuse_sequence:
+        return derived.withColumn("ASEQ", F.col("AESEQ"))
     return number_rows(derived, list(order_by), "ASEQ") if order_by else derived
 
 

@@ -546,6 +546,36 @@ _VALIDATE_SUMMARY = """
               FILTER (severity = 'WARNING') AS summary
     FROM findings"""
 
+
+
+def _json(fields: str, more: str = "") -> str:
+    """JSON text of the named columns; ``more`` is appended before the brace."""
+    parts = " || ',' || ".join(f"'\"{f}\":' || {f}" for f in _columns(fields))
+    return f"'{{' || {parts}{more} || '}}'"
+
+
+def _payload() -> str:
+    terms = """' {"rank":' || rank || ',"term":"' || term || '","n_subjects":' || n_subjects || '}'"""
+    top = f"""(SELECT '[' || string_agg(trim({terms}), ',' ORDER BY rank) || ']'
+               FROM ({_TOP_TERMS}) t WHERE t.arm = s.arm)"""
+    sections = [
+        ("11.2", "Demographic and Baseline Characteristics", _SUMMARY_DEMOGRAPHICS,
+         _json("n, age_mean, age_sd, age_median, age_min, age_max, sex_m_n, sex_f_n, sex_m_pct,"
+               "sex_f_pct")),
+        ("11.4", "Analysis of Efficacy", _SUMMARY_TTE,
+         _json("n, n_events, n_censored, event_rate, median_aval, min_aval, max_aval")),
+        ("11.5", "Safety and Tolerability", _SUMMARY_SAFETY,
+         _json("n_safety, n_any_teae, pct_any_teae, n_serious, n_related, n_grade3plus",
+               f""" || ',"top5_preferred_terms":' || {top}""")),
+    ]
+    parts = [
+        f"SELECT '{number}' AS section, '{title}' AS section_title, arm, {text} AS stats "
+        f"FROM ({summary}) s"
+        for number, title, summary, text in sections
+    ]
+    return _with((*_ADAE, "teae", "contacts", "os"), "\nUNION ALL ".join(parts))
+
+
 _ITEM_LISTS = (
     "primary_endpoints", "secondary_endpoints", "inclusion_criteria", "exclusion_criteria",
 )
@@ -610,6 +640,7 @@ def all_oracles() -> dict[str, str]:
         "summary_safety": _with((*_ADAE, "teae"), _SUMMARY_SAFETY),
         "summary_top_terms": _with((*_ADAE, "teae"), _TOP_TERMS),
         "summary_tte": _with(_OS, _SUMMARY_TTE),
+        "summary_payload": _payload(),
         "km_curve": _with(
             _KM,
             """SELECT arm, time, n_risk, n_event, n_censored, round(survival, 6) AS survival,

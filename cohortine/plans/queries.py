@@ -195,7 +195,7 @@ def adam_adsl(spark, d):
 @query
 def adam_adae(spark, d):
     ae = _ae(spark, d, study.LINE_KEYS)
-    return adam.adverse_event_analysis(ae, _adsl(spark, d), order_by=("AESEQ",))
+    return adam.adverse_event_analysis(ae, _adsl(spark, d), reuse_sequence=True)
 
 
 @query

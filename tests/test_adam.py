@@ -59,6 +59,8 @@ def test_adverse_event_analysis(spark, adsl):
     assert [r.AREL for r in rows] == ["RELATED"] + ["NOT RELATED"] * 3
     assert [r.ASER for r in rows] == ["Y", "N", "N", "Y"]
     assert rows[3].TRTA is None
+    reused = adam.adverse_event_analysis(ae, adsl, reuse_sequence=True)
+    assert [r.ASEQ for r in reused.orderBy("AESEQ").collect()] == [1, 2, 3, 4]
 
 
 def test_overall_survival(spark, adsl):
