@@ -160,22 +160,22 @@ class CoxModel:
 def _time_rows(base: DataFrame, beta: np.ndarray) -> DataFrame:
     """Sums per distinct time with risk-set totals, for one coefficient vector."""
     p = len(beta)
-    eta = F.lit(0.0)
-    for a in range(p):
-        eta = eta + float(beta[a]) * F.col(f"z{a}")
-    weighted = base.withColumn("eta", eta).withColumn("w", F.exp("eta"))
-    w, e = F.col("w"), F.col("event")
-    moments = {"": w}
-    moments |= {f"{a}": w * F.col(f"z{a}") for a in range(p)}
-    moments |= {
-        f"{a}_{b}": w * F.col(f"z{a}") * F.col(f"z{b}") for a in range(p) for b in range(a + 1)
-    }
+    eta = " + ".join(f"{float(b)!r}D * z{a}" for a, b in enumerate(beta))
+    moments = {"": "w"}
+    moments |= {f"{a}": f"w * z{a}" for a in range(p)}
+    moments |= {f"{a}_{b}": f"w * z{a} * z{b}" for a in range(p) for b in range(a + 1)}
+    weighted = base.selectExpr("*", f"{eta} AS eta").selectExpr("*", "exp(eta) AS w")
     rows = weighted.groupBy(BLOCK, "time").agg(
-        F.sum("event").alias("d"),
-        F.sum(e * F.col("eta")).alias("eta"),
-        *[F.sum(e * F.col(f"z{a}")).alias(f"x{a}") for a in range(p)],
-        *[F.sum(m).alias(f"all{k}") for k, m in moments.items()],
-        *[F.sum(e * m).alias(f"tied{k}") for k, m in moments.items()],
+        *[
+            F.expr(text)
+            for text in (
+                "sum(event) AS d",
+                "sum(event * eta) AS eta",
+                *[f"sum(event * z{a}) AS x{a}" for a in range(p)],
+                *[f"sum({m}) AS all{k}" for k, m in moments.items()],
+                *[f"sum(event * {m}) AS tied{k}" for k, m in moments.items()],
+            )
+        ]
     )
     return running_totals(
         rows, [], "time", {f"risk{k}": f"all{k}" for k in moments}, descending=True

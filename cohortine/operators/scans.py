@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = "__block"
@@ -54,43 +54,33 @@ def running_totals(
     ``descending`` sums from the largest order value down.
     """
 
-    def direction(name: str):
-        return F.desc(name) if descending else F.asc(name)
-
-    sums = [F.sum(source).alias(f"__sum_{name}") for name, source in totals.items()]
-    earlier_blocks = (
-        Window.partitionBy(*group)
-        .orderBy(direction(BLOCK))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    # SQL text keeps plan building cheap: fits call this with dozens of totals.
+    way = "DESC" if descending else "ASC"
+    last = "CURRENT ROW" if inclusive else "1 PRECEDING"
+    keys = ", ".join(f"`{g}`" for g in group)
+    by_group = f"PARTITION BY {keys} " if group else ""
+    earlier = f"{by_group}ORDER BY {BLOCK} {way} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    within = (
+        f"PARTITION BY {keys + ', ' if group else ''}{BLOCK} ORDER BY `{order_col}` {way} "
+        f"ROWS BETWEEN UNBOUNDED PRECEDING AND {last}"
     )
     # One row per (group, block): at most groups x blocks rows.
     carried = (
         df.groupBy(*group, BLOCK)
-        .agg(*sums)
-        .select(
-            *group,
+        .agg(*[F.sum(source).alias(f"__sum_{name}") for name, source in totals.items()])
+        .selectExpr(
+            *[f"`{g}`" for g in group],
             BLOCK,
             *[
-                F.coalesce(F.sum(f"__sum_{name}").over(earlier_blocks), F.lit(0)).alias(
-                    f"__carry_{name}"
-                )
+                f"coalesce(sum(`__sum_{name}`) OVER ({earlier}), 0) AS `__carry_{name}`"
                 for name in totals
             ],
         )
     )
-    within_block = (
-        Window.partitionBy(*group, BLOCK)
-        .orderBy(direction(order_col))
-        .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    )
-    joined = df.join(carried, [*group, BLOCK])
-    return joined.select(
-        *df.columns,
+    return df.join(carried, [*group, BLOCK]).selectExpr(
+        *[f"`{c}`" for c in df.columns],
         *[
-            (
-                F.col(f"__carry_{name}")
-                + F.coalesce(F.sum(source).over(within_block), F.lit(0))
-            ).alias(name)
+            f"`__carry_{name}` + coalesce(sum(`{source}`) OVER ({within}), 0) AS `{name}`"
             for name, source in totals.items()
         ],
     )
