@@ -14,7 +14,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.codelists import SEX_LABELS
+from ..functions.codelists import (
+    EVENT_ROW_LABELS,
+    REPORT_FOOTNOTES,
+    REPORT_TITLES,
+    SEX_LABELS,
+)
 from ..functions.columns import (
     arm_column,
     arm_values,
@@ -36,6 +41,11 @@ class Report:
     footnotes: tuple[str, ...] = ()
 
 
+def _report(number: str, body: DataFrame, order_by: tuple[str, ...], **values: str) -> Report:
+    footnotes = tuple(note.format(**values) for note in REPORT_FOOTNOTES[number])
+    return Report(number, REPORT_TITLES[number].format(**values), body, order_by, footnotes)
+
+
 def _safety(df: DataFrame) -> DataFrame:
     return df.where(F.col("SAFFL") == "Y") if "SAFFL" in df.columns else df
 
@@ -164,17 +174,7 @@ def demographics(
     )
     # An arm without subjects in a category shows a zero.
     category_rows = _layout([counts], arms).na.fill("0 (0.0%)", list(arms))
-    return Report(
-        "14.1.1",
-        "Summary of Demographic and Baseline Characteristics",
-        table.unionByName(category_rows),
-        ("block", "row"),
-        (
-            "Safety population: all subjects who received at least one dose.",
-            "Continuous variables: n, mean (SD), median, min, max.",
-            "Categorical variables: n (%).",
-        ),
-    )
+    return _report("14.1.1", table.unionByName(category_rows), ("block", "row"))
 
 
 def emergent(adae: DataFrame) -> DataFrame:
@@ -223,13 +223,6 @@ def adverse_events(
             *[F.count_if(c).alias(c) for c in ("serious", "related", "grade3", "fatal")],
         )
     )
-    rows = [
-        ("any", "  Any TEAE"),
-        ("serious", "  Any serious TEAE"),
-        ("related", "  Any related TEAE"),
-        ("grade3", "  Any Grade ≥ 3 TEAE"),
-        ("fatal", "  TEAE leading to death"),
-    ]
     cell = F.inline(
         F.array(
             F.struct(
@@ -243,23 +236,13 @@ def adverse_events(
                     F.lit(label).alias("label"),
                     count_percent_text(F.col(name), F.col("size")).alias("text"),
                 )
-                for i, (name, label) in enumerate(rows, start=1)
+                for i, (name, label) in enumerate(EVENT_ROW_LABELS.items(), start=1)
             ],
         )
     )
     cells = sizes.join(counts, "arm", "left").select("arm", cell)
     body = _layout([_cells(cells, 0, F.col("row"), F.col("label"), "arm", F.col("text"))], arms)
-    return Report(
-        "14.3.1",
-        "Summary of Treatment-Emergent Adverse Events",
-        body,
-        ("block", "row"),
-        (
-            "TEAE = treatment-emergent adverse event (onset on or after first dose).",
-            "Subjects counted once per category regardless of number of events.",
-            "Percentages based on safety population N.",
-        ),
-    )
+    return _report("14.3.1", body, ("block", "row"))
 
 
 def lab_shift(
@@ -308,17 +291,7 @@ def lab_shift(
     body = (
         shifts.groupBy("BASELINE", "WORST_POST").pivot("arm", columns).agg(F.sum("n")).na.fill(0)
     )
-    return Report(
-        "14.3.4",
-        f"Shift Table: {parameter} (Baseline vs Worst Post-Baseline)",
-        body,
-        ("BASELINE", "WORST_POST"),
-        (
-            f"Parameter: {parameter}.",
-            "BASELINE = normal range category at screening/baseline visit.",
-            "WORST POST = worst normal range category post-baseline.",
-        ),
-    )
+    return _report("14.3.4", body, ("BASELINE", "WORST_POST"), parameter=parameter)
 
 
 def subject_listing(
@@ -330,12 +303,9 @@ def subject_listing(
         arm_column(adsl, arm_col), "ITTFL", "SAFFL",
     )
     present = [c for c in (cols or default) if c in adsl.columns]
-    return Report(
-        "16.2.1",
-        "Subject Disposition and Demographic Listing",
+    body = (
         adsl.select("USUBJID", *[c for c in present if c != "USUBJID"])
         .orderBy("USUBJID")
-        .select(*present),
-        ("USUBJID",) if "USUBJID" in present else (),
-        ("Subjects sorted by USUBJID.",),
+        .select(*present)
     )
+    return _report("16.2.1", body, ("USUBJID",) if "USUBJID" in present else ())

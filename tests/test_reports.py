@@ -106,6 +106,7 @@ def test_lab_shift(spark):
     assert [tuple(r) for r in body(tables.lab_shift(adlb, "HGB"))] == [
         ("LOW", "NORMAL", 1, 0), ("NORMAL", "HIGH", 0, 1), ("NORMAL", "NORMAL", 1, 0),
     ]
+    assert tables.lab_shift(adlb, "HGB").title.startswith("Shift Table: HGB (")
     low = tables.lab_shift(adlb, "HGB", direction="low")
     assert [tuple(r) for r in body(low)][0] == ("LOW", "LOW", 1, 0)
     assert tables.lab_shift(adlb, "none", arms=ARMS).body.count() == 0
