@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -53,7 +54,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     if configured:
         context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
+    elif re.match(r"local(\[|$)", context.master):  # one machine, as in tests
         context.setCheckpointDir(tempfile.mkdtemp(prefix="cohortine-checkpoint-"))
     else:
         raise RuntimeError(
