@@ -6,12 +6,38 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .base import read
 from .bytepair import encode_documents
+from .chat import conversation_digests, format_conversations
+from .langid import learn_languages, predict_language
+from .licences import recognise_licences
+from .multiindex import sign_code, top_k
+from .oracles import ALL
 from .packing import pack_documents
+from .ranking import learn_quality, score_quality
 from .repetition import repetition_quality
 from .simhash import near_duplicates
+from .urls import SiteRule, judge_urls
+
+#: The site rules of the URL query.
+SITE_RULES = (
+    SiteRule("allow", "com", "/"),
+    SiteRule("block", "example.com", "/en/"),
+    SiteRule("allow", "www.example.com", "/en/"),
+    SiteRule("block", "net", "/es/"),
+    SiteRule("block", "net", "/fr/"),
+)
+#: The added conversation and what both its turns say.
+ADDED_CONVERSATION = -1
+ADDED_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op1_multiindex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors, by the signs of their elements, of every twentieth vector."""
+    codes = read(spark, sf_dir, "embeddings").select("vec_id", sign_code("embedding").alias("code"))
+    return top_k(codes, codes.where("vec_id % 20 = 0"), 10)
 
 
 def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +48,26 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), 3, 3)
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(
+        F.lit(ADDED_CONVERSATION).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(ADDED_TEXT).alias("text"),
+    )
+    return conversation_digests(format_conversations(turns.unionAll(added)))
+
+
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return predict_language(docs, learn_languages(docs))
+
+
+def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"), SITE_RULES)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(
         read(spark, sf_dir, "documents"),
@@ -30,6 +76,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recognise_licences(read(spark, sf_dir, "documents"))
+
+
 def op9_bytepair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(
         read(spark, sf_dir, "documents"),
@@ -39,11 +89,22 @@ def op9_bytepair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return score_quality(docs, learn_quality(docs, read(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_multiindex": op1_multiindex,
     "op2_repetition": op2_repetition,
     "op3_simhash": op3_simhash,
+    "op4_chat": op4_chat,
+    "op5_langid": op5_langid,
+    "op6_urls": op6_urls,
     "op7_packing": op7_packing,
+    "op8_licences": op8_licences,
     "op9_bytepair": op9_bytepair,
+    "op10_ranking": op10_ranking,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(ALL)
