@@ -286,6 +286,20 @@ def contract(edges: DataFrame) -> DataFrame:
     )
 
 
+def _components(marked: DataFrame, max_distance: int, id_col: str) -> DataFrame:
+    """``__fp``, ``component_id``, ``__label`` (smallest code of the component) per code."""
+    codes = materialise(marked.groupBy("__fp").agg(F.min(id_col).alias("__least")))
+    labels = contract(links(codes.select("__fp"), max_distance))
+    # A code without a link is its own component.
+    labelled = codes.join(labels, codes["__fp"] == labels["v"], "left").select(
+        codes["__fp"], "__least", F.coalesce("label", codes["__fp"]).alias("__label")
+    )
+    roots = labelled.groupBy("__label").agg(F.min("__least").alias("component_id"))
+    return materialise(
+        labelled.join(roots, "__label").select("__fp", "component_id", "__label")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     max_distance: int = 3,
@@ -298,17 +312,49 @@ def near_duplicates(
     ``component_id`` is the smallest id among all rows reachable over links. Texts
     that are null or have no word share the fingerprint zero and are linked like any
     other. A null id is never the smallest; a component of null ids only has a null
-    ``component_id``. Repeated rows stay. An empty table gives no rows.
+    ``component_id``. Repeated rows stay; other columns are not read. An empty table gives
+    no rows.
     """
     marked = materialise(fingerprints(docs, id_col, text_col, words_per_shingle))
-    codes = materialise(marked.groupBy("__fp").agg(F.min(id_col).alias("__least")))
-    labels = contract(links(codes.select("__fp"), max_distance))
-    # A code without a link is its own component.
-    labelled = codes.join(labels, codes["__fp"] == labels["v"], "left").select(
-        codes["__fp"], "__least", F.coalesce("label", codes["__fp"]).alias("__label")
-    )
-    roots = labelled.groupBy("__label").agg(F.min("__least").alias("component_id"))
-    by_code = labelled.join(roots, "__label").select("__fp", "component_id")
-    return marked.join(by_code, "__fp").select(
+    return marked.join(_components(marked, max_distance, id_col), "__fp").select(
         id_col, F.lpad(F.lower(F.hex("__fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    max_distance: int = 3,
+    words_per_shingle: int = 3,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One whole row of each component of near duplicates: one of the smallest id.
+
+    Of repeated rows of an id a single one stays. A row with a null id stays only if no row
+    of its component has an id, and then one of the smallest fingerprint. All columns are
+    kept. An empty table gives no rows.
+    """
+    marked = materialise(fingerprints(docs, id_col, text_col, words_per_shingle))
+    components = _components(marked, max_distance, id_col)
+    named = components.select(F.col("component_id").alias("__kept")).distinct()
+    kept = docs.join(named, docs[id_col] == named["__kept"], "left_semi").dropDuplicates([id_col])
+
+    # Rows without an id carry their fingerprint along, since nothing else names them.
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            values = [fingerprint(text, words_per_shingle) for text in utf8(batch.column(place))]
+            column = pa.array(np.array(values, np.uint64).view(np.int64))
+            yield batch.append_column("__row_fp", column)
+
+    nameless = docs.where(F.col(id_col).isNull()).mapInArrow(
+        run, T.StructType([*docs.schema.fields, T.StructField("__row_fp", T.LongType())])
+    )
+    lone = components.where(F.col("component_id").isNull() & (F.col("__fp") == F.col("__label")))
+    alone = (
+        nameless.join(lone, nameless["__row_fp"] == lone["__fp"], "left_semi")
+        .dropDuplicates(["__row_fp"])
+        .drop("__row_fp")
+    )
+    return kept.unionAll(alone)
