@@ -57,15 +57,19 @@ class Ragged:
 
     def extend(self, lists: list[list[int]]) -> None:
         lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        total = int(lengths.sum())
-        self.flat = self._room(self.flat, self.used + total)
-        self.starts = self._room(self.starts, self.n + len(lists))
-        self.lengths = self._room(self.lengths, self.n + len(lists))
-        values = np.fromiter((v for one in lists for v in one), np.int64, total)
-        self.flat[self.used : self.used + total] = values
-        self.starts[self.n : self.n + len(lists)] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[self.n : self.n + len(lists)] = lengths
-        self.used, self.n = self.used + total, self.n + len(lists)
+        values = np.fromiter((v for one in lists for v in one), np.int64, int(lengths.sum()))
+        self.extend_flat(values, lengths)
+
+    def extend_flat(self, values: np.ndarray, lengths: np.ndarray) -> None:
+        """Append lists that stand one after another in ``values``."""
+        used, n = self.used + len(values), self.n + len(lengths)
+        self.flat = self._room(self.flat, used)
+        self.starts = self._room(self.starts, n)
+        self.lengths = self._room(self.lengths, n)
+        self.flat[self.used : used] = values
+        self.starts[self.n : n] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[self.n : n] = lengths
+        self.used, self.n = used, n
 
     def gather(self, at: np.ndarray) -> np.ndarray:
         """The lists with numbers ``at``, one after another."""

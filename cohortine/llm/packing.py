@@ -14,12 +14,12 @@ stands alone: no shuffle, and a lost task is simply run again.
 from __future__ import annotations
 
 import os
-import unicodedata
 import zlib
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .base import Numbered, Ragged, slices, utf8
+from .base import Numbered, Ragged, code_points, slices, utf8
 
 #: Distinct words a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
+_FIRST = itemgetter(0)
+_SENTENCE_END = np.zeros(256, bool)
+_SENTENCE_END[list(b".!?")] = True
 
 
 @dataclass(frozen=True)
@@ -55,26 +58,29 @@ def cut_windows(
 
     ``places`` grow strictly, and no two neighbours are further apart than ``capacity``.
     """
-    best = [0.0] * len(places)
     back = [0] * len(places)
-    queue: deque[tuple[float, int]] = deque([(float(places[0]), 0)])
+    # The monotone queue: indices whose f(i) + i grows, and those values.
+    queue, values = deque([0]), deque([float(places[0])])
+    cost = 0.0
     for k in range(1, len(places)):
         at = places[k]
         lowest = at - capacity
-        while places[queue[0][1]] < lowest:
+        while places[queue[0]] < lowest:
             queue.popleft()
-        value, i = queue[0]
-        back[k] = i
-        best[k] = cost = value + capacity - at + penalties[k]
+            values.popleft()
+        back[k] = queue[0]
+        cost = values[0] - lowest + penalties[k]
         value = cost + at
-        while queue and queue[-1][0] > value:
+        while values and values[-1] > value:
+            values.pop()
             queue.pop()
-        queue.append((value, k))
+        queue.append(k)
+        values.append(value)
     path, k = [len(places) - 1], len(places) - 1
     while k:
         k = back[k]
         path.append(k)
-    return path[::-1], best[-1]
+    return path[::-1], cost
 
 
 def cut_places(
@@ -111,18 +117,12 @@ def split_rest(length: int, capacity: int, costs: PackingCosts) -> list[int]:
     return powers if (len(powers) - 1) * (costs.sequence + costs.word) < whole else [length]
 
 
-@lru_cache(maxsize=1 << 12)
-def _ends_word(char: str) -> bool:
-    """Whether a letter stays a letter through NFC and lower case."""
-    return char.isalpha() and unicodedata.normalize("NFC", char).lower()[-1].isalpha()
-
-
 class WordEncoder:
     """Ids of whole texts from a tokenizer that never looks across white space.
 
-    The tokenizer lower-cases, drops white space and separates letters from
-    punctuation before its merges. So words are encoded once each, in ASCII lower case and
-    without closing punctuation, and remembered.
+    The tokenizer lower-cases and drops white space before its merges. So words are
+    encoded once each, in ASCII lower case, and remembered; new words are encoded many at
+    a time, as one text.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -134,49 +134,39 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.number = Numbered()  # words as they stand in a text
+        self.number = Numbered()
         self.ids = Ragged()
         self.stops = np.zeros(1 << 10, bool)
-        self.bare: dict[str, list[int]] = {}  # words without closing punctuation
 
-    def _encode_words(self, words: list[str], at_once: int = 2000) -> None:
+    def _learn(self, words: list[bytes], at_once: int = 500) -> None:
         for first in range(0, len(words), at_once):
-            some = words[first : first + at_once]
-            coded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            lengths = np.fromiter(map(len, some), np.int64, len(some))
-            starts = np.cumsum(lengths + 1) - lengths - 1
-            places = np.fromiter((start for start, _ in coded.offsets), np.int64, len(coded))
-            ids, cuts = coded.ids, np.searchsorted(places, np.append(starts, 1 << 60)).tolist()
-            self.bare.update((w, ids[a:b]) for w, a, b in zip(some, cuts[:-1], cuts[1:]))
-
-    def _learn(self, words: list[bytes]) -> None:
-        parts = []
-        for word in words:
-            text = word.decode("utf-8", "replace")
-            bare = text.rstrip(".,!?;:")
-            if bare and not _ends_word(bare[-1]):
-                bare = text
-            parts.append((bare, text[len(bare) :]))
-        wanted = dict.fromkeys(part for pair in parts for part in pair if part)
-        self._encode_words([w for w in wanted if w not in self.bare])
-        self.bare[""] = []
-        first = self.ids.n
-        self.ids.extend([self.bare[a] + self.bare[b] if b else self.bare[a] for a, b in parts])
-        if self.ids.n > len(self.stops):
-            room = max(self.ids.n, 2 * len(self.stops)) - len(self.stops)
-            self.stops = np.concatenate([self.stops, np.zeros(room, bool)])
-        self.stops[first : self.ids.n] = [w[-1] in b".!?" for w in words]
-        if len(self.bare) > REMEMBERED // 2:
-            self.bare = {}
+            text = b" ".join(words[first : first + at_once]).decode("utf-8", "replace")
+            data = np.frombuffer(text.encode(), np.uint8)
+            gaps = data == ord(" ")
+            ends = np.append(np.cumsum(code_points(data))[gaps] - 1, len(text))
+            coded = self.tokenizer.encode(text, add_special_tokens=False)
+            places = np.fromiter(map(_FIRST, coded.offsets), np.int64, len(coded))
+            stops = np.searchsorted(places, ends)
+            done = self.ids.n
+            self.ids.extend_flat(np.array(coded.ids, np.int64), np.diff(stops, prepend=0))
+            if self.ids.n > len(self.stops):
+                room = max(self.ids.n, 2 * len(self.stops)) - len(self.stops)
+                self.stops = np.concatenate([self.stops, np.zeros(room, bool)])
+            final = data[np.append(np.flatnonzero(gaps), len(data)) - 1]
+            self.stops[done : self.ids.n] = _SENTENCE_END[final]
 
     def encode(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of each text, and the number of ids up to each sentence end."""
         if len(self.number) > REMEMBERED:
             self._forget()
-        numbered = [self.number.numbers(text.lower().split()) for text in texts]
+        # Numbers within this slice first: most words repeat within it, in a small table.
+        here = Numbered()
+        numbered = [here.numbers(text.lower().split()) for text in texts]
+        everywhere = self.number.numbers(here.fresh)
         self._learn(self.number.fresh)
         self.number.fresh = []
-        for at in numbered:
+        for local in numbered:
+            at = everywhere[local]
             ends = np.cumsum(self.ids.lengths[at])
             yield self.ids.gather(at), ends[self.stops[at]]
 
@@ -288,7 +278,7 @@ def pack_documents(
         encoder = word_encoder(shared.value)
         sequence = TaskContext.get().partitionId() << 33
         stream, kind = _Stream(), id_type
-        for batch in slices(batches, 128):
+        for batch in slices(batches):
             kind = batch.column(0).type
             coded = encoder.encode(utf8(batch.column(1)))
             for doc, (ids, sentences) in zip(batch.column(0).to_pylist(), coded):
