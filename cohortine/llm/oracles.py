@@ -81,16 +81,20 @@ ld AS (SELECT d.n, d.good, s.n AS pn, s.good AS pg FROM domains d JOIN suffixes
 lh AS (SELECT h.n, h.good, d.n AS pn, d.good AS pg FROM hosts h JOIN domains d USING (domain)),
 ms AS ({_strength("ls")}), md AS ({_strength("ld")}), mh AS ({_strength("lh")}),
 rs AS (
-  SELECT suffix, (m * CASE WHEN o.n > 0 THEN o.good / o.n ELSE 1.0 END + s.good) / (m + s.n) AS r
-  FROM suffixes s, overall o, ms),
+  SELECT suffix, r, r * (1 - r) / (m + n + 1) AS v FROM (
+    SELECT suffix, m, s.n AS n,
+      (m * CASE WHEN o.n > 0 THEN o.good / o.n ELSE 1.0 END + s.good) / (m + s.n) AS r
+    FROM suffixes s, overall o, ms)),
 rd AS (
-  SELECT domain, d.suffix, (m * r + good) / (m + n) AS r
-  FROM domains d JOIN rs USING (suffix), md),
+  SELECT domain, r, r * (1 - r) / (m + n + 1) + (m / (m + n)) ** 2 * pv AS v FROM (
+    SELECT domain, m, n, (m * rs.r + good) / (m + n) AS r, rs.v AS pv
+    FROM domains JOIN rs USING (suffix), md)),
 rh AS (
-  SELECT host, n AS labelled, (m * r + good) / (m + n) AS r, m + n AS w
-  FROM hosts h JOIN rd USING (domain, suffix), mh),
+  SELECT host, n AS labelled, r, r * (1 - r) / (m + n + 1) + (m / (m + n)) ** 2 * pv AS v FROM (
+    SELECT host, m, n, (m * rd.r + good) / (m + n) AS r, rd.v AS pv
+    FROM hosts JOIN rd USING (domain), mh)),
 judged AS (
-  SELECT page_id, p.host, path, labelled, 1 - r - 1.645 * sqrt(r * (1 - r) / (w + 1)) AS bound,
+  SELECT page_id, p.host, path, labelled, 1 - r - 1.645 * sqrt(v) AS bound,
     CASE WHEN host = 'www.example.com' OR host LIKE '%.www.example.com' THEN 1 ELSE 0 END AS www,
     CASE WHEN host = 'example.com' OR host LIKE '%.example.com' THEN 1 ELSE 0 END AS example,
     labels[-1] AS tld

@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import os
 import zlib
+from bisect import bisect_left
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from operator import itemgetter
@@ -52,12 +53,17 @@ class PackingCosts:
 
 
 def cut_windows(
-    places: list[int], penalties: list[float], capacity: int
+    places: list[int],
+    penalties: list[float],
+    capacity: int,
+    rest_cost: Callable[[int], float] | None = None,
 ) -> tuple[list[int], float]:
     """Indices of the chosen places, from first to last, and the total cost.
 
     ``places`` grow strictly, and no two neighbours are further apart than ``capacity``.
+    ``rest_cost`` gives the cost of the last window by its length, in place of its padding.
     """
+    best = [0.0] * len(places)
     back = [0] * len(places)
     # The monotone queue: indices whose f(i) + i grows, and those values.
     queue, values = deque([0]), deque([float(places[0])])
@@ -69,13 +75,21 @@ def cut_windows(
             queue.popleft()
             values.popleft()
         back[k] = queue[0]
-        cost = values[0] - lowest + penalties[k]
+        best[k] = cost = values[0] - lowest + penalties[k]
         value = cost + at
         while values and values[-1] > value:
             values.pop()
             queue.pop()
         queue.append(k)
         values.append(value)
+    if rest_cost is not None:
+        first = bisect_left(places, places[-1] - capacity)
+        last_costs = [
+            best[i] + rest_cost(places[-1] - places[i]) for i in range(first, len(places) - 1)
+        ]
+        cost = min(last_costs)
+        back[-1] = first + last_costs.index(cost)
+        cost += penalties[-1]
     path, k = [len(places) - 1], len(places) - 1
     while k:
         k = back[k]
@@ -107,14 +121,15 @@ def cut_places(
     return places, penalties
 
 
-def split_rest(length: int, capacity: int, costs: PackingCosts) -> list[int]:
-    """Lengths of the sequences for a last window: padded whole, or powers of two.
+def split_rest(length: int, capacity: int, costs: PackingCosts) -> tuple[list[int], float]:
+    """Lengths of the sequences for a last window, padded whole or powers of two, and the cost.
 
     A sequence whose length is a power of two is not padded.
     """
     powers = [1 << b for b in range(length.bit_length() - 1, -1, -1) if length >> b & 1]
     whole = 0 if len(powers) == 1 else capacity - length
-    return powers if (len(powers) - 1) * (costs.sequence + costs.word) < whole else [length]
+    split = (len(powers) - 1) * (costs.sequence + costs.word)
+    return (powers, split) if split < whole else ([length], float(whole))
 
 
 class WordEncoder:
@@ -193,14 +208,15 @@ def _windows(
     starts = ends - lengths
     sentence_ends = np.concatenate([s + at for (_, _, s, _), at in zip(stream.rows, starts)])
     places, penalties = cut_places(ends, sentence_ends, costs)
-    path, _ = cut_windows(places.tolist(), penalties.tolist(), capacity)
+    rest_cost = (lambda length: split_rest(length, capacity, costs)[1]) if last else None
+    path, _ = cut_windows(places.tolist(), penalties.tolist(), capacity, rest_cost)
     bounds = places[path].tolist()
     if not last:
         bounds = bounds[: max(len(bounds) - keep, 1)]
     windows = list(zip(bounds[:-1], bounds[1:]))
     if last:
         start, end = windows.pop()
-        for length in split_rest(end - start, capacity, costs):
+        for length in split_rest(end - start, capacity, costs)[0]:
             windows.append((start, start + length))
             start += length
     yield from windows

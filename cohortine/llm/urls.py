@@ -93,13 +93,14 @@ def _strength(level: DataFrame, limits: Reputation) -> float:
     The rates' spread around their parents' rates, beyond what binomial chance gives,
     is the correlation rho of pages of one group; the strength is (1 - rho) / rho.
     """
-    n, parent = F.col("n"), F.col("parent_good") / F.col("parent_n")
+    n, parent = F.col("n"), F.try_divide("parent_good", "parent_n")
     var = parent * (1 - parent)
-    own = 1 - n / F.col("parent_n")
+    own = 1 - F.try_divide(n, "parent_n")
+    away = F.try_divide("good", n) - parent
     spread, chance, most = (
         level.where("n > 0")
         .agg(
-            F.sum(n * (F.col("good") / n - parent) * (F.col("good") / n - parent)),
+            F.sum(n * away * away),
             F.sum(var * own),
             F.sum(var * (n - 1) * own),
         )
@@ -142,27 +143,27 @@ def host_reputation(outcomes: DataFrame, settings: Reputation = Reputation()) ->
         for level in (top, under(domains, suffixes, "suffix"), under(hosts, domains, "domain"))
     ]
 
-    def shrunk(strength: float, prior: Column) -> Column:
-        return (F.lit(strength) * prior + F.col("good")) / (F.lit(strength) + F.col("n"))
-
-    rate_s = suffixes.select("suffix", shrunk(strengths[0], F.lit(overall)).alias("suffix_rate"))
-    rate_d = domains.join(rate_s, "suffix").select(
-        "domain", "suffix", shrunk(strengths[1], F.col("suffix_rate")).alias("domain_rate")
+    def posterior(child: DataFrame, strength: float, keys: list[str]) -> DataFrame:
+        """``keys``, n, and mean ``r`` and variance ``v`` of the rate; prior in pr, pv."""
+        m, n = F.lit(strength), F.col("n")
+        rate = child.withColumn("r", (m * F.col("pr") + F.col("good")) / (m + n))
+        own = F.col("r") * (1 - F.col("r")) / (m + n + 1)
+        # What is not known about the prior mean counts as far as the rate leans on it.
+        lean = m / (m + n)
+        return rate.select(*keys, "n", "r", (own + lean * lean * F.col("pv")).alias("v"))
+
+    def prior(level: DataFrame, on: str) -> DataFrame:
+        return level.select(on, F.col("r").alias("pr"), F.col("v").alias("pv"))
+
+    start = suffixes.withColumns({"pr": F.lit(overall), "pv": F.lit(0.0)})
+    by_suffix = posterior(start, strengths[0], ["suffix"])
+    by_domain = posterior(
+        domains.join(prior(by_suffix, "suffix"), "suffix"), strengths[1], ["domain"]
     )
-    rate = shrunk(strengths[2], F.col("domain_rate"))
-    weight = F.lit(strengths[2]) + F.col("n")
-    return (
-        hosts.join(rate_d, ["domain", "suffix"])
-        .select("host", F.col("n").alias("labelled"), rate.alias("good_rate"), weight.alias("w"))
-        .select(
-            "host",
-            "labelled",
-            "good_rate",
-            (
-                1 - F.col("good_rate")
-                - settings.z * F.sqrt(F.col("good_rate") * (1 - F.col("good_rate")) / (F.col("w") + 1))
-            ).alias("bad_bound"),
-        )
+    by_host = posterior(hosts.join(prior(by_domain, "domain"), "domain"), strengths[2], ["host"])
+    bound = 1 - F.col("r") - settings.z * F.sqrt("v")
+    return by_host.select(
+        "host", F.col("n").alias("labelled"), F.col("r").alias("good_rate"), bound.alias("bad_bound")
     )
 
 
