@@ -1,9 +1,11 @@
-"""Chained-equation imputation from moments.
-
-Every imputed value is a linear function of the row's observed values, so all
-rows that miss the same columns share one linear map. The data is aggregated
-once into the second moments of each missing pattern; all rounds of regressions
-are then solved from those moments, without another pass over the data.
+"""Chained-equation imputation, one regression after another.
+
+The state of all rows is a table of two arrays: the centred values, with every missing
+cell at its current estimate, and which cells are missing. A regression takes one
+narrow pass over it: every task adds up the moment matrix of its rows, and one number
+per matrix cell reaches the driver. The estimates found in a round are written into the
+state once, at its end, so a pass never repeats the work of earlier rounds. The number
+of jobs is (incomplete columns + 1) per round, whatever the patterns of missing cells.
 """
 
 from __future__ import annotations
@@ -13,16 +15,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import nan_to_null
+from ..session import materialise, release
 from .impute import clean, resolve_columns
 
-# With k incomplete columns there are at most 2**k patterns; beyond this many
-# columns each regression takes its own aggregation over the data instead.
-MAX_PATTERN_COLUMNS = 12
+_STATE = "filled array<double>, missing array<boolean>"
 
 
 @dataclass
@@ -70,34 +72,63 @@ def _bayesian_ridge(moments: np.ndarray, target: int) -> _Step:
     return _Step(target, float(mean[target] - mean @ full), full)
 
 
-def _apply_steps(values: np.ndarray, steps: Sequence[_Step]) -> np.ndarray:
-    """Fill centred ``values`` (NaN = missing) by running the regressions in turn."""
-    missing = np.isnan(values)
-    filled = np.where(missing, 0.0, values)
+def _apply_steps(values: np.ndarray, missing: np.ndarray, steps: Sequence[_Step]) -> np.ndarray:
+    """Run the regressions in turn over ``values``, changing its missing cells in place."""
     for step in steps:
         rows = missing[:, step.target]
         if rows.any():
-            filled[rows, step.target] = step.intercept + filled[rows] @ step.weights
-    return filled
+            values[rows, step.target] = step.intercept + values[rows] @ step.weights
+    return values
+
+
+def _matrices(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values and missing flags of a batch of the state, one line per row."""
+    filled = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+    missing = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+    return filled.reshape(-1, size).copy(), missing.reshape(-1, size)
+
+
+def _moments(state: DataFrame, size: int, target: int, steps: Sequence[_Step]) -> np.ndarray:
+    """Moment matrix of (1, values) over the rows that have ``target``, after ``steps``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((size + 1, size + 1))
+        for batch in batches:
+            values, missing = _matrices(batch, size)
+            known = ~missing[:, target]
+            values = _apply_steps(values[known], missing[known], steps)
+            rows = np.column_stack([np.ones(len(values)), values])
+            total += rows.T @ rows
+        cells = total.ravel()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(cells), dtype=np.int32)), pa.array(cells)],
+            names=["cell", "value"],
+        )
 
+    sums = (
+        state.mapInArrow(run, "cell int, value double")
+        .groupBy("cell")
+        .agg(F.sum("value").alias("value"))
+        .collect()
+    )
+    flat = np.zeros((size + 1) ** 2)
+    for row in sums:
+        flat[row["cell"]] = row["value"]
+    return flat.reshape(size + 1, size + 1)
 
-def _moment_sums(columns: Sequence[str]) -> list:
-    """count, sums and cross-product sums of the named columns."""
-    z = [F.coalesce(F.col(c), F.lit(0.0)) for c in columns]
-    sums = [F.count(F.lit(1)).alias("n")]
-    sums += [F.sum(z[a]).alias(f"s{a}") for a in range(len(z))]
-    sums += [F.sum(z[a] * z[b]).alias(f"s{a}_{b}") for a in range(len(z)) for b in range(a + 1)]
-    return sums
 
+def _advance(state: DataFrame, size: int, steps: Sequence[_Step]) -> DataFrame:
+    """The state after a round."""
 
-def _moment_matrix(row, size: int) -> np.ndarray:
-    moments = np.zeros((size + 1, size + 1))
-    moments[0, 0] = row["n"]
-    for a in range(size):
-        moments[0, a + 1] = moments[a + 1, 0] = row[f"s{a}"] or 0.0
-        for b in range(a + 1):
-            moments[a + 1, b + 1] = moments[b + 1, a + 1] = row[f"s{a}_{b}"] or 0.0
-    return moments
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, missing = _matrices(batch, size)
+            flat = pa.array(_apply_steps(values, missing, steps).ravel())
+            offsets = pa.array(np.arange(len(values) + 1, dtype=np.int32) * size)
+            filled = pa.ListArray.from_arrays(offsets, flat)
+            yield pa.RecordBatch.from_arrays([filled, batch.column(1)], names=["filled", "missing"])
+
+    return state.mapInArrow(run, _STATE)
 
 
 class ChainedImputer:
@@ -130,103 +161,64 @@ class ChainedImputer:
         self.means = np.array([row[c] for c in self.fitted], dtype=float)
         missing = {i: row["__n"] - row[f"__n_{c}"] for i, c in enumerate(self.fitted)}
         incomplete = sorted((i for i in missing if missing[i] > 0), key=lambda i: (missing[i], i))
-        centred = data.select(
-            *[(F.col(c) - float(m)).alias(c) for c, m in zip(self.fitted, self.means)]
-        )
+        size = len(self.fitted)
         self.steps: list[_Step] = []
-        if len(incomplete) <= MAX_PATTERN_COLUMNS:
-            moments = self._pattern_moments(centred, incomplete)
-        else:
-            moments = self._data_moments(centred)
-        self._run_rounds(incomplete, moments)
-        return self
-
-    def _run_rounds(self, incomplete: list[int], moments) -> None:
+        if not incomplete:
+            return self
+        state = materialise(
+            data.select(
+                F.array(
+                    *[
+                        F.coalesce(F.col(c) - float(m), F.lit(0.0))
+                        for c, m in zip(self.fitted, self.means)
+                    ]
+                ).alias("filled"),
+                F.array(*[F.col(c).isNull() for c in self.fitted]).alias("missing"),
+            )
+        )
         previous: dict[int, np.ndarray] = {}
         for self.rounds in range(1, self.max_iter + 1):
             change = 0.0
+            found: list[_Step] = []
             for target in incomplete:
-                matrix = moments(target)
+                matrix = _moments(state, size, target, found)
                 step = _bayesian_ridge(matrix, target)
-                self.steps.append(step)
+                found.append(step)
                 spread = np.sqrt(np.maximum(np.diag(matrix)[1:] / max(matrix[0, 0], 1), 1e-300))
                 standard = step.weights * spread / spread[target]
                 change = max(change, np.abs(standard - previous.get(target, 0.0)).max(initial=0.0))
                 previous[target] = standard
-            if change < self.tol:
+            self.steps += found
+            if change < self.tol or self.rounds == self.max_iter:
                 break
+            following = materialise(_advance(state, size, found))
+            release(state)
+            state = following
+        release(state)
+        return self
 
-    def _pattern_moments(self, centred: DataFrame, incomplete: list[int]):
-        """Moments of completed rows, from one aggregation by missing pattern."""
-        size = len(self.fitted)
-        pattern = F.lit(0)
-        for bit, i in enumerate(incomplete):
-            pattern = pattern + F.when(F.col(self.fitted[i]).isNull(), 1 << bit).otherwise(0)
-        rows = (
-            centred.withColumn("__pattern", pattern)
-            .groupBy("__pattern")
-            .agg(*_moment_sums(self.fitted))
-            .collect()
-        )
-        groups = []
-        for row in rows:
-            absent = [i for bit, i in enumerate(incomplete) if row["__pattern"] >> bit & 1]
-            completion = np.eye(size + 1)
-            completion[[i + 1 for i in absent]] = 0.0
-            groups.append((set(absent), _moment_matrix(row, size), completion))
-        done = 0
-
-        def moments(target: int) -> np.ndarray:
-            nonlocal done
-            for step in self.steps[done:]:
-                for absent, _, completion in groups:
-                    if step.target in absent:
-                        line = step.weights @ completion[1:]
-                        line[0] += step.intercept
-                        completion[step.target + 1] = line
-            done = len(self.steps)
-            total = np.zeros((size + 1, size + 1))
-            for absent, observed, completion in groups:
-                if target not in absent:
-                    total += completion @ observed @ completion.T
-            return total
-
-        return moments
-
-    def _data_moments(self, centred: DataFrame):
-        """Moments of completed rows, from one aggregation per regression."""
-
-        def moments(target: int) -> np.ndarray:
-            known = centred.where(F.col(self.fitted[target]).isNotNull())
-            filled = known.select(
-                self._filler(self.steps, np.zeros(len(self.fitted)))(
-                    *[F.col(c) for c in self.fitted]
-                ).alias("v")
-            ).select("v.*")
-            return _moment_matrix(
-                filled.agg(*_moment_sums(self.fitted)).first(), len(self.fitted)
-            )
-
-        return moments
-
-    def _filler(self, steps: Sequence[_Step], means: np.ndarray):
-        columns, steps = list(self.fitted), list(steps)
+    def _filler(self):
+        columns, steps, means = list(self.fitted), list(self.steps), self.means
         schema = T.StructType([T.StructField(c, T.DoubleType()) for c in columns])
 
         @F.pandas_udf(schema)
         def fill(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
             for part in parts:
                 values = np.column_stack([np.asarray(s, dtype=float) for s in part]) - means
-                yield pd.DataFrame(_apply_steps(values, steps) + means, columns=columns)
+                missing = np.isnan(values)
+                values[missing] = 0.0
+                yield pd.DataFrame(_apply_steps(values, missing, steps) + means, columns=columns)
 
         return fill
 
     def transform(self, df: DataFrame) -> DataFrame:
         if self.fitted is None:
             raise RuntimeError("ChainedImputer must be fitted before calling transform().")
-        if not self.fitted:
+        if not self.steps:
             return df
-        fill = self._filler(self.steps, self.means)
+        # A new row starts at the means like the fitted ones, so it runs through the steps
+        # of all rounds: a fixed number of vector operations for a whole batch.
+        fill = self._filler()
         inputs = [nan_to_null(df, c).cast("double") for c in self.fitted]
         filled = df.withColumn("__filled", fill(*inputs))
         # Observed cells are kept as they are, not passed through the centring.

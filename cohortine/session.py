@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
@@ -66,13 +67,48 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()``, but the copy is columnar, so later
-    passes read only the columns they need. It survives lost executors.
+    passes read only the columns they need. It survives lost executors. The copy is
+    deleted by :func:`release`, at the latest when the driver's Python ends.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    copy = spark.read.schema(df.schema).parquet(path)
+    _TABLES[path] = spark
+    copy._materialised_at = path
+    return copy
+
+
+#: Folders written by :func:`materialise` that still exist, with their session.
+_TABLES: dict[str, SparkSession] = {}
+
+
+def release(*copies: DataFrame) -> None:
+    """Delete tables written by :func:`materialise` that nothing reads any more."""
+    for copy in copies:
+        path = getattr(copy, "_materialised_at", None)
+        if path in _TABLES:
+            _delete(_TABLES.pop(path), path)
+
+
+def release_all(spark: SparkSession) -> None:
+    """Delete every table this session has materialised; their readers must be done."""
+    for path in [path for path, owner in _TABLES.items() if owner is spark]:
+        _delete(_TABLES.pop(path), path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    for path, spark in list(_TABLES.items()):
+        if spark.sparkContext._jsc is not None:  # a stopped session cannot delete
+            release_all(spark)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

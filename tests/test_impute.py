@@ -84,14 +84,27 @@ def test_quantile_between_two_heavy_values(spark, monkeypatch):
     assert quantiles.exact_quantiles(df, ["x"], 0.5) == {"x": 1.5}
 
 
-def test_chained_moments_agree(panel, monkeypatch):
-    """The one-pass pattern moments give what one pass per regression gives."""
-    by_pattern = mice.ChainedImputer(columns=COLUMNS).fit(panel)
-    monkeypatch.setattr(mice, "MAX_PATTERN_COLUMNS", 0)
-    by_pass = mice.ChainedImputer(columns=COLUMNS, max_iter=by_pattern.rounds).fit(panel)
-    assert by_pattern.rounds == by_pass.rounds
-    left, right = values(by_pattern.transform(panel)), values(by_pass.transform(panel))
-    np.testing.assert_allclose(left, right, rtol=1e-6)
+@pytest.mark.parametrize("width", [3, 12, 13, 30])
+def test_chained_jobs_grow_with_columns(spark, width):
+    """One path for every width: as many jobs per round as incomplete columns, and one more."""
+    rng = np.random.default_rng(width)
+    base = rng.normal(size=(120, 2))
+    data = base @ rng.normal(size=(2, width)) + 0.1 * rng.normal(size=(120, width))
+    data[rng.random(data.shape) < 0.1] = np.nan
+    columns = [f"c{i}" for i in range(width)]
+    rows = [(i, *[None if v != v else float(v) for v in r]) for i, r in enumerate(data)]
+    schema = "id int, " + ", ".join(f"{c} double" for c in columns)
+    df = spark.createDataFrame(rows, schema)
+    context = spark.sparkContext
+    context.setJobGroup(f"width{width}", "")
+    imputer = mice.ChainedImputer(columns=columns, max_iter=2, tol=0.0).fit(df)
+    jobs = len(context.statusTracker().getJobIdsForGroup(f"width{width}"))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    # A regression is one query, of two jobs under adaptive execution.
+    assert jobs <= 2 * (2 * width + 4)
+    found = values(imputer.transform(df), columns)
+    assert not np.isnan(found).any()
+    np.testing.assert_array_equal(found[~np.isnan(data)], data[~np.isnan(data)])
 
 
 def test_chained_matches_row_by_row_regressions(panel):
