@@ -1,80 +1,267 @@
 """Cox proportional hazards regression.
 
-Each Newton step is one pass over the model table: weights are summed per
-distinct time, risk-set sums are running totals from the latest time down, and
-the partial likelihood's value, gradient and Hessian are added up over times.
-Only these p and p x p sums reach the driver.
+The rows are range-partitioned once, latest time first, and sorted. Each evaluation of
+the partial likelihood then takes two narrow passes over these partitions: the first
+sums the weights of each partition, the second adds up the likelihood with the totals of
+the partitions before it. No row is shuffled between Newton steps; only sums of p x p
+numbers per partition reach the driver.
+
+A time that spreads over several partitions (a hot day) is put together on the driver
+from each partition's sums: only the first and the last time of a partition can.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null, numeric_columns
 from ..session import materialise
 from .concordance import concordance
-from .scans import BLOCK, running_totals, with_blocks
-
-_TIE_CHUNK = 1_000_000
-
-
-def _tie_sums(risk: float, tied: float, deaths: int) -> np.ndarray:
-    """Efron sums over l = 0..d-1 with f = l/d and phi = risk - f * tied:
-    log(phi), 1/phi, f/phi, 1/phi^2, f/phi^2, f^2/phi^2."""
-    total = np.zeros(6)
-    for start in range(0, deaths, _TIE_CHUNK):
-        f = np.arange(start, min(start + _TIE_CHUNK, deaths)) / deaths
-        phi = risk - f * tied
-        total += [
-            np.log(phi).sum(),
-            (1 / phi).sum(),
-            (f / phi).sum(),
-            (1 / phi**2).sum(),
-            (f / phi**2).sum(),
-            (f**2 / phi**2).sum(),
-        ]
-    return total
-
-
-def _likelihood_parts(p: int):
-    """Per-partition sums of log-likelihood, gradient and Hessian over times."""
-    pairs = [(a, b) for a in range(p) for b in range(a + 1)]
-
-    def matrix(row, prefix: str) -> np.ndarray:
-        out = np.zeros((p, p))
-        for a, b in pairs:
-            out[a, b] = out[b, a] = getattr(row, f"{prefix}{a}_{b}")
+
+#: Parts that the rows of one time are dealt into, so that a hot time can be split.
+_SALTS = 16
+
+
+class _Shape:
+    """Places of the sums in one flat line: d, eta, x[p], then weight moments, tied, all."""
+
+    def __init__(self, p: int):
+        self.p = p
+        self.pairs = [(a, b) for a in range(p) for b in range(a + 1)]
+        self.moments = 1 + p + len(self.pairs)
+        self.width = 2 + p + 2 * self.moments
+
+    def lines(self, event: np.ndarray, z: np.ndarray, beta: np.ndarray) -> np.ndarray:
+        """The contribution of every row."""
+        eta = z @ beta
+        w = np.exp(eta)[:, None]
+        products = [z[:, a] * z[:, b] for a, b in self.pairs]
+        moments = w * np.column_stack([np.ones(len(z)), z, *products])
+        e = event[:, None]
+        return np.column_stack([event, event * eta, e * z, e * moments, moments])
+
+    def all_moments(self, lines: np.ndarray) -> np.ndarray:
+        return lines[..., -self.moments :]
+
+    def matrix(self, flat: np.ndarray) -> np.ndarray:
+        """Symmetric matrices from their lower triangles, one per line."""
+        out = np.zeros((*flat.shape[:-1], self.p, self.p))
+        for i, (a, b) in enumerate(self.pairs):
+            out[..., a, b] = out[..., b, a] = flat[..., i]
         return out
 
-    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        value, gradient, hessian = 0.0, np.zeros(p), np.zeros((p, p))
+    def likelihood(self, lines: np.ndarray, risk: np.ndarray) -> np.ndarray:
+        """Value, gradient and Hessian over times, from their sums and risk-set moments.
+
+        Efron's handling of ties: of d tied events, the l-th (from 0) meets the risk set
+        less l/d of the tied ones.
+        """
+        p = self.p
+        keep = lines[:, 0] > 0
+        lines, risk = lines[keep], risk[keep]
+        d = np.rint(lines[:, 0]).astype(np.int64)
+        tied = lines[:, 2 + p : 2 + p + self.moments]
+        at = np.repeat(np.arange(len(d)), d)
+        f = (np.arange(len(at)) - np.repeat(np.cumsum(d) - d, d)) / d[at]
+        phi = risk[at, 0] - f * tied[at, 0]
+
+        def per_time(values: np.ndarray) -> np.ndarray:
+            return np.bincount(at, weights=values, minlength=len(d))
+
+        c0, c1 = per_time(1 / phi), per_time(f / phi)
+        e0, e1, e2 = (per_time(f**k / phi**2) for k in range(3))
+        r1, t1 = risk[:, 1 : 1 + p], tied[:, 1 : 1 + p]
+        value = float(lines[:, 1].sum() - np.log(phi).sum())
+        gradient = (lines[:, 2 : 2 + p] - r1 * c0[:, None] + t1 * c1[:, None]).sum(axis=0)
+        r2, t2 = self.matrix(risk[:, 1 + p :]), self.matrix(tied[:, 1 + p :])
+        hessian = -np.tensordot(c0, r2, 1) + np.tensordot(c1, t2, 1)
+        cross = np.einsum("n,na,nb->ab", e1, r1, t1)
+        hessian += np.einsum("n,na,nb->ab", e0, r1, r1) - cross - cross.T
+        hessian += np.einsum("n,na,nb->ab", e2, t1, t1)
+        return np.concatenate([[value], gradient, [hessian[a, b] for a, b in self.pairs]])
+
+
+def _arrays(batch: pa.RecordBatch, p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    columns = [batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(2 + p)]
+    return columns[0], columns[1], np.column_stack(columns[2:])
+
+
+def _totals(base: DataFrame, beta: np.ndarray) -> dict[int, np.ndarray]:
+    """Weight moments of the rows of each partition."""
+    shape = _Shape(len(beta))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, rows = np.zeros(shape.moments), 0
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                d = int(row.d)
-                if d == 0:
-                    continue
-                log, c0, c1, e0, e1, e2 = _tie_sums(row.risk, row.tied, d)
-                r1 = np.array([getattr(row, f"risk{a}") for a in range(p)])
-                t1 = np.array([getattr(row, f"tied{a}") for a in range(p)])
-                x1 = np.array([getattr(row, f"x{a}") for a in range(p)])
-                value += row.eta - log
-                gradient += x1 - (r1 * c0 - t1 * c1)
-                cross = np.outer(r1, t1)
-                hessian -= matrix(row, "risk") * c0 - matrix(row, "tied") * c1
-                hessian += np.outer(r1, r1) * e0 - (cross + cross.T) * e1 + np.outer(t1, t1) * e2
-        flat = [value, *gradient, *[hessian[a, b] for a, b in pairs]]
-        yield pd.DataFrame([flat], columns=[f"v{i}" for i in range(len(flat))])
-
-    schema = ", ".join(f"v{i} double" for i in range(1 + p + len(pairs)))
-    return compute, schema, pairs
+            if batch.num_rows:
+                _, event, z = _arrays(batch, shape.p)
+                total += shape.all_moments(shape.lines(event, z, beta)).sum(axis=0)
+                rows += batch.num_rows
+        if rows:
+            part = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part]), pa.array([total], pa.list_(pa.float64()))], names=["part", "sums"]
+            )
+
+    rows = base.mapInArrow(run, "part long, sums array<double>").collect()
+    return {row["part"]: np.array(row["sums"]) for row in rows}
+
+
+def _grouped(
+    batches: Iterator[pa.RecordBatch], shape: _Shape, beta: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Times (falling) and their sums; a time's rows are added up over batches."""
+    open_time, open_line = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        time, event, z = _arrays(batch, shape.p)
+        starts = np.flatnonzero(np.append(True, time[1:] != time[:-1]))
+        lines = np.add.reduceat(shape.lines(event, z, beta), starts, axis=0)
+        times = time[starts]
+        if open_time is not None:
+            if open_time == times[0]:
+                lines[0] += open_line
+            else:
+                times = np.append(open_time, times)
+                lines = np.vstack([open_line, lines])
+        if len(times) > 1:
+            yield times[:-1], lines[:-1]
+        open_time, open_line = times[-1], lines[-1]
+    if open_time is not None:
+        yield np.array([open_time]), open_line[None, :]
+
+
+def _with_risk(
+    base: DataFrame, beta: np.ndarray, schema: str, inner, names: Sequence[str]
+) -> tuple[dict[int, np.ndarray], DataFrame]:
+    """Rows of ``inner(times, lines, risk)`` over the times inside each partition.
+
+    The first and the last time of a partition come out as rows of kind ``edge`` with
+    their sums and the moments of the partition's later times.
+    """
+    shape = _Shape(len(beta))
+    totals = _totals(base, beta)
+    parts = sorted(totals)
+    before = np.cumsum([np.zeros(shape.moments)] + [totals[k] for k in parts], axis=0)
+    carries = dict(zip(parts, before))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        later = np.zeros(shape.moments)
+        waiting = None  # a group is only known to be the last when no other follows
+        edges = []
+
+        def settle(times: np.ndarray, lines: np.ndarray, after: np.ndarray):
+            risk = carries[part] + after + shape.all_moments(lines)
+            return inner(times, lines, risk)
+
+        first = True
+        for times, lines in _grouped(batches, shape, beta):
+            sums = np.cumsum(shape.all_moments(lines), axis=0)
+            after = later + sums - shape.all_moments(lines)
+            later = later + sums[-1]
+            if waiting is not None:
+                yield settle(*waiting)
+                waiting = None
+            if first:
+                edges.append((times[0], lines[0], after[0]))
+                times, lines, after, first = times[1:], lines[1:], after[1:], False
+            if len(times) > 1:
+                yield settle(times[:-1], lines[:-1], after[:-1])
+            if len(times):
+                waiting = (times[-1:], lines[-1:], after[-1:])
+        if waiting is not None:
+            edges.append(tuple(w[0] for w in waiting))
+        if edges:
+            columns = [
+                pa.array([part] * len(edges)),
+                pa.array([t for t, _, _ in edges], pa.float64()),
+                pa.array([np.concatenate([line, after]) for _, line, after in edges], pa.list_(pa.float64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=list(names))
+
+    return carries, base.mapInArrow(run, schema)
+
+
+def _edges(shape: _Shape, carries: dict[int, np.ndarray], rows) -> tuple[np.ndarray, ...]:
+    """Times at partition edges, put together: times, sums, risk-set moments."""
+    by_time: dict[float, list] = {}
+    for row in sorted(rows, key=lambda r: r["part"]):
+        by_time.setdefault(row["time"], []).append((row["part"], np.array(row["sums"])))
+    times = sorted(by_time, reverse=True)
+    lines = np.zeros((len(times), shape.width))
+    risk = np.zeros((len(times), shape.moments))
+    for i, time in enumerate(times):
+        part, sums = by_time[time][0]
+        lines[i] = np.sum([s[: shape.width] for _, s in by_time[time]], axis=0)
+        risk[i] = carries[part] + sums[shape.width :] + shape.all_moments(lines[i])
+    return np.array(times), lines, risk
+
+
+_SUMS = "part long, time double, sums array<double>"
+
+
+def _evaluate(base: DataFrame, beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Log partial likelihood, gradient and Hessian at ``beta``."""
+    shape = _Shape(len(beta))
+
+    def inner(times, lines, risk) -> pa.RecordBatch:
+        sums = shape.likelihood(lines, risk)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([-1]), pa.array([0.0]), pa.array([sums], pa.list_(pa.float64()))],
+            names=["part", "time", "sums"],
+        )
+
+    carries, parts = _with_risk(base, beta, _SUMS, inner, ("part", "time", "sums"))
+    # Added up by place within each task first: one number per place and edge comes back.
+    edges = parts.where("part >= 0")
+    places = parts.where("part < 0").select(F.posexplode("sums").alias("place", "value"))
+    summed = places.groupBy("place").agg(F.sum("value").alias("value"))
+    total = np.zeros(1 + shape.p + len(shape.pairs))
+    for row in summed.collect():
+        total[row["place"]] += row["value"]
+    _, lines, risk = _edges(shape, carries, edges.collect())
+    if len(lines):
+        total += shape.likelihood(lines, risk)
+    hessian = shape.matrix(total[1 + shape.p :])
+    return float(total[0]), total[1 : 1 + shape.p], hessian
+
+
+def _hazard(base: DataFrame, beta: np.ndarray) -> DataFrame:
+    """Breslow step d / risk at every event time."""
+    shape = _Shape(len(beta))
+
+    def inner(times, lines, risk) -> pa.RecordBatch:
+        keep = lines[:, 0] > 0
+        steps = lines[keep, 0] / risk[keep, 0]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(keep.sum(), -1)),
+                pa.array(times[keep]),
+                pa.array([[x] for x in steps], pa.list_(pa.float64())),
+            ],
+            names=["part", "time", "sums"],
+        )
+
+    carries, parts = _with_risk(base, beta, _SUMS, inner, ("part", "time", "sums"))
+    inside = parts.where("part < 0").select("time", F.col("sums")[0].alias("hazard"))
+    times, lines, risk = _edges(shape, carries, parts.where("part >= 0").collect())
+    rows = [
+        (float(t), float(line[0] / r[0])) for t, line, r in zip(times, lines, risk) if line[0] > 0
+    ]
+    at_edges = base.sparkSession.createDataFrame(rows, "time double, hazard double")
+    return inside.unionAll(at_edges)
 
 
 @dataclass
@@ -90,6 +277,9 @@ class CoxModel:
     concordance: float
     n_rows: int
     hazard: DataFrame  # time, hazard: Breslow steps at event times
+    converged: bool
+    steps: int
+    gradient: float  # largest element of the penalised gradient at the coefficients
     level: float = 0.95
 
     def summary(self, spark) -> DataFrame:
@@ -107,10 +297,12 @@ class CoxModel:
         )
 
     def fit_statistics(self, spark) -> DataFrame:
-        """One row: concordance index, AIC, partial log-likelihood, rows used."""
+        """One row: concordance index, AIC, log-likelihood, rows used, and how the fit ended."""
         row = (float(self.concordance), float(self.aic), float(self.log_likelihood), self.n_rows)
         return spark.createDataFrame(
-            [row], "concordance double, aic double, log_likelihood double, n_rows long"
+            [(*row, self.converged, self.steps, self.gradient)],
+            "concordance double, aic double, log_likelihood double, n_rows long, "
+            "converged boolean, steps int, gradient double",
         )
 
     def with_risk(self, df: DataFrame, name: str = "partial_hazard") -> DataFrame:
@@ -121,22 +313,15 @@ class CoxModel:
         return df.withColumn(name, F.exp(eta))
 
     def predict_survival(
-        self, df: DataFrame, times: Sequence[float] | None = None, id_col: str = "USUBJID"
+        self, df: DataFrame, times: Sequence[float], id_col: str = "USUBJID"
     ) -> DataFrame:
-        """Survival probability per (subject, time), long form.
+        """Survival probability per (subject, time), long form, at the few times given.
 
-        ``times`` are few and given by the caller; None asks for every event time
-        of the fitted data.
+        The whole curve of a subject is exp(-partial hazard * cumulative hazard): join
+        :meth:`with_risk` with the running total of ``hazard`` for the subjects wanted.
         """
         risks = self.with_risk(df).select(id_col, "partial_hazard")
         survival = F.exp(-F.col("cumulative_hazard") * F.col("partial_hazard"))
-        if times is None:
-            blocked = with_blocks(self.hazard, "time")
-            curve = running_totals(blocked, [], "time", {"cumulative_hazard": "hazard"})
-            last = int(blocked.agg(F.max(BLOCK)).first()[0] or 0)
-            # Each subject meets the curve block by block.
-            risks = risks.withColumn(BLOCK, F.explode(F.sequence(F.lit(0), F.lit(last))))
-            return risks.join(curve, BLOCK).select(id_col, "time", survival.alias("survival"))
         sums = self.hazard.agg(
             *[
                 F.coalesce(F.sum(F.when(F.col("time") <= t, F.col("hazard"))), F.lit(0.0)).alias(f"h{i}")
@@ -157,42 +342,67 @@ class CoxModel:
         )
 
 
-def _time_rows(base: DataFrame, beta: np.ndarray) -> DataFrame:
-    """Sums per distinct time with risk-set totals, for one coefficient vector."""
-    p = len(beta)
-    eta = " + ".join(f"{float(b)!r}D * z{a}" for a, b in enumerate(beta))
-    moments = {"": "w"}
-    moments |= {f"{a}": f"w * z{a}" for a in range(p)}
-    moments |= {f"{a}_{b}": f"w * z{a} * z{b}" for a in range(p) for b in range(a + 1)}
-    weighted = base.selectExpr("*", f"{eta} AS eta").selectExpr("*", "exp(eta) AS w")
-    rows = weighted.groupBy(BLOCK, "time").agg(
-        *[
-            F.expr(text)
-            for text in (
-                "sum(event) AS d",
-                "sum(event * eta) AS eta",
-                *[f"sum(event * z{a}) AS x{a}" for a in range(p)],
-                *[f"sum({m}) AS all{k}" for k, m in moments.items()],
-                *[f"sum(event * {m}) AS tied{k}" for k, m in moments.items()],
-            )
-        ]
+def _ordered(complete: DataFrame) -> DataFrame:
+    """Rows in range partitions of falling time, kept for the passes of the fit.
+
+    Kept partitions that are lost are computed again from the materialised rows.
+    """
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS))
+    return (
+        complete.withColumn("__salt", salt)
+        .repartitionByRange(F.desc("time"), F.desc("__salt"))
+        .sortWithinPartitions(F.desc("time"), F.desc("__salt"))
+        .drop("__salt")
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    return running_totals(
-        rows, [], "time", {f"risk{k}": f"all{k}" for k in moments}, descending=True
-    ).where(F.col("d") > 0)
 
 
-def _evaluate(base: DataFrame, beta: np.ndarray):
-    p = len(beta)
-    compute, schema, pairs = _likelihood_parts(p)
-    rows = _time_rows(base, beta).drop(*[c for c in ("time", BLOCK)])
-    parts = rows.mapInPandas(compute, schema)
-    total = parts.agg(*[F.sum(c).alias(c) for c in parts.columns]).first()
-    values = [v or 0.0 for v in total]
-    hessian = np.zeros((p, p))
-    for i, (a, b) in enumerate(pairs):
-        hessian[a, b] = hessian[b, a] = values[1 + p + i]
-    return values[0], np.array(values[1 : 1 + p]), hessian
+def cox_components(
+    df: DataFrame,
+    coefficients: dict[str, float],
+    duration: str = "AVAL",
+    censor: str = "CNSR",
+) -> DataFrame:
+    """Log partial likelihood, gradient and Hessian at fixed coefficients.
+
+    One row per number: ``term`` (``loglik``, ``g:a``, ``h:a:b``) and ``value``, for the
+    covariates as they are, neither centred nor scaled.
+    """
+    names = list(coefficients)
+    base = _ordered(materialise(_complete(df, names, duration, censor)))
+    value, gradient, hessian = _evaluate(base, np.array(list(coefficients.values()), dtype=float))
+    base.unpersist()
+    rows = [("loglik", value)]
+    rows += [(f"g:{a}", float(g)) for a, g in zip(names, gradient)]
+    rows += [
+        (f"h:{a}:{b}", float(hessian[i, j]))
+        for i, a in enumerate(names)
+        for j, b in enumerate(names)
+        if j <= i
+    ]
+    return df.sparkSession.createDataFrame(rows, "term string, value double")
+
+
+def cox_hazard(
+    df: DataFrame,
+    coefficients: dict[str, float],
+    duration: str = "AVAL",
+    censor: str = "CNSR",
+) -> DataFrame:
+    """Breslow hazard steps (``time``, ``hazard``) at fixed coefficients."""
+    base = _ordered(materialise(_complete(df, list(coefficients), duration, censor)))
+    hazard = materialise(_hazard(base, np.array(list(coefficients.values()), dtype=float)))
+    base.unpersist()
+    return hazard
+
+
+def _complete(df: DataFrame, covariates: Sequence[str], duration: str, censor: str) -> DataFrame:
+    """``time``, ``event`` and covariates ``z0``, ``z1``, ... of the complete rows."""
+    return df.select(
+        nan_to_null(df, duration).cast("double").alias("time"),
+        (1 - F.col(censor)).cast("int").alias("event"),
+        *[nan_to_null(df, c).cast("double").alias(f"z{a}") for a, c in enumerate(covariates)],
+    ).na.drop()
 
 
 def fit_cox(
@@ -216,12 +426,7 @@ def fit_cox(
     p = len(covariates)
     if p == 0:
         raise ValueError("fit_cox needs at least one covariate")
-    complete = df.select(
-        nan_to_null(df, duration).cast("double").alias("time"),
-        (1 - F.col(censor)).cast("int").alias("event"),
-        *[nan_to_null(df, c).cast("double").alias(f"z{a}") for a, c in enumerate(covariates)],
-    ).na.drop()
-    complete = materialise(complete)
+    complete = materialise(_complete(df, covariates, duration, censor))
     row = complete.agg(
         F.count(F.lit(1)).alias("n"),
         *[F.avg(f"z{a}").alias(f"m{a}") for a in range(p)],
@@ -233,16 +438,19 @@ def fit_cox(
     centred = complete.withColumns(
         {f"z{a}": (F.col(f"z{a}") - float(means[a])) / float(spreads[a]) for a in range(p)}
     )
-    base = with_blocks(centred, "time")
+    base = _ordered(centred)
 
     beta = np.zeros(p)
     value, gradient, hessian = _evaluate(base, beta)
-    for _ in range(max_iter):
+    converged = False
+    for steps in range(max_iter + 1):
         penalised_gradient = gradient - n * penalizer * beta
         curvature = hessian - n * penalizer * np.eye(p)
         step = np.linalg.lstsq(-curvature, penalised_gradient, rcond=None)[0]
-        decrement = float(penalised_gradient @ step)
-        if decrement / 2 < tol:
+        if float(penalised_gradient @ step) / 2 < tol:
+            converged = True
+            break
+        if steps == max_iter:
             break
         objective = value - n * penalizer / 2 * beta @ beta
         for _ in range(20):
@@ -251,18 +459,19 @@ def fit_cox(
             if outcome[0] - n * penalizer / 2 * trial @ trial >= objective - 1e-9 * abs(objective):
                 break
             step = step / 2
+        else:
+            break  # no step improves the objective: stay where the fit is best
         beta, (value, gradient, hessian) = trial, outcome
-    curvature = hessian - n * penalizer * np.eye(p)
+    if not converged:
+        warnings.warn(f"the Cox fit has not converged after {steps} steps", stacklevel=2)
     variance = np.linalg.pinv(-curvature)
-
-    hazard = materialise(
-        _time_rows(base, beta).select("time", (F.col("d") / F.col("risk")).alias("hazard"))
-    )
+    hazard = materialise(_hazard(base, beta))
     score = F.lit(0.0)
     for a in range(p):
         score = score + float(beta[a]) * F.col(f"z{a}")
     ranked = base.select("time", (1 - F.col("event")).alias("CNSR"), score.alias("score"))
     index = concordance(ranked, "score", "time", "CNSR").first()["concordance"]
+    base.unpersist()
     return CoxModel(
         covariates,
         beta / spreads,
@@ -273,4 +482,7 @@ def fit_cox(
         float("nan") if index is None else index,
         n,
         hazard,
+        converged,
+        steps,
+        float(np.abs(penalised_gradient).max()),
     )

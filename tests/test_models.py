@@ -148,18 +148,85 @@ def test_cox_survival(sample):
     times = [1.0, 7.0, 30.0]
     few = model.predict_survival(sample, times)
     assert few.count() == 600
-    every = model.predict_survival(sample)
+    risks = {r.USUBJID: r.partial_hazard for r in model.with_risk(sample).collect()}
+    steps = [(r.time, r.hazard) for r in model.hazard.collect()]
     events = sample.where("CNSR = 0").select("AVAL").distinct().count()
-    assert every.count() == 200 * events
-    joined = few.join(every.withColumnRenamed("survival", "other"), ["USUBJID", "time"]).collect()
-    assert joined and all(r.survival == pytest.approx(r.other) for r in joined)
-    assert all(0 <= r.survival <= 1 for r in few.collect())
-
-
-def test_tie_sums_in_chunks(monkeypatch):
-    whole = cox._tie_sums(10.0, 4.0, 25)
-    monkeypatch.setattr(cox, "_TIE_CHUNK", 7)
-    np.testing.assert_allclose(cox._tie_sums(10.0, 4.0, 25), whole)
+    assert len(steps) == len({t for t, _ in steps}) == events
+    for r in few.collect():
+        total = sum(h for t, h in steps if t <= r.time)
+        assert r.survival == pytest.approx(math.exp(-total * risks[r.USUBJID]))
+
+
+def brute_cox(rows, beta):
+    """Value, gradient and Hessian by direct sums, by differences of the value."""
+
+    def value(b):
+        total = 0.0
+        for t in {r[0] for r in rows if r[1]}:
+            risk = sum(math.exp(np.dot(b, r[2])) for r in rows if r[0] >= t)
+            tied = [r for r in rows if r[0] == t and r[1]]
+            dead = sum(math.exp(np.dot(b, r[2])) for r in tied)
+            total += sum(np.dot(b, r[2]) for r in tied)
+            total -= sum(math.log(risk - k / len(tied) * dead) for k in range(len(tied)))
+        return total
+
+    h, eye = 1e-4, np.eye(len(beta))
+    gradient = [(value(beta + h * e) - value(beta - h * e)) / (2 * h) for e in eye]
+    hessian = [
+        [
+            sum(sa * sb * value(beta + h * (sa * a + sb * b)) for sa in (1, -1) for sb in (1, -1))
+            / (4 * h * h)
+            for b in eye
+        ]
+        for a in eye
+    ]
+    return value(beta), np.array(gradient), np.array(hessian)
+
+
+@pytest.mark.parametrize("times", ["spread", "tied", "hot", "one"])
+def test_cox_sums_over_partitions(spark, times):
+    """A time that lies in several partitions gives the same sums as in one."""
+    rng = np.random.default_rng(11)
+    time = {
+        "spread": rng.permutation(90).astype(float),
+        "tied": rng.integers(1, 6, 90).astype(float),
+        "hot": np.where(np.arange(90) < 60, 3.0, rng.integers(1, 6, 90)).astype(float),
+        "one": np.full(90, 2.0),
+    }[times]
+    rows = [(float(t), int(rng.random() < 0.6), rng.normal(size=2)) for t in time]
+    df = spark.createDataFrame(
+        [(t, 1 - e, float(z[0]), float(z[1])) for t, e, z in rows],
+        "AVAL double, CNSR int, a double, b double",
+    ).repartition(7)
+    beta = np.array([0.3, -0.2])
+    value, gradient, hessian = brute_cox(rows, beta)
+    got = {r.term: r.value for r in cox.cox_components(df, {"a": 0.3, "b": -0.2}).collect()}
+    assert got["loglik"] == pytest.approx(value)
+    np.testing.assert_allclose([got["g:a"], got["g:b"]], gradient, atol=1e-4)
+    np.testing.assert_allclose(got["h:b:a"], hessian[1][0], atol=1e-2)
+    np.testing.assert_allclose([got["h:a:a"], got["h:b:b"]], np.diag(hessian), atol=1e-2)
+    hazard = {r.time: r.hazard for r in cox.cox_hazard(df, {"a": 0.3, "b": -0.2}).collect()}
+    for t in {r[0] for r in rows if r[1]}:
+        risk = sum(math.exp(beta @ r[2]) for r in rows if r[0] >= t)
+        assert hazard.pop(t) == pytest.approx(sum(r[1] for r in rows if r[0] == t) / risk)
+    assert not hazard
+
+
+def test_cox_evaluation_moves_no_rows(spark, sample):
+    base = cox._ordered(sample.selectExpr("AVAL AS time", "1 - CNSR AS event", "z0"))
+    base.count()
+    _, parts = cox._with_risk(base, np.array([0.1]), cox._SUMS, None, ("part", "time", "sums"))
+    plan = parts._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    assert "Exchange" not in plan and plan.count("InMemoryTableScan") == 1
+    base.unpersist()
+
+
+def test_cox_reports_how_it_ended(sample):
+    model = cox.fit_cox(sample, ["z0", "z1"])
+    assert model.converged and model.gradient < 1e-2
+    with pytest.warns(UserWarning, match="not converged"):
+        stopped = cox.fit_cox(sample, ["z0", "z1"], max_iter=0)
+    assert not stopped.converged and stopped.steps == 0
 
 
 @pytest.mark.parametrize("digits", [0, 3])
