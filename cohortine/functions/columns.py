@@ -12,8 +12,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Accepted date spellings, tried in this order after ISO ``yyyy-MM-dd[ time]``.
-DATE_FORMATS = ("MM/dd/yyyy", "yyyyMMdd", "yyyy/MM/dd", "dd-MMM-yyyy", "dd MMM yyyy")
+# Accepted spellings of text that is not ISO, tried in this order.
+DATE_FORMATS = (
+    "M/d/yyyy[ H:mm[:ss]]",
+    "d-MMM-yyyy[ H:mm[:ss]]",
+    "dMMMyyyy[ H:mm[:ss]]",
+    "d MMM yyyy[ H:mm[:ss]]",
+    "MMMM d, yyyy[ H:mm[:ss]]",
+    "MMM d, yyyy[ H:mm[:ss]]",
+    "yyyyMMdd",
+    "yyyy/M/d[ H:mm[:ss]]",
+)
+# Whole text in ISO form; the cast alone would also take a date before other words.
+_ISO = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?)?$"
 
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
@@ -56,14 +67,24 @@ def number_or_null(df: DataFrame, name: str) -> Column:
     return F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double"))
 
 
-def date_or_null(df: DataFrame, name: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Date value of a column; text that is no date becomes NULL."""
+def moment_or_null(df: DataFrame, name: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """Timestamp (without zone) of a column; text that is no date becomes NULL.
+
+    A date without a time part is its midnight. A format may end in an optional time,
+    and text in ISO form may have one.
+    """
     dtype = _type(df, name)
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.col(name).cast("date")
+        return F.col(name).cast("timestamp_ntz")
     text = f"trim(string(`{name}`))"
-    attempts = [f"try_to_date({text}, '{f}')" for f in formats]
-    return F.expr(f"coalesce({', '.join([f'try_to_date({text})', *attempts])})")
+    iso = f"CASE WHEN {text} RLIKE '{_ISO}' THEN try_cast({text} AS timestamp_ntz) END"
+    others = [f"try_to_timestamp({text}, '{f}')::timestamp_ntz" for f in formats]
+    return F.expr(f"coalesce({', '.join([iso, *others])})")
+
+
+def date_or_null(df: DataFrame, name: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """Date value of a column; text that is no date becomes NULL."""
+    return moment_or_null(df, name, formats).cast("date")
 
 
 def iso_date(df: DataFrame, name: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
@@ -106,7 +127,7 @@ def day_diff(end: Column, start: Column) -> Column:
 
 
 def elapsed_days(end: Column, start: Column) -> Column:
-    """Whole elapsed days between two timestamps (not midnights passed)."""
+    """Whole elapsed days between two timestamps, rounded down (not midnights passed)."""
     seconds = F.unix_timestamp(end.cast("timestamp")) - F.unix_timestamp(start.cast("timestamp"))
     return F.floor(seconds / 86400).cast("bigint")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codelists import BASELINE_VISITS, SEVERITY_GRADES
-from ..functions.columns import date_or_null, day_diff, require_columns
+from ..functions.columns import date_or_null, elapsed_days, moment_or_null, require_columns
 from .numbering import number_rows
 
 _SUBJECT_KEYS = ("USUBJID", "TRTSDT", "TRT01A", "TRT01AN")
@@ -31,7 +31,7 @@ def subject_level(dm: DataFrame) -> DataFrame:
             .when((age > 74) & (age <= 999), old)
         )
 
-    start = date_or_null(dm, "RFSTDTC")
+    start = moment_or_null(dm, "RFSTDTC")
     return dm.withColumns(
         {
             "TRT01P": F.col("ARM"),
@@ -40,7 +40,7 @@ def subject_level(dm: DataFrame) -> DataFrame:
             "TRT01AN": arm_number,
             "AGEGR1": by_age("<65", "65-74", ">=75"),
             "AGEGR1N": by_age(1, 2, 3),
-            "TRTSDT": start,
+            "TRTSDT": start.cast("date"),
             "TRTSDTM": start,
             "ITTFL": F.lit("Y"),
             "SAFFL": F.lit("Y"),
@@ -50,6 +50,11 @@ def subject_level(dm: DataFrame) -> DataFrame:
     )
 
 
+def _start_moment(adsl: DataFrame) -> Column:
+    """Treatment start with its time of day, where the dataset has one."""
+    return moment_or_null(adsl, "TRTSDTM" if "TRTSDTM" in adsl.columns else "TRTSDT")
+
+
 def adverse_event_analysis(
     ae: DataFrame,
     adsl: DataFrame,
@@ -61,7 +66,11 @@ def adverse_event_analysis(
     Every event stays, also one whose subject is unknown. ``order_by`` names the
     columns that order the records uniquely (normally AESEQ); with it the
     dataset-wide ASEQ is added. For a whole numbered domain and one ADSL row per
-    subject, ASEQ equals AESEQ: ``reuse_sequence`` copies it and saves a shuffle.
+    subject, ASEQ equals AESEQ: ``reuse_sequence`` copies it and saves a shuffle; a
+    subject with two ADSL rows is then an error.
+
+    An event is emergent from the moment of the first dose on, with times of day where
+    the dates have them; the study day counts whole elapsed days.
     """
     require_columns(ae, ("USUBJID", "AESTDTC", "AEENDTC", "AESEV", "AESER", "AEREL"), "ADAE")
     require_columns(adsl, (*_SUBJECT_KEYS, "SAFFL"), "ADAE")
@@ -69,17 +78,22 @@ def adverse_event_analysis(
     for severity, number in SEVERITY_GRADES.items():
         grade = F.when(F.col("AESEV") == severity, number).otherwise(grade)
 
-    joined = ae.join(adsl.select(*_SUBJECT_KEYS, "SAFFL"), "USUBJID", "left")
-    start = date_or_null(ae, "AESTDTC")
+    if reuse_sequence:
+        twice = adsl.groupBy("USUBJID").count().where(F.col("count") > 1)
+        if not twice.isEmpty():
+            raise ValueError("reuse_sequence needs one ADSL row per subject")
+    subjects = adsl.select(*_SUBJECT_KEYS, "SAFFL", _start_moment(adsl).alias("__start"))
+    joined = ae.join(subjects, "USUBJID", "left")
+    start = moment_or_null(ae, "AESTDTC")
     derived = joined.select(
         *ae.columns,
         *[c for c in (*_SUBJECT_KEYS, "SAFFL") if c != "USUBJID"],
         F.col("TRT01A").alias("TRTA"),
         F.col("TRT01AN").alias("TRTAN"),
-        start.alias("ASTDT"),
+        start.cast("date").alias("ASTDT"),
         date_or_null(ae, "AEENDTC").alias("AENDT"),
-        (day_diff(start, F.col("TRTSDT")) + 1).alias("AESTDY"),
-        F.when(start >= F.col("TRTSDT"), "Y").otherwise("").alias("TRTEMFL"),
+        (elapsed_days(start, F.col("__start")) + 1).alias("AESTDY"),
+        F.when(start >= F.col("__start"), "Y").otherwise("").alias("TRTEMFL"),
         grade.alias("ATOXGR"),
         F.when(F.col("AEREL") == "Y", "RELATED").otherwise("NOT RELATED").alias("AREL"),
         F.when(F.col("AESER") == "Y", "Y").otherwise("N").alias("ASER"),
@@ -98,15 +112,15 @@ def _time_to_event(
     censor_date: Column,
     description: Column,
 ) -> DataFrame:
-    date = F.coalesce(event_date, censor_date)
+    moment = F.coalesce(event_date, censor_date)
     return joined.select(
         *_SUBJECT_KEYS,
         *carried,
         F.lit(param).alias("PARAM"),
         F.lit(code).alias("PARAMCD"),
         F.when(event_date.isNotNull(), 0).otherwise(1).alias("CNSR"),
-        date.alias("ADT"),
-        day_diff(date, F.col("TRTSDT")).alias("AVAL"),
+        moment.cast("date").alias("ADT"),
+        elapsed_days(moment, F.col("__start")).alias("AVAL"),
         F.lit("DAYS").alias("AVALU"),
         description.alias("EVNTDESC"),
         F.col("TRT01A").alias("TRTA"),
@@ -119,15 +133,16 @@ def overall_survival(adsl: DataFrame, events: DataFrame) -> DataFrame:
     carried = ("death_date", "last_contact_date")
     require_columns(adsl, _SUBJECT_KEYS, "ADTTE")
     require_columns(events, ("USUBJID", *carried), "ADTTE")
-    joined = adsl.select(*_SUBJECT_KEYS).join(events.select("USUBJID", *carried), "USUBJID", "left")
-    death = date_or_null(events, "death_date")
+    subjects = adsl.select(*_SUBJECT_KEYS, _start_moment(adsl).alias("__start"))
+    joined = subjects.join(events.select("USUBJID", *carried), "USUBJID", "left")
+    death = moment_or_null(events, "death_date")
     return _time_to_event(
         joined,
         carried,
         "Overall Survival",
         "OS",
         death,
-        date_or_null(events, "last_contact_date"),
+        moment_or_null(events, "last_contact_date"),
         F.when(death.isNotNull(), "DEATH").otherwise("CENSORED"),
     )
 
@@ -143,9 +158,10 @@ def progression_free_survival(
     dates = ("progression_date", "death_date", "last_assessment_date")
     require_columns(adsl, _SUBJECT_KEYS, "ADTTE")
     require_columns(response, ("USUBJID", *dates), "ADTTE")
-    joined = adsl.select(*_SUBJECT_KEYS).join(response, "USUBJID", "left")
-    progression = date_or_null(response, "progression_date")
-    death = date_or_null(response, "death_date")
+    subjects = adsl.select(*_SUBJECT_KEYS, _start_moment(adsl).alias("__start"))
+    joined = subjects.join(response, "USUBJID", "left")
+    progression = moment_or_null(response, "progression_date")
+    death = moment_or_null(response, "death_date")
     if earliest:
         event = F.least(progression, death)
         progressed = progression == event
@@ -158,7 +174,7 @@ def progression_free_survival(
         "Progression-Free Survival",
         "PFS",
         event,
-        date_or_null(response, "last_assessment_date"),
+        moment_or_null(response, "last_assessment_date"),
         F.when(progressed, "PROGRESSION").when(death.isNotNull(), "DEATH").otherwise("CENSORED"),
     )
 

@@ -27,24 +27,26 @@ _CTE = {
                CASE WHEN c_custkey % 2 = 0 THEN 'DRUG_X' ELSE 'PLACEBO' END AS ARMCD,
                CASE WHEN c_custkey % 2 = 0 THEN 'Drug X' ELSE 'Placebo' END AS ARM,
                strftime(day + 173, '%Y-%m-%d') AS RFICDTC,
-               strftime(day + 180, '%Y-%m-%d') AS RFSTDTC
+               CASE WHEN c_custkey % 110 = 6 THEN NULL
+                    ELSE strftime(day + 180, '%Y-%m-%d') END AS RFSTDTC
         FROM customer LEFT JOIN first_order ON c_custkey = o_custkey""",
     "adsl": """
         SELECT dm.*, ARM AS TRT01P, CASE ARM WHEN 'Drug X' THEN 1 ELSE 2 END AS TRT01PN,
                ARM AS TRT01A, CASE ARM WHEN 'Drug X' THEN 1 ELSE 2 END AS TRT01AN,
                CASE WHEN AGE <= 64 THEN '<65' WHEN AGE <= 74 THEN '65-74' ELSE '>=75' END AS AGEGR1,
                CASE WHEN AGE <= 64 THEN 1 WHEN AGE <= 74 THEN 2 ELSE 3 END AS AGEGR1N,
-               CAST(RFSTDTC AS DATE) AS TRTSDT, CAST(RFSTDTC AS DATE) AS TRTSDTM,
+               CAST(RFSTDTC AS DATE) AS TRTSDT, CAST(RFSTDTC AS TIMESTAMP) AS TRTSDTM,
                'Y' AS ITTFL, 'Y' AS SAFFL, 'Y' AS PPROTFL, 'Y' AS EVALFL
         FROM dm""",
     "lines": """
-        SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        JOIN part ON l_partkey = p_partkey JOIN customer ON o_custkey = c_custkey""",
+        SELECT * FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+        LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN customer ON o_custkey = c_custkey""",
     "ae": f"""
         SELECT 'STUDY-01' AS STUDYID, 'AE' AS DOMAIN,
                {_USUBJID.format(key='o_custkey')} AS USUBJID,
                upper(p_name) AS AETERM, upper(p_brand) AS AEDECOD, upper(p_type) AS AEBODSYS,
-               strftime(l_shipdate, '%Y-%m-%d') AS AESTDTC,
+               CASE WHEN l_partkey % 110 = 6 THEN NULL
+                    ELSE strftime(l_shipdate, '%Y-%m-%d') END AS AESTDTC,
                strftime(CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER), '%Y-%m-%d') AS AEENDTC,
                CASE l_linenumber WHEN 1 THEN 'MILD' WHEN 2 THEN 'MODERATE' WHEN 3 THEN 'SEVERE'
                     WHEN 4 THEN 'LIFE-THREATENING' WHEN 5 THEN 'FATAL' ELSE 'UNKNOWN' END AS AESEV,

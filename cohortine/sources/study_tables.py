@@ -32,6 +32,22 @@ SCHEMAS = {
 }
 
 
+def _collected(date: str, key: str) -> str:
+    """SQL text of a date as collection systems write it: mostly ISO, now and then not.
+
+    One row in 110 gets text that is no date.
+    """
+    return (
+        f"CASE WHEN {key} % 110 = 6 THEN string({date}) || ' or later' ELSE CASE {key} % 11 "
+        f"WHEN 1 THEN date_format({date}, 'M/d/yyyy') "
+        f"WHEN 2 THEN upper(date_format({date}, 'ddMMMyyyy')) "
+        f"WHEN 3 THEN date_format({date}, 'd-MMM-yyyy') "
+        f"WHEN 4 THEN date_format({date}, 'MMMM d, yyyy') "
+        f"WHEN 5 THEN date_format({date}, 'MM/dd/yyyy') || ' 10:30' "
+        f"ELSE string({date}) END END"
+    )
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
@@ -56,7 +72,7 @@ def raw_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_mktsegment AS race",
         "CASE WHEN c_custkey % 2 = 0 THEN 'Drug X' ELSE 'Placebo' END AS arm",
         "string(date(first_order) + 173) AS informed_consent_date",
-        "string(date(first_order) + 180) AS randomization_date",
+        f"{_collected('(date(first_order) + 180)', 'c_custkey')} AS randomization_date",
     )
 
 
@@ -73,9 +89,9 @@ def _line_events(spark: SparkSession, sf_dir: str, returned: bool) -> DataFrame:
     sites = _sites(spark, sf_dir)
     return (
         spread(lines.where(is_returned if returned else ~is_returned), *LINE_KEYS)
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(sites, F.col("o_custkey") == F.col("c_custkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+        .join(sites, F.col("o_custkey") == F.col("c_custkey"), "left")
     )
 
 
@@ -86,7 +102,7 @@ def raw_adverse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_name AS ae_term",
         "p_brand AS ae_decoded_term",
         "p_type AS ae_body_system",
-        "string(date(l_shipdate)) AS ae_start_date",
+        f"{_collected('date(l_shipdate)', 'l_partkey')} AS ae_start_date",
         "string(date_add(date(l_shipdate), int(l_quantity))) AS ae_end_date",
         "CASE l_linenumber WHEN 1 THEN '1' WHEN 2 THEN 'Grade 2' WHEN 3 THEN 'Severe'"
         " WHEN 4 THEN '4' WHEN 5 THEN 'fatal' WHEN 6 THEN 'Grade 4' END AS ae_severity",

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from cohortine.functions import columns
 from cohortine.operators import adam
 
 
@@ -113,3 +114,55 @@ def test_laboratory_analysis(spark, adsl):
     assert [r.CHG for r in found] == [None, 0.0, -2.0, 5.0, 0.0, 3.0, None, None]
     assert [r.PCHG for r in found] == [None, 0.0, -20.0, 50.0, None, None, None, None]
     assert found[0].AVALU == ""
+
+
+def test_spellings_of_dates(spark):
+    good = (
+        "1/5/2024", "01/05/2024", "05JAN2024", "5-Jan-2024", "January 5, 2024", "Jan 5, 2024",
+        "01/05/2024 10:30", "2024-01-05", "2024-01-05T08:00", "2024-01-05 08:00:01.5", "20240105",
+        "2024/01/05", "05 Jan 2024", " 2024-01-05 ",
+    )
+    bad = ("2024-01-05 garbage", "2024-13-01", "", "13/13/2024", "5 of May", None)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(good + bad)], "i int, t string")
+    got = df.select("i", columns.date_or_null(df, "t").alias("d")).orderBy("i").collect()
+    assert [str(r.d) for r in got] == ["2024-01-05"] * len(good) + ["None"] * len(bad)
+    moments = df.select("i", columns.moment_or_null(df, "t").cast("string").alias("m"))
+    assert {r.m for r in moments.collect() if r.i in (6, 9)} == {
+        "2024-01-05 10:30:00", "2024-01-05 08:00:01.5",
+    }
+
+
+def test_times_of_day_decide_emergence(spark):
+    adsl = adam.subject_level(
+        spark.createDataFrame(
+            [("s", 50, "F", "Drug", "2024-01-05T10:30")],
+            "USUBJID string, AGE int, SEX string, ARM string, RFSTDTC string",
+        )
+    )
+    row = adsl.first()
+    assert str(row.TRTSDT) == "2024-01-05" and str(row.TRTSDTM) == "2024-01-05 10:30:00"
+    starts = ("2024-01-05T09:00", "2024-01-05T11:00", "2024-01-06T10:00", "2024-01-06T10:30")
+    ae = spark.createDataFrame(
+        [("s", t, None, "MILD", "N", "N") for t in starts],
+        "USUBJID string, AESTDTC string, AEENDTC string, AESEV string, AESER string, AEREL string",
+    )
+    got = adam.adverse_event_analysis(ae, adsl).orderBy("AESTDTC").collect()
+    assert [(r.TRTEMFL, r.AESTDY) for r in got] == [("", 0), ("Y", 1), ("Y", 1), ("Y", 2)]
+    events = spark.createDataFrame(
+        [("s", "2024-01-08T10:00", None)],
+        "USUBJID string, death_date string, last_contact_date string",
+    )
+    assert adam.overall_survival(adsl, events).first().AVAL == 2
+
+
+def test_reused_sequence_needs_unique_subjects(spark):
+    adsl = spark.createDataFrame(
+        [("s", "Drug", 1, "Y")] * 2, "USUBJID string, TRT01A string, TRT01AN int, SAFFL string"
+    ).withColumn("TRTSDT", F.lit("2024-01-01").cast("date"))
+    ae = spark.createDataFrame(
+        [("s", "2024-01-02", None, "MILD", "N", "N", 1)],
+        "USUBJID string, AESTDTC string, AEENDTC string, AESEV string, AESER string, "
+        "AEREL string, AESEQ long",
+    )
+    with pytest.raises(ValueError, match="one ADSL row"):
+        adam.adverse_event_analysis(ae, adsl, reuse_sequence=True)
