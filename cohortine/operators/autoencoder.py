@@ -1,23 +1,31 @@
 """Data-parallel training of a small denoising autoencoder.
 
-Each epoch is one Spark job: every task computes the summed gradient of its rows
-for the broadcast weights, the sums are combined in a tree, and the driver takes
-one Adam step. Full-batch gradients make the result independent of how the rows
-are partitioned. There is no batch normalisation or dropout.
+Rows are dealt once into a fixed number of replicas by a hash of their key, and kept
+sorted by it. In an epoch every replica starts from the same broadcast weights and takes
+Adam steps over its own mini-batches; the weights and moments are then averaged by
+rows, and combined in a tree before they reach the driver. One epoch is one Spark job
+but many updates. The result depends on the number of replicas, which is a parameter,
+and not on how the rows or the work are partitioned.
+
+There is no batch normalisation or dropout: the inputs are standardised, and the noise or
+masking of the inputs already keeps the network from copying them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_PARTIAL = "gradient binary, train_loss double, train_n long, hold_loss double, hold_n long"
+_PARTIAL = "state binary, train_n long, steps long, hold_loss double, train_loss double, hold_n long"
 _FAN_IN = 64
 
 
@@ -86,62 +94,154 @@ def normal(key: Sequence[Column], salt: str, seed: int) -> Column:
     return radius * F.cos(2.0 * np.pi * uniform(key, salt + ":angle", seed))
 
 
-def _epoch(df: DataFrame, inputs, targets, hold: str, network: Network, parts: int):
-    """Gradient sum and losses over all rows, as one small driver-side result."""
-    shared = df.sparkSession.sparkContext.broadcast(network)
-    n_weights = len(network.weights)
+@dataclass
+class _Adam:
+    """Weights with the running moments of their gradients."""
+
+    weights: np.ndarray
+    first: np.ndarray
+    second: np.ndarray
+    steps: int = 0
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        net = shared.value
-        gradient = np.zeros(n_weights)
-        loss = [0.0, 0.0]
-        rows = [0, 0]
+    def step(self, gradient: np.ndarray, rate: float) -> None:
+        self.steps += 1
+        self.first = 0.9 * self.first + 0.1 * gradient
+        self.second = 0.999 * self.second + 0.001 * gradient**2
+        mean = self.first / (1 - 0.9**self.steps)
+        spread = np.sqrt(self.second / (1 - 0.999**self.steps)) + 1e-8
+        self.weights = self.weights - rate * mean / spread
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([self.weights, self.first, self.second])
+
+
+def deal(df: DataFrame, slot: Column, replicas: int) -> DataFrame:
+    """The rows dealt into replicas by ``slot``, a hash of the row's key, and kept sorted.
+
+    Lost parts are computed again from ``df``, which should be materialised.
+    """
+    return (
+        df.withColumns({"__slot": slot, "__replica": F.pmod(slot, F.lit(replicas)).cast("int")})
+        .repartition(replicas, "__replica")
+        .sortWithinPartitions("__replica", "__slot", *df.columns)
+        .drop("__slot")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+
+
+def pass_sums(
+    df: DataFrame, inputs: Sequence[str], targets: Sequence[str], network: Network
+) -> tuple[np.ndarray, float, int]:
+    """Summed gradient, summed loss and rows of one pass at fixed weights."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, loss, rows = np.zeros(len(network.weights)), 0.0, 0
         for batch in batches:
-            x = batch[list(inputs)].to_numpy(dtype=float)
-            y = batch[list(targets)].to_numpy(dtype=float)
-            held = batch[hold].to_numpy(dtype=bool)
-            if (~held).any():
-                step, train_loss = net.gradient(x[~held], y[~held])
-                gradient += step
-                loss[0] += train_loss
-                rows[0] += int((~held).sum())
-            if held.any():
-                error = net.output(x[held]) - y[held]
-                loss[1] += float((error**2).mean(axis=1).sum())
-                rows[1] += int(held.sum())
-        yield _pack(gradient, loss, rows)
+            x, y = (batch[list(c)].to_numpy(dtype=float) for c in (inputs, targets))
+            step, more = network.gradient(x, y)
+            total, loss, rows = total + step, loss + more, rows + len(batch)
+        places = np.arange(-2, len(total))
+        yield pd.DataFrame({"place": places, "value": [float(rows), loss, *total]})
+
+    sums = (
+        df.select(*inputs, *targets)
+        .mapInPandas(run, "place long, value double")
+        .groupBy("place")
+        .agg(F.sum("value").alias("value"))
+        .collect()
+    )
+    values = {row["place"]: row["value"] for row in sums}
+    gradient = np.array([values.get(i, 0.0) for i in range(len(network.weights))])
+    return gradient, values.get(-1, 0.0), int(values.get(-2, 0))
+
+
+def _epoch(df, inputs, targets, hold: str, sizes, state: _Adam, parts: int, batch_size: int, rate: float):
+    """Row-weighted sum of the replicas' states, and losses at the starting weights."""
+    shared = df.sparkSession.sparkContext.broadcast(state)
+    width = 3 * len(state.weights)
+
+    def train_replica(chunks: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+        start: _Adam = shared.value
+        own = _Adam(start.weights, start.first, start.second, start.steps)
+        fixed = Network(sizes, start.weights)
+        losses, counts = [0.0, 0.0], [0, 0]
+        rest = None
+
+        def update(x: np.ndarray, y: np.ndarray) -> None:
+            gradient, _ = Network(sizes, own.weights).gradient(x, y)
+            own.step(gradient / len(x), rate)
+
+        for x, y, held in chunks:
+            for k, chosen in enumerate((~held, held)):
+                if chosen.any():
+                    error = fixed.output(x[chosen]) - y[chosen]
+                    losses[k] += float((error**2).mean(axis=1).sum())
+                    counts[k] += int(chosen.sum())
+            x, y = x[~held], y[~held]
+            if rest is not None:
+                x, y = np.vstack([rest[0], x]), np.vstack([rest[1], y])
+            whole = len(x) // batch_size * batch_size
+            for at in range(0, whole, batch_size):
+                update(x[at : at + batch_size], y[at : at + batch_size])
+            rest = (x[whole:], y[whole:])
+        if rest is not None and len(rest[0]):
+            update(*rest)
+        return own.flat() * counts[0], counts[0], own.steps, losses[1], losses[0], counts[1]
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Rows come sorted by replica; a replica may go on in the next batch.
+        pieces = (
+            (replica, piece)
+            for batch in batches
+            for replica, piece in batch.groupby("__replica", sort=True)
+        )
+        total, rows = np.zeros(width), [0, 0, 0.0, 0.0, 0]
+        for _, group in groupby(pieces, key=itemgetter(0)):
+            chunks = (
+                (
+                    piece[list(inputs)].to_numpy(dtype=float),
+                    piece[list(targets)].to_numpy(dtype=float),
+                    piece[hold].to_numpy(dtype=bool),
+                )
+                for _, piece in group
+            )
+            flat, *numbers = train_replica(chunks)
+            total += flat
+            rows = _added(rows, numbers)
+        yield _pack(total, rows)
 
     def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(n_weights)
-        loss, rows = [0.0, 0.0], [0, 0]
+        total, rows = np.zeros(width), [0, 0, 0.0, 0.0, 0]
         for batch in batches:
-            for blob in batch["gradient"]:
-                total += np.frombuffer(blob)
-            loss = [loss[0] + batch["train_loss"].sum(), loss[1] + batch["hold_loss"].sum()]
-            rows = [rows[0] + int(batch["train_n"].sum()), rows[1] + int(batch["hold_n"].sum())]
-        yield _pack(total, loss, rows)
+            for row in batch.itertuples(index=False):
+                total += np.frombuffer(row[0])
+                rows = _added(rows, row[1:])
+        yield _pack(total, rows)
 
-    partials = df.select(*inputs, *targets, hold).mapInPandas(partial, _PARTIAL)
+    partials = df.select("__replica", *inputs, *targets, hold).mapInPandas(partial, _PARTIAL)
     while parts > _FAN_IN:
         parts = -(-parts // _FAN_IN)
         partials = partials.repartition(parts).mapInPandas(combine, _PARTIAL)
     collected = partials.collect()
     shared.unpersist()
-    gradient = np.sum([np.frombuffer(r["gradient"]) for r in collected], axis=0)
-    totals = [sum(r[i] for r in collected) for i in range(1, 5)]
-    return gradient, *totals
-
-
-def _pack(gradient: np.ndarray, loss: Sequence[float], rows: Sequence[int]) -> pd.DataFrame:
-    return pd.DataFrame(
-        {
-            "gradient": [gradient.tobytes()],
-            "train_loss": [loss[0]],
-            "train_n": [rows[0]],
-            "hold_loss": [loss[1]],
-            "hold_n": [rows[1]],
-        }
-    )
+    total, rows = np.zeros(width), [0, 0, 0.0, 0.0, 0]
+    for row in collected:
+        total += np.frombuffer(row[0])
+        rows = _added(rows, row[1:])
+    return total, *rows
+
+
+def _added(rows: Sequence, more: Sequence) -> list:
+    """Rows, most steps, held-out loss, training loss, held-out rows of two parts."""
+    return [
+        rows[0] + more[0], max(rows[1], more[1]),
+        rows[2] + more[2], rows[3] + more[3], rows[4] + more[4],
+    ]
+
+
+def _pack(state: np.ndarray, rows: Sequence) -> pd.DataFrame:
+    names = ("train_n", "steps", "hold_loss", "train_loss", "hold_n")
+    return pd.DataFrame({"state": [state.tobytes()], **{n: [v] for n, v in zip(names, rows)}})
 
 
 def train(
@@ -149,44 +249,46 @@ def train(
     inputs: Sequence[str],
     targets: Sequence[str],
     hold: str,
+    slot: Column,
     sizes: Sequence[int],
     epochs: int,
     patience: int,
     seed: int,
-    learning_rate: float = 0.01,
+    learning_rate: float = 0.003,
+    batch_size: int = 32,
+    replicas: int = 8,
 ) -> tuple[Network, list[float]]:
     """Fit the network; returns the best weights and the held-out losses.
 
-    ``df`` should be materialised: every epoch reads it once. Rows with ``hold``
-    true are not trained on; training stops when their loss has not improved for
-    ``patience`` epochs. Without held-out rows the training loss decides.
+    ``df`` should be materialised. Rows with ``hold`` true are not trained on; training
+    stops when their loss has not improved for ``patience`` epochs. Without held-out
+    rows the training loss decides.
     """
-    network = Network.fresh(sizes, seed)
-    first = np.zeros_like(network.weights)
-    second = np.zeros_like(network.weights)
-    best, best_loss, waited = network, np.inf, 0
+    sizes = tuple(sizes)
+    weights = Network.fresh(sizes, seed).weights
+    state = _Adam(weights, np.zeros_like(weights), np.zeros_like(weights))
+    best, best_loss, waited = weights, np.inf, 0
     history: list[float] = []
-    parts = df.rdd.getNumPartitions()
-    for epoch in range(1, epochs + 2):
-        gradient, train_loss, train_n, hold_loss, hold_n = _epoch(
-            df, inputs, targets, hold, network, parts
-        )
-        if train_n == 0:
-            raise ValueError("there are no rows to train on")
-        loss = hold_loss / hold_n if hold_n else train_loss / train_n
-        history.append(loss)
-        if loss < best_loss:
-            best, best_loss, waited = network, loss, 0
-        else:
-            waited += 1
-        if waited >= patience or epoch > epochs:
-            break
-        gradient = gradient / train_n
-        first = 0.9 * first + 0.1 * gradient
-        second = 0.999 * second + 0.001 * gradient**2
-        step = (first / (1 - 0.9**epoch)) / (np.sqrt(second / (1 - 0.999**epoch)) + 1e-8)
-        network = Network(network.sizes, network.weights - learning_rate * step)
-    return best, history
+    dealt = deal(df, slot, replicas)
+    try:
+        for epoch in range(1, epochs + 2):
+            total, train_n, steps, hold_loss, train_loss, hold_n = _epoch(
+                dealt, inputs, targets, hold, sizes, state, replicas, batch_size, learning_rate
+            )
+            if train_n == 0:
+                raise ValueError("there are no rows to train on")
+            loss = hold_loss / hold_n if hold_n else train_loss / train_n
+            history.append(loss)
+            if loss < best_loss:
+                best, best_loss, waited = state.weights, loss, 0
+            else:
+                waited += 1
+            if waited >= patience or epoch > epochs:
+                break
+            state = _Adam(*np.split(total / train_n, 3), steps)
+    finally:
+        dealt.unpersist()
+    return Network(sizes, best), history
 
 
 def reconstructor(network: Network, names: Sequence[str]):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null
-from ..session import materialise
+from ..session import materialise, release
 from .autoencoder import reconstructor, train, uniform
 from .impute import clean, resolve_columns
 
@@ -32,7 +32,9 @@ class NeuralImputer:
         seed: int = 42,
         columns: Sequence[str] | None = None,
         patience: int = 5,
-        learning_rate: float = 0.01,
+        learning_rate: float = 0.003,
+        batch_size: int = 32,
+        replicas: int = 8,
     ):
         self.encoding_dim = encoding_dim
         self.epochs = epochs
@@ -41,6 +43,8 @@ class NeuralImputer:
         self.columns = columns
         self.patience = patience
         self.learning_rate = learning_rate
+        self.batch_size = batch_size
+        self.replicas = replicas
         self.network = None
 
     def fit(self, df: DataFrame) -> NeuralImputer:
@@ -72,7 +76,9 @@ class NeuralImputer:
         held = uniform(key, "hold", self.seed) < 0.1
         rows = materialise(
             complete.select(
-                *[e.alias(n) for n, e in {**inputs, **targets}.items()], held.alias("hold")
+                *[e.alias(n) for n, e in {**inputs, **targets}.items()],
+                held.alias("hold"),
+                F.xxhash64(*key, F.lit(self.seed)).alias("slot"),
             )
         )
         p = len(columns)
@@ -82,12 +88,16 @@ class NeuralImputer:
             list(inputs),
             list(targets),
             "hold",
+            F.col("slot"),
             (p, wide, narrow, self.encoding_dim, narrow, wide, p),
             self.epochs,
             self.patience,
             self.seed,
             self.learning_rate,
+            self.batch_size,
+            self.replicas,
         )
+        release(rows)
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import arm_values, mean_square
-from ..session import materialise
+from ..functions.columns import mean_square
+from ..session import materialise, release
 from .autoencoder import normal, reconstructor, train, uniform
 from .quantiles import exact_quantiles
 from .tables import emergent
@@ -18,13 +18,48 @@ SCORE = "RECONSTRUCTION_ERROR"
 FLAG = "ANOMALY_FLAG"
 
 
-def body_systems(adae: DataFrame) -> list[str]:
-    """Distinct body systems of the emergent events (bounded like a pivot)."""
-    return arm_values(emergent(adae), "AEBODSYS") if "AEBODSYS" in adae.columns else []
+def _system_feature(name: Column) -> Column:
+    """Feature name of a body system: its first 20 characters, in capitals."""
+    capitals = F.upper(F.replace(name, F.lit(" "), F.lit("_")))
+    return F.concat(F.lit("SOC_"), F.substring(capitals, 1, 20))
 
 
-def _system_feature(name: str) -> str:
-    return "SOC_" + name.replace(" ", "_").upper()[:20]
+def _kinds(adae: DataFrame, grade3plus: bool) -> dict[str, Column]:
+    """Features that count events of a kind, for the columns the dataset has."""
+    kinds = {}
+    if "ATOXGR" in adae.columns:
+        kinds |= {f"GRADE_{g}_N": F.count_if(F.col("ATOXGR") == g) for g in range(1, 6)}
+        if grade3plus:
+            kinds["GRADE_3PLUS_N"] = F.count_if(F.col("ATOXGR") >= 3)
+    if "ASER" in adae.columns:
+        kinds["SERIOUS_N"] = F.count_if(F.col("ASER") == "Y")
+    if "AEREL" in adae.columns:
+        kinds["RELATED_N"] = F.count_if(F.col("AEREL") == "Y")
+    return kinds
+
+
+def feature_counts(adae: DataFrame, grade3plus: bool = False) -> DataFrame:
+    """Emergent events per (subject, body-system feature), from one pass over the events.
+
+    The long form behind the profiles: it holds for any number of body systems. Columns:
+    subject, ``feature`` (NULL without a body system), ``TOTAL_TEAE`` and the kinds.
+    """
+    feature = _system_feature(F.col("AEBODSYS")) if "AEBODSYS" in adae.columns else F.lit(None)
+    return (
+        emergent(adae)
+        .where(F.col(ID).isNotNull())
+        .groupBy(ID, feature.cast("string").alias("feature"))
+        .agg(
+            F.count(F.lit(1)).alias("TOTAL_TEAE"),
+            *[count.alias(name) for name, count in _kinds(adae, grade3plus).items()],
+        )
+    )
+
+
+def system_features(counts: DataFrame) -> list[str]:
+    """The body-system features that occur, in order; read from the long counts."""
+    rows = counts.select("feature").where("feature IS NOT NULL").distinct().collect()
+    return sorted(row["feature"] for row in rows)
 
 
 def subject_features(
@@ -35,33 +70,43 @@ def subject_features(
 ) -> DataFrame:
     """One row per subject: counts of emergent events by kind.
 
-    One aggregation and one join. Body systems that agree in their first 20
-    characters are added up; systems not in ``systems`` are not counted apart.
+    Body systems that agree in their first 20 characters are added up. ``systems`` names
+    the body systems to count apart; without it they are read from the written counts
+    per subject and system, so the events are gone through once either way.
     """
-    systems = body_systems(adae) if systems is None else list(systems)
-    grouped: dict[str, list[str]] = {}
-    for system in systems:
-        grouped.setdefault(_system_feature(system), []).append(system)
-    features = {"TOTAL_TEAE": F.count(F.lit(1))}
-    for name, members in grouped.items():
-        features[name] = F.count_if(F.col("AEBODSYS").isin(*members))
-    if "ATOXGR" in adae.columns:
-        for grade in range(1, 6):
-            features[f"GRADE_{grade}_N"] = F.count_if(F.col("ATOXGR") == grade)
-        if grade3plus:
-            features["GRADE_3PLUS_N"] = F.count_if(F.col("ATOXGR") >= 3)
-    if "ASER" in adae.columns:
-        features["SERIOUS_N"] = F.count_if(F.col("ASER") == "Y")
-    if "AEREL" in adae.columns:
-        features["RELATED_N"] = F.count_if(F.col("AEREL") == "Y")
-    counts = (
-        emergent(adae)
-        .where(F.col(ID).isNotNull())
-        .groupBy(ID)
-        .agg(*[e.cast("double").alias(n) for n, e in features.items()])
+    counts = feature_counts(adae, grade3plus)
+    if systems is None:
+        counts = materialise(counts)
+        names = system_features(counts)
+    else:
+        given = [F.lit(s) for s in systems]
+        named = adae.sparkSession.range(1).select(*[_system_feature(s) for s in given])
+        names = sorted(set(named.first())) if given else []
+    return widen(counts, adsl, names)
+
+
+def widen(counts: DataFrame, adsl: DataFrame, systems: Sequence[str]) -> DataFrame:
+    """The long counts as one row per subject; a column for each feature in ``systems``."""
+    kinds = [c for c in counts.columns if c not in (ID, "feature", "TOTAL_TEAE")]
+    per_system = F.map_from_entries(
+        F.filter(
+            F.collect_list(F.struct("feature", "TOTAL_TEAE")), lambda e: e["feature"].isNotNull()
+        )
     )
+    wide = counts.groupBy(ID).agg(
+        F.sum("TOTAL_TEAE").alias("TOTAL_TEAE"),
+        per_system.alias("__systems"),
+        *[F.sum(c).alias(c) for c in kinds],
+    )
+    features = ["TOTAL_TEAE", *systems, *kinds]
+    columns = {c: F.col(c) for c in features}
+    columns |= {s: F.try_element_at("__systems", F.lit(s)) for s in systems}
     subjects = adsl.select(ID).where(F.col(ID).isNotNull()).distinct()
-    return subjects.join(counts, ID, "left").na.fill(0.0, list(features))
+    return (
+        subjects.join(wide, ID, "left")
+        .select(ID, *[e.cast("double").alias(c) for c, e in columns.items()])
+        .na.fill(0.0, features)
+    )
 
 
 def scaling(features: DataFrame) -> dict[str, tuple[float, float]]:
@@ -119,7 +164,9 @@ class SignalDetector:
         contamination: float = 0.05,
         seed: int = 42,
         patience: int = 10,
-        learning_rate: float = 0.01,
+        learning_rate: float = 0.003,
+        batch_size: int = 16,
+        replicas: int = 8,
     ):
         self.encoding_dim = encoding_dim
         self.epochs = epochs
@@ -127,12 +174,16 @@ class SignalDetector:
         self.seed = seed
         self.patience = patience
         self.learning_rate = learning_rate
+        self.batch_size = batch_size
+        self.replicas = replicas
         self.network = None
 
     def fit_detect(self, adae: DataFrame, adsl: DataFrame) -> DataFrame:
         """Scores and flags of all subjects, highest error first."""
-        self.systems = body_systems(adae)
-        features = materialise(subject_features(adae, adsl, self.systems))
+        counts = materialise(feature_counts(adae))
+        self.systems = system_features(counts)
+        features = materialise(widen(counts, adsl, self.systems))
+        release(counts)
         self.scale = scaling(features)
         names = list(self.scale)
         key = [F.col(ID)]
@@ -141,7 +192,8 @@ class SignalDetector:
         ]
         clean = [F.col(c).alias(f"y{i}") for i, c in enumerate(names)]
         held = (uniform(key, "hold", self.seed) < 0.1).alias("hold")
-        rows = materialise(scaled(features, self.scale).select(*noisy, *clean, held))
+        slot = F.xxhash64(ID, F.lit(self.seed)).alias("slot")
+        rows = materialise(scaled(features, self.scale).select(*noisy, *clean, held, slot))
         p = len(names)
         wide = max(32, 2 * p)
         self.network, self.history = train(
@@ -149,13 +201,17 @@ class SignalDetector:
             [f"x{i}" for i in range(p)],
             [f"y{i}" for i in range(p)],
             "hold",
+            F.col("slot"),
             (p, wide, self.encoding_dim, wide, p),
             self.epochs,
             self.patience,
             self.seed,
             self.learning_rate,
+            self.batch_size,
+            self.replicas,
         )
         scores = materialise(self._score(features))
+        release(rows, features)
         flagged, self.threshold = flag_scores(scores, self.contamination)
         return flagged.orderBy(F.desc(SCORE), ID)
 
@@ -173,6 +229,6 @@ class SignalDetector:
         """Errors of new subjects under the fitted model."""
         if self.network is None:
             raise RuntimeError("Model must be trained first. Call fit_detect().")
-        features = subject_features(adae, adsl, self.systems)
+        features = widen(feature_counts(adae), adsl, self.systems)
         absent = [c for c in self.scale if c not in features.columns]
         return self._score(features.withColumns({c: F.lit(0.0) for c in absent}))

@@ -12,17 +12,22 @@ from statistics import NormalDist
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.columns import arm_column
+from ..functions.columns import arm_column, nan_to_null
 from ..session import materialise
 from .scans import running_totals, with_blocks
 
 
 def _event_counts(adtte: DataFrame, arm: str, duration: str, censor: str) -> DataFrame:
-    """Events and leavers per (arm, time), from one pass over the records."""
+    """Events and leavers per (arm, time), from one pass over the records.
+
+    A time or flag that is NULL or NaN counts as missing.
+    """
+    time, flag = nan_to_null(adtte, duration), nan_to_null(adtte, censor)
     return (
-        adtte.where(F.col(arm).isNotNull() & F.col(duration).isNotNull() & F.col(censor).isNotNull())
-        .groupBy(F.col(arm).alias("arm"), F.col(duration).alias("time"))
+        adtte.where(F.col(arm).isNotNull() & time.isNotNull() & flag.isNotNull())
+        .groupBy(F.col(arm).alias("arm"), time.alias("time"))
         .agg(
             F.count_if(F.col(censor) == 0).alias("n_event"),
             F.count(F.lit(1)).alias("n_left"),
@@ -169,6 +174,20 @@ def logrank_components(
     )
 
 
+def with_p_value(components: DataFrame) -> DataFrame:
+    """Add ``p_value``, the upper chi-square tail (one degree of freedom) of ``chi_square``.
+
+    For one degree of freedom this is erfc(sqrt(x / 2)). One row comes in, so the
+    value is computed on the driver.
+    """
+    row = components.first()
+    statistic = row["chi_square"]
+    p = None if statistic is None else chi_square_p(statistic)
+    return components.sparkSession.createDataFrame(
+        [(*row, p)], T.StructType([*components.schema.fields, T.StructField("p_value", T.DoubleType())])
+    )
+
+
 def chi_square_p(statistic: float) -> float:
     """Upper tail of the chi-square distribution with one degree of freedom."""
     return math.erfc(math.sqrt(statistic / 2))

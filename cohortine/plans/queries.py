@@ -265,7 +265,7 @@ def impute_mice(spark, d):
 
 @query
 def impute_neural(spark, d):
-    imputer = NeuralImputer(encoding_dim=8, epochs=20, columns=study.PANEL)
+    imputer = NeuralImputer(columns=study.PANEL)
     return imputer.fit_transform(_spread_panel(spark, d))
 
 
@@ -404,8 +404,7 @@ def ae_features_scaled(spark, d):
 
 @query
 def ae_signal_scores(spark, d):
-    detector = signals.SignalDetector(epochs=30)
-    return detector.fit_detect(*_safety(spark, d))
+    return signals.SignalDetector().fit_detect(*_safety(spark, d))
 
 
 def _distances(spark, d):

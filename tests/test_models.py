@@ -339,18 +339,75 @@ def test_gradient():
         assert gradient[i] == pytest.approx((up - down) / 2e-6, abs=1e-5)
 
 
-def test_gradient_tree(spark, monkeypatch):
-    """Combining partial gradients in a tree gives the same sums."""
-    df = spark.range(60, numPartitions=6).select(
-        *[(F.col("id") % (k + 2)).cast("double").alias(f"{p}{k}") for p in "xy" for k in range(2)],
+@pytest.fixture(scope="module")
+def training(spark):
+    return spark.range(200, numPartitions=6).select(
+        *[F.sin(F.col("id") * (k + 1)).alias(f"x{k}") for k in range(2)],
+        *[(2 * F.sin(F.col("id") * (k + 1))).alias(f"y{k}") for k in range(2)],
         (F.col("id") % 10 == 0).alias("hold"),
+        F.xxhash64("id").alias("slot"),
     )
-    net = autoencoder.Network.fresh((2, 3, 2), seed=3)
-    plain = autoencoder._epoch(df, ["x0", "x1"], ["y0", "y1"], "hold", net, 6)
+
+
+def fit(df, **options):
+    names = (["x0", "x1"], ["y0", "y1"], "hold", F.col("slot"), (2, 8, 2))
+    return autoencoder.train(df, *names, epochs=6, patience=6, seed=1, learning_rate=0.03, **options)
+
+
+def test_training_does_not_depend_on_partitions(training, monkeypatch):
+    network, history = fit(training, batch_size=8, replicas=4)
+    other, again = fit(training.repartition(3), batch_size=8, replicas=4)
+    np.testing.assert_allclose(network.weights, other.weights, rtol=1e-9)
+    np.testing.assert_allclose(history, again, rtol=1e-9)
+    assert min(history) < 0.5 * history[0]
     monkeypatch.setattr(autoencoder, "_FAN_IN", 2)
-    tree = autoencoder._epoch(df, ["x0", "x1"], ["y0", "y1"], "hold", net, 6)
-    np.testing.assert_allclose(plain[0], tree[0])
-    assert plain[2] == tree[2] == 54 and plain[4] == tree[4] == 6
+    tree, _ = fit(training, batch_size=8, replicas=4)
+    np.testing.assert_allclose(network.weights, tree.weights, rtol=1e-9)
+
+
+def test_more_updates_per_pass_learn_more(training):
+    many, few = fit(training, batch_size=8)[1], fit(training, batch_size=1000)[1]
+    assert min(many) < min(few)
+
+
+def test_pass_sums(spark, training):
+    net = autoencoder.Network.fresh((2, 3, 2), seed=3)
+    gradient, loss, rows = autoencoder.pass_sums(training, ["x0", "x1"], ["y0", "y1"], net)
+    table = training.toPandas()
+    whole = net.gradient(table[["x0", "x1"]].to_numpy(), table[["y0", "y1"]].to_numpy())
+    np.testing.assert_allclose(gradient, whole[0])
+    assert (loss, rows) == (pytest.approx(whole[1]), 200)
+
+
+def test_more_systems_than_a_pivot_takes(spark):
+    limit = spark.conf.get("spark.sql.pivotMaxValues")
+    spark.conf.set("spark.sql.pivotMaxValues", "5")
+    try:
+        adae = spark.range(60).selectExpr(
+            "concat('u', id % 3) AS USUBJID", "'Y' AS TRTEMFL", "concat('System ', id) AS AEBODSYS"
+        )
+        adsl = adae.select("USUBJID").distinct()
+        features = signals.subject_features(adae, adsl)
+        assert len(features.columns) == 62
+        row = features.where("USUBJID = 'u1'").first()
+        assert (row.TOTAL_TEAE, row.SOC_SYSTEM_1, row.SOC_SYSTEM_2) == (20.0, 1.0, 0.0)
+        some = signals.subject_features(adae, adsl, ["System 1", "System 99"])
+        assert some.columns[2:] == ["SOC_SYSTEM_1", "SOC_SYSTEM_99"]
+    finally:
+        spark.conf.set("spark.sql.pivotMaxValues", limit)
+
+
+def test_survival_leaves_out_nan_and_null(spark):
+    rows = [("A", 1.0, 0), ("A", 2.0, 1), ("B", 1.5, 0), ("B", 3.0, 0)]
+    dirty = rows + [("A", float("nan"), 0), ("B", None, 1), (None, 1.0, 0), ("A", 1.0, None)]
+    schema = "TRTA string, AVAL double, CNSR int"
+    clean, df = spark.createDataFrame(rows, schema), spark.createDataFrame(dirty, schema)
+    key = ["arm", "time"]
+    curve = survival.km_curve(df).orderBy(*key).collect()
+    assert curve == survival.km_curve(clean).orderBy(*key).collect()
+    parts = survival.with_p_value(survival.logrank_components(df, "A", "B")).first()
+    assert parts.chi_square == survival.logrank_components(clean, "A", "B").first().chi_square
+    assert parts.p_value == pytest.approx(survival.chi_square_p(parts.chi_square))
 
 
 def test_random_columns(spark):
