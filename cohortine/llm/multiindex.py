@@ -124,7 +124,9 @@ def top_k(
             differ = F.bit_count(F.shiftrightunsigned(apart, low).bitwiseAND(mask))
             new = new & (differ >= F.when(F.col("i.seg") > i, radius + 1).otherwise(radius))
         hits = (
-            probes.alias("p")
+            # The probes are many times larger than the planner can know: never broadcast.
+            probes.hint("merge")
+            .alias("p")
             .join(
                 index.alias("i"),
                 (F.col("p.seg") == F.col("i.seg"))

@@ -237,7 +237,9 @@ def links(codes: DataFrame, max_distance: int = 3) -> DataFrame:
     ).select("a", "part", F.col("v").bitwiseXOR(F.col("mask")).alias("v"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance
     return (
-        probes.alias("p")
+        # The probes are many times larger than the planner can know: never broadcast.
+        probes.hint("merge")
+        .alias("p")
         .join(
             index.alias("i"),
             (F.col("p.part") == F.col("i.part"))
