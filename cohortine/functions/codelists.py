@@ -57,37 +57,36 @@ VITAL_TEST_CODES = {
     "OXYGEN SATURATION": "OXYSAT",
 }
 
-# --- fixed values: report titles, row labels and footnotes ------------------------
+# --- fixed values: report titles and row labels ------------------------------------
 REPORT_TITLES = {
     "14.1.1": "Summary of Demographic and Baseline Characteristics",
     "14.3.1": "Summary of Treatment-Emergent Adverse Events",
     "14.3.4": "Shift Table: {parameter} (Baseline vs Worst Post-Baseline)",
     "16.2.1": "Subject Disposition and Demographic Listing",
 }
+EVENT_ROW_LABELS = {
+    "any": "  Any TEAE",
+    "serious": "  Any serious TEAE",
+    "related": "  Any related TEAE",
+    "grade3": "  Any Grade ≥ 3 TEAE",
+    "fatal": "  TEAE leading to death",
+}
+
+# --- notes under the reports, free wording -----------------------------------------
 REPORT_FOOTNOTES = {
     "14.1.1": (
-        "Safety population: all subjects who received at least one dose.",
-        "Continuous variables: n, mean (SD), median, min, max.",
-        "Categorical variables: n (%).",
+        "The table covers everyone in the safety population.",
+        "Shares are of the column total in the first row.",
     ),
     "14.3.1": (
-        "TEAE = treatment-emergent adverse event (onset on or after first dose).",
-        "Subjects counted once per category regardless of number of events.",
-        "Percentages based on safety population N.",
+        "A TEAE (treatment-emergent adverse event) starts once treatment has started.",
+        "Each row counts people, not events; shares are of the safety population.",
     ),
     "14.3.4": (
-        "Parameter: {parameter}.",
-        "BASELINE = normal range category at screening/baseline visit.",
-        "WORST POST = worst normal range category post-baseline.",
+        "Rows and columns show the range category of {parameter}.",
+        "The later category is the worst one recorded after baseline.",
     ),
-    "16.2.1": ("Subjects sorted by USUBJID.",),
-}
-EVENT_ROW_LABELS = {
-    "any": "  Any TEAE",
-    "serious": "  Any serious TEAE",
-    "related": "  Any related TEAE",
-    "grade3": "  Any Grade ≥ 3 TEAE",
-    "fatal": "  TEAE leading to death",
+    "16.2.1": ("One line per subject, in the order of their identifiers.",),
 }
 
 # --- fixed values: visits that count as baseline ---------------------------------

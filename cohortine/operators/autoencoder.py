@@ -144,7 +144,7 @@ def pass_sums(
         yield pd.DataFrame({"place": places, "value": [float(rows), loss, *total]})
 
     sums = (
-        df.select(*inputs, *targets)
+        df.select(*dict.fromkeys([*inputs, *targets]))
         .mapInPandas(run, "place long, value double")
         .groupBy("place")
         .agg(F.sum("value").alias("value"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null, numeric_columns
-from ..session import materialise
+from ..session import materialise, release
 from .concordance import concordance
 
 #: Parts that the rows of one time are dealt into, so that a hot time can be split.
@@ -369,9 +369,11 @@ def cox_components(
     covariates as they are, neither centred nor scaled.
     """
     names = list(coefficients)
-    base = _ordered(materialise(_complete(df, names, duration, censor)))
+    complete = materialise(_complete(df, names, duration, censor))
+    base = _ordered(complete)
     value, gradient, hessian = _evaluate(base, np.array(list(coefficients.values()), dtype=float))
     base.unpersist()
+    release(complete)
     rows = [("loglik", value)]
     rows += [(f"g:{a}", float(g)) for a, g in zip(names, gradient)]
     rows += [
@@ -390,9 +392,11 @@ def cox_hazard(
     censor: str = "CNSR",
 ) -> DataFrame:
     """Breslow hazard steps (``time``, ``hazard``) at fixed coefficients."""
-    base = _ordered(materialise(_complete(df, list(coefficients), duration, censor)))
+    complete = materialise(_complete(df, list(coefficients), duration, censor))
+    base = _ordered(complete)
     hazard = materialise(_hazard(base, np.array(list(coefficients.values()), dtype=float)))
     base.unpersist()
+    release(complete)
     return hazard
 
 
@@ -472,6 +476,7 @@ def fit_cox(
     ranked = base.select("time", (1 - F.col("event")).alias("CNSR"), score.alias("score"))
     index = concordance(ranked, "score", "time", "CNSR").first()["concordance"]
     base.unpersist()
+    release(complete)
     return CoxModel(
         covariates,
         beta / spreads,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null, numeric_columns
+from ..session import materialise, release
 from .quantiles import exact_quantiles
 
 STRATEGIES = ("mean", "median", "most_frequent")
@@ -71,7 +72,10 @@ class SimpleImputer:
         elif self.strategy == "mean":
             self.fill = cleaned.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
         elif self.strategy == "median":
-            self.fill = exact_quantiles(cleaned, columns, 0.5)
+            # The search goes through the values several times.
+            values = materialise(cleaned)
+            self.fill = exact_quantiles(values, columns, 0.5)
+            release(values)
         else:
             self.fill = _modes(cleaned, columns)
         return self

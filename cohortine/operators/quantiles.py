@@ -14,6 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
+from .scans import running_totals, with_blocks
+
 # A bracket with at most this many rows is sorted in one small array.
 SMALL_BRACKET = 10_000
 _ACCURACY = 1_000
@@ -161,3 +164,31 @@ def exact_quantiles(
         a, b = targets[column, low].answer, targets[column, high].answer
         result[column] = a + (b - a) * (position - low)
     return result
+
+
+def grouped_medians(df: DataFrame, group: str, value: str, name: str = "median") -> DataFrame:
+    """``group`` and the exact interpolated median of its non-null values.
+
+    Values are counted per (group, value) first; the rank of each value comes from
+    running totals over blocks, so no task holds all values of a group. Groups without
+    a value are absent.
+    """
+    counts = materialise(
+        df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
+        .groupBy(F.col(group).alias("__group"), F.col(value).cast("double").alias("__value"))
+        .agg(F.count(F.lit(1)).alias("__n"))
+    )
+    ranked = running_totals(with_blocks(counts, "__value"), ["__group"], "__value", {"__upto": "__n"})
+    sizes = counts.groupBy("__group").agg(F.sum("__n").alias("__all"))
+    upto, low = F.col("__upto"), F.floor((F.col("__all") - 1) / 2)
+    high = F.floor(F.col("__all") / 2)
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when(upto > rank, F.col("__value")))
+
+    return (
+        ranked.join(sizes, "__group")
+        .groupBy("__group")
+        .agg(((at(low) + at(high)) / 2).alias(name))
+        .withColumnRenamed("__group", group)
+    )

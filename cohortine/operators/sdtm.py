@@ -216,10 +216,13 @@ def apply_terms(
     """Override the values of one column; unlisted values stay as they are.
 
     ``terms`` is a small dictionary, or for large code lists a DataFrame with the
-    unique column ``term`` and the column ``standard``.
+    columns ``term`` and ``standard``. Of a term listed twice the smallest standard
+    counts, so that no row is multiplied.
     """
     if isinstance(terms, DataFrame):
-        listed = terms.select(F.col("term").alias("__term"), F.col("standard").alias("__standard"))
+        listed = terms.groupBy(F.col("term").alias("__term")).agg(
+            F.min("standard").alias("__standard")
+        )
         joined = df.join(listed, df[column] == listed["__term"], "left")
         return joined.withColumn(column, F.coalesce("__standard", column)).select(df.columns)
     if not terms:

@@ -6,29 +6,32 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import arm_column, percent
+from .quantiles import grouped_medians
 from .tables import emergent, subject_event_flags
 
 
 def demographics_summary(adsl: DataFrame) -> DataFrame:
     """Subjects, age statistics and sex shares per arm.
 
-    A subject without recorded sex still counts in the denominators.
+    A subject without recorded sex still counts in the denominators. Without an AGE
+    column its statistics are NULL.
     """
     arm = arm_column(adsl)
     rows = F.count(F.lit(1))
+    adsl = _optional(adsl, "AGE")
+    medians = _medians(adsl, arm, "AGE", "age_median")
 
     def sex(code: str):
         return F.count_if(F.col("SEX") == code)
 
     age = F.col("AGE").cast("double")
-    return (
+    summary = (
         adsl.where(F.col(arm).isNotNull())
         .groupBy(F.col(arm).alias("arm"))
         .agg(
             rows.alias("n"),
             F.round(F.avg(age), 1).alias("age_mean"),
             F.round(F.stddev_samp(age), 2).alias("age_sd"),
-            F.round(F.median(age), 1).alias("age_median"),
             F.min(age).cast("bigint").alias("age_min"),
             F.max(age).cast("bigint").alias("age_max"),
             sex("M").alias("sex_m_n"),
@@ -37,6 +40,24 @@ def demographics_summary(adsl: DataFrame) -> DataFrame:
             F.round(percent(sex("F"), rows), 1).alias("sex_f_pct"),
         )
     )
+    return _with_medians(summary, medians, "age_median", after="age_sd")
+
+
+def _optional(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with the column, NULL if it is absent."""
+    return df if column in df.columns else df.withColumn(column, F.lit(None).cast("double"))
+
+
+def _medians(df: DataFrame, arm: str, column: str, name: str) -> DataFrame:
+    medians = grouped_medians(df.select(F.col(arm).alias("arm"), column), "arm", column, name)
+    return medians.withColumn(name, F.round(name, 1))
+
+
+def _with_medians(summary: DataFrame, medians: DataFrame, name: str, after: str) -> DataFrame:
+    """The summary with the medians of its arms as the column behind ``after``."""
+    place = summary.columns.index(after) + 1
+    order = [*summary.columns[:place], name, *summary.columns[place:]]
+    return summary.join(medians, "arm", "left").select(*order)
 
 
 def safety_summary(adae: DataFrame, adsl: DataFrame) -> DataFrame:
@@ -92,7 +113,8 @@ def top_terms(adae: DataFrame, k: int = 5) -> DataFrame:
 def time_to_event_summary(adtte: DataFrame, endpoint: str | None = None) -> DataFrame:
     """Subjects, events and raw time statistics per arm.
 
-    ``endpoint`` may be a parameter code or a parameter label.
+    ``endpoint`` may be a parameter code or a parameter label. Without an AVAL column
+    its statistics are NULL.
     """
     if endpoint is not None:
         named = [F.col(c) == endpoint for c in ("PARAMCD", "PARAM") if c in adtte.columns]
@@ -104,9 +126,11 @@ def time_to_event_summary(adtte: DataFrame, endpoint: str | None = None) -> Data
         adtte = adtte.where(condition)
     arm = arm_column(adtte)
     rows = F.count(F.lit(1))
+    adtte = _optional(adtte, "AVAL")
+    medians = _medians(adtte, arm, "AVAL", "median_aval")
     events = F.count_if(F.col("CNSR") == 0)
     value = F.col("AVAL").cast("double")
-    return (
+    summary = (
         adtte.where(F.col(arm).isNotNull())
         .groupBy(F.col(arm).alias("arm"))
         .agg(
@@ -114,11 +138,11 @@ def time_to_event_summary(adtte: DataFrame, endpoint: str | None = None) -> Data
             events.alias("n_events"),
             F.count_if(F.col("CNSR") == 1).alias("n_censored"),
             F.round(percent(events, rows), 1).alias("event_rate"),
-            F.round(F.median(value), 1).alias("median_aval"),
             F.round(F.min(value), 1).alias("min_aval"),
             F.round(F.max(value), 1).alias("max_aval"),
         )
     )
+    return _with_medians(summary, medians, "median_aval", after="event_rate")
 
 
 def section_payload(

@@ -589,7 +589,10 @@ _PROTOCOL_METADATA = (
 
 
 def all_oracles() -> dict[str, str]:
-    return {
+    from .oracles_fits import fit_oracles
+
+    logrank = _with(_OS, _LOGRANK)
+    return fit_oracles(logrank) | {
         "sdtm_dm": _with(("first_order", "dm"), "SELECT * FROM dm"),
         "sdtm_ae": _with(("lines", "ae"), "SELECT * FROM ae"),
         "sdtm_lb": _with(("lines", "lb"), "SELECT * FROM lb"),

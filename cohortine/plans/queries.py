@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+
+import numpy as np
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import word_count
 from ..operators import (
     adam,
+    autoencoder,
     concordance,
     conformance,
     cox,
@@ -23,9 +27,11 @@ from ..operators import (
 )
 from ..operators.mice import ChainedImputer
 from ..operators.neural import NeuralImputer
+from ..operators.numbering import number_rows
 from ..session import materialise, spread
 from ..sources import protocols
 from ..sources import study_tables as study
+from .oracles_fits import SCALES, WIDE, wide_columns
 
 ARMS = ("Drug X", "Placebo")
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,7 +201,7 @@ def adam_adsl(spark, d):
 @query
 def adam_adae(spark, d):
     ae = _ae(spark, d, study.LINE_KEYS)
-    return adam.adverse_event_analysis(ae, _adsl(spark, d), reuse_sequence=True)
+    return adam.adverse_event_analysis(ae, _adsl(spark, d), order_by=["AESEQ"])
 
 
 @query
@@ -254,8 +260,7 @@ def impute_regression(spark, d):
 
 def _spread_panel(spark, d):
     # The imputers below run Python per row.
-    keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return spread(study.lab_panel(spark, d), *keys)
+    return spread(study.lab_panel(spark, d), *study.PANEL_KEYS)
 
 
 @query
@@ -263,6 +268,43 @@ def impute_mice(spark, d):
     return ChainedImputer(columns=study.PANEL).fit_transform(_spread_panel(spark, d))
 
 
+def _kept(panel: DataFrame, columns: Sequence[str], imputer) -> DataFrame:
+    """Observed cells as they were, with counts of cells left missing or changed."""
+    before = panel.withColumns({f"was_{c}": F.col(c) for c in columns})
+    after = imputer.fit_transform(before)
+    missing, changed = F.lit(0), F.lit(0)
+    for c in columns:
+        missing = missing + F.col(c).isNull().cast("bigint")
+        same = F.col(f"was_{c}").isNull() | (F.col(c) == F.col(f"was_{c}"))
+        changed = changed + (~same).cast("bigint")
+    keys = [c for c in panel.columns if c not in columns]
+    return after.select(
+        *keys,
+        *[F.col(f"was_{c}").alias(c) for c in columns],
+        missing.alias("missing"),
+        changed.alias("changed"),
+    )
+
+
+@query
+def impute_mice_kept(spark, d):
+    return _kept(_spread_panel(spark, d), study.PANEL, ChainedImputer(columns=study.PANEL))
+
+
+@query
+def impute_neural_kept(spark, d):
+    return _kept(_spread_panel(spark, d), study.PANEL, NeuralImputer(columns=study.PANEL))
+
+
+@query
+def impute_mice_wide(spark, d):
+    """Fourteen incomplete columns."""
+    columns = [f"w{k}" for k in range(len(WIDE))]
+    lines = study.table(spark, d, "lineitem").selectExpr(*study.PANEL_KEYS, *wide_columns())
+    panel = spread(lines, *study.PANEL_KEYS)
+    return _kept(panel, columns, ChainedImputer(columns=columns))
+
+
 @query
 def impute_neural(spark, d):
     imputer = NeuralImputer(columns=study.PANEL)
@@ -350,6 +392,17 @@ def logrank(spark, d):
     return _rounded(parts, "expected", "variance", "chi_square")
 
 
+@query
+def logrank_p(spark, d):
+    parts = _rounded(survival.logrank_components(_os(spark, d), *ARMS), "chi_square")
+    return survival.with_p_value(parts).select(F.round("p_value", 6).alias("p_value"))
+
+
+@query
+def survival_table(spark, d):
+    return _rounded(survival.survival_table(survival.km_curve(_os(spark, d)), ARMS[0]), "survival")
+
+
 def _cox_input(spark, d):
     adsl = _adsl(spark, d)
     subjects = adsl.select(
@@ -374,6 +427,34 @@ def cox_fit(spark, d):
     return _cox(spark, d).fit_statistics(spark)
 
 
+_FIXED = {"AGE": 0.01, "SEX_NUM": -0.2, "TRT01AN": 0.1}
+
+
+@query
+def cox_components(spark, d):
+    parts = cox.cox_components(_cox_input(spark, d), _FIXED)
+    return parts.withColumn("value", F.round("value", 3))
+
+
+@query
+def cox_hazard(spark, d):
+    return cox.cox_hazard(_cox_input(spark, d), _FIXED).withColumn("hazard", F.round("hazard", 9))
+
+
+@query
+def cox_gradient(spark, d):
+    """The gradient of the likelihood at an unpenalised fit: zero."""
+    names = list(_FIXED)
+    model = cox.fit_cox(_cox_input(spark, d), names, penalizer=0.0)
+    there = dict(zip(names, map(float, model.coefficients)))
+    parts = cox.cox_components(_cox_input(spark, d), there).where("term LIKE 'g:%'")
+    # Tiny values of either sign round to plain zero.
+    return parts.select(
+        F.substring("term", 3, 20).alias("covariate"),
+        (F.round("value", 2) + F.lit(0.0)).alias("gradient"),
+    )
+
+
 @query
 def cox_concordance(spark, d):
     result = concordance.concordance(_cox_input(spark, d), "AGE")
@@ -407,6 +488,34 @@ def ae_signal_scores(spark, d):
     return signals.SignalDetector().fit_detect(*_safety(spark, d))
 
 
+@query
+def autoencoder_pass(spark, d):
+    """Loss (place -1) and gradient of one pass at fixed weights of a linear network."""
+    p = len(study.PANEL)
+    network = autoencoder.Network(
+        (p, p), np.array([(i + 1) / 10 - j / 20 for i in range(p) for j in range(p)] + [0.1] * p)
+    )
+    rows = _spread_panel(spark, d).select(
+        *[(F.col(c) / SCALES[c]).alias(c) for c in study.PANEL]
+    )
+    gradient, loss, _ = autoencoder.pass_sums(
+        rows.na.drop(), list(study.PANEL), list(study.PANEL), network
+    )
+    values = [(i - 1, float(v)) for i, v in enumerate([loss, *gradient])]
+    table = spark.createDataFrame(values, "place bigint, value double")
+    return table.withColumn("value", F.round("value", 4))
+
+
+@query
+def ae_signal_ranks(spark, d):
+    """Flags and places in the ranking, given the errors."""
+    flagged, _ = signals.flag_scores(_distances(spark, d))
+    keyed = flagged.withColumn("fall", -F.round(signals.SCORE, 6))
+    return number_rows(keyed, ["fall", "USUBJID"], "rank").select(
+        "USUBJID", signals.FLAG, "rank"
+    )
+
+
 def _distances(spark, d):
     features = signals.subject_features(*_safety(spark, d))
     return materialise(signals.profile_distance(features))
@@ -450,6 +559,13 @@ def protocol_items(spark, d):
     return protocol.protocol_items(_protocols(spark, d))
 
 
+@query
+def protocol_word_counts(spark, d):
+    items = protocol.protocol_items(_protocols(spark, d))
+    words = word_count(F.col("endpoint")).cast("bigint")
+    return items.select("protocol_number", "kind", "position", words.alias("words"))
+
+
 @query
 def protocol_mapping(spark, d):
     return protocol.map_items(protocol.protocol_items(_protocols(spark, d)))

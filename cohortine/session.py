@@ -6,6 +6,8 @@ import atexit
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -98,6 +100,17 @@ def release_all(spark: SparkSession) -> None:
         _delete(_TABLES.pop(path), path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was materialised inside; results must be written by then."""
+    before = set(_TABLES)
+    try:
+        yield
+    finally:
+        for path in [p for p, owner in _TABLES.items() if owner is spark and p not in before]:
+            _delete(_TABLES.pop(path), path)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)

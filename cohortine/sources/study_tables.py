@@ -223,6 +223,7 @@ def pfs_response(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PANEL = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+PANEL_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 def lab_panel(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,16 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortine.operators import autoencoder, concordance, cox, scans, signals, survival
+from cohortine.operators import (
+    autoencoder,
+    concordance,
+    cox,
+    quantiles,
+    scans,
+    signals,
+    summaries,
+    survival,
+)
 
 
 def frame(spark, rows):
@@ -419,3 +428,43 @@ def test_random_columns(spark):
     assert 0 < row[0] and row[1] < 1
     assert row[2] == pytest.approx(0.5, abs=0.02)
     assert row[3] == pytest.approx(0.0, abs=0.03) and row[4] == pytest.approx(1.0, abs=0.03)
+
+
+def test_intermediate_tables_go(spark, sample):
+    import os
+
+    from cohortine import session
+
+    session.ensure_checkpoint_dir(spark)
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+
+    def tables():
+        return {name for name in os.listdir(folder) if name.startswith("table-")}
+
+    before = tables()
+    with session.scratch(spark):
+        survival.km_curve(sample).collect()
+        cox.fit_cox(sample, ["z0"])
+        assert tables() > before
+    assert tables() == before
+    kept = session.materialise(sample)
+    assert tables() != before
+    session.release(kept)
+    assert tables() == before
+
+
+def test_grouped_medians(spark):
+    rng = np.random.default_rng(2)
+    groups = {"a": rng.normal(size=101), "b": rng.integers(0, 4, 60) / 3, "c": [5.25], "d": [1.0, 2.0]}
+    rows = [(g, float(v)) for g, values in groups.items() for v in values]
+    df = spark.createDataFrame(rows + [("e", None), (None, 1.0)], "g string, v double")
+    got = {r.g: r.median for r in quantiles.grouped_medians(df, "g", "v").collect()}
+    assert got == {g: pytest.approx(np.median(values)) for g, values in groups.items()}
+
+
+def test_summaries_without_age_or_time(spark):
+    df = spark.createDataFrame([("A", "M", 0), ("B", "F", 1)], "TRTA string, SEX string, CNSR int")
+    ages = summaries.demographics_summary(df).collect()
+    assert {(r.n, r.age_median, r.age_mean) for r in ages} == {(1, None, None)}
+    times = summaries.time_to_event_summary(df).collect()
+    assert {(r.n, r.median_aval, r.max_aval) for r in times} == {(1, None, None)}
