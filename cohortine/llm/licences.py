@@ -14,8 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .urls import LOWER, UPPER
-
 #: Identifier and wording of known licence sentences (public licence texts).
 SENTENCES = (
     ("APACHE2_REF", "Licensed under the Apache License, Version 2.0"),
@@ -78,8 +76,7 @@ _CUT = "\u0001"
 
 def normal_form(sentence: str) -> str:
     """The normalised form of one sentence, as the expressions below make it."""
-    lowered = sentence.translate(str.maketrans(UPPER, LOWER))
-    return re.sub(r"[^a-z0-9]+", " ", lowered).strip(" ")
+    return re.sub(r"[^A-Za-z0-9]+", " ", sentence).lower().strip(" ")
 
 
 def sentence_ids(text: Column, ends: str, sentences: Sequence[tuple[str, str]]) -> Column:
@@ -87,7 +84,8 @@ def sentence_ids(text: Column, ends: str, sentences: Sequence[tuple[str, str]])
     known: dict[str, str] = {normal_form(wording): name for name, wording in sentences}
     lookup = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
     cut = F.regexp_replace(text, ends, _CUT)
-    normal = F.regexp_replace(F.translate(cut, UPPER, LOWER), f"[^a-z0-9{_CUT}]+", " ")
+    # Only ASCII is left when capitals are lowered.
+    normal = F.lower(F.regexp_replace(cut, f"[^A-Za-z0-9{_CUT}]+", " "))
     found = F.transform(F.split(normal, _CUT, -1), lambda s: F.try_element_at(lookup, F.trim(s)))
     return F.filter(found, lambda name: name.isNotNull())
 

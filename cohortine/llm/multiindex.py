@@ -20,7 +20,7 @@ from math import log2
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import materialise, release
 
 BITS = 64
 
@@ -136,15 +136,17 @@ def top_k(
             )
             .select("q", "code", "least", F.bit_count(apart).alias("distance"))
         )
-        everything = hits if found is None else found.unionAll(hits)
+        everything = hits if found is None else found.drop("is_kth").unionAll(hits)
         nearest = Window.partitionBy("q").orderBy("distance", "least")
-        found = materialise(
+        best = materialise(
             everything.withColumn("place", F.row_number().over(nearest))
             .where(F.col("place") <= k)
             .select("q", "code", "least", "distance", (F.col("place") == k).alias("is_kth"))
         )
+        if found is not None:
+            release(found)
+        found = best
         kth = found.where("is_kth").select("q", F.col("distance").alias("known"))
-        found = found.drop("is_kth")
         # Unseen codes are at least m * (radius + 1) away; each further segment adds one.
         left = (
             todo.join(kth, "q", "left")
@@ -158,9 +160,12 @@ def top_k(
             .where(F.col("reach") > 0)
             .select("q", "reach", "kth")
         )
-        todo = materialise(left)
+        left = materialise(left)
+        release(todo)
+        todo = left
         if todo.isEmpty():
             break
+    release(todo, index, distinct)
     rows = found.join(members, "code").select(
         "q", "distance", F.col("id").alias("neighbour_id")
     )

@@ -33,9 +33,8 @@ class RepetitionRules:
     #: n-gram length -> largest share of the single most frequent n-gram
     top: tuple[tuple[int, float], ...] = ((2, 0.20), (3, 0.18), (4, 0.16))
     #: n-gram length -> largest share covered by n-grams that occur more than once
-    duplicated: tuple[tuple[int, float], ...] = (
-        (5, 0.15), (6, 0.14), (7, 0.13), (8, 0.12), (9, 0.11), (10, 0.10),
-    )
+    #: (a fifth at every length, like the base rule: one repeated sentence is no junk)
+    duplicated: tuple[tuple[int, float], ...] = tuple((n, 0.20) for n in range(5, 11))
     max_line_share: float = 0.30
     max_line_chars: float = 0.20
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialise
+from ..session import materialise, release
 from .base import slices, utf8
 
 BITS = 64
@@ -276,7 +276,9 @@ def contract(edges: DataFrame) -> DataFrame:
             .where("a < b")
             .distinct()
         )
-        current = materialise(small)
+        following = materialise(small)
+        release(current)
+        current = following
         seen = current.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first()
@@ -297,9 +299,11 @@ def _components(marked: DataFrame, max_distance: int, id_col: str) -> DataFrame:
         codes["__fp"], "__least", F.coalesce("label", codes["__fp"]).alias("__label")
     )
     roots = labelled.groupBy("__label").agg(F.min("__least").alias("component_id"))
-    return materialise(
+    components = materialise(
         labelled.join(roots, "__label").select("__fp", "component_id", "__label")
     )
+    release(codes)
+    return components
 
 
 def near_duplicates(

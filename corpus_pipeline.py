@@ -18,7 +18,7 @@ from cohortine.llm.langid import filter_language, learn_languages
 from cohortine.llm.packing import pack_documents
 from cohortine.llm.ranking import filter_quality, learn_quality
 from cohortine.llm.simhash import drop_near_duplicates
-from cohortine.session import materialise
+from cohortine.session import materialise, release, scratch
 
 #: A text less close than this to every language profile is no language.
 MIN_CLOSENESS = 0.2
@@ -60,5 +60,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the packed pieces."""
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir))
+        with scratch(spark) as kept:
+            following = materialise(stage(spark, docs, sf_dir))
+            kept.append(following)
+        release(docs)
+        docs = following
     return docs
