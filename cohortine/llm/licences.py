@@ -118,6 +118,34 @@ def match_rules(ids: Column, rules: Sequence[tuple[str, Sequence[str]]]) -> Colu
     return F.aggregate(steps, start, step, lambda state: state["found"])
 
 
+def anchors(sentences: Sequence[tuple[str, str]], rules) -> list[str]:
+    """Words such that a text in which any rule matches contains one of them.
+
+    A rule needs every identifier of its sequence, so a word that stands in all
+    wordings of one of them serves. The word that serves most rules is taken first.
+    """
+    wordings: dict[str, list[str]] = {}
+    for name, wording in sentences:
+        wordings.setdefault(name, []).append(normal_form(wording))
+    words = {w for forms in wordings.values() for form in forms for w in form.split() if len(w) > 3}
+    serves = {
+        word: {
+            i
+            for i, (_, sequence) in enumerate(rules)
+            if any(all(word in form for form in wordings.get(name, [""])) for name in sequence)
+        }
+        for word in words
+    }
+    chosen, left = [], set(range(len(rules)))
+    while left:
+        best = max(serves, key=lambda w: (len(serves[w] & left), len(w), w), default="")
+        if not best or not serves[best] & left:
+            return [""]  # some rule has no such word: every text is read
+        chosen.append(best)
+        left -= serves[best]
+    return chosen
+
+
 def recognise_licences(
     docs: DataFrame,
     sentences: Sequence[tuple[str, str]] = SENTENCES,
@@ -130,11 +158,17 @@ def recognise_licences(
     ``licences`` are the distinct names in rule order, joined by commas; ``sentence_ids``
     the identifiers in text order, joined by bars. Each text is read twice, with line ends
     as blanks (wrapped licence texts) and as sentence ends (one-line notices); a rule
-    counts if either reading matches it, and the reading with more identifiers, the first
-    on a tie, is shown. A null, empty or unlicensed text gives empty strings. Repeated rows
-    and null ids give a row each; other columns are not read.
+    counts if either reading matches it, and the identifiers of the reading with more of
+    them, the first on a tie, are shown as evidence. A null, empty or unlicensed text gives
+    empty strings. Repeated rows and null ids give a row each; other columns are not read.
+
+    A text without any of the words that the rules need (:func:`anchors`) is not cut up.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    lowered = F.lower(F.col(text_col))
+    possible = F.lit(False)
+    for word in anchors(sentences, rules):
+        possible = possible | F.contains(lowered, F.lit(word))
+    text = F.when(possible, F.col(text_col)).otherwise("")
     read = docs.select(
         F.col(id_col),
         sentence_ids(text, WRAPPED_ENDS, sentences).alias("__wrapped"),
@@ -148,7 +182,9 @@ def recognise_licences(
         F.array_join(
             F.filter(F.array(*[F.lit(x) for x in order]), lambda x: F.array_contains(both, x)), ","
         ).alias("licences"),
-        F.array_join(F.when(F.size(lines) > F.size(wrapped), lines).otherwise(wrapped), "|").alias(
-            "sentence_ids"
-        ),
+        F.when(F.size(both) == 0, "")
+        .otherwise(
+            F.array_join(F.when(F.size(lines) > F.size(wrapped), lines).otherwise(wrapped), "|")
+        )
+        .alias("sentence_ids"),
     )

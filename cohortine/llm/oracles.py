@@ -19,6 +19,57 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neig
 WHERE place <= 10
 """
 
+#: n-grams as lists of words, counted and laid over the words they cover.
+OP2 = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS ws,
+    [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')]
+      AS lines
+  FROM documents),
+words AS (
+  SELECT doc_id, unnest(range(1, len(ws) + 1)) AS pos, length(unnest(ws)) AS size FROM docs),
+sizes AS (SELECT doc_id, CAST(sum(size) AS BIGINT) AS word_chars FROM words GROUP BY 1),
+grams AS (
+  SELECT doc_id, n, pos, array_to_string(ws[pos:pos + n - 1], ' ') AS gram
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS pos
+        FROM docs, range(2, 11) r(n) WHERE len(ws) >= n)),
+counted AS (SELECT *, count(*) OVER (PARTITION BY doc_id, n, gram) AS c FROM grams),
+top AS (
+  SELECT doc_id, n, max(c * (length(gram) - n + 1)) AS chars
+  FROM counted WHERE c > 1 AND n <= 4 GROUP BY 1, 2),
+covered AS (
+  SELECT doc_id, n, count(*) AS words, sum(size) AS chars
+  FROM (SELECT DISTINCT doc_id, n, unnest(range(pos, pos + n)) AS pos FROM counted WHERE c > 1 AND n >= 5)
+  JOIN words USING (doc_id, pos) GROUP BY 1, 2),
+tops AS (
+  SELECT doc_id, max(chars / word_chars) AS share,
+    bool_and(chars / word_chars <= CASE n WHEN 2 THEN 0.20 WHEN 3 THEN 0.18 ELSE 0.16 END) AS fine
+  FROM top JOIN sizes USING (doc_id) GROUP BY 1),
+dups AS (
+  SELECT doc_id, max(chars / word_chars) AS share, bool_and(chars / word_chars <= 0.20) AS fine,
+    max(words) FILTER (n = 5) AS repeated
+  FROM covered JOIN sizes USING (doc_id) GROUP BY 1),
+measured AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(word_chars, 0) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    coalesce(repeated, 0) AS n_repeat_words,
+    coalesce(tops.share, 0) AS top_ngram_share, coalesce(dups.share, 0) AS dup_ngram_share,
+    (len(lines) - len(list_distinct(lines))) / greatest(len(lines), 1) AS dup_line_share,
+    (coalesce(list_sum([length(x) FOR x IN lines]), 0)
+      - coalesce(list_sum([length(x) FOR x IN list_distinct(lines)]), 0))
+      / greatest(coalesce(list_sum([length(x) FOR x IN lines]), 0), 1) AS dup_line_chars,
+    coalesce(tops.fine, TRUE) AND coalesce(dups.fine, TRUE) AS fine
+  FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN tops USING (doc_id) LEFT JOIN dups USING (doc_id))
+SELECT doc_id, n_words, word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND fine
+    AND dup_line_share <= 0.30 AND dup_line_chars <= 0.20 AS kept,
+  top_ngram_share, dup_ngram_share, dup_line_share, dup_line_chars
+FROM measured
+"""
+
 _CONTROL = r"([<\[])(\\*(?:s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>|ROLE\]|TEXT\]|/TEXT\]))"
 
 OP4 = f"""
@@ -161,11 +212,17 @@ best AS (
   FROM {last} GROUP BY 1)
 SELECT doc_id,
   coalesce(array_to_string([x FOR x IN [{order}] IF list_contains(found, x)], ','), '') AS licences,
-  coalesce(sentence_ids, '') AS sentence_ids
+  CASE WHEN len(found) > 0 THEN sentence_ids ELSE '' END AS sentence_ids
 FROM docs LEFT JOIN best USING (doc_id)
 """
 
 
 OP8 = _licence_sql().replace("WITH RECURSIVE", "WITH")
 
-ALL = {"op1_multiindex": OP1, "op4_chat": OP4, "op6_urls": OP6, "op8_licences": OP8}
+ALL = {
+    "op1_multiindex": OP1,
+    "op2_repetition": OP2,
+    "op4_chat": OP4,
+    "op6_urls": OP6,
+    "op8_licences": OP8,
+}

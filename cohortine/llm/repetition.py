@@ -100,14 +100,16 @@ def measure(text: bytes, rules: RepetitionRules) -> tuple:
 
     lines = [line for line in text.split(b"\n") if line.strip()]
     seen: set[bytes] = set()
-    n_dup_lines = dup_line_chars = 0
+    n_dup_lines = dup_line_chars = all_line_chars = 0
     for line in lines:
+        size = len(line.decode("utf-8", "replace"))
+        all_line_chars += size
         if line in seen:
             n_dup_lines += 1
-            dup_line_chars += len(line)
+            dup_line_chars += size
         seen.add(line)
     line_share = n_dup_lines / max(len(lines), 1)
-    line_chars = dup_line_chars / max(sum(map(len, lines)), 1)
+    line_chars = dup_line_chars / max(all_line_chars, 1)
 
     numbers: dict[bytes, int] = {}
     ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, n_words)

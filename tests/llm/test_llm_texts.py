@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 
 from cohortine.llm import langid, ranking
 from cohortine.llm.base import read
-from cohortine.llm.licences import LINE_ENDS, SENTENCES, normal_form, recognise_licences
+from cohortine.llm.licences import (
+    LINE_ENDS,
+    RULES,
+    SENTENCES,
+    anchors,
+    normal_form,
+    recognise_licences,
+)
 from cohortine.llm.repetition import FIELDS, RepetitionRules, measure, repetition_quality
 
 NAMES = [name for name, _ in FIELDS]
@@ -38,7 +45,8 @@ def brute_repetition(text: bytes) -> dict:
     lines = [x for x in text.split(b"\n") if x.split()]
     dup = [x for i, x in enumerate(lines) if x in lines[:i]]
     passed &= len(dup) / max(len(lines), 1) <= 0.3
-    passed &= sum(map(len, dup)) / max(sum(map(len, lines)), 1) <= 0.2
+    length = [len(x.decode()) for x in lines]
+    passed &= sum(len(x.decode()) for x in dup) / max(sum(length), 1) <= 0.2
     failed = n < 10 or 100 * len(covered[5]) > 20 * n
     return {
         "n_words": n, "word_chars": chars, "n_symbols": sum(text.count(c.encode()) for c in "#*$%&|<>"),
@@ -113,6 +121,10 @@ def test_licences(spark):
         key=repr,
     )
     assert recognise_licences(docs_of(spark, [])).count() == 0
+    assert anchors(SENTENCES, RULES)[0] == "license"
+    lone = [("A", "one two"), ("A", "three"), ("B", "four words here now")]
+    assert anchors(lone, [("x", ("A",)), ("y", ("A", "B"))]) == [""]
+    assert anchors(lone, [("y", ("A", "B"))]) == ["words"]
     assert normal_form(" (The \"X-2.0\")") == "the x 2 0" and LINE_ENDS
 
 
