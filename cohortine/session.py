@@ -101,13 +101,17 @@ def release_all(spark: SparkSession) -> None:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Delete at the end what was materialised inside; results must be written by then."""
-    before = set(_TABLES)
+def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Delete at the end what was materialised inside; results must be written by then.
+
+    Materialised tables that the block appends to the list it gets are kept.
+    """
+    before, kept = set(_TABLES), []
     try:
-        yield
+        yield kept
     finally:
-        for path in [p for p, owner in _TABLES.items() if owner is spark and p not in before]:
+        spared = before | {getattr(copy, "_materialised_at", None) for copy in kept}
+        for path in [p for p, owner in _TABLES.items() if owner is spark and p not in spared]:
             _delete(_TABLES.pop(path), path)
 
 
