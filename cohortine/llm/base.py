@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows handled at a time inside a task, so that few texts are held as Python objects.
@@ -22,6 +23,17 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
             yield batch.slice(start, rows)
 
 
+def sized_slices(
+    batches: Iterator[pa.RecordBatch], column: int, rows: int, size: int
+) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``rows`` rows that begin anew after ``size`` bytes of a text column."""
+    for batch in slices(batches, rows):
+        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy()
+        begins = np.flatnonzero(np.diff(np.cumsum(lengths, dtype=np.int64) // size)) + 1
+        for start, end in zip([0, *begins.tolist()], [*begins.tolist(), batch.num_rows]):
+            yield batch.slice(start, end - start)
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts of a column as UTF-8 bytes; null becomes the empty text."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -13,6 +13,7 @@ stands alone: no shuffle, and a lost task is simply run again.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from bisect import bisect_left
@@ -24,13 +25,14 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .base import Numbered, Ragged, code_points, slices, utf8
+from .base import Numbered, Ragged, code_points, ranges, sized_slices, utf8
 
-#: Distinct words a worker remembers before it starts afresh.
+#: Distinct words a worker remembers before it thins them out.
 REMEMBERED = 500_000
 _FIRST = itemgetter(0)
 _SENTENCE_END = np.zeros(256, bool)
@@ -137,7 +139,7 @@ class WordEncoder:
 
     The tokenizer lower-cases and drops white space before its merges. So words are
     encoded once each, in ASCII lower case, and remembered; new words are encoded many at
-    a time, as one text.
+    a time, as one text. When too many are remembered, those met in few slices go.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -146,44 +148,90 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are plain text
-        self._forget()
-
-    def _forget(self) -> None:
+        # Words of ASCII letters in lower case: the normalizer would change nothing.
+        self.plain = Tokenizer.from_str(
+            json.dumps(json.loads(tokenizer_json) | {"normalizer": None})
+        )
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.number = Numbered()
         self.ids = Ragged()
-        self.stops = np.zeros(1 << 10, bool)
+        self.stops = np.zeros(0, bool)
+        self.slices_seen = np.zeros(0, np.int64)
+
+    def _thin_out(self) -> None:
+        seen = self.slices_seen
+        half = REMEMBERED // 2
+        least = max(1, int(np.partition(seen, -half)[-half])) if len(seen) > half else 1
+        again = seen > least
+        words = [word for word, keep in zip(self.number, again.tolist()) if keep]
+        at = np.flatnonzero(again)
+        values, lengths = self.ids.gather(at), self.ids.lengths[at]
+        self.number, self.ids = Numbered(), Ragged()
+        self.number.update(zip(words, range(len(words))))
+        self.ids.extend_flat(values, lengths)
+        self.stops, self.slices_seen = self.stops[at], np.zeros(len(at), np.int64)
+
+    def _encode_letters(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of ASCII letters, one after another, and how many each has.
+
+        Such a word is one unit for the merges, and its last token is marked as closing.
+        """
+        text = b" ".join(words).decode()
+        ids = np.array(self.plain.encode(text, add_special_tokens=False).ids, np.int64)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        return ids, np.diff(ends, prepend=0)
+
+    def _encode_any(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        text = b" ".join(words).decode("utf-8", "replace")
+        data = np.frombuffer(text.encode(), np.uint8)
+        ends = np.append(np.cumsum(code_points(data))[data == ord(" ")] - 1, len(text))
+        coded = self.tokenizer.encode(text, add_special_tokens=False)
+        places = np.fromiter(map(_FIRST, coded.offsets), np.int64, len(coded))
+        stops = np.searchsorted(places, ends)
+        return np.array(coded.ids, np.int64), np.diff(stops, prepend=0)
 
     def _learn(self, words: list[bytes], at_once: int = 500) -> None:
-        for first in range(0, len(words), at_once):
-            text = b" ".join(words[first : first + at_once]).decode("utf-8", "replace")
-            data = np.frombuffer(text.encode(), np.uint8)
-            gaps = data == ord(" ")
-            ends = np.append(np.cumsum(code_points(data))[gaps] - 1, len(text))
-            coded = self.tokenizer.encode(text, add_special_tokens=False)
-            places = np.fromiter(map(_FIRST, coded.offsets), np.int64, len(coded))
-            stops = np.searchsorted(places, ends)
-            done = self.ids.n
-            self.ids.extend_flat(np.array(coded.ids, np.int64), np.diff(stops, prepend=0))
-            if self.ids.n > len(self.stops):
-                room = max(self.ids.n, 2 * len(self.stops)) - len(self.stops)
-                self.stops = np.concatenate([self.stops, np.zeros(room, bool)])
-            final = data[np.append(np.flatnonzero(gaps), len(data)) - 1]
-            self.stops[done : self.ids.n] = _SENTENCE_END[final]
-
-    def encode(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        letters = np.fromiter(map(bytes.isalpha, words), bool, len(words))
+        parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for encode, some in (
+            (self._encode_letters, [w for w in words if w.isalpha()]),
+            (self._encode_any, [w for w in words if not w.isalpha()]),
+        ):
+            parts += [encode(some[i : i + at_once]) for i in range(0, len(some), at_once)]
+        values, lengths = (np.concatenate(x) for x in zip(*parts))
+        # Back into the order in which the words got their numbers.
+        order = np.empty(len(words), np.int64)
+        order[letters] = np.arange(letters.sum())
+        order[~letters] = np.arange(letters.sum(), len(words))
+        starts = np.cumsum(lengths) - lengths
+        self.ids.extend_flat(values[ranges(starts[order], lengths[order])], lengths[order])
+        final = np.fromiter((w[-1] for w in words), np.uint8, len(words))
+        self.stops = np.concatenate([self.stops, _SENTENCE_END[final]])
+        self.slices_seen = np.concatenate([self.slices_seen, np.zeros(len(words), np.int64)])
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of each text, and the number of ids up to each sentence end."""
         if len(self.number) > REMEMBERED:
-            self._forget()
-        # Numbers within this slice first: most words repeat within it, in a small table.
-        here = Numbered()
-        numbered = [here.numbers(text.lower().split()) for text in texts]
-        everywhere = self.number.numbers(here.fresh)
+            self._thin_out()
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+        words = split.flatten()
+        # Blanks at either end of a text leave empty words.
+        real = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(pc.list_value_length(split).to_numpy())
+        ends = np.concatenate([[0], np.cumsum(real)])[ends].tolist()
+        # Words are told apart within the slice first; only its distinct ones are looked up.
+        here = words.filter(pa.array(real)).dictionary_encode()
+        everywhere = self.number.numbers(utf8(here.dictionary))
         self._learn(self.number.fresh)
         self.number.fresh = []
-        for local in numbered:
-            at = everywhere[local]
-            ends = np.cumsum(self.ids.lengths[at])
-            yield self.ids.gather(at), ends[self.stops[at]]
+        self.slices_seen[everywhere] += 1
+        numbers = everywhere[here.indices.to_numpy()]
+        for start, end in zip([0, *ends[:-1]], ends):
+            at = numbers[start:end]
+            upto = np.cumsum(self.ids.lengths[at])
+            yield self.ids.gather(at), upto[self.stops[at]]
 
 
 @lru_cache(maxsize=2)
@@ -294,9 +342,9 @@ def pack_documents(
         encoder = word_encoder(shared.value)
         sequence = TaskContext.get().partitionId() << 33
         stream, kind = _Stream(), id_type
-        for batch in slices(batches):
+        for batch in sized_slices(batches, 1, 2048, 1 << 23):
             kind = batch.column(0).type
-            coded = encoder.encode(utf8(batch.column(1)))
+            coded = encoder.encode(batch.column(1))
             for doc, (ids, sentences) in zip(batch.column(0).to_pylist(), coded):
                 ids = np.append(ids, end_id)
                 stream.rows.append((doc, ids, sentences, 0))
