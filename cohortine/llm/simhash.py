@@ -336,16 +336,21 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """One whole row of each component of near duplicates: one of the smallest id.
 
-    Of repeated rows of an id a single one stays. A row with a null id stays only if no row
-    of its component has an id, and then one of the smallest fingerprint. All columns are
-    kept. An empty table gives no rows.
+    If rows of that id lie in the component with different fingerprints, the smallest
+    fingerprint stays; of rows alike in both, a single one. An id whose rows lie in several
+    components may stay once in each. A row with a null id stays only if no row of its
+    component has an id. All columns are kept. An empty table gives no rows.
     """
     marked = materialise(fingerprints(docs, id_col, text_col, words_per_shingle))
     components = _components(marked, max_distance, id_col)
-    named = components.select(F.col("component_id").alias("__kept")).distinct()
-    kept = docs.join(named, docs[id_col] == named["__kept"], "left_semi").dropDuplicates([id_col])
-
-    # Rows without an id carry their fingerprint along, since nothing else names them.
+    least = marked.groupBy("__fp").agg(F.min(id_col).alias("__least"))
+    # One pair of id and fingerprint for each component names the row that stays.
+    named = (
+        components.join(least, "__fp")
+        .where(F.col("__least").eqNullSafe(F.col("component_id")))
+        .groupBy("__label")
+        .agg(F.min("component_id").alias("__kept_id"), F.min("__fp").alias("__kept_fp"))
+    )
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,13 +359,11 @@ def drop_near_duplicates(
             column = pa.array(np.array(values, np.uint64).view(np.int64))
             yield batch.append_column("__row_fp", column)
 
-    nameless = docs.where(F.col(id_col).isNull()).mapInArrow(
+    rows = docs.mapInArrow(
         run, T.StructType([*docs.schema.fields, T.StructField("__row_fp", T.LongType())])
     )
-    lone = components.where(F.col("component_id").isNull() & (F.col("__fp") == F.col("__label")))
-    alone = (
-        nameless.join(lone, nameless["__row_fp"] == lone["__fp"], "left_semi")
-        .dropDuplicates(["__row_fp"])
-        .drop("__row_fp")
+    # Joined on both, so that copies of a hot text spread by their ids.
+    wanted = (rows["__row_fp"] == named["__kept_fp"]) & rows[id_col].eqNullSafe(named["__kept_id"])
+    return (
+        rows.join(named, wanted, "left_semi").dropDuplicates(["__row_fp"]).select(*docs.columns)
     )
-    return kept.unionAll(alone)

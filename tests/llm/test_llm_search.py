@@ -107,6 +107,14 @@ def test_drop_near_duplicates(spark):
     assert simhash.drop_near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_drop_near_duplicates_with_repeated_ids(spark):
+    """An id on rows with different texts loses none of them that has no copy."""
+    texts = [" ".join(f"t{k}w{i}" for i in range(200)) for k in range(6)]
+    rows = [(5, t) for t in texts] + [(5, texts[0]), (9, texts[1]), (2, texts[2]), (None, texts[3])]
+    want = sorted([(2, texts[2])] + [(5, t) for k, t in enumerate(texts) if k != 2])
+    assert rows_of(simhash.drop_near_duplicates(docs_of(spark, rows)), "doc_id", "text") == want
+
+
 def brute_top_k(rows, queries, k):
     out = []
     for q, code in queries:
