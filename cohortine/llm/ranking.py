@@ -179,7 +179,8 @@ def learn_quality(
 
     Rows with a null id or label are left out; an id with both labels counts as 0. At most
     ``max_labelled`` ids, the first by a hash of the id, reach the driver and are sent
-    to the tasks, so the broadcast side of the join is bounded.
+    to the tasks, so the broadcast side of the join is bounded. An id with repeated rows
+    counts once, by its least feature vector.
     """
     usable = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
@@ -209,11 +210,12 @@ def learn_quality(
                 names=["__id", "__label", "__features"],
             )
 
-    # Repeated rows of one id could exceed the bound again, so it is applied once more.
+    # One row per id, so that an id with many rows crowds out no other.
     table = (
         texts.mapInArrow(run, schema)
-        .orderBy(rank, "__id", "__features")
-        .limit(max_labelled)
+        .groupBy("__id", "__label")
+        .agg(F.min("__features").alias("__features"))
+        .orderBy(rank, "__id")
         .toArrow()
     )
     features = np.array(table["__features"].to_pylist()).reshape(-1, N_FEATURES)

@@ -1,6 +1,7 @@
 """Repetition rules, licences, language and quality on single texts and small tables."""
 
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -203,6 +204,20 @@ def test_quality_defined_cases(spark):
     assert (again.weights == model.weights).all() and again.cut == model.cut
 
 
+def test_quality_with_hot_id(spark):
+    """Repeated rows of an id crowd out no other labelled id, wherever its hash lies."""
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id bigint, quality int")
+    plain = [(i, f"good words here {i}" if i % 2 else f"## $$ ## {i}") for i in ids]
+    first = ranking.learn_quality(docs_of(spark, plain), labels, max_labelled=len(ids))
+    for hot in ids:
+        docs = docs_of(spark, plain + [r for r in plain if r[0] == hot] * len(ids))
+        model = ranking.learn_quality(docs, labels, max_labelled=len(ids))
+        assert model.known and np.allclose(model.weights, first.weights)
+        if hot > 4:
+            break
+
+
 def test_features_are_finite():
     for text in (b"", b" \n", b"a", b"a b", "é".encode() * 9, b"x" * 10_000, b"a\n" * 500):
         assert np.isfinite(ranking.text_features(text)).all()
