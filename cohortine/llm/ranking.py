@@ -3,17 +3,18 @@
 A document of label 1 is preferred to one of label 0. The score of a document is linear
 in plain text statistics; the weights maximise the likelihood that the preferred
 document of each pair wins, a logistic loss on feature differences. The cut is a
-quantile of the scores of the labelled sample: the share of label 0 among them.
+quantile of the scores of all labelled ids: the share of label 0 among them.
 
-The model is fitted on the driver from a bounded sample of labelled rows (``max_labelled``,
-``max_pairs``); every document is then scored inside the tasks, whole and without a
-shuffle.
+The weights are fitted on the driver from a bounded sample of labelled rows
+(``max_labelled``, ``max_pairs``). The cut comes from one more pass that scores all
+documents; only ids and scores are shuffled. Every document is then scored inside the
+tasks, whole and without a shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 import numpy as np
@@ -22,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.quantiles import exact_quantiles
+from ..session import materialise, release
 from .base import code_points, slices, utf8
 
 
@@ -140,7 +143,10 @@ class QualityModel:
 def fit_model(
     features: np.ndarray, labels: np.ndarray, max_pairs: int = 40_000, seed: int = 7
 ) -> QualityModel:
-    """Fit on labelled rows; the pairs are drawn evenly over the rows of each label."""
+    """Fit on labelled rows; the pairs are drawn evenly over the rows of each label.
+
+    The cut is that of these rows alone; :func:`learn_quality` puts :func:`full_cut` there.
+    """
     good, bad = features[labels == 1], features[labels == 0]
     if not len(good) or not len(bad):
         none = np.zeros(N_FEATURES)
@@ -166,6 +172,47 @@ def held_out(id_col: str, folds: int, fold: int) -> Column:
     return F.coalesce(F.pmod(key, F.lit(folds)) == fold, F.lit(False))
 
 
+def full_cut(
+    docs: DataFrame,
+    usable: DataFrame,
+    model: QualityModel,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> float:
+    """The place between the scores on either side of the quantile, over all of ``usable``.
+
+    ``usable`` has one ``__label`` per ``__id``. An id with repeated rows counts once, by its
+    least score.
+    """
+    schema = T.StructType(
+        [
+            T.StructField("__id", docs.schema[id_col].dataType),
+            T.StructField("__raw", T.DoubleType()),
+        ]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            features = [text_features(text) for text in utf8(batch.column(1))]
+            raw = model.raw(np.array(features).reshape(-1, N_FEATURES))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw)], names=schema.names)
+
+    # Scored first, so that no text is shuffled for the join.
+    scores = (
+        docs.where(F.col(id_col).isNotNull())
+        .select(id_col, text_col)
+        .mapInArrow(run, schema)
+        .groupBy("__id")
+        .agg(F.min("__raw").alias("__raw"))
+    )
+    scored = materialise(scores.join(usable, "__id").select("__raw", "__label"))
+    n, bad = scored.agg(F.count(F.lit(1)), F.count_if(F.col("__label") == 0)).first()
+    k = int(np.clip(bad, 1, n - 1))
+    cut = exact_quantiles(scored, ["__raw"], (k - 0.5) / (n - 1))["__raw"]
+    release(scored)
+    return cut
+
+
 def learn_quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -180,7 +227,8 @@ def learn_quality(
     Rows with a null id or label are left out; an id with both labels counts as 0. At most
     ``max_labelled`` ids, the first by a hash of the id, reach the driver and are sent
     to the tasks, so the broadcast side of the join is bounded. An id with repeated rows
-    counts once, by its least feature vector.
+    counts once, by its least feature vector. The bound is for the weights only: the cut
+    covers all labelled ids that have a document.
     """
     usable = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
@@ -219,7 +267,10 @@ def learn_quality(
         .toArrow()
     )
     features = np.array(table["__features"].to_pylist()).reshape(-1, N_FEATURES)
-    return fit_model(features, table["__label"].to_numpy(), max_pairs)
+    model = fit_model(features, table["__label"].to_numpy(), max_pairs)
+    if not model.known:
+        return model
+    return replace(model, cut=full_cut(docs, usable, model, id_col, text_col))
 
 
 def score_texts(model: QualityModel, texts: list[bytes]) -> np.ndarray:

@@ -218,6 +218,18 @@ def test_quality_with_hot_id(spark):
             break
 
 
+def test_quality_cut_covers_all_labels(spark):
+    """The bound is for the fit; as many labelled rows fall below the cut as have label 0."""
+    rng = random.Random(3)
+    ids = [i for i in range(600) if zlib.crc32(str(i).encode()) % 5]
+    good = {i: int(rng.random() < 0.6) for i in ids}
+    texts = {i: "word " * rng.randint(1, 40) + "#$ " * rng.randint(0, 30 - 20 * good[i]) for i in ids}
+    labels = spark.createDataFrame(list(good.items()), "doc_id bigint, quality int")
+    model = ranking.learn_quality(docs_of(spark, list(texts.items())), labels, max_labelled=30)
+    scores = ranking.score_texts(model, [texts[i].encode() for i in ids])
+    assert abs((scores < model.threshold).sum() - (len(ids) - sum(good.values()))) <= 2
+
+
 def test_features_are_finite():
     for text in (b"", b" \n", b"a", b"a b", "é".encode() * 9, b"x" * 10_000, b"a\n" * 500):
         assert np.isfinite(ranking.text_features(text)).all()
