@@ -3,6 +3,7 @@
 A text is cut into sentences, each normalised to lower-case ASCII words and digits. Known
 licence sentences become identifiers; the sequence of identifiers of a text is matched
 against ordered licence rules, longer ones first, and what a rule has matched is used up.
+Known wordings are cut with the same pattern, so one of them may become several identifiers.
 Built-in functions only; every text is handled alone, whole, and without a shuffle.
 """
 
@@ -10,12 +11,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Identifier and wording of known licence sentences (public licence texts).
-SENTENCES = (
+WORDINGS = (
     ("APACHE2_REF", "Licensed under the Apache License, Version 2.0"),
     ("APACHE2_LICENSED", 'Licensed under the Apache License, Version 2.0 (the "License")'),
     ("APACHE2_COMPLY", "you may not use this file except in compliance with the License"),
@@ -36,28 +38,81 @@ SENTENCES = (
     ("GPL3_REF", "Licensed under the GNU General Public License, version 3"),
     ("GPL_MODIFY3", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
     ("MPL2_REF", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("CC_BY_REF", "Licensed under CC BY 4.0"),
-    ("CC_BY_SA_REF", "Licensed under CC BY-SA 4.0"),
-    ("CC_BY_NC_REF", "Licensed under CC BY-NC 4.0"),
+    ("GPL_MODIFY3", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version"),
+    ("GPL3_ONLY", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, version 3"),
+    ("GPL3_ONLY", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 3 of the License"),
+    ("GPL2_LATER", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version"),
+    ("GPL2_LATER", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version"),
+    ("GPL2_ONLY", "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation"),
+    ("GPL2_ONLY", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 2 of the License"),
+    ("LGPL20_LATER", "you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version"),
+    ("LGPL21_LATER", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version"),
+    ("LGPL21_LATER", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version"),
+    ("LGPL3_LATER", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version"),
+    ("LGPL3_LATER", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
+    ("AGPL3_LATER", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
+    ("AGPL3_LATER", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version"),
+    ("GPL2_REF", "Licensed under the GNU General Public License, version 2"),
+    ("GPL2_REF", "This work is licensed under the GNU General Public License, version 2"),
+    ("ISC_GRANT", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("ISC_GRANT", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("BSD0_GRANT", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("ISC_REF", "Licensed under the ISC License"),
+    ("BSD2_REF", "Licensed under the BSD 2-Clause License"),
+    ("EPL2_REF", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0"),
+    ("EPL2_REF", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at http://www.eclipse.org/legal/epl-2.0"),
+    ("EPL2_REF", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0 which accompanies this distribution, and is available at https://www.eclipse.org/legal/epl-2.0"),
+    ("EPL2_TITLE", "Eclipse Public License - v 2.0"),
+    ("EPL1_REF", "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html"),
+    ("EPL1_TITLE", "Eclipse Public License - v 1.0"),
+    ("CC0_TITLE", "CC0 1.0 Universal"),
+    ("CC0_DEED", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty"),
+    ("UNLICENSE", "This is free and unencumbered software released into the public domain"),
+    ("MPL2_TITLE", "Mozilla Public License Version 2.0"),
+    *[
+        (f"{name}_REF", wording)
+        for name, short, kind in (
+            ("CC_BY", "CC BY", "Attribution"),
+            ("CC_BY_SA", "CC BY-SA", "Attribution-ShareAlike"),
+            ("CC_BY_NC", "CC BY-NC", "Attribution-NonCommercial"),
+            ("CC_BY_ND", "CC BY-ND", "Attribution-NoDerivatives"),
+            ("CC_BY_NC_SA", "CC BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+            ("CC_BY_NC_ND", "CC BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+        )
+        for wording in (
+            f"Licensed under {short} 4.0",
+            f"This work is licensed under {short} 4.0",
+            f"This work is licensed under a Creative Commons {kind} 4.0 International License",
+            f"This work is licensed under the Creative Commons {kind} 4.0 International License",
+            f"Licensed under a Creative Commons {kind} 4.0 International License",
+            f"Licensed under the Creative Commons {kind} 4.0 International License",
+            f"This work is licensed under Creative Commons {kind} 4.0 International",
+        )
+    ],
     ("SPDX", "SPDX-License-Identifier"),
-    ("ID_APACHE2", "Apache-2.0"),
-    ("ID_MIT", "MIT"),
-    ("ID_GPL3", "GPL-3.0-only"),
-    ("ID_BSD3", "BSD-3-Clause"),
 )
 
-#: Licence and the identifiers that stand for it, in the order of trial.
-RULES = (
+#: SPDX identifier and the older ones that mean the same.
+SPDX_IDS = (
+    ("Apache-2.0",), ("MIT",), ("GPL-3.0-only", "GPL-3.0"), ("BSD-3-Clause",), ("BSD-2-Clause",),
+    ("GPL-3.0-or-later",), ("GPL-2.0-only", "GPL-2.0"), ("GPL-2.0-or-later",),
+    ("LGPL-2.0-only", "LGPL-2.0"), ("LGPL-2.0-or-later",), ("LGPL-2.1-only", "LGPL-2.1"),
+    ("LGPL-2.1-or-later",), ("LGPL-3.0-only", "LGPL-3.0"), ("LGPL-3.0-or-later",),
+    ("AGPL-3.0-only", "AGPL-3.0"), ("AGPL-3.0-or-later",), ("MPL-2.0",), ("MPL-1.1",), ("ISC",),
+    ("EPL-1.0",), ("EPL-2.0",), ("CC0-1.0",), ("Unlicense",), ("0BSD",), ("Zlib",), ("BSL-1.0",),
+    ("MIT-0",), ("CC-BY-4.0",), ("CC-BY-SA-4.0",), ("CC-BY-NC-4.0",), ("CC-BY-ND-4.0",),
+    ("CC-BY-NC-SA-4.0",), ("CC-BY-NC-ND-4.0",),
+)
+
+#: Licence and the wordings that stand for it, in the order of trial.
+LICENCE_RULES = (
     ("Apache-2.0", ("APACHE2_LICENSED", "APACHE2_COMPLY", "APACHE2_COPY", "APACHE2_AS_IS", "APACHE2_SEE")),
     ("Apache-2.0", ("APACHE2_LICENSED", "APACHE2_COMPLY")),
     ("MIT", ("MIT_GRANT", "MIT_NOTICE", "MIT_AS_IS")),
     ("BSD-3-Clause", ("BSD_GRANT", "BSD_SOURCE", "BSD_BINARY", "BSD_ENDORSE")),
     ("BSD-2-Clause", ("BSD_GRANT", "BSD_SOURCE", "BSD_BINARY")),
     ("GPL-3.0-or-later", ("GPL_MODIFY3",)),
-    ("Apache-2.0", ("SPDX", "ID_APACHE2")),
-    ("MIT", ("SPDX", "ID_MIT")),
-    ("GPL-3.0-only", ("SPDX", "ID_GPL3")),
-    ("BSD-3-Clause", ("SPDX", "ID_BSD3")),
+    *[(names[0], ("SPDX", f"ID_{names[0]}")) for names in SPDX_IDS],
     ("Apache-2.0", ("APACHE2_REF",)),
     ("MIT", ("MIT_REF",)),
     ("BSD-3-Clause", ("BSD_REF",)),
@@ -66,6 +121,29 @@ RULES = (
     ("CC-BY-4.0", ("CC_BY_REF",)),
     ("CC-BY-SA-4.0", ("CC_BY_SA_REF",)),
     ("CC-BY-NC-4.0", ("CC_BY_NC_REF",)),
+    ("CC-BY-ND-4.0", ("CC_BY_ND_REF",)),
+    ("CC-BY-NC-SA-4.0", ("CC_BY_NC_SA_REF",)),
+    ("CC-BY-NC-ND-4.0", ("CC_BY_NC_ND_REF",)),
+    ("GPL-3.0-only", ("GPL3_ONLY",)),
+    ("GPL-2.0-or-later", ("GPL2_LATER",)),
+    ("GPL-2.0-only", ("GPL2_ONLY",)),
+    ("GPL-2.0-only", ("GPL2_REF",)),
+    ("LGPL-2.0-or-later", ("LGPL20_LATER",)),
+    ("LGPL-2.1-or-later", ("LGPL21_LATER",)),
+    ("LGPL-3.0-or-later", ("LGPL3_LATER",)),
+    ("AGPL-3.0-or-later", ("AGPL3_LATER",)),
+    ("MPL-2.0", ("MPL2_TITLE",)),
+    ("ISC", ("ISC_GRANT",)),
+    ("ISC", ("ISC_REF",)),
+    ("0BSD", ("BSD0_GRANT",)),
+    ("BSD-2-Clause", ("BSD2_REF",)),
+    ("EPL-2.0", ("EPL2_REF",)),
+    ("EPL-2.0", ("EPL2_TITLE",)),
+    ("EPL-1.0", ("EPL1_REF",)),
+    ("EPL-1.0", ("EPL1_TITLE",)),
+    ("CC0-1.0", ("CC0_TITLE",)),
+    ("CC0-1.0", ("CC0_DEED",)),
+    ("Unlicense", ("UNLICENSE",)),
 )
 
 #: Ends of sentences where lines are wrapped, and where every line is on its own.
@@ -79,6 +157,58 @@ def normal_form(sentence: str) -> str:
     return re.sub(r"[^A-Za-z0-9]+", " ", sentence).lower().strip(" ")
 
 
+def cut_tables(
+    wordings: Sequence[tuple[str, str]], rules: Sequence[tuple[str, Sequence[str]]]
+) -> tuple[tuple[tuple[str, str], ...], tuple[tuple[str, tuple[str, ...]], ...]]:
+    """Sentences and rules with every wording cut as a text is.
+
+    A wording of several sentences gets an identifier for each, ``NAME_1``, ``NAME_2`` ...,
+    and a rule that names it asks for them one after another. Equal sentences share the
+    identifier of the first. Tables that are cut already stay as they are.
+    """
+    known: dict[str, str] = {}
+    forms: list[tuple[str, str]] = []
+    ways: dict[str, list[tuple[str, ...]]] = {}
+    for name, wording in wordings:
+        parts = [part for part in re.split(WRAPPED_ENDS, wording) if normal_form(part)]
+        ids = []
+        for i, part in enumerate(parts, 1):
+            form = normal_form(part)
+            if form not in known:
+                known[form] = name if len(parts) == 1 else f"{name}_{i}"
+                forms.append((known[form], part))
+            ids.append(known[form])
+        if tuple(ids) not in ways.setdefault(name, []):
+            ways[name].append(tuple(ids))
+    full = [
+        (licence, tuple(name for way in choice for name in way))
+        for licence, sequence in rules
+        for choice in product(*[sorted(ways.get(x, [(x,)]), key=len)[::-1] for x in sequence])
+    ]
+    return tuple(forms), tuple(dict.fromkeys(full))
+
+
+SENTENCES, RULES = cut_tables(
+    [*WORDINGS, *[(f"ID_{names[0]}", x) for names in SPDX_IDS for x in names]], LICENCE_RULES
+)
+
+#: The holder in the endorsement clause varies, and may hold the end of a sentence (Inc.).
+HOLDER = (
+    r"(?is)\bneither[^a-z0-9]+the[^a-z0-9]+names?[^a-z0-9]+of\b.{1,300}?\bnor[^a-z0-9]+the"
+    r"[^a-z0-9]+names?[^a-z0-9]+of[^a-z0-9]+(?:its|their|any|the)\b(?=[^a-z0-9]+contributors)"
+)
+#: An older way to write "or later", whose sign the normal form would drop.
+PLUS = r"\b(A?L?GPL-[0-9.]+)\+"
+
+
+def settle(text: Column) -> Column:
+    """The text with one fixed holder name and ``-or-later`` for the sign ``+``."""
+    held = F.regexp_replace(
+        text, HOLDER, "neither the name of the copyright holder nor the names of its"
+    )
+    return F.regexp_replace(held, PLUS, "$1-or-later")
+
+
 def sentence_ids(text: Column, ends: str, sentences: Sequence[tuple[str, str]]) -> Column:
     """Identifiers of the known sentences of a text, in order."""
     known: dict[str, str] = {normal_form(wording): name for name, wording in sentences}
@@ -115,7 +245,10 @@ def match_rules(ids: Column, rules: Sequence[tuple[str, Sequence[str]]]) -> Colu
             ),
         ).otherwise(state)
 
-    return F.aggregate(steps, start, step, lambda state: state["found"])
+    none = F.array().cast("array<string>")
+    return F.when(F.size(ids) == 0, none).otherwise(
+        F.aggregate(steps, start, step, lambda state: state["found"])
+    )
 
 
 def anchors(sentences: Sequence[tuple[str, str]], rules) -> list[str]:
@@ -127,7 +260,7 @@ def anchors(sentences: Sequence[tuple[str, str]], rules) -> list[str]:
     wordings: dict[str, list[str]] = {}
     for name, wording in sentences:
         wordings.setdefault(name, []).append(normal_form(wording))
-    words = {w for forms in wordings.values() for form in forms for w in form.split() if len(w) > 3}
+    words = {w for forms in wordings.values() for form in forms for w in form.split() if len(w) > 4}
     serves = {
         word: {
             i
@@ -164,11 +297,12 @@ def recognise_licences(
 
     A text without any of the words that the rules need (:func:`anchors`) is not cut up.
     """
+    sentences, rules = cut_tables(sentences, rules)
     lowered = F.lower(F.col(text_col))
     possible = F.lit(False)
     for word in anchors(sentences, rules):
         possible = possible | F.contains(lowered, F.lit(word))
-    text = F.when(possible, F.col(text_col)).otherwise("")
+    text = F.when(possible, settle(F.col(text_col))).otherwise("")
     read = docs.select(
         F.col(id_col),
         sentence_ids(text, WRAPPED_ENDS, sentences).alias("__wrapped"),

@@ -1,6 +1,7 @@
 """Repetition rules, licences, language and quality on single texts and small tables."""
 
 import random
+import textwrap
 import zlib
 from collections import Counter
 
@@ -12,9 +13,12 @@ from pyspark.sql import functions as F
 from cohortine.llm import langid, ranking
 from cohortine.llm.base import read
 from cohortine.llm.licences import (
+    LICENCE_RULES,
     LINE_ENDS,
     RULES,
     SENTENCES,
+    SPDX_IDS,
+    WORDINGS,
     anchors,
     normal_form,
     recognise_licences,
@@ -129,6 +133,71 @@ def test_licences(spark):
     assert normal_form(" (The \"X-2.0\")") == "the x 2 0" and LINE_ENDS
 
 
+NOTICES = {
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "GPL-2.0-or-later": """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version.""",
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "LGPL-2.1-or-later": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""",
+    "AGPL-3.0-or-later": """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU Affero General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "EPL-2.0": """This program and the accompanying materials are made
+available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0/""",
+    "CC0-1.0": "Creative Commons Legal Code\n\nCC0 1.0 Universal\n\n    CREATIVE COMMONS",
+    "Unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone",
+    "CC-BY-4.0": """This work is licensed under a Creative Commons Attribution 4.0
+International License.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of Some Maker, Inc. nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""",
+}
+
+
+def test_licence_notices_and_all_table_entries(spark):
+    rows = [(name, notice) for name, notice in NOTICES.items()]
+    rows += [(names[0], f"// SPDX-License-Identifier: {x}\ncode") for names in SPDX_IDS for x in names]
+    rows.append(("LGPL-2.1-or-later", "/* SPDX-License-Identifier: LGPL-2.1+ */\ncode"))
+    wordings: dict[str, list[str]] = {}
+    for name, wording in WORDINGS:
+        wordings.setdefault(name, []).append(wording)
+    for licence, sequence in LICENCE_RULES:
+        if sequence[0] != "SPDX":
+            for k in range(max(len(wordings[name]) for name in sequence)):
+                parts = [wordings[name][min(k, len(wordings[name]) - 1)] for name in sequence]
+                rows.append((licence, "\n\n".join(textwrap.fill(part + ".", 72) for part in parts)))
+    used = {name for _, sequence in LICENCE_RULES for name in sequence}
+    assert used == {*wordings, *(f"ID_{names[0]}" for names in SPDX_IDS)}
+    docs = docs_of(spark, [(i, text) for i, (_, text) in enumerate(rows)])
+    got = {r.doc_id: r.licences for r in recognise_licences(docs).collect()}
+    assert [got[i] for i in range(len(rows))] == [name for name, _ in rows]
+
+
 def test_grams_by_hand():
     def key(*chars):
         out = 0
