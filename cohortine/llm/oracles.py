@@ -217,6 +217,25 @@ FROM docs LEFT JOIN best USING (doc_id)
 """
 
 
+#: Windows as texts, grouped over all documents.
+OP11 = r"""
+WITH docs AS (
+  SELECT doc_id, [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS ws
+  FROM documents),
+windows AS (
+  SELECT doc_id, place, sha256(array_to_string(ws[place:place + 49], ' ')) AS said
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS place FROM docs)),
+firsts AS (SELECT said, min(doc_id) AS first FROM windows GROUP BY 1),
+gone AS (
+  SELECT doc_id, list_distinct(flatten(list(range(place, place + 50)))) AS places
+  FROM windows JOIN firsts USING (said) WHERE doc_id > first GROUP BY 1),
+marked AS (
+  SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(CAST(len(places) AS BIGINT), 0) AS n_removed,
+    [x FOR x, i IN ws IF NOT list_contains(coalesce(places, []), i)] AS kept
+  FROM docs d LEFT JOIN gone g ON d.doc_id = g.doc_id)
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM marked
+"""
+
 OP8 = _licence_sql().replace("WITH RECURSIVE", "WITH")
 
 ALL = {
@@ -225,4 +244,5 @@ ALL = {
     "op4_chat": OP4,
     "op6_urls": OP6,
     "op8_licences": OP8,
+    "op11_substrings": OP11,
 }

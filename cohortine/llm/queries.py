@@ -19,6 +19,7 @@ from .packing import pack_documents
 from .ranking import learn_quality, score_quality
 from .repetition import repetition_quality
 from .simhash import near_duplicates
+from .substrings import remove_repeated_passages
 from .urls import SiteRule, judge_urls
 
 #: The site rules of the URL query.
@@ -94,6 +95,10 @@ def op10_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, learn_quality(docs, read(spark, sf_dir, "labels")))
 
 
+def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_passages(read(spark, sf_dir, "documents"), 50, with_text=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_multiindex": op1_multiindex,
     "op2_repetition": op2_repetition,
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_bytepair": op9_bytepair,
     "op10_ranking": op10_ranking,
+    "op11_substrings": op11_substrings,
 }
 
 ORACLES: dict[str, str] = dict(ALL)
