@@ -236,6 +236,58 @@ marked AS (
 SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM marked
 """
 
+#: Scores of all pairs with an anchor.
+OP12 = """
+WITH rows AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows a, rows b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+        FROM pairs WHERE same) WHERE place <= 5),
+ranked AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS place
+  FROM pairs JOIN positives USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score,
+  negative_score
+FROM ranked WHERE place <= 10
+"""
+
+#: Every item against every document that holds one of its terms.
+OP13 = r"""
+WITH words AS (
+  SELECT kind, id, unnest([x FOR x IN string_split_regex(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') IF x <> '']) AS term
+  FROM (SELECT 'd' AS kind, doc_id AS id, coalesce(text, '') AS text FROM documents
+        UNION ALL SELECT 'q', item_id, coalesce(text, '') FROM benchmark)),
+tfs AS (SELECT id, term, count(*) AS tf FROM words WHERE kind = 'd' GROUP BY 1, 2),
+sizes AS (SELECT id, CAST(sum(tf) AS BIGINT) AS n FROM tfs GROUP BY 1),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+norms AS (SELECT id, 100 - 25 + ((25 * n * docs) // terms) AS m FROM sizes, totals),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tfs, totals GROUP BY term, docs),
+scores AS (
+  SELECT q.id AS item_id, t.id AS doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM words q JOIN tfs t USING (term) JOIN weights USING (term) JOIN norms n ON n.id = t.id
+  WHERE kind = 'q' GROUP BY 1, 2),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place
+  FROM scores WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 20
+"""
+
 OP8 = _licence_sql().replace("WITH RECURSIVE", "WITH")
 
 ALL = {
@@ -245,4 +297,6 @@ ALL = {
     "op6_urls": OP6,
     "op8_licences": OP8,
     "op11_substrings": OP11,
+    "op12_covertree": OP12,
+    "op13_lexical": OP13,
 }

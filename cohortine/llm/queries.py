@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from .base import read
 from .bytepair import encode_documents
 from .chat import conversation_digests, format_conversations
+from .covertree import mine_hard_negatives, scaled_floor
 from .langid import learn_languages, predict_language
+from .lexical import rank_documents
 from .licences import recognise_licences
 from .multiindex import sign_code, top_k
 from .oracles import ALL
@@ -99,6 +101,19 @@ def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_passages(read(spark, sf_dir, "documents"), 50, with_text=False)
 
 
+def op12_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, after moving every seventh label on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").select(
+        "vec_id", label.alias("label"), scaled_floor("embedding", 256).alias("vector")
+    )
+    return mine_hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_multiindex": op1_multiindex,
     "op2_repetition": op2_repetition,
@@ -111,6 +126,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bytepair": op9_bytepair,
     "op10_ranking": op10_ranking,
     "op11_substrings": op11_substrings,
+    "op12_covertree": op12_covertree,
+    "op13_lexical": op13_lexical,
 }
 
 ORACLES: dict[str, str] = dict(ALL)
