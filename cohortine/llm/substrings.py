@@ -6,12 +6,14 @@
    order of magnitude fewer of them than windows, while equal windows always have equal
    anchors. The count of an anchor in the merged sketch is therefore never below the number of
    documents that hold the window: a window estimated at one is unique, and none is lost.
-2. A second pass over the texts keeps the anchors estimated at two or more, groups them
-   exactly, and goes on with the windows whose anchor really stands in two documents.
-3. Those windows are grouped exactly, by 128 bits of hash, for the smallest id of each.
+2. A second pass over the texts keeps the runs of windows whose anchor is estimated at two or
+   more. Equal runs, by 128 bits of hash over all their words, are grouped exactly: those of
+   larger ids are covered, and the run of the smallest id speaks for them.
+3. Where different runs that remain have one anchor, they share some of their windows only, and
+   those windows are grouped exactly, again by 128 bits, for the smallest id of each.
 
 The sketch has a fixed size, so what is broadcast does not grow. When the corpus outgrows it,
-more anchors pass to the exact grouping of step 2, whose rows are a small part of the text,
+more runs pass to the exact grouping of step 2, whose rows are a small part of the text,
 and nothing else changes.
 """
 
@@ -70,20 +72,34 @@ class WordHashes:
         return self.table[at]
 
 
-def rolling(values: np.ndarray, k: int, odd: np.uint64) -> np.ndarray:
-    """Hash of every ``k`` consecutive values, from running sums modulo 2^64."""
-    n = len(values)
-    if n < k:
-        return np.zeros(0, np.uint64)
-    steps = np.full(n, odd, np.uint64)
+def _running(values: np.ndarray, odd: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of values times powers of ``odd``, and what takes the powers back."""
+    steps = np.full(len(values), odd, np.uint64)
     steps[0] = 1
     powers = np.multiply.accumulate(steps)
     steps[1:] = np.uint64(pow(int(odd), -1, 1 << 64))
     back = np.multiply.accumulate(steps)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers, dtype=np.uint64)])
+    return sums, back
+
+
+def rolling(values: np.ndarray, k: int, odd: np.uint64) -> np.ndarray:
+    """Hash of every ``k`` consecutive values, from running sums modulo 2^64."""
+    n = len(values)
+    if n < k:
+        return np.zeros(0, np.uint64)
+    sums, back = _running(values, odd)
     return mix((sums[k:] - sums[: n - k + 1]) * back[: n - k + 1])
 
 
+def span_hashes(values: np.ndarray, begins: np.ndarray, ends: np.ndarray, odd: np.uint64) -> np.ndarray:
+    """Hash of the values from each begin to its end, as :func:`rolling` makes them."""
+    if not len(begins):
+        return np.zeros(0, np.uint64)
+    sums, back = _running(values, odd)
+    return mix((sums[ends] - sums[begins]) * back[begins] + (ends - begins).astype(np.uint64))
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Least of every ``width`` consecutive values."""
     least, done = values, 1
@@ -116,11 +132,6 @@ class Windows:
     def digests(self, column: int) -> np.ndarray:
         return rolling(self.hashes[:, column], self.window, _ODD[column])[self.places]
 
-    def name(self, doc: int) -> bytes:
-        """128-bit name of the word sequence of a text."""
-        words = self.hashes[self.ends[doc] - self.sizes[doc] : self.ends[doc]]
-        return hashlib.blake2b(words.tobytes(), digest_size=16).digest()
-
 
 def _cells(anchors: np.ndarray, row: int, cells: int) -> np.ndarray:
     seed = np.uint64((row + 1) * int(_ODD[1]) % (1 << 64))
@@ -234,17 +245,16 @@ def with_owner(rows: DataFrame, keys: list[str], wanted: Column) -> DataFrame:
 
 
 def _with_lists(texts: DataFrame, lists: DataFrame, column: str, how: str) -> DataFrame:
-    """Texts with the list that ``lists`` has for the same id and word sequence."""
-    lists = lists.select(F.col("id").alias("l_id"), F.col("name").alias("l_name"), column)
-    same = F.col("id").eqNullSafe(F.col("l_id")) & (F.col("name") == F.col("l_name"))
-    return texts.join(lists, same, how).select(*texts.columns, column)
+    """Texts with the list that ``lists`` has for the same row."""
+    lists = lists.select(F.col("row").alias("l_row"), column)
+    return texts.join(lists, F.col("row") == F.col("l_row"), how).drop("l_row")
 
 
 def remove_repeated_passages(
     docs: DataFrame,
     window: int = 50,
     cells: int = 1 << 26,
-    rows: int = 2,
+    rows: int = 3,
     with_text: bool = True,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -260,7 +270,7 @@ def remove_repeated_passages(
     stay whole, whatever others hold. Rows of one id never take words from each other, so
     repeated rows are alike in the result. A null id counts as larger than any. Other
     columns are not read. An empty table gives no rows. ``cells`` (a power of two) and
-    ``rows`` set the size of the sketch, 16 MB by default; they change the work, never the result.
+    ``rows`` set the size of the sketch, 24 MB by default; they change the work, never the result.
     """
     if window < 2 or cells & (cells - 1) or cells < 8:
         raise ValueError("a window has two words at least; cells is a power of two over 4")
@@ -268,23 +278,22 @@ def remove_repeated_passages(
     id_type = texts.schema["id"].dataType
     spark = docs.sparkSession
     sketch = spark.sparkContext.broadcast(merged_sketch(texts.select("text"), window, cells, rows))
-    anchor_type = T.ArrayType(
-        T.StructType(
-            [
-                T.StructField("anchor", T.LongType()),
-                T.StructField("begin", T.IntegerType()),
-                T.StructField("end", T.IntegerType()),
-            ]
-        )
-    )
     field = T.StructField
+    runs_type = T.StructType(
+        [
+            field("anchor", T.LongType()),
+            field("begin", T.IntegerType()),
+            field("end", T.IntegerType()),
+            field("r1", T.LongType()),
+            field("r2", T.LongType()),
+        ]
+    )
     marked_schema = T.StructType(
         [
             field("id", id_type),
-            field("name", T.BinaryType()),
             field("n_words", T.LongType()),
             field("kept", T.StringType()),
-            field("anchors", anchor_type),
+            field("runs", T.ArrayType(runs_type)),
         ]
     )
 
@@ -303,14 +312,21 @@ def remove_repeated_passages(
             begins, ends = begins[keep], ends[keep]
             doc = found.docs[begins]
             first = (found.ends - found.sizes)[doc]
+            anchor = anchors[begins]
+            begins, ends = found.places[begins], found.places[ends - 1] + 1
             n_runs = np.bincount(doc, minlength=batch.num_rows)
+            whole = [
+                span_hashes(found.hashes[:, i], begins, ends + window - 1, odd).view(np.int64)
+                for i, odd in enumerate(_ODD)
+            ]
             runs = pa.StructArray.from_arrays(
                 [
-                    pa.array(anchors[begins].view(np.int64)),
-                    pa.array((found.places[begins] - first).astype(np.int32)),
-                    pa.array((found.places[ends - 1] + 1 - first).astype(np.int32)),
+                    pa.array(anchor.view(np.int64)),
+                    pa.array((begins - first).astype(np.int32)),
+                    pa.array((ends - first).astype(np.int32)),
+                    *map(pa.array, whole),
                 ],
-                names=["anchor", "begin", "end"],
+                names=runs_type.names,
             )
             offsets = np.append(0, np.cumsum(n_runs)).astype(np.int32)
             joined = [b" ".join(words) for words in found.words]
@@ -322,7 +338,6 @@ def remove_repeated_passages(
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([found.name(i) for i in range(batch.num_rows)], pa.binary()),
                     pa.array(found.sizes),
                     pa.array(joined, pa.binary()).cast(pa.string()),
                     pa.ListArray.from_arrays(pa.array(offsets), runs),
@@ -330,44 +345,47 @@ def remove_repeated_passages(
                 names=marked_schema.names,
             )
 
-    marked = materialise(texts.mapInArrow(mark, marked_schema))
+    marked = materialise(
+        texts.mapInArrow(mark, marked_schema).withColumn("row", F.monotonically_increasing_id())
+    )
     sketch.unpersist()
-    suspects = marked.where(F.size("anchors") > 0)
-    bare = suspects.select("id", "name", "n_words", "kept")
-
-    # Anchors that really stand in rows of two ids, and the runs of windows under them.
-    runs = suspects.select("id", "name", F.inline("anchors"))
-    two_ids = (F.col("first") < F.col("last")) | ((F.col("nulls") > 0) & F.col("first").isNotNull())
-    shared = (
-        with_owner(runs, ["anchor"], two_ids)
-        .groupBy("id", "name")
-        .agg(F.collect_set(F.struct("begin", "end")).alias("runs"))
+    suspects = marked.where(F.size("runs") > 0)
+    bare = suspects.select("row", "id", "n_words", "kept")
+
+    # Equal runs: the smallest id has them, the others lose all their windows.
+    has_two = (F.col("first") < F.col("last")) | ((F.col("nulls") > 0) & F.col("first").isNotNull())
+    later = F.col("first").isNotNull() & (F.col("id").isNull() | (F.col("id") > F.col("first")))
+    runs = suspects.select("row", "id", F.inline("runs"))
+    run_key = ["anchor", "r1", "r2"]
+    judged = materialise(
+        with_owner(runs, run_key, F.lit(True))
+        .withColumn("covered", F.coalesce(later, F.lit(False)))
+        .select("row", "id", "anchor", "begin", "end", "covered")
     )
-    windows_type = T.ArrayType(
-        T.StructType(
-            [
-                T.StructField("place", T.IntegerType()),
-                T.StructField("h1", T.LongType()),
-                T.StructField("h2", T.LongType()),
-            ]
-        )
+    whole_runs = judged.where("covered").select("row", "begin", "end")
+
+    # Different runs of one anchor: their windows one by one.
+    mixed = (
+        with_owner(judged.where("NOT covered").drop("covered"), ["anchor"], has_two)
+        .groupBy("row")
+        .agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     )
-    shared_schema = T.StructType(
+    windows_schema = T.StructType(
         [
+            field("row", T.LongType()),
             field("id", id_type),
-            field("name", T.BinaryType()),
-            field("n_words", T.LongType()),
-            field("kept", T.StringType()),
-            field("windows", windows_type),
+            field("begin", T.IntegerType()),
+            field("h1", T.LongType()),
+            field("h2", T.LongType()),
         ]
     )
 
-    def hash_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hash_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in sized_slices(batches, 3, 512, _BYTES):
-            found = Windows(utf8(batch.column(3)), hashes, window)
+        for batch in sized_slices(batches, 2, 512, _BYTES):
+            found = Windows(utf8(batch.column(2)), hashes, window)
             first = found.ends - found.sizes
-            lists = batch.column(4)
+            lists = batch.column(3)
             spans = lists.flatten()
             doc = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
             begin = spans.field(0).to_numpy().astype(np.int64)
@@ -377,36 +395,31 @@ def remove_repeated_passages(
             wanted[ranges(first[doc] + begin, lengths)] = True
             at = np.flatnonzero(wanted[found.places])
             doc = found.docs[at]
-            values = pa.StructArray.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [
+                    batch.column(0).take(pa.array(doc)),
+                    batch.column(1).take(pa.array(doc)),
                     pa.array((found.places[at] - first[doc]).astype(np.int32)),
                     pa.array(found.digests(0)[at].view(np.int64)),
                     pa.array(found.digests(1)[at].view(np.int64)),
                 ],
-                names=["place", "h1", "h2"],
-            )
-            counts = np.bincount(doc, minlength=batch.num_rows)
-            offsets = np.append(0, np.cumsum(counts)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:4],
-                    pa.ListArray.from_arrays(pa.array(offsets), values),
-                ],
-                names=shared_schema.names,
+                names=windows_schema.names,
             )
 
-    hashed = materialise(
-        _with_lists(bare, shared, "runs", "inner").mapInArrow(hash_runs, shared_schema)
+    windows = materialise(
+        _with_lists(bare.drop("n_words"), mixed, "spans", "inner").mapInArrow(
+            hash_windows, windows_schema
+        )
     )
-
-    # The exact grouping: a window goes where a smaller id has it too.
-    windows = hashed.select("id", "name", F.inline("windows"))
-    later = F.col("first").isNotNull() & (F.col("id").isNull() | (F.col("id") > F.col("first")))
-    covered = (
-        with_owner(windows, ["h1", "h2"], two_ids)
+    single = (
+        with_owner(windows, ["h1", "h2"], has_two)
         .where(later)
-        .groupBy("id", "name")
-        .agg(F.collect_set("place").alias("places"))
+        .select("row", "begin", (F.col("begin") + 1).alias("end"))
+    )
+    covered = (
+        whole_runs.unionByName(single)
+        .groupBy("row")
+        .agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     )
     out_schema = T.StructType(
         [
@@ -420,12 +433,12 @@ def remove_repeated_passages(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sized_slices(batches, 2, 512, _BYTES):
             kept, removed = [], []
-            for text, places in zip(utf8(batch.column(2)), batch.column(3)):
+            for text, spans in zip(utf8(batch.column(2)), batch.column(3)):
                 words = text.split()
                 gone = np.zeros(len(words) + 1, np.int32)
-                starts = np.array(places.values if places.is_valid else [], np.int64)
-                gone[starts] += 1
-                gone[starts + window] -= 1
+                if spans.is_valid:
+                    np.add.at(gone, spans.values.field(0).to_numpy(), 1)
+                    np.add.at(gone, spans.values.field(1).to_numpy() + (window - 1), -1)
                 gone = np.cumsum(gone[:-1]) > 0
                 removed.append(int(gone.sum()))
                 if removed[-1]:
@@ -441,8 +454,8 @@ def remove_repeated_passages(
                 names=out_schema.names,
             )
 
-    cut_texts = _with_lists(bare, covered, "places", "left").drop("name")
-    clean = marked.where(F.size("anchors") == 0).select(
+    cut_texts = _with_lists(bare, covered, "spans", "left").drop("row")
+    clean = marked.where(F.size("runs") == 0).select(
         F.col("id").alias(id_col),
         "n_words",
         F.lit(0).cast("bigint").alias("n_removed"),
