@@ -12,19 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Accepted spellings of text that is not ISO, tried in this order.
-DATE_FORMATS = (
-    "M/d/yyyy[ H:mm[:ss]]",
-    "d-MMM-yyyy[ H:mm[:ss]]",
-    "dMMMyyyy[ H:mm[:ss]]",
-    "d MMM yyyy[ H:mm[:ss]]",
-    "MMMM d, yyyy[ H:mm[:ss]]",
-    "MMM d, yyyy[ H:mm[:ss]]",
-    "yyyyMMdd",
-    "yyyy/M/d[ H:mm[:ss]]",
-)
-# Whole text in ISO form; the cast alone would also take a date before other words.
-_ISO = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?)?$"
+from .dates import ORDERS, column_moment
 
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
@@ -67,29 +55,23 @@ def number_or_null(df: DataFrame, name: str) -> Column:
     return F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double"))
 
 
-def moment_or_null(df: DataFrame, name: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+def moment_or_null(df: DataFrame, name: str, order: str = ORDERS[0]) -> Column:
     """Timestamp (without zone) of a column; text that is no date becomes NULL.
 
-    A date without a time part is its midnight. A format may end in an optional time,
-    and text in ISO form may have one.
+    A date without a time part is its midnight. ``order`` is that of three numbers in a text,
+    as :func:`.dates.settle_orders` finds it.
     """
-    dtype = _type(df, name)
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.col(name).cast("timestamp_ntz")
-    text = f"trim(string(`{name}`))"
-    iso = f"CASE WHEN {text} RLIKE '{_ISO}' THEN try_cast({text} AS timestamp_ntz) END"
-    others = [f"try_to_timestamp({text}, '{f}')::timestamp_ntz" for f in formats]
-    return F.expr(f"coalesce({', '.join([iso, *others])})")
+    return column_moment(df, name, order)
 
 
-def date_or_null(df: DataFrame, name: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+def date_or_null(df: DataFrame, name: str, order: str = ORDERS[0]) -> Column:
     """Date value of a column; text that is no date becomes NULL."""
-    return moment_or_null(df, name, formats).cast("date")
+    return moment_or_null(df, name, order).cast("date")
 
 
-def iso_date(df: DataFrame, name: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+def iso_date(df: DataFrame, name: str, order: str = ORDERS[0]) -> Column:
     """Date normalised to ``yyyy-MM-dd`` text."""
-    return date_or_null(df, name, formats).cast("string")
+    return date_or_null(df, name, order).cast("string")
 
 
 def upper(df: DataFrame, name: str, default: str | None = None) -> Column:
@@ -127,9 +109,18 @@ def day_diff(end: Column, start: Column) -> Column:
 
 
 def elapsed_days(end: Column, start: Column) -> Column:
-    """Whole elapsed days between two timestamps, rounded down (not midnights passed)."""
-    seconds = F.unix_timestamp(end.cast("timestamp")) - F.unix_timestamp(start.cast("timestamp"))
-    return F.floor(seconds / 86400).cast("bigint")
+    """Whole elapsed days between two moments, rounded down (not midnights passed).
+
+    Both are read as clock times without a zone, so a change of the clocks in the session's
+    zone is no part of the result.
+    """
+    end, start = end.cast("timestamp_ntz"), start.cast("timestamp_ntz")
+
+    def time_of_day(moment: Column) -> Column:
+        return moment - moment.cast("date").cast("timestamp_ntz")
+
+    not_yet = time_of_day(end) < time_of_day(start)
+    return (F.datediff(end, start) - F.when(not_yet, 1).otherwise(0)).cast("bigint")
 
 
 def percent(part: Column, whole: Column) -> Column:

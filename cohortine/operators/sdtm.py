@@ -21,9 +21,11 @@ from ..functions.columns import (
     subject_key,
     upper,
 )
+from ..functions.dates import ORDERS, settle_orders
 from .numbering import number_rows
 
-Builder = Callable[[DataFrame, str], Mapping[str, Column]]
+Orders = Mapping[str, str]
+Builder = Callable[[DataFrame, str, Orders], Mapping[str, Column]]
 
 
 @dataclass(frozen=True)
@@ -35,6 +37,7 @@ class Domain:
     required: tuple[str, ...]
     build: Builder
     sequence: str | None = None
+    dates: tuple[str, ...] = ()
 
 
 def map_domain(
@@ -43,15 +46,23 @@ def map_domain(
     study_id: str,
     order_by: Sequence[str] | None = None,
     keep: Sequence[str] = (),
+    date_orders: Orders | None = None,
 ) -> DataFrame:
     """Map a raw table to ``domain``, with STUDYID and DOMAIN in front.
 
     ``order_by`` names raw columns that order the records uniquely; with it, the
     dataset-wide sequence variable is added. Without it the sequence is left out
     and the result is a plain lazy projection. ``keep`` carries raw columns along.
+
+    Text dates are read in the order of day, month and year that their column settles,
+    found by a pass over the date columns. ``date_orders`` states the orders instead
+    (raw column to ``MDY``, ``DMY`` or ``YMD``; ``MDY`` for columns it leaves out) and
+    starts no job.
     """
     require_columns(raw, domain.raw_columns, domain.code)
-    mapped = domain.build(raw, study_id)
+    if date_orders is None:
+        date_orders = {name: found.order for name, found in settle_orders(raw, domain.dates).items()}
+    mapped = domain.build(raw, study_id, date_orders)
     order = list(order_by or []) if domain.sequence else []
     carried = {f"__key{i}": F.col(c) for i, c in enumerate(order)}
     out = raw.select(
@@ -79,7 +90,11 @@ def range_indicator(value: Column, low: Column, high: Column) -> Column:
     )
 
 
-def _demographics(raw: DataFrame, study_id: str) -> dict[str, Column]:
+def _date(raw: DataFrame, name: str, orders: Orders) -> Column:
+    return iso_date(raw, name, orders.get(name, ORDERS[0]))
+
+
+def _demographics(raw: DataFrame, study_id: str, orders: Orders) -> dict[str, Column]:
     return {
         "SUBJID": F.col("subject_id").cast("string"),
         "SITEID": F.col("site_id").cast("string"),
@@ -91,20 +106,20 @@ def _demographics(raw: DataFrame, study_id: str) -> dict[str, Column]:
         "ETHNIC": upper(raw, "ethnicity", default="UNKNOWN"),
         "ARMCD": F.replace(upper(raw, "arm"), F.lit(" "), F.lit("_")),
         "ARM": F.col("arm"),
-        "RFICDTC": iso_date(raw, "informed_consent_date"),
-        "RFSTDTC": iso_date(raw, "randomization_date"),
+        "RFICDTC": _date(raw, "informed_consent_date", orders),
+        "RFSTDTC": _date(raw, "randomization_date", orders),
     }
 
 
-def _adverse_events(raw: DataFrame, study_id: str) -> dict[str, Column]:
+def _adverse_events(raw: DataFrame, study_id: str, orders: Orders) -> dict[str, Column]:
     decoded = "ae_decoded_term" if "ae_decoded_term" in raw.columns else "ae_term"
     return {
         "USUBJID": subject_key(study_id),
         "AETERM": upper(raw, "ae_term"),
         "AEDECOD": upper(raw, decoded),
         "AEBODSYS": upper(raw, "ae_body_system", default=""),
-        "AESTDTC": iso_date(raw, "ae_start_date"),
-        "AEENDTC": iso_date(raw, "ae_end_date"),
+        "AESTDTC": _date(raw, "ae_start_date", orders),
+        "AEENDTC": _date(raw, "ae_end_date", orders),
         "AESEV": lookup(upper(raw, "ae_severity"), codes.SEVERITY_CODES, "UNKNOWN"),
         "AESER": lookup(upper(raw, "ae_serious"), codes.SERIOUS_CODES, "N"),
         "AEREL": lookup(upper(raw, "ae_related"), codes.RELATED_CODES, "N"),
@@ -112,7 +127,7 @@ def _adverse_events(raw: DataFrame, study_id: str) -> dict[str, Column]:
     }
 
 
-def _laboratory(raw: DataFrame, study_id: str) -> dict[str, Column]:
+def _laboratory(raw: DataFrame, study_id: str, orders: Orders) -> dict[str, Column]:
     test = upper(raw, "lab_test")
     value = number_or_null(raw, "lab_result")
     low = number_or_null(raw, "lab_ref_low")
@@ -129,12 +144,12 @@ def _laboratory(raw: DataFrame, study_id: str) -> dict[str, Column]:
         "LBSTNRLO": low,
         "LBSTNRHI": high,
         "LBNRIND": range_indicator(value, low, high),
-        "LBDTC": iso_date(raw, "lab_date"),
+        "LBDTC": _date(raw, "lab_date", orders),
         "VISIT": upper(raw, "visit_name"),
     }
 
 
-def _vital_signs(raw: DataFrame, study_id: str) -> dict[str, Column]:
+def _vital_signs(raw: DataFrame, study_id: str, orders: Orders) -> dict[str, Column]:
     test = upper(raw, "vs_test")
     return {
         "USUBJID": subject_key(study_id),
@@ -145,12 +160,12 @@ def _vital_signs(raw: DataFrame, study_id: str) -> dict[str, Column]:
         "VSORRESU": upper(raw, "vs_unit"),
         "VSSTRESN": number_or_null(raw, "vs_result"),
         "VSSTRESU": upper(raw, "vs_unit"),
-        "VSDTC": iso_date(raw, "vs_date"),
+        "VSDTC": _date(raw, "vs_date", orders),
         "VISIT": upper(raw, "visit_name"),
     }
 
 
-def _exposure(raw: DataFrame, study_id: str) -> dict[str, Column]:
+def _exposure(raw: DataFrame, study_id: str, orders: Orders) -> dict[str, Column]:
     return {
         "USUBJID": subject_key(study_id),
         "EXTRT": upper(raw, "drug_name"),
@@ -158,12 +173,13 @@ def _exposure(raw: DataFrame, study_id: str) -> dict[str, Column]:
         "EXDOSU": upper(raw, "dose_unit"),
         "EXROUTE": upper(raw, "dose_route"),
         "EXDOSFRQ": upper(raw, "dose_frequency"),
-        "EXSTDTC": iso_date(raw, "start_date"),
-        "EXENDTC": iso_date(raw, "end_date"),
+        "EXSTDTC": _date(raw, "start_date", orders),
+        "EXENDTC": _date(raw, "end_date", orders),
         "VISIT": upper(raw, "visit_name"),
     }
 
 
+# Names of the raw columns and of the required variables.
 DEMOGRAPHICS = Domain(
     "DM",
     ("subject_id", "site_id", "age", "sex", "race", "arm",
@@ -171,6 +187,7 @@ DEMOGRAPHICS = Domain(
     ("STUDYID", "DOMAIN", "USUBJID", "SUBJID", "SITEID", "AGE", "AGEU", "SEX", "RACE",
      "ETHNIC", "ARMCD", "ARM", "RFSTDTC", "RFICDTC"),
     _demographics,
+    dates=("informed_consent_date", "randomization_date"),
 )
 ADVERSE_EVENTS = Domain(
     "AE",
@@ -180,6 +197,7 @@ ADVERSE_EVENTS = Domain(
      "AESEV", "AESER", "AEREL", "AEOUT"),
     _adverse_events,
     "AESEQ",
+    ("ae_start_date", "ae_end_date"),
 )
 LABORATORY = Domain(
     "LB",
@@ -189,6 +207,7 @@ LABORATORY = Domain(
      "LBORRESU", "LBSTRESN", "LBSTNRLO", "LBSTNRHI", "LBNRIND", "LBDTC", "VISIT"),
     _laboratory,
     "LBSEQ",
+    ("lab_date",),
 )
 VITAL_SIGNS = Domain(
     "VS",
@@ -197,6 +216,7 @@ VITAL_SIGNS = Domain(
      "VSSTRESN", "VSSTRESU", "VSDTC", "VISIT"),
     _vital_signs,
     "VSSEQ",
+    ("vs_date",),
 )
 EXPOSURE = Domain(
     "EX",
@@ -206,6 +226,7 @@ EXPOSURE = Domain(
      "EXDOSFRQ", "EXSTDTC", "EXENDTC", "VISIT"),
     _exposure,
     "EXSEQ",
+    ("start_date", "end_date"),
 )
 DOMAINS = {d.code: d for d in (DEMOGRAPHICS, ADVERSE_EVENTS, LABORATORY, VITAL_SIGNS, EXPOSURE)}
 

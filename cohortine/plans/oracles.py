@@ -26,7 +26,8 @@ _CTE = {
                c_mktsegment AS RACE, 'UNKNOWN' AS ETHNIC,
                CASE WHEN c_custkey % 2 = 0 THEN 'DRUG_X' ELSE 'PLACEBO' END AS ARMCD,
                CASE WHEN c_custkey % 2 = 0 THEN 'Drug X' ELSE 'Placebo' END AS ARM,
-               strftime(day + 173, '%Y-%m-%d') AS RFICDTC,
+               CASE WHEN c_custkey % 110 = 6 THEN NULL
+                    ELSE strftime(day + 173, '%Y-%m-%d') END AS RFICDTC,
                CASE WHEN c_custkey % 110 = 6 THEN NULL
                     ELSE strftime(day + 180, '%Y-%m-%d') END AS RFSTDTC
         FROM customer LEFT JOIN first_order ON c_custkey = o_custkey""",

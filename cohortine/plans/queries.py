@@ -50,28 +50,37 @@ def all_queries() -> dict[str, Query]:
 # --- shared inputs; sequence numbers are only assigned where a query shows them ----
 
 
-def _dm(spark, d):
-    return sdtm.map_domain(sdtm.DEMOGRAPHICS, study.raw_demographics(spark, d), study.STUDY_ID)
+def _dm(spark, d, orders=study.DATE_ORDERS):
+    raw = study.raw_demographics(spark, d)
+    return sdtm.map_domain(sdtm.DEMOGRAPHICS, raw, study.STUDY_ID, date_orders=orders)
 
 
-def _ae(spark, d, order_by=None):
+def _ae(spark, d, order_by=None, orders=study.DATE_ORDERS):
     raw = study.raw_adverse_events(spark, d)
-    return sdtm.map_domain(sdtm.ADVERSE_EVENTS, raw, study.STUDY_ID, order_by)
+    return sdtm.map_domain(
+        sdtm.ADVERSE_EVENTS, raw, study.STUDY_ID, order_by, date_orders=orders
+    )
 
 
 def _lb(spark, d, order_by=None, keep=()):
     raw = study.raw_laboratory(spark, d)
-    return sdtm.map_domain(sdtm.LABORATORY, raw, study.STUDY_ID, order_by, keep)
+    return sdtm.map_domain(
+        sdtm.LABORATORY, raw, study.STUDY_ID, order_by, keep, study.DATE_ORDERS
+    )
 
 
 def _vs(spark, d, order_by=None):
     raw = study.raw_vital_signs(spark, d)
-    return sdtm.map_domain(sdtm.VITAL_SIGNS, raw, study.STUDY_ID, order_by)
+    return sdtm.map_domain(
+        sdtm.VITAL_SIGNS, raw, study.STUDY_ID, order_by, date_orders=study.DATE_ORDERS
+    )
 
 
 def _ex(spark, d, order_by=None):
     raw = study.raw_exposure(spark, d)
-    return sdtm.map_domain(sdtm.EXPOSURE, raw, study.STUDY_ID, order_by)
+    return sdtm.map_domain(
+        sdtm.EXPOSURE, raw, study.STUDY_ID, order_by, date_orders=study.DATE_ORDERS
+    )
 
 
 def _adsl(spark, d):
@@ -97,12 +106,13 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
 
 @query
 def sdtm_dm(spark, d):
-    return _dm(spark, d)
+    """A day-first and a month-first column, each settled by its own values."""
+    return _dm(spark, d, orders=None)
 
 
 @query
 def sdtm_ae(spark, d):
-    return _ae(spark, d, study.LINE_KEYS)
+    return _ae(spark, d, study.LINE_KEYS, orders=None)
 
 
 @query

@@ -32,19 +32,35 @@ SCHEMAS = {
 }
 
 
-def _collected(date: str, key: str) -> str:
+#: Order of day, month and year in the raw text dates; month first where not named.
+DATE_ORDERS = {"informed_consent_date": "DMY"}
+
+
+def _collected(date: str, key: str, numbers: str = "M/d/yyyy") -> str:
     """SQL text of a date as collection systems write it: mostly ISO, now and then not.
 
-    One row in 110 gets text that is no date.
+    ``numbers`` is the form of dates in three numbers. One row in 110 gets text that is no date.
     """
+    short = numbers.replace("yyyy", "yy")
+    forms = (
+        f"date_format({date}, '{numbers}')",
+        f"upper(date_format({date}, 'ddMMMyyyy'))",
+        f"date_format({date}, 'd-MMM-yyyy')",
+        f"date_format({date}, 'MMMM d, yyyy')",
+        f"date_format({date}, '{numbers}') || ' 10:30'",
+        f"date_format({date}, '{short}')",
+        f"date_format({date}, '{numbers}') || ' 12:30 AM'",
+        f"string({date}) || 'T10:30:00Z'",
+        f"string({date}) || 'T23:30:00.000+02:00'",
+        f"date_format({date}, 'dd-MMM-yy')",
+        f"date_format({date}, 'd MMMM yyyy')",
+        f"date_format({date}, 'EEE, MMM d yyyy')",
+        f"date_format({date}, 'yyyy.MM.dd')",
+    )
+    cases = " ".join(f"WHEN {i} THEN {form}" for i, form in enumerate(forms, 1))
     return (
-        f"CASE WHEN {key} % 110 = 6 THEN string({date}) || ' or later' ELSE CASE {key} % 11 "
-        f"WHEN 1 THEN date_format({date}, 'M/d/yyyy') "
-        f"WHEN 2 THEN upper(date_format({date}, 'ddMMMyyyy')) "
-        f"WHEN 3 THEN date_format({date}, 'd-MMM-yyyy') "
-        f"WHEN 4 THEN date_format({date}, 'MMMM d, yyyy') "
-        f"WHEN 5 THEN date_format({date}, 'MM/dd/yyyy') || ' 10:30' "
-        f"ELSE string({date}) END END"
+        f"CASE WHEN {key} % 110 = 6 THEN string({date}) || ' or later' ELSE "
+        f"CASE {key} % 23 {cases} ELSE string({date}) END END"
     )
 
 
@@ -71,7 +87,8 @@ def raw_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
         " WHEN 3 THEN 'M' WHEN 4 THEN 'unknown' END AS sex",
         "c_mktsegment AS race",
         "CASE WHEN c_custkey % 2 = 0 THEN 'Drug X' ELSE 'Placebo' END AS arm",
-        "string(date(first_order) + 173) AS informed_consent_date",
+        f"{_collected('(date(first_order) + 173)', 'c_custkey', 'd/M/yyyy')}"
+        " AS informed_consent_date",
         f"{_collected('(date(first_order) + 180)', 'c_custkey')} AS randomization_date",
     )
 
