@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.numbering import number_rows
 from ..session import materialise, release
 from .base import ranges
 
@@ -194,25 +195,35 @@ def search(
 def _packed(
     rows: DataFrame, dims: int, size: int, count: int, trees: bool, key: str
 ) -> DataFrame:
-    """Rows of (id, label, vector) as pieces of at most ``size``, neighbours in label together."""
+    """Rows of (id, label, vector) as pieces of ``size``, neighbours in label together.
+
+    The rows are numbered in order of label, so the pieces do not depend on how they lie in
+    partitions.
+    """
+    spotted = rows.withColumn("spot", F.xxhash64("id", "vector"))
+    numbered = number_rows(spotted, ["label", "spot", "id", "vector"], "number")
     parts = max(1, -(-count // size))
-    ordered = rows.repartitionByRange(
-        parts, "label", F.xxhash64("id", "vector")
-    ).sortWithinPartitions("label", "id")
+    ordered = (
+        numbered.select(F.expr(f"(number - 1) div {size}").alias("piece"), "id", "label", "vector")
+        .repartition(parts, "piece")
+        .sortWithinPartitions("piece", "label", "id")
+    )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        n = 0
+        last = None
         for batch in batches:
-            while batch.num_rows:
-                part = batch.slice(0, size - n)
-                batch = batch.slice(part.num_rows)
-                held.append(part)
-                n += part.num_rows
-                if n == size:
+            pieces = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(pieces)) + 1).tolist(), batch.num_rows]
+            for start, end in zip(cuts, cuts[1:]):
+                if end == start:
+                    continue
+                if held and pieces[start] != last:
                     yield piece(held)
-                    held, n = [], 0
-        if n:
+                    held = []
+                last = pieces[start]
+                held.append(batch.slice(start, end - start))
+        if held:
             yield piece(held)
 
     def piece(held: list[pa.RecordBatch]) -> pa.RecordBatch:
