@@ -18,7 +18,7 @@ from .licences import recognise_licences
 from .multiindex import sign_code, top_k
 from .oracles import ALL
 from .packing import pack_documents
-from .ranking import learn_quality, score_quality
+from .ranking import rank_quality
 from .repetition import repetition_quality
 from .simhash import near_duplicates
 from .substrings import remove_repeated_passages
@@ -94,7 +94,7 @@ def op9_bytepair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return score_quality(docs, learn_quality(docs, read(spark, sf_dir, "labels")))
+    return rank_quality(docs, read(spark, sf_dir, "labels"))
 
 
 def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,9 +6,9 @@ document of each pair wins, a logistic loss on feature differences. The cut is a
 quantile of the scores of all labelled ids: the share of label 0 among them.
 
 The weights are fitted on the driver from a bounded sample of labelled rows
-(``max_labelled``, ``max_pairs``). The cut comes from one more pass that scores all
-documents; only ids and scores are shuffled. Every document is then scored inside the
-tasks, whole and without a shuffle.
+(``max_labelled``, ``max_pairs``). One pass over all documents, whole and without a shuffle,
+then gives each its raw score, which is kept. The cut comes from the kept scores of all
+labelled ids, and places all of them between 0 and 1.
 """
 
 from __future__ import annotations
@@ -172,70 +172,37 @@ def held_out(id_col: str, folds: int, fold: int) -> Column:
     return F.coalesce(F.pmod(key, F.lit(folds)) == fold, F.lit(False))
 
 
-def full_cut(
-    docs: DataFrame,
-    usable: DataFrame,
-    model: QualityModel,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> float:
-    """The place between the scores on either side of the quantile, over all of ``usable``.
+def usable_labels(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality"
+) -> DataFrame:
+    """One ``__label`` per ``__id`` outside the held-out fold that has a document.
 
-    ``usable`` has one ``__label`` per ``__id``. An id with repeated rows counts once, by its
-    least score.
+    An id with both labels counts as 0.
     """
-    schema = T.StructType(
-        [
-            T.StructField("__id", docs.schema[id_col].dataType),
-            T.StructField("__raw", T.DoubleType()),
-        ]
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            features = [text_features(text) for text in utf8(batch.column(1))]
-            raw = model.raw(np.array(features).reshape(-1, N_FEATURES))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw)], names=schema.names)
-
-    # Scored first, so that no text is shuffled for the join.
-    scores = (
-        docs.where(F.col(id_col).isNotNull())
-        .select(id_col, text_col)
-        .mapInArrow(run, schema)
-        .groupBy("__id")
-        .agg(F.min("__raw").alias("__raw"))
+    known = (
+        labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
+        .where(~held_out(id_col, 5, 0))
+        .groupBy(F.col(id_col).alias("__id"))
+        .agg(F.min(label_col).cast("int").alias("__label"))
     )
-    scored = materialise(scores.join(usable, "__id").select("__raw", "__label"))
-    n, bad = scored.agg(F.count(F.lit(1)), F.count_if(F.col("__label") == 0)).first()
-    k = int(np.clip(bad, 1, n - 1))
-    cut = exact_quantiles(scored, ["__raw"], (k - 0.5) / (n - 1))["__raw"]
-    release(scored)
-    return cut
+    present = docs.select(F.col(id_col).alias("__doc")).distinct()
+    return known.join(present, F.col("__id") == F.col("__doc"), "left_semi")
 
 
-def learn_quality(
+def learn_weights(
     docs: DataFrame,
-    labels: DataFrame,
+    usable: DataFrame,
     max_labelled: int = 20_000,
     max_pairs: int = 40_000,
     id_col: str = "doc_id",
     text_col: str = "text",
-    label_col: str = "quality",
 ) -> QualityModel:
-    """A model from the labels outside the held-out fold.
+    """A model whose cut is still that of the sample.
 
-    Rows with a null id or label are left out; an id with both labels counts as 0. At most
-    ``max_labelled`` ids, the first by a hash of the id, reach the driver and are sent
-    to the tasks, so the broadcast side of the join is bounded. An id with repeated rows
-    counts once, by its least feature vector. The bound is for the weights only: the cut
-    covers all labelled ids that have a document.
+    At most ``max_labelled`` of the usable ids, the first by a hash of the id, reach the
+    driver and are sent to the tasks, so the broadcast side of the join is bounded. An id
+    with repeated rows counts once, by its least feature vector.
     """
-    usable = (
-        labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
-        .where(~held_out(id_col, 5, 0))
-        .groupBy(F.col(id_col).alias("__id"))
-        .agg(F.min(label_col).cast("int").alias("__label"))
-    )
     rank = F.xxhash64("__id")
     sample = usable.orderBy(rank, "__id").limit(max_labelled)
     chosen = docs.sparkSession.createDataFrame(sample.toArrow())
@@ -267,10 +234,124 @@ def learn_quality(
         .toArrow()
     )
     features = np.array(table["__features"].to_pylist()).reshape(-1, N_FEATURES)
-    model = fit_model(features, table["__label"].to_numpy(), max_pairs)
+    return fit_model(features, table["__label"].to_numpy(), max_pairs)
+
+
+def with_raw(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
+    """``docs`` with the ``__raw`` score of every row, from one pass over the texts."""
+    place = docs.columns.index(text_col)
+    schema = T.StructType([*docs.schema.fields, T.StructField("__raw", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            features = [text_features(text) for text in utf8(batch.column(place))]
+            raw = model.raw(np.array(features).reshape(-1, N_FEATURES))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw)], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def full_cut(scored: DataFrame, usable: DataFrame, id_col: str = "doc_id") -> float:
+    """The place between the scores on either side of the quantile, over all of ``usable``.
+
+    An id with repeated rows counts once, by its least score.
+    """
+    least = (
+        scored.where(F.col(id_col).isNotNull())
+        .groupBy(F.col(id_col).alias("__id"))
+        .agg(F.min("__raw").alias("__raw"))
+    )
+    labelled = materialise(least.join(usable, "__id").select("__raw", "__label"))
+    n, bad = labelled.agg(F.count(F.lit(1)), F.count_if(F.col("__label") == 0)).first()
+    k = int(np.clip(bad, 1, n - 1))
+    cut = exact_quantiles(labelled, ["__raw"], (k - 0.5) / (n - 1))["__raw"]
+    release(labelled)
+    return cut
+
+
+def learn_quality(
+    docs: DataFrame,
+    labels: DataFrame,
+    max_labelled: int = 20_000,
+    max_pairs: int = 40_000,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+) -> QualityModel:
+    """A model from the labels outside the held-out fold, to be used on any documents.
+
+    Rows with a null id or label, and labels without a document, are left out. The bound
+    ``max_labelled`` is for the weights only: the cut covers all labelled ids that have a
+    document. To score ``docs`` themselves, :func:`rank_quality` saves a pass over the texts.
+    """
+    usable = materialise(usable_labels(docs, labels, id_col, label_col))
+    model = learn_weights(docs, usable, max_labelled, max_pairs, id_col, text_col)
+    if model.known:
+        scored = materialise(with_raw(docs.select(id_col, text_col), model, text_col).drop(text_col))
+        model = replace(model, cut=full_cut(scored, usable, id_col))
+        release(scored)
+    release(usable)
+    return model
+
+
+def _score(model: QualityModel) -> Column:
+    """:meth:`QualityModel.score` of the kept raw score."""
     if not model.known:
-        return model
-    return replace(model, cut=full_cut(docs, usable, model, id_col, text_col))
+        return F.lit(0.5)
+    shift = float(np.log(model.threshold / (1 - model.threshold)))
+    apart = F.least(F.greatest(F.col("__raw") - model.cut, F.lit(-30.0)), F.lit(30.0))
+    return 1 / (1 + F.exp(-(apart + shift)))
+
+
+def rank_quality(
+    docs: DataFrame,
+    labels: DataFrame,
+    max_labelled: int = 20_000,
+    max_pairs: int = 40_000,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+) -> DataFrame:
+    """``id_col``, ``held_out``, ``score``, ``predicted`` for every row of ``docs``.
+
+    The model is learned as by :func:`learn_quality`, but every text is read for its score
+    once. A null text is scored as the empty text. Repeated rows and null ids give a row
+    each; a null id is not held out. Without usable labels of both kinds every score is 0.5.
+    Other columns are not read. An empty table gives no rows.
+    """
+    usable = materialise(usable_labels(docs, labels, id_col, label_col))
+    model = learn_weights(docs, usable, max_labelled, max_pairs, id_col, text_col)
+    scored = materialise(with_raw(docs.select(id_col, text_col), model, text_col).drop(text_col))
+    if model.known:
+        model = replace(model, cut=full_cut(scored, usable, id_col))
+    release(usable)
+    return scored.select(
+        id_col, held_out(id_col, 5, 0).alias("held_out"), _score(model).alias("score")
+    ).withColumn("predicted", (F.col("score") >= model.threshold).cast("int"))
+
+
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    max_labelled: int = 20_000,
+    max_pairs: int = 40_000,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+) -> DataFrame:
+    """The whole rows of ``docs`` that :func:`rank_quality` predicts as 1.
+
+    The rows are written once beside their raw score, so texts are read for it once. Null
+    texts, repeated rows and null ids are judged like any other row; an empty table
+    gives no rows.
+    """
+    usable = materialise(usable_labels(docs, labels, id_col, label_col))
+    model = learn_weights(docs, usable, max_labelled, max_pairs, id_col, text_col)
+    scored = materialise(with_raw(docs, model, text_col))
+    if model.known:
+        model = replace(model, cut=full_cut(scored, usable, id_col))
+    release(usable)
+    return scored.where(_score(model) >= model.threshold).select(*docs.columns)
 
 
 def score_texts(model: QualityModel, texts: list[bytes]) -> np.ndarray:
@@ -314,7 +395,11 @@ def keep_rows(
 
 
 def filter_quality(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the model predicts as 1, with all their columns."""
+    """The rows of ``docs`` that the model predicts as 1, with all their columns.
+
+    A null text is judged as the empty text; repeated rows are alike; an empty table gives no
+    rows.
+    """
 
     def keep(texts: list[bytes]) -> np.ndarray:
         return score_texts(model, texts) >= model.threshold

@@ -304,3 +304,74 @@ def test_features_are_finite():
         assert np.isfinite(ranking.text_features(text)).all()
         assert len(ranking.text_features(text)) == ranking.N_FEATURES
     assert SF
+
+
+def slow_scores(texts, labels, max_labelled):
+    """(id, held out, score, predicted) of every row, on the driver alone."""
+    import zlib
+
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    fold = {i: i is not None and zlib.crc32(str(i).encode()) % 5 == 0 for i, _ in texts}
+    least = {}
+    for i, t in texts:
+        features = tuple(ranking.text_features((t or "").encode()))
+        least[i] = min(least.get(i, features), features)
+    usable = {}
+    for i, label in labels:
+        if i is not None and label in (0, 1) and i in least and not fold[i]:
+            usable[i] = min(label, usable.get(i, 1))
+    ids = spark.createDataFrame([(i,) for i in usable], "i bigint").selectExpr("i", "xxhash64(i) AS h")
+    sample = ids.orderBy("h", "i").limit(max_labelled).selectExpr("i", "string(i) AS s")
+    first = [r.i for r in sample.selectExpr("i", "xxhash64(s) AS h", "s").orderBy("h", "s").collect()]
+    model = ranking.fit_model(np.array([least[i] for i in first]), np.array([usable[i] for i in first]))
+    raw = [(i, float(model.raw(np.array([ranking.text_features((t or "").encode())]))[0])) for i, t in texts]
+    by_id = {i: min(r for j, r in raw if j == i) for i in usable}
+    scores, bad = sorted(by_id.values()), sum(1 for label in usable.values() if label == 0)
+    k = min(max(bad, 1), len(scores) - 1)
+    cut = (scores[k - 1] + scores[k]) / 2
+    shift = np.log(0.3 / 0.7)
+    out = [(i, fold[i], 1 / (1 + np.exp(-(np.clip(r - cut, -30, 30) + shift)))) for i, r in raw]
+    return [(i, held, score, int(score >= 0.3)) for i, held, score in out]
+
+
+def labelled_texts():
+    rng = np.random.default_rng(11)
+    words = np.array("alpha beta gamma delta epsilon zeta eta theta iota kappa".split())
+    texts, labels = [], []
+    for i in range(200):
+        good = i % 3 > 0
+        text = " ".join(rng.choice(words, int(rng.integers(5, 60)))) + ("." if good else " ### $$$ 1234 |||")
+        texts.append((i, text))
+        labels.append((i, int(good)))
+    texts += [(7, "again and again"), (None, "no id"), (300, None), (301, ""), texts[3], (302, "x " * 50_000)]
+    return texts, labels + [(5, 0), (None, 1), (300, 1), (301, 0), (6, None), (8, 2)]
+
+
+@pytest.mark.parametrize("max_labelled", [50, 20_000])
+def test_quality_equals_brute_force(spark, max_labelled):
+    texts, labels = labelled_texts()
+    # Labels of documents that are elsewhere must not use up the sample.
+    elsewhere = [(i, i % 2) for i in range(1000, 21_000)]
+    table = spark.createDataFrame(labels + elsewhere, "doc_id bigint, quality int")
+    docs = with_clashes(docs_of(spark, texts))
+    got = ranking.rank_quality(docs, table, max_labelled).collect()
+    want = slow_scores(texts, labels, max_labelled)
+    key = lambda r: (str(r[0]), r[2])
+    assert len(got) == len(want)
+    for a, b in zip(sorted(map(tuple, got), key=key), sorted(want, key=key)):
+        assert (a[0], a[1], a[3]) == (b[0], b[1], b[3]) and abs(a[2] - b[2]) < 1e-9
+    assert {0, 1} == {r.predicted for r in got}
+    kept = ranking.keep_good(docs, table, max_labelled)
+    assert kept.columns == docs.columns
+    good = sorted((r[0] if r[0] is not None else -1 for r in want if r[3]))
+    assert sorted(r.doc_id if r.doc_id is not None else -1 for r in kept.collect()) == good
+
+
+def test_quality_of_empty_tables(spark):
+    labels = spark.createDataFrame([(1, 1)], "doc_id bigint, quality int")
+    assert ranking.rank_quality(docs_of(spark, []), labels).count() == 0
+    assert ranking.keep_good(docs_of(spark, []), labels).count() == 0
+    alone = ranking.rank_quality(docs_of(spark, [(1, "a b")]), labels.limit(0)).collect()
+    assert [(r.score, r.predicted) for r in alone] == [(0.5, 1)]
