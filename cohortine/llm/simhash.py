@@ -341,29 +341,27 @@ def drop_near_duplicates(
     components may stay once in each. A row with a null id stays only if no row of its
     component has an id. All columns are kept. An empty table gives no rows.
     """
-    marked = materialise(fingerprints(docs, id_col, text_col, words_per_shingle))
-    components = _components(marked, max_distance, id_col)
-    least = marked.groupBy("__fp").agg(F.min(id_col).alias("__least"))
-    # One pair of id and fingerprint for each component names the row that stays.
-    named = (
-        components.join(least, "__fp")
-        .where(F.col("__least").eqNullSafe(F.col("component_id")))
-        .groupBy("__label")
-        .agg(F.min("component_id").alias("__kept_id"), F.min("__fp").alias("__kept_fp"))
-    )
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             values = [fingerprint(text, words_per_shingle) for text in utf8(batch.column(place))]
             column = pa.array(np.array(values, np.uint64).view(np.int64))
-            yield batch.append_column("__row_fp", column)
+            yield batch.append_column("__fp", column)
 
-    rows = docs.mapInArrow(
-        run, T.StructType([*docs.schema.fields, T.StructField("__row_fp", T.LongType())])
+    # Written beside the rows, so each text is read for its fingerprint once.
+    schema = T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())])
+    rows = materialise(
+        docs.mapInArrow(run, schema).withColumn("__row", F.monotonically_increasing_id())
     )
-    # Joined on both, so that copies of a hot text spread by their ids.
-    wanted = (rows["__row_fp"] == named["__kept_fp"]) & rows[id_col].eqNullSafe(named["__kept_id"])
-    return (
-        rows.join(named, wanted, "left_semi").dropDuplicates(["__row_fp"]).select(*docs.columns)
+    keys = rows.select(F.col(id_col).alias("__id"), "__fp", "__row")
+    components = _components(keys, max_distance, "__id")
+    # The row that stays in each component: of the smallest id, then fingerprint.
+    first = F.min(F.struct(F.col("__id").isNull(), "__id", "__fp", "__row"))["__row"]
+    stays = (
+        keys.join(components.select("__fp", "__label"), "__fp")
+        .groupBy("__label")
+        .agg(first.alias("__stays"))
     )
+    kept = rows.join(stays, rows["__row"] == stays["__stays"], "left_semi")
+    return kept.select(*docs.columns)
