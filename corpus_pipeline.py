@@ -10,13 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortine.llm.base import read
 from cohortine.llm.langid import filter_language, learn_languages
 from cohortine.llm.packing import pack_documents
-from cohortine.llm.ranking import filter_quality, learn_quality
+from cohortine.llm.ranking import keep_good
 from cohortine.llm.simhash import drop_near_duplicates
 from cohortine.session import materialise, release, scratch
 
@@ -26,7 +25,7 @@ MIN_CLOSENESS = 0.2
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the pairwise ranking, learned from ``labels``, accepts."""
-    return filter_quality(docs, learn_quality(docs, read(spark, sf_dir, "labels")))
+    return keep_good(docs, read(spark, sf_dir, "labels"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,6 +40,8 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents in sequences of 4096 tokens."""
+    import public_tokenizers  # only here, so that the module loads without it
+
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
