@@ -1,85 +1,197 @@
-"""Data-parallel training of a small denoising autoencoder.
-
-Rows are dealt once into a fixed number of replicas by a hash of their key, and kept
-sorted by it. In an epoch every replica starts from the same broadcast weights and takes
-Adam steps over its own mini-batches; the weights and moments are then averaged by
-rows, and combined in a tree before they reach the driver. One epoch is one Spark job
-but many updates. The result depends on the number of replicas, which is a parameter,
-and not on how the rows or the work are partitioned.
-
-There is no batch normalisation or dropout: the inputs are standardised, and the noise or
-masking of the inputs already keeps the network from copying them.
+"""Data-parallel training of small networks with batch normalisation and dropout.
+
+Rows are dealt into replicas by a hash that is unique per row, so equal rows spread like any
+others. The number of replicas grows with the rows, one for every ``ROWS_PER_REPLICA`` of them,
+and replicas of a small network are kept some to a part and take their steps side by
+side, as one more axis of every array. A job starts all replicas from the same broadcast
+state, lets them take Adam steps over their own mini-batches for one or more epochs, and
+averages weights, moments and batch statistics by rows, in a tree before they reach the
+driver. While the held-out loss falls fast, a job runs several epochs.
+
+Dropout masks and the order of rows come from a counter-based generator keyed by seed and
+part, with the epoch as its counter, so a part that is computed again gives the same state. The
+result depends on the number of replicas, not on how rows or work are partitioned.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import groupby
-from operator import itemgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_PARTIAL = "state binary, train_n long, steps long, hold_loss double, train_loss double, hold_n long"
+#: One replica for so many rows; replicas of one part hold this many weights together.
+ROWS_PER_REPLICA, PART_WEIGHTS, PART_REPLICAS = 2048, 1 << 16, 16
+#: Batch normalisation: added to variances, and what running statistics keep per step.
+EPSILON, MOMENTUM = 1e-3, 0.97
+#: Epochs of one job at most, and the fall of the loss per epoch above which it may have more.
+MOST_EPOCHS, FAST = 4, 0.01
 _FAN_IN = 64
+_STATE = "state binary, train_n long, steps long, hold_loss double, train_loss double, hold_n long"
+
+
+@dataclass(frozen=True)
+class Layer:
+    """A dense layer, then ReLU, batch normalisation and dropout as asked for."""
+
+    units: int
+    relu: bool = True
+    normalise: bool = False
+    dropout: float = 0.0
+
+
+@dataclass(frozen=True)
+class Shape:
+    """Inputs and layers, and where the parts of each layer lie in the flat vectors."""
+
+    inputs: int
+    layers: tuple[Layer, ...]
+
+    @staticmethod
+    def dense(*sizes: int) -> Shape:
+        """ReLU in between, linear at the end."""
+        last = len(sizes) - 2
+        return Shape(sizes[0], tuple(Layer(n, i < last) for i, n in enumerate(sizes[1:])))
+
+    def places(self) -> list[tuple[int, int, int, int]]:
+        """Of every layer its inputs and units, and where its weights and statistics begin."""
+        out, fan_in, at, stat = [], self.inputs, 0, 0
+        for layer in self.layers:
+            out.append((fan_in, layer.units, at, stat))
+            at += (fan_in + 1 + 2 * layer.normalise) * layer.units
+            stat += 2 * layer.normalise * layer.units
+            fan_in = layer.units
+        return out
+
+    @property
+    def n_weights(self) -> int:
+        fan_in, units, at, _ = self.places()[-1]
+        return at + (fan_in + 1 + 2 * self.layers[-1].normalise) * units
+
+    @property
+    def n_stats(self) -> int:
+        return self.places()[-1][3] + 2 * self.layers[-1].normalise * self.layers[-1].units
+
+
+def _layer_parts(weights: np.ndarray, fan_in: int, units: int, at: int, normalise: bool):
+    """Matrix, bias, gain and shift of a layer, with the axis of replicas in front."""
+    m, end = len(weights), at + fan_in * units
+    matrix = weights[:, at:end].reshape(m, fan_in, units)
+    rest = [weights[:, end + i * units : end + (i + 1) * units][:, None, :] for i in range(3)]
+    return matrix, rest[0], *(rest[1:] if normalise else (None, None))
+
+
+def run_forward(
+    shape: Shape,
+    weights: np.ndarray,
+    stats: np.ndarray,
+    x: np.ndarray,
+    valid: np.ndarray | None = None,
+    masks: Sequence[np.ndarray | None] | None = None,
+) -> tuple[np.ndarray, list[tuple]]:
+    """Outputs, and per layer what the way back needs. All arrays have an axis of replicas first.
+
+    With ``valid`` (weights of the rows) normalisation uses the batch's own statistics, which
+    come last in the notes of a layer; without, the running ones.
+    """
+    notes = []
+    for i, (layer, (fan_in, units, at, stat)) in enumerate(zip(shape.layers, shape.places())):
+        matrix, bias, gain, shift = _layer_parts(weights, fan_in, units, at, layer.normalise)
+        z = x @ matrix + bias
+        h = np.maximum(z, 0) if layer.relu else z
+        hat = inverse = mean = variance = None
+        y = h
+        if layer.normalise:
+            if valid is None:
+                mean = stats[:, None, stat : stat + units]
+                variance = stats[:, None, stat + units : stat + 2 * units]
+                centred = h - mean
+            else:
+                share = valid / np.maximum(valid.sum(axis=1, keepdims=True), 1)
+                mean = share[:, None, :] @ h
+                centred = h - mean
+                variance = share[:, None, :] @ (centred * centred)
+            inverse = 1 / np.sqrt(variance + np.asarray(EPSILON, z.dtype))
+            hat = centred * inverse
+            y = gain * hat + shift
+        mask = masks[i] if masks is not None else None
+        if mask is not None:
+            y = y * mask
+        notes.append((x, z, hat, inverse, mask, mean, variance))
+        x = y
+    return x, notes
+
+
+def run_backward(
+    shape: Shape, weights: np.ndarray, delta: np.ndarray, notes: list[tuple], valid: np.ndarray
+) -> np.ndarray:
+    """Gradient of the weights from that of the outputs (zero in rows that are not valid)."""
+    m = len(weights)
+    gradient = np.empty((m, shape.n_weights), delta.dtype)
+    share = None
+    for layer, place, note in reversed(list(zip(shape.layers, shape.places(), notes))):
+        fan_in, units, at, _ = place
+        x, z, hat, inverse, mask, _, _ = note
+        matrix, _, gain, _ = _layer_parts(weights, fan_in, units, at, layer.normalise)
+        end = at + fan_in * units
+        if mask is not None:
+            delta = delta * mask
+        if layer.normalise:
+            if share is None:
+                share = (valid / np.maximum(valid.sum(axis=1, keepdims=True), 1))[:, None, :]
+            gradient[:, end + units : end + 2 * units] = (delta * hat).sum(axis=1)
+            gradient[:, end + 2 * units : end + 3 * units] = delta.sum(axis=1)
+            inner = delta * gain
+            # Rows that are not valid have no part in the statistics.
+            total = inner.sum(axis=1, keepdims=True)
+            along = (inner * hat).sum(axis=1, keepdims=True)
+            delta = inverse * (inner - share.transpose(0, 2, 1) * (total + hat * along))
+        if layer.relu:
+            delta = delta * (z > 0)
+        gradient[:, at:end] = (x.transpose(0, 2, 1) @ delta).reshape(m, -1)
+        gradient[:, end : end + units] = delta.sum(axis=1)
+        delta = delta @ matrix.transpose(0, 2, 1)
+    return gradient
 
 
 @dataclass
 class Network:
-    """Dense layers: ReLU in between, linear at the end."""
+    """A shape with its weights and the running statistics of its normalised layers."""
 
-    sizes: tuple[int, ...]
-    weights: np.ndarray  # all layers, flattened
+    shape: Shape
+    weights: np.ndarray
+    stats: np.ndarray
 
     @staticmethod
-    def fresh(sizes: Sequence[int], seed: int) -> Network:
+    def fresh(shape: Shape, seed: int) -> Network:
         rng = np.random.default_rng(seed)
-        parts = []
-        for fan_in, fan_out in zip(sizes[:-1], sizes[1:]):
-            bound = np.sqrt(6.0 / (fan_in + fan_out))
-            parts += [rng.uniform(-bound, bound, fan_in * fan_out), np.zeros(fan_out)]
-        return Network(tuple(sizes), np.concatenate(parts))
-
-    def layers(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        out, at = [], 0
-        for fan_in, fan_out in zip(self.sizes[:-1], self.sizes[1:]):
-            matrix = self.weights[at : at + fan_in * fan_out].reshape(fan_in, fan_out)
-            at += fan_in * fan_out
-            out.append((matrix, self.weights[at : at + fan_out]))
-            at += fan_out
-        return out
-
-    def activations(self, x: np.ndarray) -> list[np.ndarray]:
-        layers = self.layers()
-        values = [x]
-        for i, (matrix, bias) in enumerate(layers):
-            x = x @ matrix + bias
-            if i < len(layers) - 1:
-                x = np.maximum(x, 0.0)
-            values.append(x)
-        return values
+        weights, stats = np.zeros(shape.n_weights), np.zeros(shape.n_stats)
+        for layer, (fan_in, units, at, stat) in zip(shape.layers, shape.places()):
+            bound, end = np.sqrt(6.0 / (fan_in + units)), at + fan_in * units
+            weights[at:end] = rng.uniform(-bound, bound, fan_in * units)
+            if layer.normalise:
+                weights[end + units : end + 2 * units] = 1.0
+                stats[stat + units : stat + 2 * units] = 1.0
+        return Network(shape, weights, stats)
 
     def output(self, x: np.ndarray) -> np.ndarray:
-        return self.activations(x)[-1]
+        return run_forward(self.shape, self.weights[None], self.stats[None], x[None])[0][0]
 
     def gradient(self, x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, float]:
-        """Summed gradient and summed loss (row mean of squared errors)."""
-        values = self.activations(x)
-        error = values[-1] - target
-        loss = float((error**2).mean(axis=1).sum())
+        """Summed gradient and summed loss (row mean of squared errors), all rows as one batch."""
+        valid = np.ones((1, len(x)))
+        out, notes = run_forward(self.shape, self.weights[None], self.stats[None], x[None], valid)
+        error = out - target[None]
         delta = 2.0 * error / target.shape[1]
-        parts: list[np.ndarray] = []
-        layers = self.layers()
-        for i in range(len(layers) - 1, -1, -1):
-            parts = [(values[i].T @ delta).ravel(), delta.sum(axis=0), *parts]
-            if i:
-                delta = (delta @ layers[i][0].T) * (values[i] > 0)
-        return np.concatenate(parts), loss
+        parts = run_backward(self.shape, self.weights[None], delta, notes, valid)
+        return parts[0], float((error**2).mean(axis=2).sum())
 
 
 def uniform(key: Sequence[Column], salt: str, seed: int) -> Column:
@@ -95,44 +207,99 @@ def normal(key: Sequence[Column], salt: str, seed: int) -> Column:
 
 
 @dataclass
-class _Adam:
-    """Weights with the running moments of their gradients."""
+class _State:
+    """Weights with the running moments of their gradients, and batch statistics."""
 
     weights: np.ndarray
     first: np.ndarray
     second: np.ndarray
+    stats: np.ndarray
     steps: int = 0
 
-    def step(self, gradient: np.ndarray, rate: float) -> None:
-        self.steps += 1
-        self.first = 0.9 * self.first + 0.1 * gradient
-        self.second = 0.999 * self.second + 0.001 * gradient**2
-        mean = self.first / (1 - 0.9**self.steps)
-        spread = np.sqrt(self.second / (1 - 0.999**self.steps)) + 1e-8
-        self.weights = self.weights - rate * mean / spread
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([self.weights, self.first, self.second])
+def replicas_for(rows: int) -> int:
+    """Replicas that train on so many rows."""
+    return max(1, -(-rows // ROWS_PER_REPLICA))
 
 
-def deal(df: DataFrame, slot: Column, replicas: int) -> DataFrame:
-    """The rows dealt into replicas by ``slot``, a hash of the row's key, and kept sorted.
+def _replicas_per_part(shape: Shape) -> int:
+    return max(1, min(PART_REPLICAS, PART_WEIGHTS // shape.n_weights))
 
-    Lost parts are computed again from ``df``, which should be materialised.
+
+def deal(
+    df: DataFrame,
+    inputs: Sequence[str],
+    targets: Sequence[str],
+    hold: str,
+    slot: Column,
+    replicas: int,
+    together: int,
+) -> DataFrame:
+    """One row per part: the packed rows of ``together`` replicas, dealt by ``slot`` and sorted.
+
+    Kept in memory or on disk; lost parts are computed again from ``df``, which should be
+    materialised.
     """
-    return (
-        df.withColumns({"__slot": slot, "__replica": F.pmod(slot, F.lit(replicas)).cast("int")})
-        .repartition(replicas, "__replica")
-        .sortWithinPartitions("__replica", "__slot", *df.columns)
-        .drop("__slot")
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    p, q = len(inputs), len(targets)
+    replica = F.pmod(F.col("__slot"), F.lit(replicas))
+    dealt = (
+        df.select(slot.alias("__slot"), F.col(hold).alias("__hold"), *_arrays(inputs, targets))
+        .withColumn("__replica", replica.cast("int"))
+        .withColumn("__part", F.expr(f"__replica div {together}").cast("int"))
+        .repartition(-(-replicas // together), "__part")
+        .sortWithinPartitions("__part", "__replica", "__slot", "__x", "__y")
+        .select("__part", "__replica", "__hold", "__x", "__y")
     )
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = [], None
+        for batch in batches:
+            parts = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), batch.num_rows]
+            for start, end in zip(cuts, cuts[1:]):
+                if end == start:
+                    continue
+                if held and parts[start] != last:
+                    yield packed(last, held)
+                    held = []
+                last = int(parts[start])
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield packed(last, held)
+
+    def packed(part: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        def joined(i: int) -> np.ndarray:
+            return np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in held])
+
+        def matrix(i: int, width: int) -> np.ndarray:
+            flat = np.concatenate([b.column(i).flatten().to_numpy() for b in held])
+            return flat.astype(np.float32).reshape(-1, width)
+
+        data = joined(1), joined(2).astype(bool), matrix(3, p), matrix(4, q)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), pa.array([pickle.dumps(data)], pa.binary())],
+            names=["part", "data"],
+        )
+
+    return dealt.mapInArrow(pack, "part int, data binary").persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _arrays(inputs: Sequence[str], targets: Sequence[str]) -> list[Column]:
+    return [
+        F.array(*[F.col(c).cast("double") for c in names]).alias(alias)
+        for alias, names in (("__x", inputs), ("__y", targets))
+    ]
+
 
 def pass_sums(
     df: DataFrame, inputs: Sequence[str], targets: Sequence[str], network: Network
 ) -> tuple[np.ndarray, float, int]:
-    """Summed gradient, summed loss and rows of one pass at fixed weights."""
+    """Summed gradient, summed loss and rows of one pass at fixed weights.
+
+    Only for networks without normalisation, whose gradient is a sum over rows.
+    """
+    if network.shape.n_stats:
+        raise ValueError("the gradient of a normalised network is no sum over rows")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, loss, rows = np.zeros(len(network.weights)), 0.0, 0
@@ -155,73 +322,114 @@ def pass_sums(
     return gradient, values.get(-1, 0.0), int(values.get(-2, 0))
 
 
-def _epoch(df, inputs, targets, hold: str, sizes, state: _Adam, parts: int, batch_size: int, rate: float):
+def _side_by_side(replica: np.ndarray, x: np.ndarray, y: np.ndarray):
+    """Rows (sorted by replica) as one block per replica, filled up; and which rows are real."""
+    names, starts, counts = np.unique(replica, return_index=True, return_counts=True)
+    m, n = len(names), int(counts.max(initial=0))
+    row = np.arange(len(replica)) - np.repeat(starts, counts)
+    at = np.repeat(np.arange(m), counts), row
+    blocks = [np.zeros((m, n, values.shape[1]), np.float32) for values in (x, y)]
+    for block, values in zip(blocks, (x, y)):
+        block[at] = values
+    valid = np.zeros((m, n), np.float32)
+    valid[at] = 1
+    return *blocks, valid, counts
+
+
+def train_part(
+    shape: Shape, state: _State, x, y, valid, batch_size: int, rate: float, key: Sequence[int], epochs: range
+) -> _State:
+    """Adam steps of the replicas of one part; arrays of the result have one row per replica."""
+    m, n = valid.shape
+    weights, first, second, stats = (
+        np.repeat(v.astype(np.float32)[None], m, axis=0)
+        for v in (state.weights, state.first, state.second, state.stats)
+    )
+    steps = np.full(m, state.steps)
+    for epoch in epochs:
+        rng = np.random.Generator(np.random.Philox(key=list(key), counter=[0, 0, 0, epoch]))
+        order = rng.permutation(n)
+        for start in range(0, n, batch_size):
+            rows = order[start : start + batch_size]
+            real = valid[:, rows]
+            counts = real.sum(axis=1)
+            masks = [
+                (rng.random((m, len(rows), layer.units), np.float32) >= layer.dropout)
+                / np.float32(1 - layer.dropout)
+                if layer.dropout
+                else None
+                for layer in shape.layers
+            ]
+            out, notes = run_forward(shape, weights, stats, x[:, rows], real, masks)
+            size = (np.maximum(counts, 1) * y.shape[2])[:, None, None]
+            delta = 2 * (out - y[:, rows]) * real[:, :, None] / size
+            gradient = run_backward(shape, weights, delta, notes, real)
+            # A replica without a row in this batch stays as it is.
+            live = counts > 0
+            steps += live
+            on = live[:, None].astype(np.float32)
+            first += on * 0.1 * (gradient - first)
+            second += on * 0.001 * (gradient * gradient - second)
+            t = np.maximum(steps, 1)[:, None]
+            mean = first / (1 - 0.9**t).astype(np.float32)
+            spread = np.sqrt(second / (1 - 0.999**t).astype(np.float32)) + np.float32(1e-8)
+            weights -= on * np.float32(rate) * mean / spread
+            for layer, (_, units, _, stat), note in zip(shape.layers, shape.places(), notes):
+                if layer.normalise:
+                    seen = np.concatenate([note[5][:, 0], note[6][:, 0]], axis=1)
+                    kept = stats[:, stat : stat + 2 * units]
+                    kept += on * np.float32(1 - MOMENTUM) * (seen - kept)
+    return _State(weights, first, second, stats, int(steps.max(initial=state.steps)))
+
+
+def _job(
+    dealt: DataFrame, shape: Shape, state: _State, parts: int, batch_size: int, rate: float,
+    seed: int, epochs: range, with_train_loss: bool,
+):
     """Row-weighted sum of the replicas' states, and losses at the starting weights."""
-    shared = df.sparkSession.sparkContext.broadcast(state)
-    width = 3 * len(state.weights)
-
-    def train_replica(chunks: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]):
-        start: _Adam = shared.value
-        own = _Adam(start.weights, start.first, start.second, start.steps)
-        fixed = Network(sizes, start.weights)
-        losses, counts = [0.0, 0.0], [0, 0]
-        rest = None
-
-        def update(x: np.ndarray, y: np.ndarray) -> None:
-            gradient, _ = Network(sizes, own.weights).gradient(x, y)
-            own.step(gradient / len(x), rate)
-
-        for x, y, held in chunks:
-            for k, chosen in enumerate((~held, held)):
-                if chosen.any():
-                    error = fixed.output(x[chosen]) - y[chosen]
-                    losses[k] += float((error**2).mean(axis=1).sum())
-                    counts[k] += int(chosen.sum())
-            x, y = x[~held], y[~held]
-            if rest is not None:
-                x, y = np.vstack([rest[0], x]), np.vstack([rest[1], y])
-            whole = len(x) // batch_size * batch_size
-            for at in range(0, whole, batch_size):
-                update(x[at : at + batch_size], y[at : at + batch_size])
-            rest = (x[whole:], y[whole:])
-        if rest is not None and len(rest[0]):
-            update(*rest)
-        return own.flat() * counts[0], counts[0], own.steps, losses[1], losses[0], counts[1]
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Rows come sorted by replica; a replica may go on in the next batch.
-        pieces = (
-            (replica, piece)
-            for batch in batches
-            for replica, piece in batch.groupby("__replica", sort=True)
-        )
-        total, rows = np.zeros(width), [0, 0, 0.0, 0.0, 0]
-        for _, group in groupby(pieces, key=itemgetter(0)):
-            chunks = (
-                (
-                    piece[list(inputs)].to_numpy(dtype=float),
-                    piece[list(targets)].to_numpy(dtype=float),
-                    piece[hold].to_numpy(dtype=bool),
-                )
-                for _, piece in group
-            )
-            flat, *numbers = train_replica(chunks)
-            total += flat
-            rows = _added(rows, numbers)
-        yield _pack(total, rows)
+    shared = dealt.sparkSession.sparkContext.broadcast(state)
+    width = 3 * shape.n_weights + shape.n_stats
+
+    def losses(start: _State, x: np.ndarray, y: np.ndarray) -> float:
+        if not len(x):
+            return 0.0
+        out, _ = run_forward(shape, start.weights[None], start.stats[None], x[None])
+        return float(((out[0] - y) ** 2).mean(axis=1, dtype=np.float64).sum())
 
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start: _State = shared.value
+        total, rows = np.zeros(width), [0, 0, 0.0, 0.0, 0]
+        for batch in batches:
+            for part, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                replica, held, x, y = pickle.loads(data.as_py())
+                free = ~held
+                hold_loss = losses(start, x[held], y[held])
+                train_loss = losses(start, x[free], y[free]) if with_train_loss else 0.0
+                n, steps = int(free.sum()), start.steps
+                if n and len(epochs):
+                    bx, by, valid, counts = _side_by_side(replica[free], x[free], y[free])
+                    own = train_part(
+                        shape, start, bx, by, valid, batch_size, rate, (seed, part), epochs
+                    )
+                    flat = np.concatenate([own.weights, own.first, own.second, own.stats], axis=1)
+                    total += counts @ flat.astype(np.float64)
+                    steps = own.steps
+                rows = _added(rows, [n, steps, hold_loss, train_loss, int(held.sum())])
+        yield _packed_state(total, rows)
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(width), [0, 0, 0.0, 0.0, 0]
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                total += np.frombuffer(row[0])
-                rows = _added(rows, row[1:])
-        yield _pack(total, rows)
+            for row in batch.to_pylist():
+                state, *numbers = row.values()
+                total += np.frombuffer(state)
+                rows = _added(rows, numbers)
+        yield _packed_state(total, rows)
 
-    partials = df.select("__replica", *inputs, *targets, hold).mapInPandas(partial, _PARTIAL)
+    partials = dealt.mapInArrow(partial, _STATE)
     while parts > _FAN_IN:
         parts = -(-parts // _FAN_IN)
-        partials = partials.repartition(parts).mapInPandas(combine, _PARTIAL)
+        partials = partials.repartition(parts).mapInArrow(combine, _STATE)
     collected = partials.collect()
     shared.unpersist()
     total, rows = np.zeros(width), [0, 0, 0.0, 0.0, 0]
@@ -239,9 +447,12 @@ def _added(rows: Sequence, more: Sequence) -> list:
     ]
 
 
-def _pack(state: np.ndarray, rows: Sequence) -> pd.DataFrame:
-    names = ("train_n", "steps", "hold_loss", "train_loss", "hold_n")
-    return pd.DataFrame({"state": [state.tobytes()], **{n: [v] for n, v in zip(names, rows)}})
+def _packed_state(state: np.ndarray, rows: Sequence) -> pa.RecordBatch:
+    values = [pa.array([state.tobytes()], pa.binary())]
+    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
+    values += [pa.array([v], kind) for v, kind in zip(rows, kinds)]
+    names = ["state", "train_n", "steps", "hold_loss", "train_loss", "hold_n"]
+    return pa.RecordBatch.from_arrays(values, names=names)
 
 
 def train(
@@ -250,45 +461,57 @@ def train(
     targets: Sequence[str],
     hold: str,
     slot: Column,
-    sizes: Sequence[int],
+    shape: Shape,
     epochs: int,
     patience: int,
     seed: int,
     learning_rate: float = 0.003,
     batch_size: int = 32,
-    replicas: int = 8,
+    replicas: int | None = None,
 ) -> tuple[Network, list[float]]:
-    """Fit the network; returns the best weights and the held-out losses.
+    """Fit the network; returns the best weights and the held-out losses, one per job.
 
-    ``df`` should be materialised. Rows with ``hold`` true are not trained on; training
-    stops when their loss has not improved for ``patience`` epochs. Without held-out
-    rows the training loss decides.
+    ``df`` should be materialised, and ``slot`` a hash of something unique per row. Rows with
+    ``hold`` true are not trained on; training stops when their loss has not improved in
+    ``patience`` jobs, which are of one epoch then. Without held-out rows the training loss decides. ``replicas`` is
+    :func:`replicas_for` the rows unless given.
     """
-    sizes = tuple(sizes)
-    weights = Network.fresh(sizes, seed).weights
-    state = _Adam(weights, np.zeros_like(weights), np.zeros_like(weights))
-    best, best_loss, waited = weights, np.inf, 0
+    start = Network.fresh(shape, seed)
+    zeros = np.zeros_like(start.weights)
+    state = _State(start.weights, zeros, zeros, start.stats)
+    n_rows, n_held = df.agg(F.count(F.lit(1)), F.count_if(hold)).first()
+    if n_rows == n_held:
+        raise ValueError("there are no rows to train on")
+    replicas = replicas or replicas_for(n_rows)
+    together = _replicas_per_part(shape)
+    best, best_loss, waited = start, np.inf, 0
     history: list[float] = []
-    dealt = deal(df, slot, replicas)
+    done, stride, since = 0, 1, 0
+    cuts = np.cumsum([len(zeros)] * 3)
+    parts = -(-replicas // together)
+    dealt = deal(df, inputs, targets, hold, slot, replicas, together)
     try:
-        for epoch in range(1, epochs + 2):
-            total, train_n, steps, hold_loss, train_loss, hold_n = _epoch(
-                dealt, inputs, targets, hold, sizes, state, replicas, batch_size, learning_rate
+        while True:
+            todo = range(done, min(done + stride, epochs))
+            total, train_n, steps, hold_loss, train_loss, hold_n = _job(
+                dealt, shape, state, parts, batch_size, learning_rate, seed, todo, not n_held
             )
-            if train_n == 0:
-                raise ValueError("there are no rows to train on")
             loss = hold_loss / hold_n if hold_n else train_loss / train_n
             history.append(loss)
             if loss < best_loss:
-                best, best_loss, waited = state.weights, loss, 0
+                best, best_loss, waited = Network(shape, state.weights, state.stats), loss, 0
             else:
                 waited += 1
-            if waited >= patience or epoch > epochs:
+            if waited >= patience or not len(todo):
                 break
-            state = _Adam(*np.split(total / train_n, 3), steps)
+            if since:
+                fall = (history[-2] - loss) / max(abs(history[-2]), 1e-300) / since
+                stride = min(2 * stride, MOST_EPOCHS) if fall > FAST else 1
+            done, since = todo.stop, len(todo)
+            state = _State(*np.split(total / train_n, cuts), steps)
     finally:
         dealt.unpersist()
-    return Network(sizes, best), history
+    return best, history
 
 
 def reconstructor(network: Network, names: Sequence[str]):

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null
 from ..session import materialise, release
-from .autoencoder import reconstructor, train, uniform
+from .autoencoder import Layer, Shape, reconstructor, train, uniform
 from .impute import clean, resolve_columns
+from .numbering import number_rows
 
 _MIN_COMPLETE = 10
 
@@ -19,8 +20,10 @@ class NeuralImputer:
     """Fill missing cells with an autoencoder's reconstruction of the row.
 
     The network learns on complete rows, standardised, with a share of the cells
-    masked to zero. Which cells are masked and which rows are held out depends
-    only on the row's values and the seed. When filling, a missing cell enters as
+    masked to zero; it normalises batches in three layers and drops units in the first. Rows are
+    numbered in the order of their values, and which cells are masked, which rows are held out
+    and which replica a row trains depend on that number and the seed alone: not on the
+    partitions, and equal rows are spread. When filling, a missing cell enters as
     zero in standardised units, that is as the column mean.
     """
 
@@ -32,9 +35,10 @@ class NeuralImputer:
         seed: int = 42,
         columns: Sequence[str] | None = None,
         patience: int = 5,
-        learning_rate: float = 0.003,
+        learning_rate: float = 0.005,
         batch_size: int = 32,
-        replicas: int = 8,
+        replicas: int | None = None,
+        dropout: float = 0.2,
     ):
         self.encoding_dim = encoding_dim
         self.epochs = epochs
@@ -45,6 +49,7 @@ class NeuralImputer:
         self.learning_rate = learning_rate
         self.batch_size = batch_size
         self.replicas = replicas
+        self.dropout = dropout
         self.network = None
 
     def fit(self, df: DataFrame) -> NeuralImputer:
@@ -65,7 +70,13 @@ class NeuralImputer:
                 f"Found {row['__n']}. Consider the simple or mice imputer."
             )
         self.scale = {c: (row[f"mean_{c}"], row[f"sd_{c}"] or 1.0) for c in columns}
-        key = [F.col(c) for c in columns]
+        # Ordered by values first: equal rows may change places, which changes nothing.
+        numbered = number_rows(
+            complete.withColumn("__spot", F.monotonically_increasing_id()),
+            [*columns, "__spot"],
+            "__number",
+        )
+        key = [F.col("__number")]
         targets = {f"y{i}": (F.col(c) - m) / s for i, (c, (m, s)) in enumerate(self.scale.items())}
         inputs = {
             f"x{i}": F.when(
@@ -75,21 +86,19 @@ class NeuralImputer:
         }
         held = uniform(key, "hold", self.seed) < 0.1
         rows = materialise(
-            complete.select(
+            numbered.select(
                 *[e.alias(n) for n, e in {**inputs, **targets}.items()],
                 held.alias("hold"),
                 F.xxhash64(*key, F.lit(self.seed)).alias("slot"),
             )
         )
-        p = len(columns)
-        wide, narrow = min(256, 4 * p), min(128, 2 * p)
         self.network, self.history = train(
             rows,
             list(inputs),
             list(targets),
             "hold",
             F.col("slot"),
-            (p, wide, narrow, self.encoding_dim, narrow, wide, p),
+            self.shape(len(columns)),
             self.epochs,
             self.patience,
             self.seed,
@@ -100,6 +109,21 @@ class NeuralImputer:
         release(rows)
         return self
 
+    def shape(self, p: int) -> Shape:
+        """Layers for ``p`` columns: two down to the code and two up again."""
+        wide, narrow = min(256, 4 * p), min(128, 2 * p)
+        return Shape(
+            p,
+            (
+                Layer(wide, normalise=True, dropout=self.dropout),
+                Layer(narrow, normalise=True),
+                Layer(self.encoding_dim),
+                Layer(narrow, normalise=True),
+                Layer(wide),
+                Layer(p, relu=False),
+            ),
+        )
+
     def transform(self, df: DataFrame) -> DataFrame:
         if self.network is None:
             raise RuntimeError("NeuralImputer must be fitted before calling transform().")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import mean_square
 from ..session import materialise, release
-from .autoencoder import normal, reconstructor, train, uniform
+from .autoencoder import Layer, Shape, normal, reconstructor, train, uniform
 from .quantiles import exact_quantiles
 from .tables import emergent
 
@@ -166,7 +166,8 @@ class SignalDetector:
         patience: int = 10,
         learning_rate: float = 0.003,
         batch_size: int = 16,
-        replicas: int = 8,
+        replicas: int | None = None,
+        dropout: float = 0.2,
     ):
         self.encoding_dim = encoding_dim
         self.epochs = epochs
@@ -176,6 +177,7 @@ class SignalDetector:
         self.learning_rate = learning_rate
         self.batch_size = batch_size
         self.replicas = replicas
+        self.dropout = dropout
         self.network = None
 
     def fit_detect(self, adae: DataFrame, adsl: DataFrame) -> DataFrame:
@@ -202,7 +204,15 @@ class SignalDetector:
             [f"y{i}" for i in range(p)],
             "hold",
             F.col("slot"),
-            (p, wide, self.encoding_dim, wide, p),
+            Shape(
+                p,
+                (
+                    Layer(wide, dropout=self.dropout),
+                    Layer(self.encoding_dim),
+                    Layer(wide),
+                    Layer(p, relu=False),
+                ),
+            ),
             self.epochs,
             self.patience,
             self.seed,

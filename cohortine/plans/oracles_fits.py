@@ -90,6 +90,27 @@ def _autoencoder_pass() -> str:
     return _on(("panel",), blocks, "\nUNION ALL ".join(rows))
 
 
+def _normalised() -> str:
+    """A layer of three, normalised with fixed statistics, and a linear one back to four."""
+    p, hidden = len(_PANEL), 3
+    z = [" + ".join(f"x{i} * ({(i + 1) / 10} - {j / 20})" for i in range(p)) for j in range(hidden)]
+    y = [
+        f"{1 + j / 10} * (greatest({e} + 0.1, 0) - 0.5) / sqrt({0.25 + j / 4} + 0.001) + {j / 20} AS y{j}"
+        for j, e in enumerate(z)
+    ]
+    out = [
+        " + ".join(f"y{j} * ({(k + 1) / 10} - {j / 20})" for j in range(hidden)) + " + 0.1"
+        for k in range(p)
+    ]
+    blocks = f"""
+    scaled AS (
+      SELECT {_PANEL_KEYS}, {", ".join(f"{c} / {SCALES[c]} AS x{i}" for i, c in enumerate(_PANEL))}
+      FROM panel WHERE {" AND ".join(f"{c} IS NOT NULL" for c in _PANEL)}),
+    hidden AS (SELECT *, {", ".join(y)} FROM scaled)"""
+    columns = ", ".join(f"round({o}, 6) AS r{k}" for k, o in enumerate(out))
+    return _on(("panel",), blocks, f"SELECT {_PANEL_KEYS}, {columns} FROM hidden")
+
+
 #: Fourteen measurements made from the panel's four columns, as SQL both engines read.
 WIDE = (
     "l_quantity", "l_extendedprice / 1000", "l_discount * 100", "l_tax * 100",
@@ -125,6 +146,7 @@ def fit_oracles(logrank: str) -> dict[str, str]:
         "cox_hazard": _HAZARD,
         "cox_gradient": "SELECT unnest(['AGE', 'SEX_NUM', 'TRT01AN']) AS covariate, CAST(0 AS DOUBLE) AS gradient",
         "autoencoder_pass": _autoencoder_pass(),
+        "autoencoder_normalised": _normalised(),
         "impute_mice_kept": _with(("panel",), _kept(list(_PANEL), "panel")),
         "impute_neural_kept": _with(("panel",), _kept(list(_PANEL), "panel")),
         "impute_mice_wide": _kept(names, wide),

@@ -502,9 +502,9 @@ def ae_signal_scores(spark, d):
 def autoencoder_pass(spark, d):
     """Loss (place -1) and gradient of one pass at fixed weights of a linear network."""
     p = len(study.PANEL)
-    network = autoencoder.Network(
-        (p, p), np.array([(i + 1) / 10 - j / 20 for i in range(p) for j in range(p)] + [0.1] * p)
-    )
+    shape = autoencoder.Shape.dense(p, p)
+    weights = [(i + 1) / 10 - j / 20 for i in range(p) for j in range(p)] + [0.1] * p
+    network = autoencoder.Network(shape, np.array(weights), np.zeros(0))
     rows = _spread_panel(spark, d).select(
         *[(F.col(c) / SCALES[c]).alias(c) for c in study.PANEL]
     )
@@ -516,6 +516,24 @@ def autoencoder_pass(spark, d):
     return table.withColumn("value", F.round("value", 4))
 
 
+@query
+def autoencoder_normalised(spark, d):
+    """What a fixed network with a normalised layer makes of every complete row."""
+    p, hidden = len(study.PANEL), 3
+    layers = (autoencoder.Layer(hidden, normalise=True), autoencoder.Layer(p, relu=False))
+    weights = [(i + 1) / 10 - j / 20 for i in range(p) for j in range(hidden)] + [0.1] * hidden
+    weights += [1 + j / 10 for j in range(hidden)] + [j / 20 for j in range(hidden)]
+    weights += [(k + 1) / 10 - j / 20 for j in range(hidden) for k in range(p)] + [0.1] * p
+    stats = [0.5] * hidden + [0.25 + j / 4 for j in range(hidden)]
+    shape = autoencoder.Shape(p, layers)
+    network = autoencoder.Network(shape, np.array(weights), np.array(stats))
+    names = [f"r{k}" for k in range(p)]
+    rows = _spread_panel(spark, d).na.drop(subset=list(study.PANEL))
+    scaled = [F.col(c) / SCALES[c] for c in study.PANEL]
+    rebuilt = rows.withColumn("r", autoencoder.reconstructor(network, names)(*scaled))
+    return _rounded(rebuilt.select(*study.PANEL_KEYS, "r.*"), *names)
+
+
 @query
 def ae_signal_ranks(spark, d):
     """Flags and places in the ranking, given the errors."""

@@ -335,17 +335,92 @@ def test_detector(safety):
     assert detector.reconstruct(fewer, adsl).count() == 40
 
 
-def test_gradient():
-    net = autoencoder.Network.fresh((3, 5, 3), seed=1)
+SHAPES = {
+    "dense": autoencoder.Shape.dense(3, 5, 3),
+    "normalised": autoencoder.Shape(
+        3, (autoencoder.Layer(6, normalise=True), autoencoder.Layer(4), autoencoder.Layer(3, False, True))
+    ),
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES.values(), ids=SHAPES)
+def test_gradient(shape):
+    """Against differences; rows that are not valid take no part."""
+    net = autoencoder.Network.fresh(shape, seed=1)
     rng = np.random.default_rng(0)
-    x, y = rng.normal(size=(7, 3)), rng.normal(size=(7, 3))
-    gradient, _ = net.gradient(x, y)
-    for i in rng.integers(0, len(gradient), 8):
-        step = np.zeros_like(gradient)
+    net.weights += rng.normal(size=len(net.weights)) / 10
+    x, y = rng.normal(size=(2, 9, 3)), rng.normal(size=(2, 9, 3))
+    valid = np.ones((2, 9))
+    valid[1, 6:] = 0
+    weights = np.stack([net.weights, net.weights * 1.1])
+    stats = np.stack([net.stats] * 2)
+    masks = [(rng.random((2, 9, layer.units)) > 0.3) / 0.7 for layer in shape.layers[:-1]] + [None]
+
+    def loss(weights):
+        out, notes = autoencoder.run_forward(shape, weights, stats, x, valid, masks)
+        error = (out - y) * valid[:, :, None]
+        return (error**2).sum(axis=(1, 2)), notes, 2 * error
+
+    _, notes, delta = loss(weights)
+    gradient = autoencoder.run_backward(shape, weights, delta, notes, valid)
+    for i in range(shape.n_weights):
+        step = np.zeros(shape.n_weights)
         step[i] = 1e-6
-        up = autoencoder.Network(net.sizes, net.weights + step).gradient(x, y)[1]
-        down = autoencoder.Network(net.sizes, net.weights - step).gradient(x, y)[1]
-        assert gradient[i] == pytest.approx((up - down) / 2e-6, abs=1e-5)
+        change = (loss(weights + step)[0] - loss(weights - step)[0]) / 2e-6
+        np.testing.assert_allclose(gradient[:, i], change, atol=2e-4)
+    # Rows beyond the valid ones may hold anything.
+    x[1, 6:] = 99.0
+    _, notes, delta = loss(weights)
+    np.testing.assert_allclose(
+        autoencoder.run_backward(shape, weights, delta, notes, valid), gradient, atol=1e-9
+    )
+
+
+def test_replicas_side_by_side_train_as_alone():
+    """Several replicas in one block take the steps that each would take by itself."""
+    shape = autoencoder.Shape(2, (autoencoder.Layer(5, normalise=True), autoencoder.Layer(2, False)))
+    net = autoencoder.Network.fresh(shape, 3)
+    zeros = np.zeros_like(net.weights)
+    state = autoencoder._State(net.weights, zeros, zeros, net.stats, 7)
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(2, 3, 40, 2)).astype(np.float32)
+    valid = np.ones((3, 40), np.float32)
+    options = (16, 0.01, (1, 0), range(2))
+    both = autoencoder.train_part(shape, state, x, y, valid, *options)
+    for i in range(3):
+        one = slice(i, i + 1)
+        alone = autoencoder.train_part(shape, state, x[one], y[one], valid[one], *options)
+        np.testing.assert_allclose(both.weights[i], alone.weights[0], rtol=1e-4, atol=1e-6)
+        np.testing.assert_allclose(both.stats[i], alone.stats[0], rtol=1e-4, atol=1e-6)
+    assert both.steps == 7 + 2 * 3
+
+
+def test_dropout_masks_follow_the_counter():
+    shape = autoencoder.Shape(2, (autoencoder.Layer(50, dropout=0.5), autoencoder.Layer(2, False)))
+    net = autoencoder.Network.fresh(shape, 3)
+    zeros = np.zeros_like(net.weights)
+    state = autoencoder._State(net.weights, zeros, zeros, net.stats)
+    x = np.ones((1, 8, 2), np.float32)
+    options = (shape, state, x, x, np.ones((1, 8), np.float32), 8, 0.01)
+    first = autoencoder.train_part(*options, (1, 0), range(1)).weights
+    np.testing.assert_array_equal(first, autoencoder.train_part(*options, (1, 0), range(1)).weights)
+    for key, epochs in (((2, 0), range(1)), ((1, 1), range(1)), ((1, 0), range(1, 2))):
+        assert not np.array_equal(first, autoencoder.train_part(*options, key, epochs).weights)
+
+
+def test_replicas_grow_with_the_rows_and_equal_rows_spread(spark):
+    assert [autoencoder.replicas_for(n) for n in (1, 2048, 2049, 10**9)] == [1, 1, 2, 488_282]
+    rows = spark.range(20_000).select(
+        F.lit(1.0).alias("x"), F.lit(False).alias("hold"), F.xxhash64("id").alias("slot")
+    )
+    dealt = autoencoder.deal(rows, ["x"], ["x"], "hold", F.col("slot"), 40, 4)
+    parts = dealt.collect()
+    import pickle
+
+    assert sorted(r.part for r in parts) == list(range(10)) and dealt.rdd.getNumPartitions() == 10
+    sizes = np.concatenate([np.bincount(pickle.loads(r.data)[0])[4 * r.part :] for r in parts])
+    assert len(sizes) == 40 and sizes.sum() == 20_000 and sizes.max() < 1.3 * 500
+    dealt.unpersist()
 
 
 @pytest.fixture(scope="module")
@@ -359,19 +434,19 @@ def training(spark):
 
 
 def fit(df, **options):
-    names = (["x0", "x1"], ["y0", "y1"], "hold", F.col("slot"), (2, 8, 2))
+    names = (["x0", "x1"], ["y0", "y1"], "hold", F.col("slot"), autoencoder.Shape.dense(2, 8, 2))
     return autoencoder.train(df, *names, epochs=6, patience=6, seed=1, learning_rate=0.03, **options)
 
 
 def test_training_does_not_depend_on_partitions(training, monkeypatch):
     network, history = fit(training, batch_size=8, replicas=4)
     other, again = fit(training.repartition(3), batch_size=8, replicas=4)
-    np.testing.assert_allclose(network.weights, other.weights, rtol=1e-9)
-    np.testing.assert_allclose(history, again, rtol=1e-9)
+    np.testing.assert_allclose(network.weights, other.weights, rtol=1e-6)
+    np.testing.assert_allclose(history, again, rtol=1e-6)
     assert min(history) < 0.5 * history[0]
     monkeypatch.setattr(autoencoder, "_FAN_IN", 2)
     tree, _ = fit(training, batch_size=8, replicas=4)
-    np.testing.assert_allclose(network.weights, tree.weights, rtol=1e-9)
+    np.testing.assert_allclose(network.weights, tree.weights, rtol=1e-6)
 
 
 def test_more_updates_per_pass_learn_more(training):
@@ -380,7 +455,7 @@ def test_more_updates_per_pass_learn_more(training):
 
 
 def test_pass_sums(spark, training):
-    net = autoencoder.Network.fresh((2, 3, 2), seed=3)
+    net = autoencoder.Network.fresh(autoencoder.Shape.dense(2, 3, 2), seed=3)
     gradient, loss, rows = autoencoder.pass_sums(training, ["x0", "x1"], ["y0", "y1"], net)
     table = training.toPandas()
     whole = net.gradient(table[["x0", "x1"]].to_numpy(), table[["y0", "y1"]].to_numpy())
