@@ -41,6 +41,21 @@ class Report:
     footnotes: tuple[str, ...] = ()
 
 
+#: In the arms of a table: a column over all arms.
+TOTAL = "Total"
+
+
+def _and_total(counts: DataFrame, arm: str, arms: Sequence[str]) -> DataFrame:
+    """Aggregated rows, and with a total column asked for a copy of each under its name.
+
+    Taken from rows that are already aggregated per arm, so nothing else is read twice.
+    """
+    if TOTAL not in arms:
+        return counts
+    both = F.explode(F.array(F.col(arm), F.lit(TOTAL)))
+    return counts.where(F.col(arm) != TOTAL).withColumn(arm, both)
+
+
 def _report(number: str, body: DataFrame, order_by: tuple[str, ...], **values: str) -> Report:
     footnotes = tuple(note.format(**values) for note in REPORT_FOOTNOTES[number])
     return Report(number, REPORT_TITLES[number].format(**values), body, order_by, footnotes)
@@ -76,7 +91,8 @@ def demographics(
     """Table 14.1.1: age statistics and sex, race and age-group counts per arm.
 
     The safety population is counted once by (arm, age, sex, race, age group);
-    every block is computed from those counts.
+    every block is computed from those counts. ``"Total"`` among ``arms`` is a column over
+    all arms, those without a column of their own included.
     """
     arm = arm_column(adsl, arm_col)
     safety = _safety(adsl)
@@ -89,6 +105,7 @@ def demographics(
         .groupBy(arm, "AGE", *[name for name, _ in categories])
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    profile = _and_total(profile, arm, arms)
     totals = profile.groupBy(arm).agg(F.sum("n").alias("arm_n"))
 
     # Every arm gets a header cell and every block a heading with empty cells.
@@ -182,11 +199,12 @@ def emergent(adae: DataFrame) -> DataFrame:
     return adae.where(F.col("TRTEMFL") == "Y") if "TRTEMFL" in adae.columns else adae
 
 
-def subject_event_flags(adae: DataFrame, arm: str) -> DataFrame:
+def subject_event_flags(adae: DataFrame, arm: str, arms: Sequence[str] = ()) -> DataFrame:
     """One row per (arm, subject) with emergent events and what kinds they had.
 
     Counting these rows counts distinct subjects, without one distinct
-    aggregation (and one copy of the events) per kind.
+    aggregation (and one copy of the events) per kind. With ``"Total"`` among ``arms`` a
+    subject has one more row under it, however many arms its events have.
     """
     grade = F.coalesce(F.col("ATOXGR") >= 3, F.lit(False)) if "ATOXGR" in adae.columns else F.lit(False)
     kinds = {
@@ -195,12 +213,19 @@ def subject_event_flags(adae: DataFrame, arm: str) -> DataFrame:
         "grade3": grade,
         "fatal": optional_flag(adae, "AEOUT", "FATAL", False),
     }
-    return (
+    flags = (
         emergent(adae)
         .where(F.col("USUBJID").isNotNull())
         .groupBy(arm, "USUBJID")
         .agg(*[F.max(flag).alias(name) for name, flag in kinds.items()])
     )
+    if TOTAL not in arms:
+        return flags
+    return (
+        _and_total(flags, arm, arms)
+        .groupBy(arm, "USUBJID")
+        .agg(*[F.max(name).alias(name) for name in kinds])
+    )
 
 
 def adverse_events(
@@ -209,14 +234,19 @@ def adverse_events(
     arm_col: str | None = None,
     arms: Sequence[str] | None = None,
 ) -> Report:
-    """Table 14.3.1: subjects with emergent events by kind and arm."""
+    """Table 14.3.1: subjects with emergent events by kind and arm.
+
+    ``"Total"`` among ``arms`` is a column over all arms; a subject counts in it once.
+    """
     arm = arm_column(adae, arm_col)
     subject_arm = arm_column(adsl, arm_col)
     safety = _safety(adsl).where(F.col(subject_arm).isNotNull())
     arms = list(arms) if arms else arm_values(safety, subject_arm)
     sizes = safety.groupBy(F.col(subject_arm).alias("arm")).agg(F.count(F.lit(1)).alias("size"))
+    # Copied per arm before the sums, so that the total adds up all arms.
+    sizes = _and_total(sizes, "arm", arms).groupBy("arm").agg(F.sum("size").alias("size"))
     counts = (
-        subject_event_flags(adae, arm)
+        subject_event_flags(adae, arm, arms)
         .groupBy(F.col(arm).alias("arm"))
         .agg(
             F.count(F.lit(1)).alias("any"),
@@ -258,7 +288,7 @@ def lab_shift(
     "Worst" is the highest value, or the lowest with ``direction="low"``; ties go
     to the record that comes first in ``order_by``. Category and arm each take
     their first non-null value in that order. A subject with several baseline
-    records counts once per record.
+    records counts once per record. ``"Total"`` among ``arms`` is a column over all arms.
     """
     if direction not in ("high", "low"):
         raise ValueError("direction must be 'high' or 'low'")
@@ -289,7 +319,11 @@ def lab_shift(
     )
     columns = list(arms) if arms else arm_values(adlb, arm)
     body = (
-        shifts.groupBy("BASELINE", "WORST_POST").pivot("arm", columns).agg(F.sum("n")).na.fill(0)
+        _and_total(shifts, "arm", columns)
+        .groupBy("BASELINE", "WORST_POST")
+        .pivot("arm", columns)
+        .agg(F.sum("n"))
+        .na.fill(0)
     )
     return _report("14.3.4", body, ("BASELINE", "WORST_POST"), parameter=parameter)
 

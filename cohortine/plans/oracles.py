@@ -385,26 +385,38 @@ _AUDIT = "\nUNION ALL ".join(
 )
 
 
-def _per_arm(cell: str, block: int, row: str, label: str, source: str, extra: str = "") -> str:
+_ARMS = ("Drug X", "Placebo")
+
+
+def _per_arm(
+    cell: str, block: int, row: str, label: str, source: str, extra: str = "", columns=_ARMS
+) -> str:
     """One report row (or row group): the cell of each arm side by side."""
-    arms = ", ".join(
-        f"max(CASE WHEN arm = '{a}' THEN {cell} END) AS \"{a}\"" for a in ("Drug X", "Placebo")
-    )
+    arms = ", ".join(f"max(CASE WHEN arm = '{a}' THEN {cell} END) AS \"{a}\"" for a in columns)
     return (
         f"SELECT {block} AS block, {row} AS row, {label} AS characteristic, {arms} "
         f"FROM {source} {extra}"
     )
 
 
-def _demographics() -> str:
+def _over_all(report: str) -> str:
+    """The report of a study whose subjects, and so their events, stand once more under Total."""
+    once = f"adsl AS ({_CTE['adsl']})"
+    twice = f"""adsl AS (
+      WITH one AS ({_CTE["adsl"]})
+      SELECT * FROM one UNION ALL SELECT * REPLACE ('Total' AS TRT01A) FROM one)"""
+    return report.replace(once, twice)
+
+
+def _demographics(columns=_ARMS) -> str:
     blocks = "adsl_n AS (SELECT TRT01A AS arm, count(*) AS n FROM adsl WHERE SAFFL = 'Y' GROUP BY 1)"
     age = """age AS (SELECT TRT01A AS arm, count(AGE) AS n, avg(AGE) AS m, stddev_samp(AGE) AS s,
              median(AGE) AS med, min(AGE) AS lo, max(AGE) AS hi FROM adsl GROUP BY 1)"""
-    parts = [_per_arm("'(N=' || n || ')'", 0, "''", "'Characteristic'", "adsl_n")]
+    parts = [_per_arm("'(N=' || n || ')'", 0, "''", "'Characteristic'", "adsl_n", columns=columns)]
     for block, title in enumerate(
         ("Age (years)", "Sex, n (%)", "Race, n (%)", "Age group, n (%)"), start=1
     ):
-        parts.append(_per_arm("''", block, "''", f"'{title}'", "adsl_n"))
+        parts.append(_per_arm("''", block, "''", f"'{title}'", "adsl_n", columns=columns))
     texts = [
         ("  n", "CAST(n AS VARCHAR)"),
         ("  Mean (SD)", "printf('%.1f (%.2f)', round(m, 1), round(s, 2))"),
@@ -412,7 +424,7 @@ def _demographics() -> str:
         ("  Min, Max", "printf('%.1f, %.1f', CAST(lo AS DOUBLE), CAST(hi AS DOUBLE))"),
     ]
     for i, (label, text) in enumerate(texts, start=1):
-        parts.append(_per_arm(text, 1, f"'{i}'", f"'{label}'", "age"))
+        parts.append(_per_arm(text, 1, f"'{i}'", f"'{label}'", "age", columns=columns))
     for block, name in ((2, "SEX"), (3, "RACE"), (4, "AGEGR1")):
         label = (
             "CASE cat WHEN 'M' THEN '  Male' WHEN 'F' THEN '  Female' ELSE '  Unknown' END"
@@ -423,11 +435,11 @@ def _demographics() -> str:
                       (SELECT count(*) FROM adsl s WHERE s.TRT01A = a.arm AND s.{name} = c.cat) AS k
                       FROM (SELECT DISTINCT {name} AS cat FROM adsl) c CROSS JOIN adsl_n a)"""
         cell = "printf('%d (%.1f%%)', k, round(100.0 * k / n, 1))"
-        parts.append(_per_arm(cell, block, "cat", label, source, "GROUP BY cat"))
+        parts.append(_per_arm(cell, block, "cat", label, source, "GROUP BY cat", columns))
     return _with(_ADSL, f", {blocks}, {age} " + "\nUNION ALL ".join(parts))
 
 
-def _adverse_events() -> str:
+def _adverse_events(columns=_ARMS) -> str:
     kinds = [
         ("  Any TEAE", "true"),
         ("  Any serious TEAE", "ASER = 'Y'"),
@@ -441,10 +453,10 @@ def _adverse_events() -> str:
     )
     source = f"""(SELECT arm, n, {counts} FROM
                  (SELECT TRT01A AS arm, count(*) AS n FROM adsl WHERE SAFFL = 'Y' GROUP BY 1))"""
-    parts = [_per_arm("'(N=' || n || ')'", 0, "'0'", "'Adverse Event Category'", source)]
+    parts = [_per_arm("'(N=' || n || ')'", 0, "'0'", "'Adverse Event Category'", source, "", columns)]
     for i, (label, _) in enumerate(kinds, start=1):
         cell = f"printf('%d (%.1f%%)', k{i}, round(100.0 * k{i} / n, 1))"
-        parts.append(_per_arm(cell, 0, f"'{i}'", f"'{label}'", source))
+        parts.append(_per_arm(cell, 0, f"'{i}'", f"'{label}'", source, "", columns))
     return _with((*_ADAE, "teae"), "\nUNION ALL ".join(parts))
 
 
@@ -637,7 +649,13 @@ def all_oracles() -> dict[str, str]:
         "impute_regression": _with(("panel",), _REGRESSION),
         "impute_audit": _with(("panel",), _AUDIT),
         "tlf_demographics": _demographics(),
+        "tlf_demographics_total": _over_all(_demographics((*_ARMS, "Total"))),
         "tlf_adverse_events": _adverse_events(),
+        "tlf_adverse_events_total": _over_all(_adverse_events((*_ARMS, "Total"))),
+        "tlf_lab_shift_total": _with(
+            (*_ADSL, "lines", "lb"),
+            _LAB_SHIFT.replace(' AS "Placebo"\n', ' AS "Placebo", count(*) AS "Total"\n'),
+        ),
         "tlf_lab_shift": _with((*_ADSL, "lines", "lb"), _LAB_SHIFT),
         "tlf_subject_listing": _with(
             _ADSL, "SELECT USUBJID, SITEID, AGE, AGEGR1, SEX, RACE, TRT01A, ITTFL, SAFFL FROM adsl"

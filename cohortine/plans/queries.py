@@ -348,6 +348,26 @@ def tlf_lab_shift(spark, d):
     return tables.lab_shift(adlb, "ECONOMY", arms=ARMS, order_by=study.LINE_KEYS).body
 
 
+WITH_TOTAL = (*ARMS, tables.TOTAL)
+
+
+@query
+def tlf_demographics_total(spark, d):
+    return tables.demographics(_adsl(spark, d), arms=WITH_TOTAL).body
+
+
+@query
+def tlf_adverse_events_total(spark, d):
+    return tables.adverse_events(*_safety(spark, d), arms=WITH_TOTAL).body
+
+
+@query
+def tlf_lab_shift_total(spark, d):
+    lb = _lb(spark, d, keep=study.LINE_KEYS)
+    adlb = adam.laboratory_analysis(lb, _adsl(spark, d), order_by=study.LINE_KEYS)
+    return tables.lab_shift(adlb, "ECONOMY", arms=WITH_TOTAL, order_by=study.LINE_KEYS).body
+
+
 @query
 def tlf_subject_listing(spark, d):
     return tables.subject_listing(_adsl(spark, d)).body

@@ -84,6 +84,24 @@ def test_adverse_events(adsl, adae):
     ]
 
 
+def test_total_column(spark, adsl, adae):
+    """Over all arms, also those without a column; a subject with events in two arms counts once."""
+    arms = ["Drug X", tables.TOTAL]
+    rows = {r.characteristic.strip(): r for r in body(tables.demographics(adsl, arms=arms))}
+    assert rows["Characteristic"].Total == "(N=4)" and rows["Characteristic"]["Drug X"] == "(N=3)"
+    assert rows["Mean (SD)"].Total == "60.0 (18.26)" and rows["Median"].Total == "60.0"
+    assert rows["Male"].Total == "1 (25.0%)" and rows[">=75"].Total == "1 (25.0%)"
+    crossed = adae.unionByName(adae.withColumn("TRTA", F.lit("Placebo")))
+    events = [(r["Drug X"], r.Total) for r in body(tables.adverse_events(crossed, adsl, arms=arms))]
+    assert events[:2] == [("(N=3)", "(N=4)"), ("2 (66.7%)", "2 (50.0%)")]
+    shift = spark.createDataFrame(
+        [(u, i, a, 10.0 + i, "Y" if i == 1 else "", "LOW" if i == 1 else "HIGH")
+         for u, a in (("u1", "Drug X"), ("u2", "Placebo"), ("u3", "Other")) for i in (1, 2)],
+        "USUBJID string, LBSEQ int, TRTA string, AVAL double, ABLFL string, ANRIND string",
+    ).withColumn("PARAMCD", F.lit("HGB"))
+    assert [tuple(r) for r in body(tables.lab_shift(shift, "HGB", arms=arms))] == [("LOW", "HIGH", 1, 3)]
+
+
 def test_lab_shift(spark):
     rows = [
         ("u1", 1, "Drug X", 10.0, "Y", "NORMAL"),
