@@ -237,18 +237,27 @@ def learn_weights(
     return fit_model(features, table["__label"].to_numpy(), max_pairs)
 
 
-def with_raw(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with the ``__raw`` score of every row, from one pass over the texts."""
-    place = docs.columns.index(text_col)
-    schema = T.StructType([*docs.schema.fields, T.StructField("__raw", T.DoubleType())])
+def with_raw(
+    docs: DataFrame, model: QualityModel, text_col: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """The columns ``keep`` (all by default) and the ``__raw`` score of every row.
+
+    One pass over the texts; a column that is not kept does not come back from the tasks.
+    """
+    keep = docs.columns if keep is None else keep
+    rows = docs.select(*dict.fromkeys([*keep, text_col]))
+    place = rows.columns.index(text_col)
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("__raw", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             features = [text_features(text) for text in utf8(batch.column(place))]
             raw = model.raw(np.array(features).reshape(-1, N_FEATURES))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw)], names=schema.names)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[: len(keep)], pa.array(raw)], names=schema.names
+            )
 
-    return docs.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def full_cut(scored: DataFrame, usable: DataFrame, id_col: str = "doc_id") -> float:
@@ -287,7 +296,7 @@ def learn_quality(
     usable = materialise(usable_labels(docs, labels, id_col, label_col))
     model = learn_weights(docs, usable, max_labelled, max_pairs, id_col, text_col)
     if model.known:
-        scored = materialise(with_raw(docs.select(id_col, text_col), model, text_col).drop(text_col))
+        scored = materialise(with_raw(docs, model, text_col, [id_col]))
         model = replace(model, cut=full_cut(scored, usable, id_col))
         release(scored)
     release(usable)
@@ -321,7 +330,7 @@ def rank_quality(
     """
     usable = materialise(usable_labels(docs, labels, id_col, label_col))
     model = learn_weights(docs, usable, max_labelled, max_pairs, id_col, text_col)
-    scored = materialise(with_raw(docs.select(id_col, text_col), model, text_col).drop(text_col))
+    scored = materialise(with_raw(docs, model, text_col, [id_col]))
     if model.known:
         model = replace(model, cut=full_cut(scored, usable, id_col))
     release(usable)
