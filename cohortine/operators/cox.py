@@ -1,10 +1,10 @@
 """Cox proportional hazards regression.
 
 The rows are range-partitioned once, latest time first, and sorted. Each evaluation of
-the partial likelihood then takes two narrow passes over these partitions: the first
-sums the weights of each partition, the second adds up the likelihood with the totals of
-the partitions before it. No row is shuffled between Newton steps; only sums of p x p
-numbers per partition reach the driver.
+the partial likelihood then takes two narrow passes over these partitions, one job each: the
+first sums the weights of each partition, the second adds up the likelihood with the totals of
+the partitions before it, inside each task. No row is shuffled between Newton steps; only
+sums of p x p numbers per partition reach the driver.
 
 A time that spreads over several partitions (a hot day) is put together on the driver
 from each partition's sums: only the first and the last time of a partition can.
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import nan_to_null, numeric_columns
 from ..session import materialise, release
 from .concordance import concordance
+from .scans import running_totals, with_blocks
 
 #: Parts that the rows of one time are dealt into, so that a hot time can be split.
 _SALTS = 16
@@ -142,11 +143,17 @@ def _grouped(
         yield np.array([open_time]), open_line[None, :]
 
 
+_SUMS = "part long, time double, sums array<double>"
+
+
 def _with_risk(
-    base: DataFrame, beta: np.ndarray, schema: str, inner, names: Sequence[str]
+    base: DataFrame, beta: np.ndarray, inner, added: bool = False
 ) -> tuple[dict[int, np.ndarray], DataFrame]:
     """Rows of ``inner(times, lines, risk)`` over the times inside each partition.
 
+    ``inner`` returns the times and lists of its rows, which have the part -1. With ``added`` it
+    returns sums in place of them, which come out added up, one row per partition.
+
     The first and the last time of a partition come out as rows of kind ``edge`` with
     their sums and the moments of the partition's later times.
     """
@@ -161,10 +168,23 @@ def _with_risk(
         later = np.zeros(shape.moments)
         waiting = None  # a group is only known to be the last when no other follows
         edges = []
+        sums_here = 0.0
 
         def settle(times: np.ndarray, lines: np.ndarray, after: np.ndarray):
-            risk = carries[part] + after + shape.all_moments(lines)
-            return inner(times, lines, risk)
+            nonlocal sums_here
+            out = inner(times, lines, carries[part] + after + shape.all_moments(lines))
+            if added:
+                sums_here = sums_here + out
+            else:
+                yield rows_of([-1] * len(out[0]), *out)
+
+        def rows_of(parts: list[int], times, lists) -> pa.RecordBatch:
+            columns = [
+                pa.array(parts, pa.int64()),
+                pa.array(times, pa.float64()),
+                pa.array(lists, pa.list_(pa.float64())),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=["part", "time", "sums"])
 
         first = True
         for times, lines in _grouped(batches, shape, beta):
@@ -172,26 +192,24 @@ def _with_risk(
             after = later + sums - shape.all_moments(lines)
             later = later + sums[-1]
             if waiting is not None:
-                yield settle(*waiting)
+                yield from settle(*waiting)
                 waiting = None
             if first:
                 edges.append((times[0], lines[0], after[0]))
                 times, lines, after, first = times[1:], lines[1:], after[1:], False
             if len(times) > 1:
-                yield settle(times[:-1], lines[:-1], after[:-1])
+                yield from settle(times[:-1], lines[:-1], after[:-1])
             if len(times):
                 waiting = (times[-1:], lines[-1:], after[-1:])
         if waiting is not None:
             edges.append(tuple(w[0] for w in waiting))
+        if np.ndim(sums_here):
+            yield rows_of([-1], [0.0], [sums_here])
         if edges:
-            columns = [
-                pa.array([part] * len(edges)),
-                pa.array([t for t, _, _ in edges], pa.float64()),
-                pa.array([np.concatenate([line, after]) for _, line, after in edges], pa.list_(pa.float64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=list(names))
+            lists = [np.concatenate([line, after]) for _, line, after in edges]
+            yield rows_of([part] * len(edges), [t for t, _, _ in edges], lists)
 
-    return carries, base.mapInArrow(run, schema)
+    return carries, base.mapInArrow(run, _SUMS)
 
 
 def _edges(shape: _Shape, carries: dict[int, np.ndarray], rows) -> tuple[np.ndarray, ...]:
@@ -209,29 +227,21 @@ def _edges(shape: _Shape, carries: dict[int, np.ndarray], rows) -> tuple[np.ndar
     return np.array(times), lines, risk
 
 
-_SUMS = "part long, time double, sums array<double>"
-
-
 def _evaluate(base: DataFrame, beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
     """Log partial likelihood, gradient and Hessian at ``beta``."""
     shape = _Shape(len(beta))
 
-    def inner(times, lines, risk) -> pa.RecordBatch:
-        sums = shape.likelihood(lines, risk)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([-1]), pa.array([0.0]), pa.array([sums], pa.list_(pa.float64()))],
-            names=["part", "time", "sums"],
-        )
+    def inner(times, lines, risk) -> np.ndarray:
+        return shape.likelihood(lines, risk)
 
-    carries, parts = _with_risk(base, beta, _SUMS, inner, ("part", "time", "sums"))
-    # Added up by place within each task first: one number per place and edge comes back.
-    edges = parts.where("part >= 0")
-    places = parts.where("part < 0").select(F.posexplode("sums").alias("place", "value"))
-    summed = places.groupBy("place").agg(F.sum("value").alias("value"))
+    carries, parts = _with_risk(base, beta, inner, added=True)
+    # One job: a line of sums and at most two edges per partition.
+    rows = parts.collect()
     total = np.zeros(1 + shape.p + len(shape.pairs))
-    for row in summed.collect():
-        total[row["place"]] += row["value"]
-    _, lines, risk = _edges(shape, carries, edges.collect())
+    for row in rows:
+        if row["part"] < 0:
+            total += np.array(row["sums"])
+    _, lines, risk = _edges(shape, carries, [row for row in rows if row["part"] >= 0])
     if len(lines):
         total += shape.likelihood(lines, risk)
     hessian = shape.matrix(total[1 + shape.p :])
@@ -242,19 +252,11 @@ def _hazard(base: DataFrame, beta: np.ndarray) -> DataFrame:
     """Breslow step d / risk at every event time."""
     shape = _Shape(len(beta))
 
-    def inner(times, lines, risk) -> pa.RecordBatch:
+    def inner(times, lines, risk):
         keep = lines[:, 0] > 0
-        steps = lines[keep, 0] / risk[keep, 0]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(keep.sum(), -1)),
-                pa.array(times[keep]),
-                pa.array([[x] for x in steps], pa.list_(pa.float64())),
-            ],
-            names=["part", "time", "sums"],
-        )
+        return times[keep], (lines[keep, 0] / risk[keep, 0])[:, None].tolist()
 
-    carries, parts = _with_risk(base, beta, _SUMS, inner, ("part", "time", "sums"))
+    carries, parts = _with_risk(base, beta, inner)
     inside = parts.where("part < 0").select("time", F.col("sums")[0].alias("hazard"))
     times, lines, risk = _edges(shape, carries, parts.where("part >= 0").collect())
     rows = [
@@ -277,6 +279,7 @@ class CoxModel:
     concordance: float
     n_rows: int
     hazard: DataFrame  # time, hazard: Breslow steps at event times
+    times: DataFrame  # time: all distinct times of the rows used
     converged: bool
     steps: int
     gradient: float  # largest element of the penalised gradient at the coefficients
@@ -312,36 +315,97 @@ class CoxModel:
             eta = eta + float(b) * (nan_to_null(df, c).cast("double") - float(m))
         return df.withColumn(name, F.exp(eta))
 
+    def survival_curves(self, df: DataFrame, id_col: str = "USUBJID") -> SurvivalCurves:
+        """Whole curves, one per distinct covariate pattern, at every time the model saw."""
+        values = [nan_to_null(df, c).cast("double").alias(f"z{i}") for i, c in enumerate(self.covariates)]
+        names = [f"z{i}" for i in range(len(values))]
+        members = df.select(F.col(id_col), F.xxhash64(*values).alias("pattern"), *values)
+        risk = F.lit(0.0)
+        for name, b, m in zip(names, self.coefficients, self.means):
+            risk = risk + float(b) * (F.col(name) - float(m))
+        patterns = (
+            members.select("pattern", *names)
+            .na.drop()
+            .distinct()
+            .select("pattern", F.exp(risk).alias("partial_hazard"))
+        )
+        baseline = cumulative_hazard(self.hazard, self.times)
+        return SurvivalCurves(baseline, patterns, members.select(id_col, "pattern"), id_col)
+
     def predict_survival(
-        self, df: DataFrame, times: Sequence[float], id_col: str = "USUBJID"
+        self,
+        df: DataFrame,
+        times: Sequence[float] | None = None,
+        id_col: str = "USUBJID",
     ) -> DataFrame:
-        """Survival probability per (subject, time), long form, at the few times given.
+        """Survival probability in long form.
 
-        The whole curve of a subject is exp(-partial hazard * cumulative hazard): join
-        :meth:`with_risk` with the running total of ``hazard`` for the subjects wanted.
+        For the few ``times`` of a list: per (subject, time). Without: at every time the model saw, per (pattern, time), which
+        :meth:`survival_curves` relates to subjects; subjects times times is never built.
         """
+        if times is None:
+            return self.survival_curves(df, id_col).curves()
+        asked = df.sparkSession.createDataFrame([(float(t),) for t in times], "time double")
+        points = cumulative_hazard(self.hazard, asked.distinct()).collect()
         risks = self.with_risk(df).select(id_col, "partial_hazard")
-        survival = F.exp(-F.col("cumulative_hazard") * F.col("partial_hazard"))
-        sums = self.hazard.agg(
-            *[
-                F.coalesce(F.sum(F.when(F.col("time") <= t, F.col("hazard"))), F.lit(0.0)).alias(f"h{i}")
-                for i, t in enumerate(times)
-            ]
-        ).first()
-        points = F.array(
+        lines = F.array(
             *[
-                F.struct(
-                    F.lit(float(t)).alias("time"),
-                    F.lit(float(sums[f"h{i}"])).alias("cumulative_hazard"),
-                )
-                for i, t in enumerate(times)
+                F.struct(F.lit(time).alias("time"), F.lit(total).alias("cumulative_hazard"))
+                for time, total in sorted(map(tuple, points))
             ]
         )
-        return risks.select(id_col, "partial_hazard", F.inline(points)).select(
+        survival = F.exp(-F.col("cumulative_hazard") * F.col("partial_hazard"))
+        return risks.select(id_col, "partial_hazard", F.inline(lines)).select(
             id_col, "time", survival.alias("survival")
         )
 
 
+def cumulative_hazard(hazard: DataFrame, times: DataFrame) -> DataFrame:
+    """``time`` and ``cumulative_hazard`` of a step function, as of each of the ``times``.
+
+    Steps and times are put on one line, cut into blocks, and summed within blocks plus what
+    earlier blocks carry, so the number of times and steps may be large.
+    """
+    steps = hazard.select("time", F.col("hazard").alias("step"), F.lit(False).alias("asked"))
+    asked = times.select("time", F.lit(0.0).alias("step"), F.lit(True).alias("asked"))
+    line = (
+        steps.unionByName(asked)
+        .groupBy("time")
+        .agg(F.sum("step").alias("step"), F.max("asked").alias("asked"))
+    )
+    line = materialise(line)
+    summed = running_totals(with_blocks(line, "time"), [], "time", {"cumulative_hazard": "step"})
+    return summed.where("asked").select("time", "cumulative_hazard")
+
+
+@dataclass
+class SurvivalCurves:
+    """Curves of subjects, factored: a baseline, patterns of covariates, and who has which.
+
+    ``baseline`` has ``time`` and ``cumulative_hazard``; ``patterns`` has ``pattern`` and
+    ``partial_hazard`` (none for subjects with a missing covariate); ``members`` has the
+    subject and its ``pattern``.
+    """
+
+    baseline: DataFrame
+    patterns: DataFrame
+    members: DataFrame
+    id_col: str
+
+    def curves(self, patterns: DataFrame | None = None) -> DataFrame:
+        """``pattern``, ``time``, ``survival`` of all or of the given patterns."""
+        chosen = self.patterns
+        if patterns is not None:
+            chosen = chosen.join(patterns.select("pattern").distinct(), "pattern", "left_semi")
+        survival = F.exp(-F.col("cumulative_hazard") * F.col("partial_hazard"))
+        return chosen.crossJoin(self.baseline).select("pattern", "time", survival.alias("survival"))
+
+    def of(self, subjects: DataFrame) -> DataFrame:
+        """Curves of the subjects wanted: id, ``time``, ``survival``."""
+        wanted = self.members.join(subjects.select(self.id_col).distinct(), self.id_col, "left_semi")
+        return wanted.join(self.curves(wanted), "pattern").select(self.id_col, "time", "survival")
+
+
 def _ordered(complete: DataFrame) -> DataFrame:
     """Rows in range partitions of falling time, kept for the passes of the fit.
 
@@ -400,6 +464,33 @@ def cox_hazard(
     return hazard
 
 
+def model_at(
+    df: DataFrame,
+    coefficients: dict[str, float],
+    duration: str = "AVAL",
+    censor: str = "CNSR",
+) -> CoxModel:
+    """A model with given coefficients, of another study say, and this one's baseline hazard.
+
+    The covariates are taken as they are, neither centred nor scaled; errors are unknown.
+    """
+    names = list(coefficients)
+    beta = np.array(list(coefficients.values()), dtype=float)
+    complete = materialise(_complete(df, names, duration, censor))
+    base = _ordered(complete)
+    value, gradient, _ = _evaluate(base, beta)
+    hazard = materialise(_hazard(base, beta))
+    times = materialise(complete.select("time").distinct())
+    n, p = complete.count(), len(names)
+    base.unpersist()
+    release(complete)
+    nothing = np.full(p, np.nan)
+    aic, steepest = -2 * value + 2 * p, float(np.abs(gradient).max())
+    return CoxModel(
+        names, beta, nothing, np.zeros(p), value, aic, float("nan"), n, hazard, times, False, 0, steepest
+    )
+
+
 def _complete(df: DataFrame, covariates: Sequence[str], duration: str, censor: str) -> DataFrame:
     """``time``, ``event`` and covariates ``z0``, ``z1``, ... of the complete rows."""
     return df.select(
@@ -475,6 +566,7 @@ def fit_cox(
         score = score + float(beta[a]) * F.col(f"z{a}")
     ranked = base.select("time", (1 - F.col("event")).alias("CNSR"), score.alias("score"))
     index = concordance(ranked, "score", "time", "CNSR").first()["concordance"]
+    times = materialise(complete.select("time").distinct())
     base.unpersist()
     release(complete)
     return CoxModel(
@@ -487,6 +579,7 @@ def fit_cox(
         float("nan") if index is None else index,
         n,
         hazard,
+        times,
         converged,
         steps,
         float(np.abs(penalised_gradient).max()),

@@ -55,6 +55,18 @@ _HAZARD = _on(
     _OS, _cox_blocks(), "SELECT time, round(d / r0, 9) AS hazard FROM risk WHERE d > 0"
 )
 
+_CURVES = _on(
+    _OS,
+    _cox_blocks(),
+    f"""
+    SELECT USUBJID, subjects, time, round(exp(-total * exp({_ETA})), 6) AS survival
+    FROM (SELECT time, sum(CASE WHEN d > 0 THEN d / r0 ELSE 0 END) OVER (ORDER BY time) AS total FROM risk),
+      (SELECT AGE, SEX_NUM, TRT01AN, min(USUBJID) AS USUBJID, count(*) AS subjects
+       FROM (SELECT USUBJID, AGE, CASE WHEN SEX = 'M' THEN 1 ELSE 0 END AS SEX_NUM, adsl.TRT01AN
+             FROM os JOIN adsl USING (USUBJID))
+       WHERE AGE IS NOT NULL GROUP BY 1, 2, 3)""",
+)
+
 # Simpson's rule for the error function at sqrt(x / 2), with 2000 steps.
 _LOGRANK_P = """
     SELECT round(1 - 2 / sqrt(pi()) * a / 6000 * sum(
@@ -144,6 +156,7 @@ def fit_oracles(logrank: str) -> dict[str, str]:
     return {
         "cox_components": _components(),
         "cox_hazard": _HAZARD,
+        "cox_curves": _CURVES,
         "cox_gradient": "SELECT unnest(['AGE', 'SEX_NUM', 'TRT01AN']) AS covariate, CAST(0 AS DOUBLE) AS gradient",
         "autoencoder_pass": _autoencoder_pass(),
         "autoencoder_normalised": _normalised(),

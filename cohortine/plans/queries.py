@@ -485,6 +485,17 @@ def cox_gradient(spark, d):
     )
 
 
+@query
+def cox_curves(spark, d):
+    """Whole curves at fixed coefficients, named by the first subject that has them."""
+    subjects = _cox_input(spark, d)
+    found = cox.model_at(subjects, _FIXED).survival_curves(subjects)
+    named = found.members.groupBy("pattern").agg(
+        F.min("USUBJID").alias("USUBJID"), F.count(F.lit(1)).alias("subjects")
+    )
+    return _rounded(found.curves().join(named, "pattern").drop("pattern"), "survival")
+
+
 @query
 def cox_concordance(spark, d):
     result = concordance.concordance(_cox_input(spark, d), "AGE")

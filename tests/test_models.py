@@ -166,6 +166,39 @@ def test_cox_survival(sample):
         assert r.survival == pytest.approx(math.exp(-total * risks[r.USUBJID]))
 
 
+def test_whole_curves(spark, sample):
+    """One curve per covariate pattern, at every time, as of the last step."""
+    grouped = sample.withColumn("z0", F.round("z0"))
+    unknown = sample.limit(1).selectExpr(
+        *[f"{'NULL' if c == 'z0' else c} AS {c}" if c != "USUBJID" else "'gap' AS USUBJID" for c in sample.columns]
+    ).withColumn("z0", F.lit(None).cast("double"))
+    everyone = grouped.unionByName(unknown)
+    model = cox.fit_cox(grouped, ["z0"])
+    found = model.survival_curves(everyone)
+    assert found.members.count() == 201
+    n_patterns = grouped.select("z0").distinct().count()
+    times = {r.AVAL for r in grouped.select("AVAL").distinct().collect()}
+    assert found.patterns.count() == n_patterns
+    assert found.curves().count() == n_patterns * len(times)
+    assert model.predict_survival(everyone).count() == n_patterns * len(times)
+    steps = [(r.time, r.hazard) for r in model.hazard.collect()]
+    risks = {r.USUBJID: r.partial_hazard for r in model.with_risk(grouped).collect()}
+    some = grouped.limit(3)
+    rows = found.of(some).collect()
+    assert len(rows) == 3 * len(times)
+    for r in rows[:: 7]:
+        total = sum(h for t, h in steps if t <= r.time)
+        assert r.survival == pytest.approx(math.exp(-total * risks[r.USUBJID]))
+    assert found.of(unknown).count() == 0
+
+
+def test_step_function_as_of(spark):
+    hazard = spark.createDataFrame([(1.0, 0.5), (3.0, 0.25)], "time double, hazard double")
+    times = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (3.0,), (99.0,)], "time double")
+    got = {r.time: r.cumulative_hazard for r in cox.cumulative_hazard(hazard, times).collect()}
+    assert got == {0.0: 0.0, 1.0: 0.5, 2.0: 0.5, 3.0: 0.75, 99.0: 0.75}
+
+
 def brute_cox(rows, beta):
     """Value, gradient and Hessian by direct sums, by differences of the value."""
 
@@ -224,12 +257,23 @@ def test_cox_sums_over_partitions(spark, times):
 def test_cox_evaluation_moves_no_rows(spark, sample):
     base = cox._ordered(sample.selectExpr("AVAL AS time", "1 - CNSR AS event", "z0"))
     base.count()
-    _, parts = cox._with_risk(base, np.array([0.1]), cox._SUMS, None, ("part", "time", "sums"))
+    _, parts = cox._with_risk(base, np.array([0.1]), None)
     plan = parts._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
     assert "Exchange" not in plan and plan.count("InMemoryTableScan") == 1
     base.unpersist()
 
 
+def test_cox_evaluation_is_two_jobs(spark, sample):
+    base = cox._ordered(sample.selectExpr("AVAL AS time", "1 - CNSR AS event", "z0"))
+    base.count()
+    context = spark.sparkContext
+    context.setLocalProperty("spark.jobGroup.id", "evaluation")
+    cox._evaluate(base, np.array([0.1]))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("evaluation")) == 2
+    base.unpersist()
+
+
 def test_cox_reports_how_it_ended(sample):
     model = cox.fit_cox(sample, ["z0", "z1"])
     assert model.converged and model.gradient < 1e-2
