@@ -3,7 +3,7 @@
 Only three placements are given by the behaviour this library matches: overall
 survival belongs to ADTTE, laboratory items to LB, and an unrecognised item has
 low confidence and needs a supplemental qualifier. All other rules are our own.
-The first rule whose keyword occurs in the item wins.
+The longest rule whose words occur in the item wins.
 """
 
 from __future__ import annotations

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.protocol_rules import RULES
@@ -21,29 +21,78 @@ def protocol_items(protocols: DataFrame) -> DataFrame:
     )
 
 
-def map_items(items: DataFrame) -> DataFrame:
+#: Words and comparison signs of a text; everything else separates.
+_TERM = r"[\p{L}\p{N}]+|[<>]=?|="
+
+
+def terms(text: Column) -> Column:
+    """Lower-case words of a text without a plural s; so "Doses" is "dose", "overdose" is not."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0))
+    plural = lambda w: (F.length(w) > 3) & w.endswith("s") & ~w.endswith("ss")
+    return F.transform(words, lambda w: F.when(plural(w), F.rtrim(w, F.lit("s"))).otherwise(w))
+
+
+def default_rules(spark: SparkSession) -> DataFrame:
+    """The rules of :mod:`.protocol_rules` as a table."""
+    return spark.createDataFrame(
+        [tuple(rule) for rule in RULES], "keyword string, domain string, dataset string, confidence string"
+    )
+
+
+def map_items(items: DataFrame, rules: DataFrame | None = None) -> DataFrame:
     """Suggest tabulation domain and analysis dataset for every item.
 
-    A fixed chain of keyword conditions, so there is no join. Items that match no
-    rule get low confidence and need a supplemental qualifier.
+    ``rules`` has ``keyword``, ``domain``, ``dataset`` and ``confidence``. A rule fits where
+    the words of its keyword stand in the item one after another; the longest wins, by words and
+    then by characters, and on a tie the first in order of its columns. Items without
+    one, null items too, get low confidence and need a supplemental qualifier.
+
+    Rules are indexed by their first word. Each different text is looked up once: its
+    places are joined with the rules that begin with the word there, and the rest of the phrase
+    is compared. The work grows with the words of the texts, not with the rules.
     """
-    text = F.lower("endpoint")
-
-    def first_match(position: int):
-        chain = F.lit(None).cast("string")
-        for rule in reversed(RULES):
-            chain = F.when(F.contains(text, F.lit(rule[0])), rule[position]).otherwise(chain)
-        return chain
-
-    confidence = F.coalesce(first_match(3), F.lit("low"))
-    placed = {
-        "suggested_sdtm_domain": first_match(1),
-        "suggested_adam_dataset": first_match(2),
-        "confidence": confidence,
-        "requires_suppqual": confidence == "low",
-    }
+    rules = default_rules(items.sparkSession) if rules is None else rules
+    index = (
+        rules.select(terms(F.col("keyword")).alias("phrase"), "keyword", "domain", "dataset", "confidence")
+        .where(F.size("phrase") > 0)
+        .withColumn("first", F.col("phrase")[0])
+    )
+    longest = index.agg(F.max(F.size("phrase"))).first()[0] or 1
+    texts = items.select("endpoint").where(F.col("endpoint").isNotNull()).distinct()
+    # Of every place no more words than the longest rule has; the words are found once.
+    places = F.transform(
+        F.array(terms(F.col("endpoint"))),
+        lambda words: F.transform(words, lambda _, i: F.slice(words, i + 1, longest)),
+    )
+    at = texts.select("endpoint", F.explode(places[0]).alias("words"))
+    best = (
+        at.withColumn("first", F.col("words")[0])
+        .join(index, "first")
+        .where(F.slice("words", 1, F.size("phrase")) == F.col("phrase"))
+        .groupBy("endpoint")
+        .agg(
+            F.min(
+                F.struct(
+                    (-F.size("phrase")).alias("words"),
+                    (-F.length("keyword")).alias("length"),
+                    "keyword",
+                    "domain",
+                    "dataset",
+                    "confidence",
+                )
+            ).alias("rule")
+        )
+    )
     others = [c for c in items.columns if c != "endpoint"]
-    return items.select("endpoint", *others, *[e.alias(n) for n, e in placed.items()])
+    confidence = F.coalesce(F.col("rule.confidence"), F.lit("low"))
+    return items.join(best, "endpoint", "left").select(
+        "endpoint",
+        *others,
+        F.col("rule.domain").alias("suggested_sdtm_domain"),
+        F.col("rule.dataset").alias("suggested_adam_dataset"),
+        confidence.alias("confidence"),
+        (confidence == "low").alias("requires_suppqual"),
+    )
 
 
 def mapping_summary(mapping: DataFrame) -> DataFrame:

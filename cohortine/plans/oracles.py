@@ -468,6 +468,31 @@ _LAB_SHIFT = """
            count(*) FILTER (worst.arm = 'Placebo') AS "Placebo"
     FROM adlb b JOIN worst USING (USUBJID) WHERE VISIT = 'BASELINE' GROUP BY 1, 2"""
 
+#: Every different text against every rule, as text with blanks around the words.
+_RULE_TABLE = """
+    WITH rules AS (
+      SELECT p_name || ' ' || p_partkey AS keyword, p_type AS domain, p_brand AS dataset,
+             'high' AS confidence FROM part
+      UNION ALL SELECT p_name, min(p_type), min(p_brand), 'medium' FROM part GROUP BY 1
+      UNION ALL SELECT DISTINCT split_part(p_name, ' ', 2), 'NOUN', 'ADNOUN', 'low' FROM part),
+    items AS (
+      SELECT l_orderkey, l_linenumber, l_partkey, CASE l_linenumber % 4
+        WHEN 0 THEN 'Change in ' || p_name || ' ' || p_partkey || ' at week 12'
+        WHEN 1 THEN upper(p_name) || 's, by review' WHEN 2 THEN 'Rate of over' || p_name
+        ELSE 'Time to un' || replace(p_name, ' ', '') END AS endpoint
+      FROM lineitem JOIN part ON l_partkey = p_partkey),
+    texts AS (
+      SELECT DISTINCT endpoint,
+        ' ' || replace(replace(lower(endpoint), 's, by', ' by'), ',', '') || ' ' AS said FROM items),
+    best AS (
+      SELECT endpoint, domain, dataset, confidence FROM texts
+      JOIN rules ON contains(said, ' ' || keyword || ' ')
+      QUALIFY row_number() OVER (PARTITION BY endpoint ORDER BY len(string_split(keyword, ' ')) DESC,
+        length(keyword) DESC, keyword, domain, dataset, confidence) = 1)
+    SELECT items.*, domain AS suggested_sdtm_domain, dataset AS suggested_adam_dataset,
+      coalesce(confidence, 'low') AS confidence, coalesce(confidence, 'low') = 'low' AS requires_suppqual
+    FROM items LEFT JOIN best USING (endpoint)"""
+
 _SUMMARY_DEMOGRAPHICS = """
     SELECT TRT01A AS arm, count(*) AS n, round(avg(AGE), 1) AS age_mean,
            round(stddev_samp(AGE), 2) AS age_sd, round(median(AGE), 1) AS age_median,
@@ -657,6 +682,7 @@ def all_oracles() -> dict[str, str]:
             _LAB_SHIFT.replace(' AS "Placebo"\n', ' AS "Placebo", count(*) AS "Total"\n'),
         ),
         "tlf_lab_shift": _with((*_ADSL, "lines", "lb"), _LAB_SHIFT),
+        "protocol_mapping_rules": _RULE_TABLE,
         "tlf_subject_listing": _with(
             _ADSL, "SELECT USUBJID, SITEID, AGE, AGEGR1, SEX, RACE, TRT01A, ITTFL, SAFFL FROM adsl"
         ),

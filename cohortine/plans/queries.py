@@ -630,6 +630,13 @@ def protocol_mapping(spark, d):
     return protocol.map_items(protocol.protocol_items(_protocols(spark, d)))
 
 
+@query
+def protocol_mapping_rules(spark, d):
+    """Items against a rule table with more rules than there are parts."""
+    items, rules = study.measured_items(spark, d), study.keyword_rules(spark, d)
+    return protocol.map_items(items, rules)
+
+
 @query
 def protocol_mapping_summary(spark, d):
     return protocol.mapping_summary(protocol_mapping(spark, d))

@@ -309,3 +309,36 @@ def protocol_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor("o_totalprice").cast("bigint").alias("raw_text_length"),
     )
     return spread(table(spark, sf_dir, "orders"), "o_orderkey").select(F.to_json(document).alias("document"))
+
+
+def keyword_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Placement rules from the parts: one, two or three words, one rule per part and more."""
+    parts = table(spark, sf_dir, "part")
+    rules = (
+        ("p_name || ' ' || p_partkey", "p_type", "p_brand", "'high'"),
+        ("p_name", "min(p_type)", "min(p_brand)", "'medium'"),
+        ("split(p_name, ' ')[1]", "'NOUN'", "'ADNOUN'", "'low'"),
+    )
+    names = ("keyword", "domain", "dataset", "confidence")
+    single, double, noun = (
+        [f"{e} AS {n}" for e, n in zip(expressions, names)] for expressions in rules
+    )
+    by_name = parts.groupBy("p_name").agg(*[F.expr(e) for e in double[1:]])
+    return (
+        parts.selectExpr(*single)
+        .unionByName(by_name.withColumnRenamed("p_name", "keyword"))
+        .unionByName(parts.selectExpr(*noun).distinct())
+    )
+
+
+def measured_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One item per line: a part named fully, in the plural, without its number, or run together."""
+    lines, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    text = (
+        "CASE l_linenumber % 4 WHEN 0 THEN 'Change in ' || p_name || ' ' || p_partkey || ' at week 12'"
+        " WHEN 1 THEN upper(p_name) || 's, by review' WHEN 2 THEN 'Rate of over' || p_name"
+        " ELSE 'Time to un' || replace(p_name, ' ', '') END"
+    )
+    return lines.join(parts, lines.l_partkey == parts.p_partkey).selectExpr(
+        "l_orderkey", "l_linenumber", "l_partkey", f"{text} AS endpoint"
+    )

@@ -215,3 +215,41 @@ def test_protocol(spark, tmp_path):
     out = str(tmp_path / "mapping")
     files.write_mapping(mapping, out)
     assert open(glob.glob(f"{out}/*.csv")[0]).readline().startswith("endpoint,")
+
+
+def test_mapping_by_a_rule_table(spark):
+    rules = spark.createDataFrame(
+        [
+            ("dose", "EX", "ADEX", "medium"),
+            ("survival", "DM", "ADTTE", "medium"),
+            ("progression-free survival", "RS", "ADTTE", "high"),
+            ("free text", "CO", "ADCO", "high"),
+            ("age >=", "DM", "ADSL", "high"),
+            ("vital sign", "VS", "ADVS", "high"),
+            ("vital sign", "XX", "ADXX", "high"),  # listed twice: the first in order counts
+            ("--", "ZZ", "ADZZ", "high"),  # no word: never fits
+            (None, "ZZ", "ADZZ", "high"),
+        ],
+        "keyword string, domain string, dataset string, confidence string",
+    )
+    want = {
+        "Overdose of anything": None,
+        "Doses given": "EX",
+        "PROGRESSION-FREE SURVIVAL (PFS)": "RS",
+        "Progression free of survival": "DM",
+        "Free-text": "CO",
+        "Age>=18": "DM",
+        "Age > 18": None,
+        "Vital signs, dose by dose": "VS",
+        "Ends with a vital": None,
+        "": None,
+        None: None,
+        "x " * 20_000 + "dose": "EX",
+    }
+    items = spark.createDataFrame([(i, t) for i, t in enumerate([*want, "Doses given"])], "id int, endpoint string")
+    rows = protocol.map_items(items, rules).collect()
+    assert len(rows) == len(want) + 1
+    for r in rows:
+        assert r.suggested_sdtm_domain == want[r.endpoint], r.endpoint
+        assert r.requires_suppqual == (want[r.endpoint] is None)
+    assert protocol.map_items(items, rules.limit(0)).where("confidence = 'low'").count() == len(rows)
