@@ -282,9 +282,15 @@ def test_cox_reports_how_it_ended(sample):
     assert not stopped.converged and stopped.steps == 0
 
 
-@pytest.mark.parametrize("digits", [0, 3])
-def test_concordance(sample, digits):
-    scored = sample.withColumn("score", F.round("z0", digits))
+@pytest.mark.parametrize("kind", ["rounded", "plain", "hot time", "hot score", "hot both", "one time"])
+def test_concordance(sample, kind):
+    hot = F.col("USUBJID").substr(-1, 1).cast("int") < 7
+    score, time = F.round("z0", 0 if kind == "rounded" else 3), F.col("AVAL")
+    if kind in ("hot score", "hot both"):
+        score = F.when(hot, 0.25).otherwise(score)
+    if kind in ("hot time", "hot both"):
+        time = F.when(hot, 5.0).otherwise(time)
+    scored = sample.withColumns({"score": score, "AVAL": F.lit(2.0) if kind == "one time" else time})
     rows = scored.collect()
     comparable = concordant = tied = 0
     for a in rows:
@@ -298,6 +304,13 @@ def test_concordance(sample, digits):
     assert found.concordance == pytest.approx((concordant + tied / 2) / comparable)
 
 
+def test_counts_below_pass_64_bits():
+    big = np.array([4_000_000_000] * 2)
+    pairs = concordance.count_below(np.array([0, 1]), np.array([1.0, 2.0]), big, big)
+    assert pairs == 16_000_000_000_000_000_000
+    assert concordance.count_below(*[np.zeros(0, np.int64)] * 4) == 0
+
+
 def test_concordance_without_pairs(sample):
     empty = concordance.concordance(sample.where("CNSR = 1"), "z0").first()
     assert (empty.comparable, empty.concordance) == (0, None)
