@@ -1,4 +1,9 @@
-"""Dataset-wide running numbers without a one-partition window."""
+"""Dataset-wide running numbers without a one-partition window.
+
+Rows are range-partitioned on their key, sorted and written once. A row's number is then its
+index in its file plus the rows of the files before it, both read from the files
+themselves, so the written table needs no column for it and is the only copy.
+"""
 
 from __future__ import annotations
 
@@ -9,35 +14,61 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 
-_SLOT = "__slot"
-_PART = "__part"
-_FIRST = "__first"
+_FILE = "__file"
+_INDEX = "__index"
+_BEFORE = "__before"
 
 
-def number_rows(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
-    """Add ``name`` = 1..n over the whole dataset in ``order_by`` order.
+def in_order(df: DataFrame, order_by: Sequence[str], drop: Sequence[str] = ()) -> DataFrame:
+    """Rows in range partitions of the whole key, sorted, without the columns ``drop``.
 
-    Equals ``row_number() over (order by ...)``. The rows are range-partitioned
-    on the full key tuple, which must be unique, so a single hot subject spreads
-    over many partitions. The sorted rows are written once; the numbers then come
-    from each row's stored slot plus the row counts of the partitions before it.
+    The key must be unique, so that a single hot subject spreads over many partitions.
     """
-    slotted = materialise(
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn(_SLOT, F.monotonically_increasing_id())
-    ).withColumn(_PART, F.shiftright(_SLOT, 33))
-
-    # One row per range partition: bounded by spark.sql.shuffle.partitions.
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        slotted.groupBy(_PART)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .select(_PART, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias(_FIRST))
+    return df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).drop(*drop)
+
+
+def file_offsets(table: DataFrame) -> DataFrame:
+    """``file`` and ``before``: how many rows stand in the files before it.
+
+    ``table`` reads Parquet files written in the order of their numbers. One row per file, so
+    the window is as small as the number of range partitions.
+    """
+    # Numbers in a name may grow in width: compared as numbers, not as text.
+    part, piece = (
+        F.regexp_extract("file", pattern, 1).cast("bigint") for pattern in ("part-([0-9]+)", "-c([0-9]+)[.]")
     )
-    position = F.col(_SLOT).bitwiseAND(F.lit((1 << 33) - 1))
+    earlier = Window.orderBy(part, piece).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        slotted.join(F.broadcast(starts), _PART)
-        .withColumn(name, (F.col(_FIRST) + position + 1).cast("bigint"))
-        .drop(_SLOT, _PART, _FIRST)
+        table.groupBy(F.col("_metadata.file_name").alias("file"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select("file", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
     )
+
+
+def numbered(table: DataFrame, name: str, offsets: DataFrame | None = None) -> DataFrame:
+    """``table``, read from files written in order, with ``name`` = 1..n.
+
+    ``offsets`` are those of :func:`file_offsets`, where they are already known.
+    """
+    offsets = file_offsets(table) if offsets is None else offsets
+    small = offsets.select(F.col("file").alias(_FILE), F.col("before").alias(_BEFORE))
+    return (
+        table.select(
+            "*", F.col("_metadata.file_name").alias(_FILE), F.col("_metadata.row_index").alias(_INDEX)
+        )
+        .join(F.broadcast(small), _FILE)
+        .withColumn(name, (F.col(_BEFORE) + F.col(_INDEX) + 1).cast("bigint"))
+        .drop(_FILE, _INDEX, _BEFORE)
+    )
+
+
+def number_rows(
+    df: DataFrame, order_by: Sequence[str], name: str, drop: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``name`` = 1..n over the whole dataset in ``order_by`` order.
+
+    Equals ``row_number() over (order by ...)``. The rows are written once, without the
+    columns ``drop``; :func:`..sinks.files.write_numbered` writes them to their last
+    place instead.
+    """
+    return numbered(materialise(in_order(df, order_by, drop)), name)

@@ -22,6 +22,7 @@ from ..functions.columns import (
     upper,
 )
 from ..functions.dates import ORDERS, settle_orders
+from ..sinks.files import write_numbered
 from .numbering import number_rows
 
 Orders = Mapping[str, str]
@@ -74,7 +75,26 @@ def map_domain(
     )
     if not order:
         return out
-    return number_rows(out, list(carried), domain.sequence).drop(*carried)
+    return number_rows(out, list(carried), domain.sequence, list(carried))
+
+
+def write_domain(
+    domain: Domain,
+    raw: DataFrame,
+    study_id: str,
+    order_by: Sequence[str],
+    folder: str,
+    date_orders: Orders | None = None,
+) -> str:
+    """Map a raw table and write it, in order, as the only copy; returns the path.
+
+    :func:`..sinks.files.read_numbered` reads it with its sequence variable.
+    """
+    keys = {f"__key{i}": c for i, c in enumerate(order_by)}
+    # The key stands beside the domain until the rows are sorted, and is not written.
+    named = raw.withColumns({alias: F.col(c) for alias, c in keys.items()})
+    out = map_domain(domain, named, study_id, keep=list(keys), date_orders=date_orders)
+    return write_numbered(out, domain.code, folder, list(keys), drop=list(keys))
 
 
 def range_indicator(value: Column, low: Column, high: Column) -> Column:

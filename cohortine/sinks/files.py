@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.numbering import file_offsets, in_order, numbered
 from ..operators.tables import Report
 
 
@@ -22,6 +23,28 @@ def write_dataset(
     return path
 
 
+def write_numbered(
+    df: DataFrame, code: str, folder: str, order_by: Sequence[str], drop: Sequence[str] = ()
+) -> str:
+    """Write a domain as Parquet in the order of its sequence numbers; returns the path.
+
+    The data files are the only copy of the rows. A manifest beside them, ``<path>_offsets``, has
+    one row per file: its name and the rows before it.
+    """
+    path = f"{folder.rstrip('/')}/{code.lower()}"
+    in_order(df, order_by, drop).write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    offsets = file_offsets(spark.read.parquet(path))
+    offsets.coalesce(1).write.mode("overwrite").parquet(f"{path}_offsets")
+    return path
+
+
+def read_numbered(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A dataset of :func:`write_numbered` with its sequence variable ``name``."""
+    offsets = spark.read.parquet(f"{path}_offsets")
+    return numbered(spark.read.parquet(path), name, offsets)
+
+
 def write_report(report: Report, folder: str) -> str:
     """Write a report as CSV, named after its number; returns the path.
 

@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 from cohortine.functions.columns import (
     elapsed_days, fixed_text, number_or_null, word_count,
 )
-from cohortine.operators import conformance, metadata, sdtm
+from cohortine.operators import conformance, metadata, numbering, sdtm
 from cohortine.operators.numbering import number_rows
+from cohortine.sinks import files
 
 STUDY = "TRIAL-7"
 
@@ -211,3 +212,51 @@ def test_small_helpers(spark):
         "SELECT timestamp'2024-01-02 01:00:00' a, timestamp'2024-01-01 23:00:00' b, 2.675D x"
     ).select(elapsed_days(F.col("a"), F.col("b")), fixed_text(F.col("x"), 2)).first()
     assert tuple(row) == (0, "2.68")
+
+
+def test_numbers_come_from_the_files(spark, tmp_path):
+    """One copy of the rows, without keys or numbers; a hot subject over many files."""
+    rows = [(7 if i % 3 else i, 1, f"t{i}", "2024-01-01", None, "1", "Y", "Y", "FATAL", i * 7919 % 1000)
+            for i in range(1000)]
+    names = [*sdtm.ADVERSE_EVENTS.raw_columns, "key"]
+    schema = "subject_id int, site_id int, ae_term string, ae_start_date string, ae_end_date string, " + (
+        "ae_severity string, ae_serious string, ae_related string, ae_outcome string, key int"
+    )
+    raw = spark.createDataFrame(rows, schema)
+    assert raw.columns == names
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = sdtm.write_domain(sdtm.ADVERSE_EVENTS, raw, STUDY, ["key"], str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    written = spark.read.parquet(path)
+    assert written.count() == 1000 and "AESEQ" not in written.columns and "__key0" not in written.columns
+    assert written.select("_metadata.file_name").distinct().count() > 1
+    got = files.read_numbered(spark, path, "AESEQ")
+    assert sorted(tuple(r) for r in got.select("AESEQ", "AETERM").collect()) == [
+        (n, f"T{i}") for n, i in enumerate(sorted(range(1000), key=lambda i: i * 7919 % 1000), 1)
+    ]
+    same = sdtm.map_domain(sdtm.ADVERSE_EVENTS, raw, STUDY, order_by=["key"])
+    assert same.columns == got.columns
+    assert sorted(map(str, same.collect())) == sorted(map(str, got.collect()))
+
+
+def test_numbers_of_an_empty_table_and_of_many_files(spark, tmp_path):
+    empty = spark.range(0)
+    assert numbering.number_rows(empty, ["id"], "n").count() == 0
+    # File names whose numbers differ in width are put in order as numbers.
+    for part in (2, 99_999, 100_000):
+        spark.range(part, part + 3).coalesce(1).write.parquet(str(tmp_path / f"w{part}"))
+    import glob
+    import shutil
+
+    place = tmp_path / "all"
+    place.mkdir()
+    for part in (2, 99_999, 100_000):
+        for i, path in enumerate(glob.glob(str(tmp_path / f"w{part}" / "part-*.parquet"))):
+            shutil.copy(path, place / f"part-{part:05d}-x-c{i:03d}.snappy.parquet")
+    table = spark.read.parquet(str(place))
+    rows = numbering.numbered(table, "n").orderBy("n").collect()
+    assert [(r.n, r.id) for r in rows] == list(
+        enumerate([2, 3, 4, 99_999, 100_000, 100_001, 100_000, 100_001, 100_002], 1)
+    )
