@@ -33,6 +33,8 @@ ROWS_PER_REPLICA, PART_WEIGHTS, PART_REPLICAS = 2048, 1 << 16, 16
 EPSILON, MOMENTUM = 1e-3, 0.97
 #: Epochs of one job at most, and the fall of the loss per epoch above which it may have more.
 MOST_EPOCHS, FAST = 4, 0.01
+#: The loss must fall by this share within the jobs of the patience.
+GAIN = 0.005
 _FAN_IN = 64
 _STATE = "state binary, train_n long, steps long, hold_loss double, train_loss double, hold_n long"
 
@@ -472,8 +474,8 @@ def train(
     """Fit the network; returns the best weights and the held-out losses, one per job.
 
     ``df`` should be materialised, and ``slot`` a hash of something unique per row. Rows with
-    ``hold`` true are not trained on; training stops when their loss has not improved in
-    ``patience`` jobs, which are of one epoch then. Without held-out rows the training loss decides. ``replicas`` is
+    ``hold`` true are not trained on; training stops when their loss has not fallen by
+    the share ``GAIN`` in ``patience`` jobs, which are of one epoch then. Without held-out rows the training loss decides. ``replicas`` is
     :func:`replicas_for` the rows unless given.
     """
     start = Network.fresh(shape, seed)
@@ -484,7 +486,7 @@ def train(
         raise ValueError("there are no rows to train on")
     replicas = replicas or replicas_for(n_rows)
     together = _replicas_per_part(shape)
-    best, best_loss, waited = start, np.inf, 0
+    best, best_loss, mark, waited = start, np.inf, np.inf, 0
     history: list[float] = []
     done, stride, since = 0, 1, 0
     cuts = np.cumsum([len(zeros)] * 3)
@@ -499,9 +501,10 @@ def train(
             loss = hold_loss / hold_n if hold_n else train_loss / train_n
             history.append(loss)
             if loss < best_loss:
-                best, best_loss, waited = Network(shape, state.weights, state.stats), loss, 0
-            else:
-                waited += 1
+                best, best_loss = Network(shape, state.weights, state.stats), loss
+            waited += 1
+            if loss < mark * (1 - GAIN):
+                mark, waited = loss, 0
             if waited >= patience or not len(todo):
                 break
             if since:
