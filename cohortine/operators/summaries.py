@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import arm_column, percent
+from ..session import materialise
 from .quantiles import grouped_medians
 from .tables import emergent, subject_event_flags
 
@@ -145,10 +146,37 @@ def time_to_event_summary(adtte: DataFrame, endpoint: str | None = None) -> Data
     return _with_medians(summary, medians, "median_aval", after="event_rate")
 
 
+def _only(df: DataFrame, *names: str) -> DataFrame:
+    return df.select(*[c for c in dict.fromkeys(names) if c in df.columns])
+
+
+def _subject_terms(adae: DataFrame) -> DataFrame:
+    """Emergent events with one row per arm, subject and term that carries the worst of each kind."""
+    worst = {
+        "ASER": F.max(F.when(F.col("ASER") == "Y", "Y")),
+        "AEREL": F.max(F.when(F.col("AEREL") == "Y", "Y")),
+        "AEOUT": F.max(F.when(F.col("AEOUT") == "FATAL", "FATAL")),
+        "ATOXGR": F.max("ATOXGR"),
+    }
+    kinds = [worst[c].alias(c) for c in worst if c in adae.columns]
+    grouped = emergent(adae).groupBy(arm_column(adae), "USUBJID", "AEDECOD")
+    return grouped.agg(*kinds) if kinds else grouped.count().drop("count")
+
+
 def section_payload(
     adsl: DataFrame, adae: DataFrame, adtte: DataFrame, endpoint: str | None = None
 ) -> DataFrame:
-    """The statistics of sections 11.2, 11.4 and 11.5 as JSON, one row per arm."""
+    """The statistics of sections 11.2, 11.4 and 11.5 as JSON, one row per arm.
+
+    Each dataset is read once, into a table of what the sections need of it: the subjects, the
+    worst event per subject and term, and the times. The sections read these.
+    """
+    subjects = materialise(_only(adsl, arm_column(adsl), "AGE", "SEX"))
+    adae = materialise(_subject_terms(adae))
+    adtte = materialise(
+        _only(adtte, arm_column(adtte), "PARAMCD", "PARAM", "AVAL", "CNSR")
+    )
+    adsl = subjects
 
     def as_rows(summary: DataFrame, section: str, title: str) -> DataFrame:
         stats = [c for c in summary.columns if c != "arm"]
