@@ -17,8 +17,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Suffixes of two labels under which names are registered; any other suffix has one label.
-TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "co.nz", "com.br", "co.in")
+#: Second labels under which countries register names, as in ``com.cn``.
+COUNTRY_SECOND_LABELS = (
+    "ac", "asn", "co", "com", "ed", "edu", "gen", "go", "gob", "gouv", "gov", "govt", "id", "ltd",
+    "mil", "ne", "net", "nhs", "nom", "or", "org", "plc", "police", "sch", "school",
+)
+#: Suffixes of two labels that the rule above does not give, shared hosts mostly.
+MORE_SUFFIXES = (
+    "appspot.com", "azurewebsites.net", "blogspot.com", "cloudfront.net", "fly.dev", "github.io",
+    "gitlab.io", "herokuapp.com", "netlify.app", "pages.dev", "readthedocs.io", "vercel.app",
+    "web.app", "wordpress.com", "workers.dev",
+)
 
 
 @dataclass(frozen=True)
@@ -36,7 +45,9 @@ class Reputation:
     max_bad: float = 0.5
     #: Standard deviations from the posterior mean to the bound.
     z: float = 1.645
-    two_label_suffixes: tuple[str, ...] = TWO_LABEL_SUFFIXES
+    #: A suffix has two labels if it is a country's with one of these before it, or listed.
+    country_second_labels: tuple[str, ...] = COUNTRY_SECOND_LABELS
+    more_suffixes: tuple[str, ...] = MORE_SUFFIXES
     #: Limits of the prior strength, in pages.
     weakest: float = 1.0
     strongest: float = 1000.0
@@ -77,11 +88,18 @@ def matching_rule(host: Column, path: Column, rules: Sequence[SiteRule]) -> Colu
     return out
 
 
-def _names(host: Column, two_label: Sequence[str]) -> tuple[Column, Column]:
-    """Registered domain and suffix of a host."""
+def names_of(host: Column, settings: Reputation) -> tuple[Column, Column]:
+    """Registered domain and suffix of a host.
+
+    The suffix is found by rule: ``com.cn``, ``co.za`` or ``gov.uk`` are a usual second label
+    before a country's two letters. A host that is itself a suffix is its own domain.
+    """
     labels = F.split(host, r"\.", -1)
     last_two = F.substring_index(host, ".", -2)
-    double = last_two.isin(list(two_label))
+    seconds = "|".join(settings.country_second_labels)
+    double = last_two.rlike(f"^(?:{seconds})[.][a-z][a-z]$") | last_two.isin(
+        list(settings.more_suffixes)
+    )
     suffix = F.when(double, last_two).otherwise(F.substring_index(host, ".", -1))
     domain = F.when(double, F.substring_index(host, ".", -3)).otherwise(last_two)
     return F.when(F.size(labels) == 1, host).otherwise(domain), suffix
@@ -115,15 +133,19 @@ def _strength(level: DataFrame, limits: Reputation) -> float:
 def host_reputation(outcomes: DataFrame, settings: Reputation = Reputation()) -> DataFrame:
     """Posterior of every host from rows ``host``, ``good`` (1, 0 or null if unknown).
 
+    With a column ``pages`` a row stands for so many pages.
+
     Returns ``host``, ``labelled`` (pages with an outcome), ``good_rate`` (posterior mean)
     and ``bad_bound`` (lower bound of the rate of bad pages). Without any outcome the rate
     is 1 and nothing is known against a host. Pages are added up per host before they are
     shuffled, so a hot host is no hot key.
     """
+    times = F.col("pages") if "pages" in outcomes.columns else F.lit(1)
+    known = F.when(F.col("good").isNotNull(), times).otherwise(0)
     hosts = outcomes.groupBy("host").agg(
-        F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good")
+        F.sum(known).alias("n"), F.coalesce(F.sum(F.col("good") * times), F.lit(0)).alias("good")
     )
-    domain, suffix = _names(F.col("host"), settings.two_label_suffixes)
+    domain, suffix = names_of(F.col("host"), settings)
     hosts = hosts.withColumns({"domain": domain, "suffix": suffix})
     counts = [F.sum("n").alias("n"), F.sum("good").alias("good")]
     domains = hosts.groupBy("domain", "suffix").agg(*counts)
@@ -197,7 +219,12 @@ def judge_urls(
     keyed = parsed.select(
         "host", F.nullif(F.regexp_extract("path", label_key, 1), F.lit("")).alias("key")
     )
-    reputation = host_reputation(keyed.join(outcomes, "key", "left"), settings)
+    # Pages without an id, which may be nearly all, and repeated ids are added up before the
+    # join, and rows without a key never meet it.
+    counted = keyed.groupBy("host", "key").agg(F.count(F.lit(1)).alias("pages"))
+    named = counted.where(F.col("key").isNotNull()).join(outcomes, "key", "left")
+    unnamed = counted.where(F.col("key").isNull()).withColumn("good", F.lit(None).cast("bigint"))
+    reputation = host_reputation(named.unionByName(unnamed), settings)
     # The pages of a hot host meet one copy of its row in each of ``salts`` parts.
     every = F.explode(F.sequence(F.lit(0), F.lit(settings.salts - 1)))
     salt = F.pmod(F.xxhash64("__id", "path"), F.lit(settings.salts)).cast("int")

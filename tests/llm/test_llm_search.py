@@ -7,6 +7,8 @@ import pytest
 import xxhash
 from helpers import SF, docs_of, rows_of, with_clashes
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from cohortine.llm import langid, multiindex, ranking, simhash, urls
 from cohortine.llm.base import read
@@ -222,3 +224,30 @@ def test_pipeline_stages_keep_columns_and_survive_odd_rows(spark):
         out.count()
         assert stage(spark, odd.limit(0), SF).count() == 0
     corpus_pipeline.STAGES[-1][1](spark, odd, SF).count()
+
+
+def test_registered_domains(spark):
+    want = {
+        "a.com.cn": ("a.com.cn", "com.cn"),
+        "x.y.b.com.cn": ("b.com.cn", "com.cn"),
+        "shop.co.za": ("shop.co.za", "co.za"),
+        "www.dept.gov.uk": ("dept.gov.uk", "gov.uk"),
+        "one.github.io": ("one.github.io", "github.io"),
+        "www.example.com": ("example.com", "com"),
+        "co.example.de": ("example.de", "de"),
+        "com.cn": ("com.cn", "com.cn"),
+        "localhost": ("localhost", "localhost"),
+        "": ("", ""),
+    }
+    hosts = spark.createDataFrame([(h,) for h in want], "host string")
+    domain, suffix = urls.names_of(F.col("host"), urls.Reputation())
+    got = {r.host: (r.d, r.s) for r in hosts.select("host", domain.alias("d"), suffix.alias("s")).collect()}
+    assert got == want
+
+
+def test_counted_outcomes_are_as_single_ones(spark):
+    single = [("a.com", 1)] * 5 + [("a.com", 0)] * 3 + [("b.com", None)] * 4 + [("c.com", 0)] * 9
+    counted = [("a.com", 1, 5), ("a.com", 0, 3), ("b.com", None, 4), ("c.com", 0, 9)]
+    one = urls.host_reputation(spark.createDataFrame(single, "host string, good bigint"))
+    two = urls.host_reputation(spark.createDataFrame(counted, "host string, good bigint, pages bigint"))
+    assert rows_of(one, *one.columns) == rows_of(two, *one.columns)
