@@ -90,8 +90,58 @@ WORDINGS = (
         )
     ],
     ("SPDX", "SPDX-License-Identifier"),
+    ("ZLIB_GRANT", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"),
+    ("BOOST_REF", "Distributed under the Boost Software License, Version 1.0"),
+    ("BOOST_GRANT", 'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following'),
+    ("MPL11_REF", "The contents of this file are subject to the Mozilla Public License Version 1.1"),
+    ("MPL11_REF", 'The contents of this file are subject to the Mozilla Public License Version 1.1 (the "License")'),
+    ("APACHE2_TITLE", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("APACHE2_TITLE", "Apache License Version 2.0, January 2004"),
+    ("GPL3_TITLE", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL2_TITLE", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL21_TITLE", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL3_TITLE", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL3_TITLE", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("BOOST_TITLE", "Boost Software License - Version 1.0 - August 17th, 2003"),
 )
 
+#: Licence, and names that people write for it in a notice.
+NOTICE_NAMES = (
+    ("Apache-2.0", ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache 2.0", "Apache-2.0")),
+    ("MIT", ("MIT License", "MIT")),
+    ("BSD-3-Clause", ("BSD 3-Clause License", "3-Clause BSD License", "BSD-3-Clause")),
+    ("BSD-2-Clause", ("BSD 2-Clause License", "2-Clause BSD License", "BSD-2-Clause")),
+    ("ISC", ("ISC License", "ISC")),
+    ("Zlib", ("zlib License", "Zlib")),
+    ("BSL-1.0", ("Boost Software License, Version 1.0", "Boost Software License 1.0", "BSL-1.0")),
+    ("MPL-2.0", ("Mozilla Public License 2.0", "Mozilla Public License, Version 2.0", "MPL 2.0", "MPL-2.0")),
+    ("GPL-3.0-only", ("GNU General Public License v3.0", "GNU GPL v3", "GPLv3", "GPL-3.0")),
+    ("GPL-2.0-only", ("GNU General Public License v2.0", "GNU GPL v2", "GPLv2", "GPL-2.0")),
+    ("LGPL-3.0-only", ("GNU Lesser General Public License v3.0", "LGPLv3", "LGPL-3.0")),
+    ("AGPL-3.0-only", ("GNU Affero General Public License v3.0", "AGPLv3", "AGPL-3.0")),
+    ("EPL-2.0", ("Eclipse Public License 2.0", "EPL-2.0")),
+    ("CC0-1.0", ("CC0 1.0 Universal", "CC0", "CC0-1.0")),
+    ("Unlicense", ("Unlicense",)),
+)
+#: What stands before the name, with or without an article.
+NOTICE_FORMS = ("Licensed under", "Released under", "Distributed under")
+TAG_FORMS = ("License: {}",)
+
+
+def notices() -> list[tuple[str, str]]:
+    """Identifier and wording of every notice: forms times names."""
+    out = []
+    for licence, names in NOTICE_NAMES:
+        for name in names:
+            # One identifier per verb, so that its word tells which texts to read.
+            out += [
+                (f"{form.split()[0].upper()}_{licence}", f"{form} {article}{name}")
+                for form in NOTICE_FORMS
+                for article in ("the ", "")
+            ]
+            out += [(f"TAG_{licence}", form.format(name)) for form in TAG_FORMS]
+    return out
+
 #: SPDX identifier and the older ones that mean the same.
 SPDX_IDS = (
     ("Apache-2.0",), ("MIT",), ("GPL-3.0-only", "GPL-3.0"), ("BSD-3-Clause",), ("BSD-2-Clause",),
@@ -144,6 +194,18 @@ LICENCE_RULES = (
     ("CC0-1.0", ("CC0_TITLE",)),
     ("CC0-1.0", ("CC0_DEED",)),
     ("Unlicense", ("UNLICENSE",)),
+    ("Zlib", ("ZLIB_GRANT",)),
+    ("BSL-1.0", ("BOOST_REF",)),
+    ("BSL-1.0", ("BOOST_GRANT",)),
+    ("BSL-1.0", ("BOOST_TITLE",)),
+    ("MPL-1.1", ("MPL11_REF",)),
+    ("Apache-2.0", ("APACHE2_TITLE",)),
+    ("GPL-3.0-only", ("GPL3_TITLE",)),
+    ("GPL-2.0-only", ("GPL2_TITLE",)),
+    ("LGPL-2.1-only", ("LGPL21_TITLE",)),
+    ("LGPL-3.0-only", ("LGPL3_TITLE",)),
+    ("AGPL-3.0-only", ("AGPL3_TITLE",)),
+    *[(licence, (f"{kind}_{licence}",)) for licence, _ in NOTICE_NAMES for kind in ("LICENSED", "RELEASED", "DISTRIBUTED", "TAG")],
 )
 
 #: Ends of sentences where lines are wrapped, and where every line is on its own.
@@ -189,7 +251,8 @@ def cut_tables(
 
 
 SENTENCES, RULES = cut_tables(
-    [*WORDINGS, *[(f"ID_{names[0]}", x) for names in SPDX_IDS for x in names]], LICENCE_RULES
+    [*WORDINGS, *[(f"ID_{names[0]}", x) for names in SPDX_IDS for x in names], *notices()],
+    LICENCE_RULES,
 )
 
 #: The holder in the endorsement clause varies, and may hold the end of a sentence (Inc.).
@@ -197,26 +260,50 @@ HOLDER = (
     r"(?is)\bneither[^a-z0-9]+the[^a-z0-9]+names?[^a-z0-9]+of\b.{1,300}?\bnor[^a-z0-9]+the"
     r"[^a-z0-9]+names?[^a-z0-9]+of[^a-z0-9]+(?:its|their|any|the)\b(?=[^a-z0-9]+contributors)"
 )
+#: A notice that names what it is about, which is left out.
+ABOUT = (
+    r"(?i)\bthis[ \t\r\n]+(?:file|software|code|project|program|package|library|module|repository|source)"
+    r"[ \t\r\n]+is[ \t\r\n]+(licensed|released|distributed)[ \t\r\n]+under\b"
+)
+#: An operator in an SPDX expression, after its tag or after the operator before it.
+OPERATOR = (
+    r"(SPDX-License-Identifier:[ \t]*|\G(?!\A))([^\n]*?)[ \t)]+(?:OR|AND|WITH|or|and|with)[ \t(]+"
+)
 #: An older way to write "or later", whose sign the normal form would drop.
 PLUS = r"\b(A?L?GPL-[0-9.]+)\+"
 
 
 def settle(text: Column) -> Column:
-    """The text with one fixed holder name and ``-or-later`` for the sign ``+``."""
+    """The text with one fixed holder name, ``-or-later`` for the sign ``+``, notices without
+    what they are about, and one tag per part of an SPDX expression, whatever joins the parts.
+    """
     held = F.regexp_replace(
         text, HOLDER, "neither the name of the copyright holder nor the names of its"
     )
-    return F.regexp_replace(held, PLUS, "$1-or-later")
+    held = F.regexp_replace(held, ABOUT, "$1 under")
+    parts = F.regexp_replace(held, OPERATOR, "$1$2. SPDX-License-Identifier: ")
+    return F.regexp_replace(parts, PLUS, "$1-or-later")
 
 
 def sentence_ids(text: Column, ends: str, sentences: Sequence[tuple[str, str]]) -> Column:
     """Identifiers of the known sentences of a text, in order."""
-    known: dict[str, str] = {normal_form(wording): name for name, wording in sentences}
-    lookup = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    # By first word, because a map is searched entry by entry.
+    known: dict[str, dict[str, str]] = {}
+    for name, wording in sentences:
+        form = normal_form(wording)
+        known.setdefault(form.split(" ")[0], {})[form] = name
+
+    def literal(entries) -> Column:
+        return F.create_map(*[F.lit(x) if isinstance(x, str) else x for pair in entries for x in pair])
+
+    lookup = literal([(first, literal(forms.items())) for first, forms in known.items()])
     cut = F.regexp_replace(text, ends, _CUT)
     # Only ASCII is left when capitals are lowered.
     normal = F.lower(F.regexp_replace(cut, f"[^A-Za-z0-9{_CUT}]+", " "))
-    found = F.transform(F.split(normal, _CUT, -1), lambda s: F.try_element_at(lookup, F.trim(s)))
+    said = F.transform(F.split(normal, _CUT, -1), lambda s: F.trim(s))
+    found = F.transform(
+        said, lambda s: F.try_element_at(F.try_element_at(lookup, F.substring_index(s, " ", 1)), s)
+    )
     return F.filter(found, lambda name: name.isNotNull())
 
 
@@ -260,7 +347,7 @@ def anchors(sentences: Sequence[tuple[str, str]], rules) -> list[str]:
     wordings: dict[str, list[str]] = {}
     for name, wording in sentences:
         wordings.setdefault(name, []).append(normal_form(wording))
-    words = {w for forms in wordings.values() for form in forms for w in form.split() if len(w) > 4}
+    words = {w for forms in wordings.values() for form in forms for w in form.split() if len(w) > 5}
     serves = {
         word: {
             i

