@@ -31,7 +31,7 @@ sizes AS (SELECT doc_id, CAST(sum(size) AS BIGINT) AS word_chars FROM words GROU
 grams AS (
   SELECT doc_id, n, pos, array_to_string(ws[pos:pos + n - 1], ' ') AS gram
   FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS pos
-        FROM docs, range(2, 11) r(n) WHERE len(ws) >= n)),
+        FROM docs, range(2, 6) r(n) WHERE len(ws) >= n)),
 counted AS (SELECT *, count(*) OVER (PARTITION BY doc_id, n, gram) AS c FROM grams),
 top AS (
   SELECT doc_id, n, max(c * (length(gram) - n + 1)) AS chars

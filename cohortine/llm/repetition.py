@@ -33,8 +33,9 @@ class RepetitionRules:
     #: n-gram length -> largest share of the single most frequent n-gram
     top: tuple[tuple[int, float], ...] = ((2, 0.20), (3, 0.18), (4, 0.16))
     #: n-gram length -> largest share covered by n-grams that occur more than once
-    #: (a fifth at every length, like the base rule: one repeated sentence is no junk)
-    duplicated: tuple[tuple[int, float], ...] = tuple((n, 0.20) for n in range(5, 11))
+    #: (a fifth, like the base rule: one repeated sentence is no junk; longer n-grams cover
+    #: less, so at this limit they could decide nothing and are not hashed)
+    duplicated: tuple[tuple[int, float], ...] = ((5, 0.20),)
     max_line_share: float = 0.30
     max_line_chars: float = 0.20
 
