@@ -31,7 +31,7 @@ def check_headers(
 ) -> None:
     """Raise ``ValueError`` unless the first line of every file names the columns in order.
 
-    Of every file one line is read: a file is cut at its first line break within the task.
+    Reads the first split of every file, and keeps one line of each before anything is shuffled.
     """
     first = (
         spark.read.text(path)
