@@ -1,11 +1,17 @@
 """Chained-equation imputation, one regression after another.
 
-The state of all rows is a table of two arrays: the centred values, with every missing
+The state is a table of two arrays: a constant and the centred values, with every missing
 cell at its current estimate, and which cells are missing. A regression takes one
 narrow pass over it: every task adds up the moment matrix of its rows, and one number
 per matrix cell reaches the driver. The estimates found in a round are written into the
 state once, at its end, so a pass never repeats the work of earlier rounds. The number
 of jobs is (incomplete columns + 1) per round, whatever the patterns of missing cells.
+
+An estimate is linear in the row's constant and observed values, by the same weights for all
+rows with the same missing cells. So many such rows are replaced, once and before the rounds, by
+the triangle of their QR decomposition: at most one row per observed value and one for the
+constant, with the same moments now and after every regression. Rows whose pattern is rare
+stay as they are; the state never has more rows than the input.
 """
 
 from __future__ import annotations
@@ -25,6 +31,8 @@ from ..session import materialise, release
 from .impute import clean, resolve_columns
 
 _STATE = "filled array<double>, missing array<boolean>"
+#: Cells that a task holds when it condenses rows.
+_HELD_CELLS = 1 << 20
 
 
 @dataclass
@@ -72,20 +80,79 @@ def _bayesian_ridge(moments: np.ndarray, target: int) -> _Step:
     return _Step(target, float(mean[target] - mean @ full), full)
 
 
-def _apply_steps(values: np.ndarray, missing: np.ndarray, steps: Sequence[_Step]) -> np.ndarray:
+def _apply_steps(
+    values: np.ndarray, missing: np.ndarray, steps: Sequence[_Step], constant: np.ndarray
+) -> np.ndarray:
     """Run the regressions in turn over ``values``, changing its missing cells in place."""
     for step in steps:
         rows = missing[:, step.target]
         if rows.any():
-            values[rows, step.target] = step.intercept + values[rows] @ step.weights
+            estimate = step.intercept * constant[rows] + values[rows] @ step.weights
+            values[rows, step.target] = estimate
     return values
 
 
 def _matrices(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Values and missing flags of a batch of the state, one line per row."""
+    """Constants with values, and missing flags, of a batch of the state, one line per row."""
     filled = batch.column(0).flatten().to_numpy(zero_copy_only=False)
     missing = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-    return filled.reshape(-1, size).copy(), missing.reshape(-1, size)
+    return filled.reshape(-1, size + 1).copy(), missing.reshape(-1, size)
+
+
+def _state_batch(filled: np.ndarray, missing: np.ndarray) -> pa.RecordBatch:
+    arrays = []
+    for matrix in (filled, missing):
+        offsets = pa.array(np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1])
+        arrays.append(pa.ListArray.from_arrays(offsets, pa.array(matrix.ravel())))
+    return pa.RecordBatch.from_arrays(arrays, names=["filled", "missing"])
+
+
+def _triangles(filled: np.ndarray, missing: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of every pattern of missing cells replaced by fewer ones with the same moments.
+
+    The missing cells must stand at the column means, which are zero.
+    """
+    patterns, which = np.unique(np.packbits(missing, axis=1), axis=0, return_inverse=True)
+    order = np.argsort(which.ravel(), kind="stable")
+    ends = np.cumsum(np.bincount(which.ravel(), minlength=len(patterns)))
+    rows, flags = [], []
+    for part in np.split(order, ends[:-1]):
+        flag = missing[part[0]]
+        known = np.concatenate([[True], ~flag])
+        block = filled[part]
+        if len(part) > known.sum():
+            triangle = np.linalg.qr(block[:, known], mode="r")
+            block = np.zeros((len(triangle), filled.shape[1]))
+            block[:, known] = triangle
+        rows.append(block)
+        flags.append(np.repeat(flag[None], len(block), axis=0))
+    return np.concatenate(rows), np.concatenate(flags)
+
+
+def _condensed(state: DataFrame, size: int) -> DataFrame:
+    """The first state in as few rows as its patterns of missing cells allow, in bounded memory."""
+    most = max(_HELD_CELLS // (size + 1), 2)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        n = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(_matrices(batch, size))
+            n += batch.num_rows
+            if n >= most:
+                held = [_triangles(*(np.concatenate(part) for part in zip(*held)))]
+                n = len(held[0][0])
+                if 2 * n > most:  # most patterns are rare here
+                    yield _state_batch(*held[0])
+                    held, n = [], 0
+        if held:
+            yield _state_batch(*_triangles(*(np.concatenate(part) for part in zip(*held))))
+
+    # Within the tasks first, so that a frequent pattern is a few rows when it is shuffled.
+    once = state.mapInArrow(run, _STATE)
+    return once.repartition("missing").mapInArrow(run, _STATE)
 
 
 def _moments(state: DataFrame, size: int, target: int, steps: Sequence[_Step]) -> np.ndarray:
@@ -94,10 +161,10 @@ def _moments(state: DataFrame, size: int, target: int, steps: Sequence[_Step]) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((size + 1, size + 1))
         for batch in batches:
-            values, missing = _matrices(batch, size)
+            rows, missing = _matrices(batch, size)
             known = ~missing[:, target]
-            values = _apply_steps(values[known], missing[known], steps)
-            rows = np.column_stack([np.ones(len(values)), values])
+            rows = rows[known]
+            _apply_steps(rows[:, 1:], missing[known], steps, rows[:, 0])
             total += rows.T @ rows
         cells = total.ravel()
         yield pa.RecordBatch.from_arrays(
@@ -122,11 +189,9 @@ def _advance(state: DataFrame, size: int, steps: Sequence[_Step]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, missing = _matrices(batch, size)
-            flat = pa.array(_apply_steps(values, missing, steps).ravel())
-            offsets = pa.array(np.arange(len(values) + 1, dtype=np.int32) * size)
-            filled = pa.ListArray.from_arrays(offsets, flat)
-            yield pa.RecordBatch.from_arrays([filled, batch.column(1)], names=["filled", "missing"])
+            rows, missing = _matrices(batch, size)
+            _apply_steps(rows[:, 1:], missing, steps, rows[:, 0])
+            yield _state_batch(rows, missing)
 
     return state.mapInArrow(run, _STATE)
 
@@ -165,17 +230,17 @@ class ChainedImputer:
         self.steps: list[_Step] = []
         if not incomplete:
             return self
-        state = materialise(
-            data.select(
-                F.array(
-                    *[
-                        F.coalesce(F.col(c) - float(m), F.lit(0.0))
-                        for c, m in zip(self.fitted, self.means)
-                    ]
-                ).alias("filled"),
-                F.array(*[F.col(c).isNull() for c in self.fitted]).alias("missing"),
-            )
+        first = data.select(
+            F.array(
+                F.lit(1.0),
+                *[
+                    F.coalesce(F.col(c) - float(m), F.lit(0.0))
+                    for c, m in zip(self.fitted, self.means)
+                ],
+            ).alias("filled"),
+            F.array(*[F.col(c).isNull() for c in self.fitted]).alias("missing"),
         )
+        state = materialise(_condensed(first, size))
         previous: dict[int, np.ndarray] = {}
         for self.rounds in range(1, self.max_iter + 1):
             change = 0.0
@@ -207,7 +272,8 @@ class ChainedImputer:
                 values = np.column_stack([np.asarray(s, dtype=float) for s in part]) - means
                 missing = np.isnan(values)
                 values[missing] = 0.0
-                yield pd.DataFrame(_apply_steps(values, missing, steps) + means, columns=columns)
+                _apply_steps(values, missing, steps, np.ones(len(values)))
+                yield pd.DataFrame(values + means, columns=columns)
 
         return fill
 

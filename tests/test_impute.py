@@ -182,3 +182,30 @@ def test_factory():
     assert isinstance(impute.get_imputer("neural", epochs=1), NeuralImputer)
     with pytest.raises(ValueError, match="Unknown method 'magic'"):
         impute.get_imputer("magic")
+
+
+@pytest.mark.parametrize("held", [1 << 20, 64])
+def test_chained_state_is_condensed_with_the_same_moments(spark, monkeypatch, held):
+    monkeypatch.setattr(mice, "_HELD_CELLS", held)
+    rng = np.random.default_rng(5)
+    values = rng.normal(size=(3000, 3)) @ rng.normal(size=(3, 3))
+    # Few patterns for most rows, none observed in some.
+    missing = np.array([[0, 0, 0], [1, 0, 0], [0, 1, 1], [1, 1, 1]], bool)[np.arange(3000) % 4]
+    filled = np.column_stack([np.ones(3000), np.where(missing, 0.0, values)])
+    state = spark.createDataFrame(
+        [(f.tolist(), m.tolist()) for f, m in zip(filled, missing)], mice._STATE
+    )
+    small = mice._condensed(state, 3).collect()
+    if held > 64:
+        assert len(small) <= 4 + 3 + 2 + 1
+    rows = np.array([r.filled for r in small])
+    flags = np.array([r.missing for r in small])
+    steps = [mice._Step(0, 0.3, np.array([0, 0.5, -1])), mice._Step(2, -0.2, np.array([1, 0.25, 0]))]
+    for target in range(3):
+        for known, flag in ((filled.copy(), missing), (rows.copy(), flags)):
+            mice._apply_steps(known[:, 1:], flag, steps, known[:, 0])
+            known = known[~flag[:, target]]
+            moments = known.T @ known
+            if flag is missing:
+                expected = moments
+        assert moments == pytest.approx(expected, rel=1e-9, abs=1e-9)
