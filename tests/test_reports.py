@@ -253,3 +253,41 @@ def test_mapping_by_a_rule_table(spark):
         assert r.suggested_sdtm_domain == want[r.endpoint], r.endpoint
         assert r.requires_suppqual == (want[r.endpoint] is None)
     assert protocol.map_items(items, rules.limit(0)).where("confidence = 'low'").count() == len(rows)
+
+
+def test_mapping_meets_only_rules_whose_whole_phrase_stands_in_the_text(spark):
+    # All rules begin with the same word, so pairs by the first word would be n * n.
+    n = 3000
+    rules = spark.range(n).selectExpr(
+        "'lesion count ' || id AS keyword", "'D' || id AS domain", "'A' AS dataset", "'high' AS confidence"
+    )
+    texts = spark.range(n).selectExpr("id AS __text", "'Rise in lesion count ' || id || ' at week 2' AS endpoint")
+    assert protocol._best_rules(texts, rules).where("rule.domain = 'D' || __text").count() == n
+    phrases = texts.select(F.explode(protocol._phrases(F.col("endpoint"), [3])).alias("phrase"))
+    assert phrases.where("phrase LIKE 'lesion count %'").count() == n
+    assert phrases.count() == 6 * n
+    short = texts.select(protocol._phrases(F.lit("Two words"), [1, 2, 3]).alias("all")).first()
+    assert short["all"] == ["two", "word", "two word"]
+
+
+def test_items_of_a_frequent_text_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(protocol, "_LARGE", 0)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        text = "CASE WHEN id % 4 < 2 THEN 'Overall survival' WHEN id % 4 = 2 THEN null ELSE 'Dose ' || id END"
+        items = spark.range(8000).selectExpr("id", f"{text} AS endpoint")
+        mapped = protocol.map_items(items)
+        sizes = [r["count"] for r in mapped.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 8000 and len(sizes) == 16 and max(sizes) < 1000
+        counts = dict(mapped.groupBy("suggested_sdtm_domain").agg(F.count("*")).collect())
+        assert counts == {"DM": 4000, "EX": 2000, None: 2000}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
