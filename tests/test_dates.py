@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from cohortine.functions import dates
 from cohortine.functions.columns import elapsed_days, iso_date, moment_or_null
 from cohortine.functions.dates import DateOrder, settle_orders
 from cohortine.operators import adam, sdtm
@@ -146,3 +147,33 @@ def test_analysis_datasets_do_not_depend_on_the_zone(spark, zone):
     ).withColumns({c: F.lit("Y") for c in ("AESEV", "AESER", "AEREL")})
     rows = adam.adverse_event_analysis(ae, adsl).orderBy("AESTDTC").select("AESTDY", "TRTEMFL").collect()
     assert [tuple(r) for r in rows] == [(31, "Y"), (0, ""), (15, "Y")]
+
+
+def test_plain_iso_dates_are_read_without_their_parts(spark, monkeypatch):
+    texts = ["2024-02-29", "2024-02-30", " 2024-02-28", "2024-2-28", "2024-02-28\n", "0000-01-01", "9999-12-31", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, day string")
+    fast = dict(df.select("id", dates.read_moment("day").cast("string")).collect())
+    with monkeypatch.context() as slow:
+        slow.setattr(dates, "_iso_date", lambda name: F.lit(None).cast("date"))
+        assert fast == dict(df.select("id", dates.read_moment("day").cast("string")).collect())
+    assert fast[0] == "2024-02-29 00:00:00" and fast[1] is None and fast[2] == "2024-02-28 00:00:00"
+    parts = F.split(F.raise_error(F.lit("cut into parts")).cast("string"), r"\|")
+    monkeypatch.setattr(dates, "_parts", lambda name: parts)
+    plain = df.where("id IN (0, 6)")
+    assert plain.where(dates.read_moment("day").isNotNull()).count() == 2
+
+
+def test_equal_texts_of_a_column_are_counted_before_they_are_read(spark, monkeypatch):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    parts = dates._parts
+    monkeypatch.setattr(dates, "_parts", lambda name: F.when(counted(name).isNotNull(), parts(name)))
+    df = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN '13/01/2024' ELSE '01/02/2024' END AS day")
+    found = dates.settle_orders(df, ["day"])["day"]
+    assert (found.order, found.open_values, found.against) == ("DMY", 2000, 0)
+    assert read.value < 100

@@ -260,3 +260,18 @@ def test_numbers_of_an_empty_table_and_of_many_files(spark, tmp_path):
     assert [(r.n, r.id) for r in rows] == list(
         enumerate([2, 3, 4, 99_999, 100_000, 100_001, 100_000, 100_001, 100_002], 1)
     )
+
+
+def test_numbered_rows_are_mapped_once(spark):
+    mapped = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(value):
+        mapped.add(1)
+        return value
+
+    domain = sdtm.Domain("ZZ", ("id",), ("ZZSEQ",), lambda raw, study, orders: {"VALUE": counted("id")}, "ZZSEQ")
+    raw = spark.range(500).selectExpr("id", "500 - id AS place")
+    rows = sdtm.map_domain(domain, raw, "S", ["place"], date_orders={}).collect()
+    assert {(r.VALUE, r.ZZSEQ) for r in rows} == {(i, 500 - i) for i in range(500)}
+    assert mapped.value == 500
