@@ -3,7 +3,7 @@
 Rows are dealt into replicas by a hash that is unique per row, so equal rows spread like any
 others. The number of replicas grows with the rows, one for every ``ROWS_PER_REPLICA`` of them,
 and replicas of a small network are kept some to a part and take their steps side by
-side, as one more axis of every array. A job starts all replicas from the same broadcast
+side, as one more axis of every array; a task holds several parts. A job starts all replicas from the same broadcast
 state, lets them take Adam steps over their own mini-batches for one or more epochs, and
 averages weights, moments and batch statistics by rows, in a tree before they reach the
 driver. While the held-out loss falls fast, a job runs several epochs.
@@ -23,12 +23,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: One replica for so many rows; replicas of one part hold this many weights together.
 ROWS_PER_REPLICA, PART_WEIGHTS, PART_REPLICAS = 2048, 1 << 16, 16
+#: Parts of a task at most, one after another; a task each would mostly start and end tasks.
+PARTS_PER_TASK = 16
 #: Batch normalisation: added to variances, and what running statistics keep per step.
 EPSILON, MOMENTUM = 1e-3, 0.97
 #: Epochs of one job at most, and the fall of the loss per epoch above which it may have more.
@@ -36,6 +38,7 @@ MOST_EPOCHS, FAST = 4, 0.01
 #: The loss must fall by this share within the jobs of the patience.
 GAIN = 0.005
 _FAN_IN = 64
+_LOSS_ROWS = 512
 _STATE = "state binary, train_n long, steps long, hold_loss double, train_loss double, hold_n long"
 
 
@@ -86,10 +89,28 @@ def _layer_parts(weights: np.ndarray, fan_in: int, units: int, at: int, normalis
     """Matrix, bias, gain and shift of a layer, with the axis of replicas in front."""
     m, end = len(weights), at + fan_in * units
     matrix = weights[:, at:end].reshape(m, fan_in, units)
-    rest = [weights[:, end + i * units : end + (i + 1) * units][:, None, :] for i in range(3)]
+    # Copied, so that those of all replicas lie together as rows of a block do.
+    rest = [
+        weights[:, end + i * units : end + (i + 1) * units].copy()[:, None, :]
+        for i in range(3 if normalise else 1)
+    ]
     return matrix, rest[0], *(rest[1:] if normalise else (None, None))
 
 
+def _rows_first(m: int, n: int, units: int, dtype: np.dtype) -> np.ndarray:
+    """Empty block of ``m`` replicas of ``n`` rows, in memory row by row.
+
+    The same row of all replicas lies together, so that a parameter of each replica meets long
+    runs and sums over rows add whole runs. What is computed from such a block lies like it.
+    """
+    return np.empty((n, m, units), dtype).transpose(1, 0, 2)
+
+
+def _product(x: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    out = _rows_first(*x.shape[:2], matrix.shape[2], np.result_type(x, matrix))
+    return np.matmul(x, matrix, out=out)
+
+
 def run_forward(
     shape: Shape,
     weights: np.ndarray,
@@ -106,8 +127,10 @@ def run_forward(
     notes = []
     for i, (layer, (fan_in, units, at, stat)) in enumerate(zip(shape.layers, shape.places())):
         matrix, bias, gain, shift = _layer_parts(weights, fan_in, units, at, layer.normalise)
-        z = x @ matrix + bias
-        h = np.maximum(z, 0) if layer.relu else z
+        h = _product(x, matrix)
+        h += bias
+        if layer.relu:
+            np.maximum(h, 0, out=h)
         hat = inverse = mean = variance = None
         y = h
         if layer.normalise:
@@ -120,13 +143,14 @@ def run_forward(
                 mean = share[:, None, :] @ h
                 centred = h - mean
                 variance = share[:, None, :] @ (centred * centred)
-            inverse = 1 / np.sqrt(variance + np.asarray(EPSILON, z.dtype))
-            hat = centred * inverse
-            y = gain * hat + shift
+            inverse = 1 / np.sqrt(variance + np.asarray(EPSILON, h.dtype))
+            hat = np.multiply(centred, inverse, out=centred)
+            y = gain * hat
+            y += shift
         mask = masks[i] if masks is not None else None
         if mask is not None:
-            y = y * mask
-        notes.append((x, z, hat, inverse, mask, mean, variance))
+            y = np.multiply(y, mask, out=y if layer.normalise else None)
+        notes.append((x, h, hat, inverse, mask, mean, variance, matrix, gain))
         x = y
     return x, notes
 
@@ -138,28 +162,35 @@ def run_backward(
     m = len(weights)
     gradient = np.empty((m, shape.n_weights), delta.dtype)
     share = None
+    delta = np.array(delta, order="K")  # changed in place from here on
     for layer, place, note in reversed(list(zip(shape.layers, shape.places(), notes))):
         fan_in, units, at, _ = place
-        x, z, hat, inverse, mask, _, _ = note
-        matrix, _, gain, _ = _layer_parts(weights, fan_in, units, at, layer.normalise)
+        x, h, hat, inverse, mask, _, _, matrix, gain = note
         end = at + fan_in * units
         if mask is not None:
-            delta = delta * mask
+            delta *= mask
         if layer.normalise:
             if share is None:
                 share = (valid / np.maximum(valid.sum(axis=1, keepdims=True), 1))[:, None, :]
-            gradient[:, end + units : end + 2 * units] = (delta * hat).sum(axis=1)
+            part = delta * hat
+            gradient[:, end + units : end + 2 * units] = part.sum(axis=1)
             gradient[:, end + 2 * units : end + 3 * units] = delta.sum(axis=1)
-            inner = delta * gain
+            delta *= gain
             # Rows that are not valid have no part in the statistics.
-            total = inner.sum(axis=1, keepdims=True)
-            along = (inner * hat).sum(axis=1, keepdims=True)
-            delta = inverse * (inner - share.transpose(0, 2, 1) * (total + hat * along))
+            total = delta.sum(axis=1, keepdims=True)
+            along = np.multiply(delta, hat, out=part).sum(axis=1, keepdims=True)
+            np.multiply(hat, along, out=part)
+            part += total
+            part *= share.transpose(0, 2, 1)
+            delta -= part
+            delta *= inverse
         if layer.relu:
-            delta = delta * (z > 0)
-        gradient[:, at:end] = (x.transpose(0, 2, 1) @ delta).reshape(m, -1)
+            delta *= (h > 0).astype(delta.dtype)
+        into = gradient[:, at:end].reshape(m, fan_in, units)
+        np.matmul(x.transpose(0, 2, 1), delta, out=into)
         gradient[:, end : end + units] = delta.sum(axis=1)
-        delta = delta @ matrix.transpose(0, 2, 1)
+        if at:
+            delta = _product(delta, matrix.transpose(0, 2, 1))
     return gradient
 
 
@@ -228,6 +259,12 @@ def _replicas_per_part(shape: Shape) -> int:
     return max(1, min(PART_REPLICAS, PART_WEIGHTS // shape.n_weights))
 
 
+def tasks_for(spark: SparkSession, parts: int) -> int:
+    """Tasks of a job over so many parts: a few per core, and more only for very many parts."""
+    few = 4 * spark.sparkContext.defaultParallelism
+    return min(parts, max(few, -(-parts // PARTS_PER_TASK)))
+
+
 def deal(
     df: DataFrame,
     inputs: Sequence[str],
@@ -239,7 +276,7 @@ def deal(
 ) -> DataFrame:
     """One row per part: the packed rows of ``together`` replicas, dealt by ``slot`` and sorted.
 
-    Kept in memory or on disk; lost parts are computed again from ``df``, which should be
+    Parts are dealt evenly over :func:`tasks_for` of them. Kept in memory or on disk; lost parts are computed again from ``df``, which should be
     materialised.
     """
     p, q = len(inputs), len(targets)
@@ -248,7 +285,7 @@ def deal(
         df.select(slot.alias("__slot"), F.col(hold).alias("__hold"), *_arrays(inputs, targets))
         .withColumn("__replica", replica.cast("int"))
         .withColumn("__part", F.expr(f"__replica div {together}").cast("int"))
-        .repartition(-(-replicas // together), "__part")
+        .repartitionById(tasks_for(df.sparkSession, -(-replicas // together)), "__part")
         .sortWithinPartitions("__part", "__replica", "__slot", "__x", "__y")
         .select("__part", "__replica", "__hold", "__x", "__y")
     )
@@ -326,18 +363,47 @@ def pass_sums(
 
 def _side_by_side(replica: np.ndarray, x: np.ndarray, y: np.ndarray):
     """Rows (sorted by replica) as one block per replica, filled up; and which rows are real."""
-    names, starts, counts = np.unique(replica, return_index=True, return_counts=True)
-    m, n = len(names), int(counts.max(initial=0))
-    row = np.arange(len(replica)) - np.repeat(starts, counts)
-    at = np.repeat(np.arange(m), counts), row
+    starts = np.flatnonzero(np.diff(replica, prepend=replica[:1] - 1))
+    counts = np.diff(starts, append=len(replica))
+    m, n = len(starts), int(counts.max(initial=0))
     blocks = [np.zeros((m, n, values.shape[1]), np.float32) for values in (x, y)]
-    for block, values in zip(blocks, (x, y)):
-        block[at] = values
     valid = np.zeros((m, n), np.float32)
-    valid[at] = 1
+    for i, (start, count) in enumerate(zip(starts, counts)):
+        for block, values in zip(blocks, (x, y)):
+            block[i, :count] = values[start : start + count]
+        valid[i, :count] = 1
     return *blocks, valid, counts
 
 
+def _kept_units(rng: np.random.Generator, m: int, n: int, layer: Layer) -> np.ndarray | None:
+    """Dropout mask of a batch: 0, or what makes up for the units dropped."""
+    if not layer.dropout:
+        return None
+    mask = _rows_first(m, n, layer.units, np.float32)
+    kept = rng.random((m, n, layer.units), np.float32) >= layer.dropout
+    return np.divide(kept, np.float32(1 - layer.dropout), out=mask)
+
+
+def _adam(weights, first, second, gradient, steps, rate: float, on, buffers) -> None:
+    """One step in place; ``on`` is 0 for replicas that stay, None where all move."""
+    one, two = buffers
+    np.subtract(gradient, first, out=one)
+    one *= np.float32(0.1) if on is None else on * 0.1
+    first += one
+    np.multiply(gradient, gradient, out=one)
+    one -= second
+    one *= np.float32(0.001) if on is None else on * 0.001
+    second += one
+    t = np.maximum(steps, 1)[:, None]
+    np.divide(second, (1 - 0.999**t).astype(np.float32), out=two)
+    np.sqrt(two, out=two)
+    two += np.float32(1e-8)
+    np.divide(first, (1 - 0.9**t).astype(np.float32), out=one)
+    one *= np.float32(rate) if on is None else on * np.float32(rate)
+    one /= two
+    weights -= one
+
+
 def train_part(
     shape: Shape, state: _State, x, y, valid, batch_size: int, rate: float, key: Sequence[int], epochs: range
 ) -> _State:
@@ -348,44 +414,39 @@ def train_part(
         for v in (state.weights, state.first, state.second, state.stats)
     )
     steps = np.full(m, state.steps)
+    # Row by row, so that the rows of a batch lie together once they are in the order of an epoch.
+    rows_x, rows_y = (np.ascontiguousarray(v.transpose(1, 0, 2)) for v in (x, y))
+    buffers = np.empty_like(weights), np.empty_like(weights)
     for epoch in epochs:
         rng = np.random.Generator(np.random.Philox(key=list(key), counter=[0, 0, 0, epoch]))
         order = rng.permutation(n)
+        dealt_x, dealt_y, dealt_valid = rows_x[order], rows_y[order], valid[:, order]
         for start in range(0, n, batch_size):
-            rows = order[start : start + batch_size]
-            real = valid[:, rows]
+            batch = slice(start, start + batch_size)
+            bx, by = (v[batch].transpose(1, 0, 2) for v in (dealt_x, dealt_y))
+            real = dealt_valid[:, batch]
             counts = real.sum(axis=1)
-            masks = [
-                (rng.random((m, len(rows), layer.units), np.float32) >= layer.dropout)
-                / np.float32(1 - layer.dropout)
-                if layer.dropout
-                else None
-                for layer in shape.layers
-            ]
-            out, notes = run_forward(shape, weights, stats, x[:, rows], real, masks)
+            masks = [_kept_units(rng, m, bx.shape[1], layer) for layer in shape.layers]
+            out, notes = run_forward(shape, weights, stats, bx, real, masks)
             size = (np.maximum(counts, 1) * y.shape[2])[:, None, None]
-            delta = 2 * (out - y[:, rows]) * real[:, :, None] / size
+            delta = 2 * (out - by) * real[:, :, None] / size
             gradient = run_backward(shape, weights, delta, notes, real)
             # A replica without a row in this batch stays as it is.
             live = counts > 0
             steps += live
-            on = live[:, None].astype(np.float32)
-            first += on * 0.1 * (gradient - first)
-            second += on * 0.001 * (gradient * gradient - second)
-            t = np.maximum(steps, 1)[:, None]
-            mean = first / (1 - 0.9**t).astype(np.float32)
-            spread = np.sqrt(second / (1 - 0.999**t).astype(np.float32)) + np.float32(1e-8)
-            weights -= on * np.float32(rate) * mean / spread
+            on = None if live.all() else live[:, None].astype(np.float32)
+            _adam(weights, first, second, gradient, steps, rate, on, buffers)
+            share = np.float32(1 - MOMENTUM) if on is None else on * np.float32(1 - MOMENTUM)
             for layer, (_, units, _, stat), note in zip(shape.layers, shape.places(), notes):
                 if layer.normalise:
                     seen = np.concatenate([note[5][:, 0], note[6][:, 0]], axis=1)
                     kept = stats[:, stat : stat + 2 * units]
-                    kept += on * np.float32(1 - MOMENTUM) * (seen - kept)
+                    kept += share * (seen - kept)
     return _State(weights, first, second, stats, int(steps.max(initial=state.steps)))
 
 
 def _job(
-    dealt: DataFrame, shape: Shape, state: _State, parts: int, batch_size: int, rate: float,
+    dealt: DataFrame, shape: Shape, state: _State, tasks: int, batch_size: int, rate: float,
     seed: int, epochs: range, with_train_loss: bool,
 ):
     """Row-weighted sum of the replicas' states, and losses at the starting weights."""
@@ -393,10 +454,13 @@ def _job(
     width = 3 * shape.n_weights + shape.n_stats
 
     def losses(start: _State, x: np.ndarray, y: np.ndarray) -> float:
-        if not len(x):
-            return 0.0
-        out, _ = run_forward(shape, start.weights[None], start.stats[None], x[None])
-        return float(((out[0] - y) ** 2).mean(axis=1, dtype=np.float64).sum())
+        each = np.empty(len(x))
+        # Some rows at a time, which stay in the processor's cache.
+        for at in range(0, len(x), _LOSS_ROWS):
+            some = slice(at, at + _LOSS_ROWS)
+            out, _ = run_forward(shape, start.weights[None], start.stats[None], x[None, some])
+            each[some] = ((out[0] - y[some]) ** 2).mean(axis=1, dtype=np.float64)
+        return float(each.sum())
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start: _State = shared.value
@@ -429,9 +493,9 @@ def _job(
         yield _packed_state(total, rows)
 
     partials = dealt.mapInArrow(partial, _STATE)
-    while parts > _FAN_IN:
-        parts = -(-parts // _FAN_IN)
-        partials = partials.repartition(parts).mapInArrow(combine, _STATE)
+    while tasks > _FAN_IN:
+        tasks = -(-tasks // _FAN_IN)
+        partials = partials.repartition(tasks).mapInArrow(combine, _STATE)
     collected = partials.collect()
     shared.unpersist()
     total, rows = np.zeros(width), [0, 0, 0.0, 0.0, 0]
@@ -490,13 +554,13 @@ def train(
     history: list[float] = []
     done, stride, since = 0, 1, 0
     cuts = np.cumsum([len(zeros)] * 3)
-    parts = -(-replicas // together)
+    tasks = tasks_for(df.sparkSession, -(-replicas // together))
     dealt = deal(df, inputs, targets, hold, slot, replicas, together)
     try:
         while True:
             todo = range(done, min(done + stride, epochs))
             total, train_n, steps, hold_loss, train_loss, hold_n = _job(
-                dealt, shape, state, parts, batch_size, learning_rate, seed, todo, not n_held
+                dealt, shape, state, tasks, batch_size, learning_rate, seed, todo, not n_held
             )
             loss = hold_loss / hold_n if hold_n else train_loss / train_n
             history.append(loss)

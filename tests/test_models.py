@@ -480,6 +480,36 @@ def test_replicas_grow_with_the_rows_and_equal_rows_spread(spark):
     dealt.unpersist()
 
 
+def test_many_parts_share_few_tasks_evenly(spark):
+    cores = spark.sparkContext.defaultParallelism
+    many = 10**6 * autoencoder.PARTS_PER_TASK
+    assert autoencoder.tasks_for(spark, 3) == 3 and autoencoder.tasks_for(spark, many) == 10**6
+    rows = spark.range(10_000).select(
+        F.lit(1.0).alias("x"), F.lit(False).alias("hold"), F.xxhash64("id").alias("slot")
+    )
+    dealt = autoencoder.deal(rows, ["x"], ["x"], "hold", F.col("slot"), 400, 2)
+    tasks = dealt.groupBy(F.spark_partition_id()).agg(F.count("part").alias("parts")).collect()
+    assert len(tasks) == 4 * cores < 200
+    sizes = [r.parts for r in tasks]
+    assert sum(sizes) == 200 and max(sizes) - min(sizes) <= 1
+    dealt.unpersist()
+
+
+def test_rows_of_replicas_lie_together_and_inputs_stay():
+    shape = SHAPES["normalised"]
+    net = autoencoder.Network.fresh(shape, 5)
+    rng = np.random.default_rng(2)
+    weights, stats = (np.repeat(v[None], 4, axis=0) for v in (net.weights, net.stats))
+    x, delta = rng.normal(size=(2, 4, 7, 3))
+    valid = np.ones((4, 7))
+    before = [v.copy() for v in (x, delta, weights, stats)]
+    out, notes = autoencoder.run_forward(shape, weights, stats, x, valid)
+    assert all(v.transpose(1, 0, 2).flags.c_contiguous for v in (out, notes[0][1], notes[0][2]))
+    autoencoder.run_backward(shape, weights, delta, notes, valid)
+    for old, new in zip(before, (x, delta, weights, stats)):
+        np.testing.assert_array_equal(old, new)
+
+
 @pytest.fixture(scope="module")
 def training(spark):
     return spark.range(200, numPartitions=6).select(
