@@ -166,3 +166,25 @@ def test_reused_sequence_needs_unique_subjects(spark):
     )
     with pytest.raises(ValueError, match="one ADSL row"):
         adam.adverse_event_analysis(ae, adsl, reuse_sequence=True)
+
+
+def test_numbered_events_are_derived_once(spark, monkeypatch):
+    derived = spark.sparkContext.accumulator(0)
+
+    @F.udf("date")
+    def counted(value):
+        derived.add(1)
+        return value
+
+    monkeypatch.setattr(adam, "date_or_null", lambda df, name: counted(F.col(name)))
+    ae = spark.range(500).selectExpr(
+        "'S' || id % 7 AS USUBJID", "500 - id AS AESEQ", "'2024-01-0' || (1 + id % 9) AS AESTDTC",
+        "date'2024-02-01' AS AEENDTC", "'MILD' AS AESEV", "'N' AS AESER", "'Y' AS AEREL",
+    )
+    adsl = spark.range(6).selectExpr(
+        "'S' || id AS USUBJID", "date'2024-01-03' AS TRTSDT", "'Drug X' AS TRT01A",
+        "1 AS TRT01AN", "'Y' AS SAFFL",
+    )
+    rows = adam.adverse_event_analysis(ae, adsl, order_by=["AESEQ"]).collect()
+    assert {(r.AESEQ, r.ASEQ) for r in rows} == {(i, i) for i in range(1, 501)}
+    assert {r.AENDT.isoformat() for r in rows} == {"2024-02-01"} and derived.value == 500
